@@ -19,8 +19,7 @@ EPOCH_DATE = "1970-01-01"
 POST_DATE_FORMATS = (
     "MMM d, yyyy h:mm:ss a",
     "MMM d, yyyy",
-    "EEE, d MMM yyyy HH:mm:ss z",
-    "d MMM yyyy HH:mm:ss z",
+    "d MMM yyyy HH:mm:ss",
     "yyyy/M/d H:mm:ss",
     "yyyy/M/d",
     "M/d/yyyy H:mm:ss",
