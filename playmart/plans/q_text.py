@@ -310,6 +310,14 @@ def _dt_sql(c):
     return f"CASE WHEN {c} = 'null' THEN '20150814000000' ELSE {c} END"
 
 
+MACHINE_UNION_SELECT = f"""SELECT mid, province, city, address, revenue_time, sale_time FROM m
+WHERE address != 'null' AND province != 'null' AND city != 'null'
+UNION ALL
+SELECT mid, {_province_sql('address')} AS province, {_city_sql('address')} AS city, address,
+       {_dt_sql('revenue_time')} AS revenue_time, {_dt_sql('sale_time')} AS sale_time
+FROM m WHERE address != 'null' AND province = 'null' AND city = 'null'"""
+
+
 LOG_LINES = """lines AS (
   SELECT CASE event_id % 10 WHEN 0 THEN base || '&v&' WHEN 1 THEN base || '&'
                             WHEN 2 THEN base || '&v&x' ELSE base || '&v' END AS value
@@ -371,13 +379,7 @@ FROM t""",
 SELECT mid, {_province_sql('address')} AS province, {_city_sql('address')} AS city FROM m""",
     "default_time": "WITH " + MACHINE_LOCAL + f"""
 SELECT mid, {_dt_sql('revenue_time')} AS revenue_time, {_dt_sql('sale_time')} AS sale_time FROM m""",
-    "machine_union": "WITH " + MACHINE_LOCAL + f"""
-SELECT mid, province, city, address, revenue_time, sale_time FROM m
-WHERE address != 'null' AND province != 'null' AND city != 'null'
-UNION ALL
-SELECT mid, {_province_sql('address')} AS province, {_city_sql('address')} AS city, address,
-       {_dt_sql('revenue_time')} AS revenue_time, {_dt_sql('sale_time')} AS sale_time
-FROM m WHERE address != 'null' AND province = 'null' AND city = 'null'""",
+    "machine_union": "WITH " + MACHINE_LOCAL + "\n" + MACHINE_UNION_SELECT,
     "log_split_filter": "WITH " + LOG_LINES + """
 SELECT parts[1] AS f0, parts[3] AS f2, parts[6] AS f5 FROM kept""",
     "log_route_count": "WITH " + LOG_LINES + """
