@@ -1,0 +1,258 @@
+"""Operators against brute-force restatements on small fixtures."""
+
+import math
+import random
+
+from pyspark.sql import functions as F
+from pyspark.sql import Window
+
+from playmart.functions.dates import shift_day
+from playmart.operators import features as feat
+from playmart.operators import geo, ranking, revenue, users
+
+RUN = "20240131"
+
+
+def plays_df(spark, rows):
+    return spark.createDataFrame(rows, "songid string, uid string, order_id string, dt_data string")
+
+
+def random_plays(n=3000, seed=7):
+    rnd = random.Random(seed)
+    rows = []
+    for _ in range(n):
+        day = shift_day(RUN, rnd.randint(-2, 34))
+        rows.append((
+            rnd.choice([None] + [str(i) for i in range(25)]) if rnd.random() < 0.05 else str(rnd.randint(0, 24)),
+            None if rnd.random() < 0.05 else str(rnd.randint(0, 60)),
+            None if rnd.random() < 0.3 else str(rnd.randint(0, 400)),
+            day,
+        ))
+    return rows
+
+
+def three_scans(df, run):
+    """The original formulation: one aggregate per window + peak, left-joined."""
+    def win(days, label):
+        lo = shift_day(run, days)
+        p, s, u, o = feat.feature_names(label)
+        return (df.where(F.col("dt_data").between(lo, run)).groupBy("songid")
+                .agg(F.count("songid").alias(p), F.lit(0).alias(s),
+                     F.countDistinct("uid").alias(u), F.countDistinct("order_id").alias(o)))
+    d30 = shift_day(run, 30)
+    d7 = shift_day(run, 7)
+    daily = df.where(F.col("dt_data").between(d30, run)).groupBy("dt_data", "songid").agg(F.count("songid").alias("cnt"))
+    top = daily.groupBy("songid").agg(
+        F.max(F.when(F.col("dt_data") >= d7, F.col("cnt")).otherwise(0)).alias("top7day"),
+        F.max("cnt").alias("top30day"))
+    base = win(30, "Thirty").where(F.col("songid").isNotNull())
+    return base.join(win(0, ""), "songid", "left").join(win(7, "Seven"), "songid", "left").join(top, "songid", "left")
+
+
+def rows_set(df):
+    rows = [tuple(r[c] for c in sorted(df.columns)) for r in df.collect()]
+    return sorted(rows, key=lambda t: tuple((v is None, str(v)) for v in t))
+
+
+def test_onepass_equals_three_scans(spark):
+    df = plays_df(spark, random_plays())
+    a = feat.rolling_features(df, RUN)
+    b = three_scans(df, RUN)
+    assert rows_set(a) == rows_set(b.select(*a.columns))
+
+
+def test_window_boundaries(spark):
+    rows = [("a", "u", "o", shift_day(RUN, 7)), ("b", "u", "o", shift_day(RUN, 8)),
+            ("c", "u", "o", shift_day(RUN, 30)), ("d", "u", "o", shift_day(RUN, 31))]
+    f = {r.songid: r for r in feat.rolling_features(plays_df(spark, rows), RUN).collect()}
+    assert f["a"].perSevenSongNBM == 1 and f["b"].perSevenSongNBM is None and f["b"].perThirtySongNBM == 1
+    assert f["c"].perThirtySongNBM == 1 and "d" not in f
+    assert f["b"].top7day == 0 and f["b"].top30day == 1
+
+
+def test_peak(spark):
+    rows = [("s", "u", None, shift_day(RUN, d)) for d, n in ((0, 3), (1, 5), (2, 2)) for _ in range(n)]
+    p = feat.peak_days(plays_df(spark, rows), RUN).first()
+    assert (p.top7day, p.top30day) == (5, 5)
+    g = feat.peak_days(plays_df(spark, rows + [("a", "u", None, RUN)]), RUN, per_key=False).first()
+    assert g.songid == "a" and g.top7day == 5
+
+
+def test_feature_wide_keeps_inactive(spark):
+    hist = spark.createDataFrame([("a", "x", "20200101"), ("a", "x", "20200102"), (None, "y", "20200101")],
+                                 "songid string, songname string, dt_data string")
+    feats = feat.rolling_features(hist.withColumn("uid", F.lit("u")).withColumn("order_id", F.lit(None).cast("string")), RUN)
+    wide = feat.feature_wide(hist, feats, "songid", ["songname"]).collect()
+    assert len(wide) == 2 and all(r.perThirtySongNBM is None for r in wide)
+
+
+def random_rank_rows(n=2000, seed=3):
+    rnd = random.Random(seed)
+    return [(i, rnd.choice(["d1", "d2", None]), rnd.choice(["1", "7", "30"]),
+             None if rnd.random() < 0.1 else float(rnd.randint(0, 50))) for i in range(n)]
+
+
+def test_rank_rows_global_equals_window(spark):
+    df = spark.createDataFrame(random_rank_rows(), "k long, day string, period string, v double")
+    a = ranking.rank_rows(df, ["v"], tie_break=["k"], out="r")
+    b = ranking.rank_rows_window(df, ["v"], tie_break=["k"], out="r")
+    assert rows_set(a) == rows_set(b)
+
+
+def test_rank_rows_partitioned(spark):
+    df = spark.createDataFrame(random_rank_rows(), "k long, day string, period string, v double")
+    for bound in (6, None):
+        a = ranking.rank_rows(df, ["v"], ["day", "period"], ["k"], out="r", groups_bound=bound)
+        b = ranking.rank_rows_window(df, ["v"], ["day", "period"], ["k"], out="r")
+        assert rows_set(a) == rows_set(b)
+    a = ranking.rank_rows(df, ["v"], ["period"], ["k"], out="r", descending=True, groups_bound=3)
+    b = ranking.rank_rows_window(df, ["v"], ["period"], ["k"], out="r", descending=True)
+    assert rows_set(a) == rows_set(b)
+
+
+def test_rolling_rows_not_dates(spark):
+    import datetime as dt
+
+    days = [dt.date(2022, 1, d) for d in (1, 2, 3, 4, 5, 6, 7, 9, 10, 11)]
+    df = spark.createDataFrame([(d, 1) for d in days], "loginTm date, user_cnt long")
+    got = [r.week_user_cnt for r in users.rolling_logins(df).orderBy("loginTm").collect()]
+    assert got == [1, 2, 3, 4, 5, 6, 7, 8, 8, 8]
+
+
+def test_daily_logins_counts_snapshots(spark):
+    logins = spark.createDataFrame([("u1", "20220101120000"), ("u1", "20220101130000"), ("u2", "bad"),
+                                    ("u2", "20220102000000"), (None, "20220102000000")], "uid string, logintime string")
+    people = spark.createDataFrame([("u1",), ("u2",), ("u2",)], "uid string")
+    got = {str(r.loginTm): r.user_cnt for r in users.daily_logins(logins, people).collect()}
+    assert got == {"2022-01-01": 2, "2022-01-02": 2}
+
+
+# ------------------------------------------------------------ revenue fan-out
+
+def revenue_fixture(spark):
+    rnd = random.Random(11)
+    orders = []
+    for i in range(400):
+        mid = rnd.choice([1, 1, 1, 2, 3, 4])  # machine 1 is hot
+        orders.append((i, str(rnd.randint(0, 30)), mid, rnd.randint(0, 2), rnd.randint(0, 8), rnd.randint(1, 3),
+                       f"{rnd.uniform(-50, 100):.2f}", str(rnd.randint(0, 150)), rnd.choice([1, 2, 3, None])))
+    raw = spark.createDataFrame(orders, "id long, uid string, mid long, p_type int, m_type int, pkg_id int, "
+                                        "amount string, order_id string, order_type int") \
+        .withColumn("amount", F.col("amount").cast("decimal(10,2)"))
+    od = revenue.clean_orders(raw)
+    people = spark.createDataFrame([(str(u), str(rnd.choice([1, 2, 5]))) for u in range(40)], "uid string, reg_mid string")
+    mb = spark.createDataFrame([
+        (1, "m1", 0.3, 0.05, 0.1, 0.5, 7, "P1", "C1", "addr1"),
+        (1, "m1b", 0.2, 0.05, 0.2, 0.5, 7, "P2", "C1", "addr1"),
+        (2, "m2", 0.25, 0.05, 0.3, 0.5, 8, "P1", "C2", "addr2"),
+        (3, None, 0.25, 0.05, 0.3, 0.5, 8, "P3", "C3", "addr3"),
+        (4, "m4", 0.25, 0.05, 0.3, 0.5, None, "P4", "C4", "addr4"),
+    ], "mid long, machine_name string, inv_rate double, age_rate double, com_rate double, par_rate double, "
+       "adminid int, province string, city string, address string")
+    ml = spark.createDataFrame([(1, "G1", "GC1", "T1", "d1"), (4, None, "GC4", "T4", "d4")],
+                               "mid long, province string, city string, township string, addressdetail string")
+    return od, people, mb, ml
+
+
+def brute_fanout(od, people, mb, ml):
+    """The original mid-only join, materialised (fixture is tiny)."""
+    rev = revenue.revenue_groups(od).drop("pkg_id", "m_type")
+    ref = revenue.refund_groups(od).drop("pkg_id", "m_type")
+    nu = revenue.new_users(people).withColumn("mid", F.col("mid").cast("long"))
+    places = revenue.machine_places(mb, ml)
+    fan = (od.select("mid", "m_type").join(rev, "mid", "left").join(ref, "mid", "left")
+           .join(nu, "mid", "left").join(places, "mid", "inner"))
+    return fan.withColumn("m_type", revenue.pay_label("m_type"))
+
+
+def test_fanout_weights_equal_materialised(spark):
+    od, people, mb, ml = revenue_fixture(spark)
+    w = revenue.fanout_weights(od, people, mb, ml)
+    fan = brute_fanout(od, people, mb, ml)
+    keys = ["mid", "m_type", "province", "adminid"]
+    a = w.groupBy(*keys).agg(F.sum("n_rows").alias("n"), *[F.sum(c).alias(c) for c in revenue.SUM_COLS])
+    b = fan.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in revenue.SUM_COLS])
+    assert rows_set(a) == rows_set(b.select(*a.columns))
+    pa = revenue.province_revenue(w)
+    pb = revenue.province_revenue(fan)
+    assert rows_set(pa) == rows_set(pb)
+
+
+def test_operator_share_equals_materialised(spark):
+    od, people, mb, ml = revenue_fixture(spark)
+    a = revenue.operator_share(revenue.fanout_weights(od, people, mb, ml))
+    fan = brute_fanout(od, people, mb, ml)
+    z = lambda c: F.coalesce(F.col(c), F.lit(0))
+    tot = fan.groupBy("adminid", F.col("m_type").alias("pay_type")).agg(
+        F.sum(z("total_order_cnt")).cast("long").alias("total_order_count"),
+        F.sum(z("total_order_refund_cnt")).cast("long").alias("total_refund_order_count"),
+        F.sum(z("total_revenue")).cast("decimal(20,2)").alias("total_revenue"),
+        F.sum(z("total_refund")).cast("decimal(20,2)").alias("total_refund_revenue"))
+    b = fan.select(F.col("adminid").alias("b_admin"), *revenue.RATE_COLS)
+    j = tot.join(b, tot.adminid == b.b_admin, "left")
+    shares = [((F.col("total_revenue") * F.col(r) - F.col("total_refund_revenue") * F.col(r))
+               .cast("decimal(20,2)").alias(revenue.SHARE_NAMES[r])) for r in revenue.RATE_COLS]
+    rows = j.select(*tot.columns, *shares)
+    bb = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n_rows"))
+    assert rows_set(a) == rows_set(bb.select(*a.columns))
+    nulls = [r for r in a.collect() if r.adminid is None]
+    assert nulls and all(r.company is None and r.n_rows == 1 for r in nulls)
+
+
+def test_grain_statistics_no_fanout(spark):
+    od, people, mb, ml = revenue_fixture(spark)
+    stats = revenue.machine_statistics(od, people, mb, ml)
+    # one row per (order row, machine dimension row): no revenue x refund product
+    usable = od.join(revenue.machine_places(mb, ml).select("mid"), "mid", "inner")
+    assert stats.count() == usable.count()
+
+
+def test_refund_needs_payment(spark):
+    raw = spark.createDataFrame([
+        (1, "u", 1, 0, 0, 1, "5.00", "A", 1), (2, "u", 1, 0, 0, 1, "5.00", "A", 3),
+        (3, "v", 1, 0, 0, 1, "7.00", "B", 3), (4, "w", 1, 0, 0, 1, "9.00", None, 3)],
+        "id long, uid string, mid long, p_type int, m_type int, pkg_id int, amount string, order_id string, order_type int",
+    ).withColumn("amount", F.col("amount").cast("decimal(10,2)"))
+    ref = revenue.refund_groups(revenue.clean_orders(raw)).first()
+    assert ref.total_order_refund_cnt == 1 and float(ref.total_refund) == 5.0
+
+
+# --------------------------------------------------------------------- geo
+
+def test_nearest_place_equals_brute_force(spark):
+    rnd = random.Random(5)
+    pts = [(i + 1, f"{rnd.uniform(20, 21):.4f}", f"{rnd.uniform(100, 101):.4f}") for i in range(60)] + [(99, "", "100.5")]
+    places = [(j, rnd.uniform(20, 21), rnd.uniform(100, 101)) for j in range(200)]
+    pdf = spark.createDataFrame(pts, "mid long, x string, y string")
+    ldf = spark.createDataFrame(places, "place_id long, lat double, lng double")
+    for c in ("formatted_address", "province", "city", "township", "street", "number"):
+        ldf = ldf.withColumn(c, F.concat(F.lit(c[:2]), F.col("place_id").cast("string")))
+    radius = 8000.0
+    got = {r.mid: r for r in geo.nearest_place(pdf, ldf, radius_m=radius, keep_unmatched=False).collect()}
+
+    def hav(a, b, c, d):
+        r = math.pi / 180
+        x = math.sin((c - a) * r / 2) ** 2 + math.cos(a * r) * math.cos(c * r) * math.sin((d - b) * r / 2) ** 2
+        return 2 * geo.EARTH_RADIUS_M * math.asin(math.sqrt(x))
+
+    for mid, x, y in pts:
+        if not x:
+            continue
+        cands = sorted((hav(float(x), float(y), la, ln), pid) for pid, la, ln in places)
+        cands = [c for c in cands if c[0] <= radius]
+        if not cands:
+            assert mid not in got
+        else:
+            assert got[mid].street == f"st{cands[0][1]}"
+            assert abs(got[mid].distance - round(cands[0][0], 3)) < 1e-6
+    with_missing = geo.nearest_place(pdf, ldf, radius_m=radius).where("mid = 0").count()
+    assert with_missing == sum(1 for m, x, y in pts if x) - len(got)
+
+
+def test_flatten_geo(spark):
+    ok = ('{"regeocode":{"formatted_address":"f","addressComponent":{"province":"p","city":[],'
+          '"township":"t","streetNumber":{"street":"s","number":"1","location":"1,2","direction":"东","distance":"3"}}}}')
+    df = spark.createDataFrame([(7, ok), (8, '{"status":"0"}'), (9, "oops")], "mid long, response string")
+    rows = sorted(geo.flatten_geo(df).collect(), key=lambda r: -r.mid)
+    assert rows[0].mid == 7 and rows[0].city == "[]" and rows[0].street == "s"
+    assert [r.mid for r in rows[1:]] == [0, 0] and rows[1].province == ""
