@@ -64,6 +64,19 @@ def revenue_groups(orders: DataFrame, keys=GROUP_KEYS) -> DataFrame:
     )
 
 
+def order_groups(orders: DataFrame, keys=GROUP_KEYS) -> DataFrame:
+    """All order rows per group (``n_od``) with the payment aggregates of
+    ``revenue_groups`` (``n_pay`` = payment rows) in a single aggregation."""
+    pay = F.col("order_type") == PAYMENT
+    return orders.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_od"),
+        F.count_if(pay).alias("n_pay"),
+        F.count_distinct(F.when(pay, F.col("uid"))).alias("total_user_cnt"),
+        F.count(F.when(pay, F.col("order_id"))).alias("total_order_cnt"),
+        F.sum(F.when(pay, _amount())).cast(MONEY).alias("total_revenue"),
+    )
+
+
 def refund_groups(orders: DataFrame, keys=GROUP_KEYS) -> DataFrame:
     """Refunds per group, counting only refunds whose order id also has a payment."""
     paid = orders.where(F.col("order_type") == PAYMENT).select("order_id")
@@ -171,8 +184,11 @@ def fanout_weights(orders: DataFrame, users: DataFrame, mb: DataFrame, ml: DataF
     Columns: mid, m_type (label), place columns, ``n_rows`` and the SUM_COLS
     holding the column sums over those rows (NULL where all values are NULL).
     """
-    od = orders.groupBy("mid", "m_type").agg(F.count(F.lit(1)).alias("n_od"))
-    rev = revenue_groups(orders).groupBy("mid").agg(
+    # One pass over the orders gives both the order-row counts and the revenue
+    # groups (a group exists where a payment row exists).
+    grp = order_groups(orders)
+    od = grp.groupBy("mid", "m_type").agg(F.sum("n_od").alias("n_od"))
+    rev = grp.where(F.col("n_pay") > 0).groupBy("mid").agg(
         F.count(F.lit(1)).alias("n_rev"),
         F.sum("total_user_cnt").alias("r_users"),
         F.sum("total_order_cnt").alias("r_orders"),
@@ -237,13 +253,22 @@ def operator_share(stats: DataFrame, distinct_rates: bool = False) -> DataFrame:
     if "n_rows" not in stats.columns:
         stats = stats.withColumn("n_rows", F.lit(1).cast("long"))
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
-    totals = stats.groupBy("adminid", F.col("m_type").alias("pay_type")).agg(
-        F.sum(z("total_order_cnt")).cast("long").alias("total_order_count"),
-        F.sum(z("total_order_refund_cnt")).cast("long").alias("total_refund_order_count"),
-        F.sum(z("total_revenue")).cast(MONEY).alias("total_revenue"),
-        F.sum(z("total_refund")).cast(MONEY).alias("total_refund_revenue"),
+    # One aggregation feeds both sides (its shuffle is shared), so the
+    # statistics input is evaluated once.
+    base = stats.groupBy("adminid", "m_type", *RATE_COLS).agg(
+        F.sum(z("total_order_cnt")).alias("_o"),
+        F.sum(z("total_order_refund_cnt")).alias("_ro"),
+        F.sum(z("total_revenue")).alias("_r"),
+        F.sum(z("total_refund")).alias("_f"),
+        F.sum("n_rows").alias("_n"),
+    )
+    totals = base.groupBy("adminid", F.col("m_type").alias("pay_type")).agg(
+        F.sum("_o").cast("long").alias("total_order_count"),
+        F.sum("_ro").cast("long").alias("total_refund_order_count"),
+        F.sum("_r").cast(MONEY).alias("total_revenue"),
+        F.sum("_f").cast(MONEY).alias("total_refund_revenue"),
     )
-    detail = stats.groupBy(F.col("adminid").alias("_aid"), *RATE_COLS).agg(F.sum("n_rows").alias("_n"))
+    detail = base.groupBy(F.col("adminid").alias("_aid"), *RATE_COLS).agg(F.sum("_n").alias("_n"))
     j = totals.join(detail, totals["adminid"] == detail["_aid"], "left")
     shares = [
         share("total_revenue", "total_refund_revenue", rate).alias(SHARE_NAMES[rate]) for rate in RATE_COLS
