@@ -72,7 +72,7 @@ def cell_size_deg(radius_m: float, max_abs_lat: float = 60.0) -> float:
 def nearest_place(
     points: DataFrame,
     places: DataFrame,
-    radius_m: float = 30_000.0,
+    radius_m: float = 1_000.0,
     max_abs_lat: float = 60.0,
     keep_unmatched: bool = True,
     id_col: str = "mid",

@@ -98,7 +98,7 @@ def song_base_info(job: Job, second_index: int = 0) -> DataFrame:
     return job.read("tw_song_info_d", S.SONG_INFO)
 
 
-def machine_location(job: Job, radius_m: float = 30_000.0, keep_unmatched: bool = True) -> DataFrame:
+def machine_location(job: Job, radius_m: float = 1_000.0, keep_unmatched: bool = True) -> DataFrame:
     """L3: machine coordinates -> nearest known place (province ... distance)."""
     points = non_empty(job.read("to_revenue_userlocation_d"), "x", "y")
     places = job.read("geo_places")

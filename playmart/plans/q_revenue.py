@@ -119,11 +119,12 @@ def machine_geo(spark, d):
     """Geo-located machine places (the actual-location table)."""
     s = table(spark, d, "supplier")
     n = table(spark, d, "nation")
-    j = s.where(F.col("s_suppkey") % 3 != 0).join(n, s.s_nationkey == n.n_nationkey)
+    j = s.join(n, s.s_nationkey == n.n_nationkey)
+    located = F.col("s_suppkey") % 3 != 0  # the others were not located: NULL place, registered one is used
     return j.select(
         F.col("s_suppkey").alias("mid"),
-        F.concat(F.lit("P"), F.col("n_regionkey").cast("string")).alias("province"),
-        F.col("n_name").alias("city"),
+        F.when(located, F.concat(F.lit("P"), F.col("n_regionkey").cast("string"))).alias("province"),
+        F.when(located, F.col("n_name")).alias("city"),
         F.concat(F.lit("T"), (F.col("s_suppkey") % 4).cast("string")).alias("township"),
         F.col("s_name").alias("addressdetail"),
     )
@@ -246,9 +247,11 @@ mbd AS (
          CAST(com_rate AS DECIMAL(10,2)) AS com_rate, CAST(par_rate AS DECIMAL(10,2)) AS par_rate
   FROM mb WHERE machine_name IS NOT NULL AND inv_rate IS NOT NULL),
 ml AS (
-  SELECT s.s_suppkey AS mid, 'P' || CAST(nn.n_regionkey AS VARCHAR) AS province, nn.n_name AS city,
+  SELECT s.s_suppkey AS mid,
+         CASE WHEN s.s_suppkey % 3 != 0 THEN 'P' || CAST(nn.n_regionkey AS VARCHAR) END AS province,
+         CASE WHEN s.s_suppkey % 3 != 0 THEN nn.n_name END AS city,
          'T' || CAST(s.s_suppkey % 4 AS VARCHAR) AS township, s.s_name AS addressdetail
-  FROM supplier s JOIN nation nn ON s.s_nationkey = nn.n_nationkey WHERE s.s_suppkey % 3 != 0)"""
+  FROM supplier s JOIN nation nn ON s.s_nationkey = nn.n_nationkey)"""
 
 LABEL = """CASE {c} WHEN 0 THEN '投币' WHEN 1 THEN 'K金币' WHEN 2 THEN '银币' WHEN 3 THEN '音乐积分'
          WHEN 4 THEN '微信' WHEN 5 THEN '支付宝' WHEN 6 THEN '免费券' WHEN 7 THEN 'QQ' END"""

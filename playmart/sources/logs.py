@@ -57,8 +57,16 @@ def route_log(parts: DataFrame, type_idx: int = TYPE_IDX, payload_idx: int = PAY
     )
 
 
-def play_fields(routed: DataFrame, fields=PLAY_FIELDS) -> DataFrame:
-    """JSON payload -> one string column per field (invalid JSON -> NULLs)."""
+def play_fields(routed: DataFrame, fields=PLAY_FIELDS, mode: str = "permissive") -> DataFrame:
+    """JSON payload -> one string column per field.
+
+    ``mode="permissive"``: invalid JSON gives NULL fields (the job goes on).
+    ``mode="failfast"``: invalid JSON fails the job, as the original does.
+    """
+    if mode == "failfast":
+        schema = ", ".join(f"{f} string" for f in fields)
+        parsed = F.from_json(F.col("payload"), schema, {"mode": "FAILFAST"})
+        return routed.select(*[parsed.getField(f).alias(f) for f in fields])
     return routed.select(*[json_field("payload", f).alias(f) for f in fields])
 
 

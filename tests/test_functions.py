@@ -104,3 +104,12 @@ def test_play_record(spark):
     df = spark.createDataFrame([('{"songid":"1"}',)], "payload string")
     rec = df.select(logs.play_record("payload")).first()[0]
     assert rec.split("\t") == ["1"] + ["null"] * 10
+
+
+def test_play_fields_failfast(spark):
+    from playmart.sources import logs
+
+    df = spark.createDataFrame([("T", '{"songid":"1"}'), ("T", "{bad")], "event_type string, payload string")
+    assert [r.songid for r in logs.play_fields(df).collect()] == ["1", None]
+    with pytest.raises(Exception):
+        logs.play_fields(df, mode="failfast").collect()
