@@ -71,20 +71,23 @@ def rolling_features(
             )
         ),
     ).where((F.col("kind") == 0) | F.col("grp").isNotNull())
+    # The last day is kept as an int (yyyyMMdd keys compare like their ints):
+    # fixed-width buffers keep the aggregation hash-based, not sort-based.
     per_value = tagged.groupBy("_k", "kind", "grp").agg(
-        F.count("_k").alias("n"), F.max("_dt").alias("last_dt")
+        F.count("_k").alias("n"), F.max(F.col("_dt").cast("int")).alias("last_dt")
     )
 
-    aggs = [F.max(F.when(F.col("kind") == 0, F.lit(True))).alias("_active")]
+    aggs = []
     starts = {w: shift_day(run_date, w) for w in set(windows) | set(peaks)}
     for w in sorted(set(windows) | set(peaks)):
-        day_in = (F.col("kind") == 0) & (F.col("grp") >= F.lit(starts[w]))
+        day_in = (F.col("kind") == 0) & (F.col("last_dt") >= F.lit(int(starts[w])))
+        seen = lambda kind: (F.col("kind") == kind) & (F.col("last_dt") >= F.lit(int(starts[w])))
         aggs += [
             F.max(F.when(day_in, F.lit(True))).alias(f"_act{w}"),
             F.sum(F.when(day_in, F.col("n"))).alias(f"_plays{w}"),
             F.max(F.when(day_in, F.col("n"))).alias(f"_peak{w}"),
-            F.count_if((F.col("kind") == 1) & (F.col("last_dt") >= F.lit(starts[w]))).alias(f"_users{w}"),
-            F.count_if((F.col("kind") == 2) & (F.col("last_dt") >= F.lit(starts[w]))).alias(f"_orders{w}"),
+            F.count_if(seen(1)).alias(f"_users{w}"),
+            F.count_if(seen(2)).alias(f"_orders{w}"),
         ]
     folded = per_value.groupBy("_k").agg(*aggs)
 
