@@ -64,6 +64,20 @@ def company(s, default: str = DEFAULT_COMPANY) -> Column:
     )
 
 
+INT_MAX, INT_MIN = 2147483647, -2147483648
+
+
+def _double_to_int(x: Column) -> Column:
+    """Truncate toward zero, saturating at the int range, NaN -> 0 (no ANSI
+    overflow error: one huge number must not fail the job)."""
+    return (
+        F.when(F.isnan(x), F.lit(0))
+        .when(x >= F.lit(float(INT_MAX)), F.lit(INT_MAX))
+        .when(x <= F.lit(float(INT_MIN)), F.lit(INT_MIN))
+        .otherwise(x.cast("int"))
+    )
+
+
 def int_list(s) -> Column:
     """``"[2.0,8.0]"`` -> ``[2, 8]`` truncating; keeps the prefix before the
     first element that is not a number; no ``[`` or NULL -> ``[]``."""
@@ -72,7 +86,7 @@ def int_list(s) -> Column:
     parsed = F.transform(F.split(body, ","), lambda e: e.try_cast("double"))
     first_bad = F.array_position(F.transform(parsed, lambda x: x.isNull()), True)
     keep = F.when(first_bad > 0, first_bad - 1).otherwise(F.size(parsed))
-    ints = F.transform(F.slice(parsed, 1, keep), lambda x: x.cast("int"))
+    ints = F.transform(F.slice(parsed, 1, keep), _double_to_int)
     empty = F.array().cast("array<int>")
     return F.when(F.coalesce(F.contains(s, F.lit("[")), F.lit(False)), ints).otherwise(empty)
 
