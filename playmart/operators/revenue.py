@@ -79,7 +79,9 @@ def order_groups(orders: DataFrame, keys=GROUP_KEYS) -> DataFrame:
 
 def refund_groups(orders: DataFrame, keys=GROUP_KEYS) -> DataFrame:
     """Refunds per group, counting only refunds whose order id also has a payment."""
-    paid = orders.where(F.col("order_type") == PAYMENT).select("order_id")
+    # Distinct paid ids: deduplicated map-side, and the shuffle that does it is
+    # already partitioned by order_id for the semi join.
+    paid = orders.where(F.col("order_type") == PAYMENT).select("order_id").distinct()
     refunds = semi_join(orders.where(F.col("order_type") == REFUND), paid, "order_id")
     return refunds.groupBy(*keys).agg(
         F.count_distinct("uid").alias("total_user_refund_cnt"),
