@@ -148,7 +148,8 @@ def _has_day(job: Job, name: str, day: str) -> bool:
     return path.getFileSystem(job.spark._jsc.hadoopConfiguration()).exists(path)
 
 
-def song_features(job: Job, windows=(0, 7, 30), history: str = "incremental") -> DataFrame:
+def song_features(job: Job, windows=(0, 7, 30), history: str = "incremental",
+                  peak_per_key: bool = True) -> DataFrame:
     """Every song of the play history with its 1/7/30-day features.
 
     The song list is the distinct (song, attributes) of all plays so far. With
@@ -156,9 +157,15 @@ def song_features(job: Job, windows=(0, 7, 30), history: str = "incremental") ->
     exactly that list up to yesterday) plus today's plays, instead of a scan
     of the whole play history every day; without yesterday's partition, or
     with ``history="full"``, the whole history is scanned as in the original.
+    ``peak_per_key=False`` reproduces the original's single global peak row
+    (put on the smallest active song; every other song gets NULL peaks).
     """
     plays = job.read("tw_song_play_d", S.SONG_PLAY)
-    feats = feat.rolling_features(plays, job.run_date, windows=tuple(windows))
+    if peak_per_key:
+        feats = feat.rolling_features(plays, job.run_date, windows=tuple(windows))
+    else:
+        feats = feat.rolling_features(plays, job.run_date, windows=tuple(windows), peaks=()).join(
+            feat.peak_days(plays, job.run_date, per_key=False), "songid", "left")
     yesterday = dates.shift_day(job.run_date, 1)
     if history == "incremental" and _has_day(job, "tw_song_play_feature_d", yesterday):
         known = job.read_day("tw_song_play_feature_d", S.SONG_FEATURES, yesterday).select("songid", *FEATURE_ATTRS)
