@@ -47,3 +47,15 @@ def test_no_python_udf(spark, name):
         pytest.skip("writes files")
     p = plan(E.queries()[name](spark, SF))
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p and "PythonUDF" not in p
+
+
+def test_onepass_features_partial_aggregation(spark):
+    p = plan(E.queries()["features_onepass"](spark, SF))
+    assert "Expand" not in p and "SortAggregate" not in p
+    assert p.count("partial_count") >= 1
+
+
+def test_global_rank_is_range_partitioned(spark):
+    p = plan(E.queries()["rank_singer_global"](spark, SF))
+    assert "rangepartitioning" in p.lower()
+    assert "BroadcastExchange" in p  # the bounded offset table
