@@ -256,3 +256,28 @@ def test_flatten_geo(spark):
     rows = sorted(geo.flatten_geo(df).collect(), key=lambda r: -r.mid)
     assert rows[0].mid == 7 and rows[0].city == "[]" and rows[0].street == "s"
     assert [r.mid for r in rows[1:]] == [0, 0] and rows[1].province == ""
+
+
+def test_fanout_row_multiplicity(spark):
+    """Fan-out rows = order rows x revenue groups x refund groups (per machine)."""
+    rows = [  # id, uid, mid, p_type, m_type, pkg_id, amount, order_id, order_type (raw)
+        (1, "u1", 7, 0, 0, 1, "10.00", "o1", 1),
+        (2, "u2", 7, 0, 1, 1, "20.00", "o2", 1),
+        (3, "u1", 7, 0, 0, 1, "-5.00", "o1", 3),
+        (4, "u2", 7, 0, 1, 1, "-5.00", "o2", 3),
+        (5, "u2", 7, 0, 1, 2, "-5.00", "o2", 3),
+    ]
+    raw = spark.createDataFrame(rows, "id long, uid string, mid long, p_type int, m_type int, pkg_id int, "
+                                      "amount string, order_id string, order_type int") \
+        .withColumn("amount", F.col("amount").cast("decimal(10,2)"))
+    od = revenue.clean_orders(raw)
+    people = spark.createDataFrame([("u1", "7")], "uid string, reg_mid string")
+    mb = spark.createDataFrame([(7, "m", 0.1, 0.1, 0.1, 0.1, 1, "P", "C", "a")],
+                               "mid long, machine_name string, inv_rate double, age_rate double, com_rate double, "
+                               "par_rate double, adminid int, province string, city string, address string")
+    only_payments = od.where(F.col("order_type") == 1)
+    w = revenue.fanout_weights(od, people, mb)
+    # order rows: 2 payments + 3 refunds = 5; revenue groups 2, refund groups 3
+    assert w.agg(F.sum("n_rows")).first()[0] == 5 * 2 * 3
+    two_orders = revenue.fanout_weights(only_payments, people, mb)
+    assert two_orders.agg(F.sum("n_rows")).first()[0] == 2 * 2  # no refunds: max(1, 0)
