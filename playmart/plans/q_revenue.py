@@ -314,22 +314,29 @@ SELECT province,
        CAST(sum(total_refund) AS DECIMAL(38,2)) AS province_Refund
 FROM fan GROUP BY province""",
     "operator_share": ALL + """,
+base AS (
+  SELECT adminid, m_type, com_rate, par_rate, inv_rate, age_rate,
+         sum(COALESCE(total_order_cnt, 0)) AS o, sum(COALESCE(total_order_refund_cnt, 0)) AS ro,
+         sum(COALESCE(total_revenue, 0)) AS r, sum(COALESCE(total_refund, 0)) AS f, count(*) AS n
+  FROM fan GROUP BY ALL),
 tot AS (
   SELECT adminid, m_type AS pay_type,
-         CAST(sum(COALESCE(total_order_cnt, 0)) AS BIGINT) AS total_order_count,
-         CAST(sum(COALESCE(total_order_refund_cnt, 0)) AS BIGINT) AS total_refund_order_count,
-         CAST(sum(COALESCE(total_revenue, 0)) AS DECIMAL(20,2)) AS total_revenue,
-         CAST(sum(COALESCE(total_refund, 0)) AS DECIMAL(20,2)) AS total_refund_revenue
-  FROM fan GROUP BY adminid, m_type),
+         CAST(sum(o) AS BIGINT) AS total_order_count,
+         CAST(sum(ro) AS BIGINT) AS total_refund_order_count,
+         CAST(sum(r) AS DECIMAL(20,2)) AS total_revenue,
+         CAST(sum(f) AS DECIMAL(20,2)) AS total_refund_revenue
+  FROM base GROUP BY adminid, m_type),
 shares AS (
   SELECT a.*,
          CAST(a.total_revenue * b.com_rate - a.total_refund_revenue * b.com_rate AS DECIMAL(20,2)) AS company,
          CAST(a.total_revenue * b.par_rate - a.total_refund_revenue * b.par_rate AS DECIMAL(20,2)) AS partner,
          CAST(a.total_revenue * b.inv_rate - a.total_refund_revenue * b.inv_rate AS DECIMAL(20,2)) AS investor,
-         CAST(a.total_revenue * b.age_rate - a.total_refund_revenue * b.age_rate AS DECIMAL(20,2)) AS operator
-  FROM tot a LEFT JOIN fan b ON a.adminid = b.adminid)
+         CAST(a.total_revenue * b.age_rate - a.total_refund_revenue * b.age_rate AS DECIMAL(20,2)) AS operator,
+         b.n
+  FROM tot a LEFT JOIN (SELECT adminid, com_rate, par_rate, inv_rate, age_rate, sum(n) AS n
+                        FROM base GROUP BY ALL) b ON a.adminid = b.adminid)
 SELECT adminid, pay_type, total_order_count, total_refund_order_count, total_revenue, total_refund_revenue,
-       company, partner, investor, operator, CAST(count(*) AS BIGINT) AS n_rows
+       company, partner, investor, operator, CAST(sum(COALESCE(n, 1)) AS BIGINT) AS n_rows
 FROM shares
 GROUP BY ALL""",
 }
