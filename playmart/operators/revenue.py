@@ -227,10 +227,9 @@ def province_machine_count(machines: DataFrame) -> DataFrame:
     return machines.groupBy("province").agg(F.count("mid").alias("mac_cnt"))
 
 
-def province_revenue(stats: DataFrame, weighted: bool = True) -> DataFrame:
-    """Six sums per province, from ``fanout_weights`` (weighted=True, the
-    original's totals) or from per-row ``machine_statistics``."""
-    del weighted  # both inputs carry the same column names and meaning
+def province_revenue(stats: DataFrame) -> DataFrame:
+    """Six sums per province, from ``fanout_weights`` (the original's totals)
+    or from per-row ``machine_statistics``: both carry the same columns."""
     return stats.groupBy("province").agg(
         F.sum("total_user_cnt").cast("long").alias("province_UserCnt"),
         F.sum("new_user_cnt").cast("long").alias("province_RegUserCnt"),

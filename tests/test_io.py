@@ -3,7 +3,6 @@
 import gzip
 import os
 
-from pyspark.sql import functions as F
 
 from playmart.sources import logs
 from playmart.sources.sinks import export, jdbc_options

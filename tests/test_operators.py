@@ -4,7 +4,6 @@ import math
 import random
 
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from playmart.functions.dates import shift_day
 from playmart.operators import features as feat
