@@ -4,10 +4,12 @@ The original asks a web reverse-geocoder once per machine row. Here the
 lookup is a join against a table of places (street numbers with their
 province, city, township, street, number and coordinates):
 
-* every place is keyed by a grid cell whose side is at least the search
-  radius (in degrees, valid up to ``max_abs_lat``), so any place within the
-  radius of a point lies in the point's cell or one of its 8 neighbours;
-* each point is exploded to those 9 cells and equi-joined on the cell key;
+* every place is keyed by a grid cell whose side is at least 1/k of the
+  search radius (in degrees, valid up to ``max_abs_lat``), so any place
+  within the radius of a point lies within k cells of the point's cell;
+* each point is exploded to those (2k+1)^2 cells and equi-joined on the cell
+  key. k = 2 probes 6.25 r^2 instead of 9 r^2 for k = 1, so fewer candidate
+  pairs reach the distance filter;
   the optimizer decides broadcast vs shuffle by size, AQE splits hot cells;
 * haversine distance, keep places within the radius, ``min_by`` on
   (distance, place id) picks the nearest deterministically.
@@ -75,6 +77,7 @@ def nearest_place(
     radius_m: float = 1_000.0,
     max_abs_lat: float = 60.0,
     keep_unmatched: bool = True,
+    cells_per_radius: int = 2,
     id_col: str = "mid",
     x_col: str = "x",
     y_col: str = "y",
@@ -87,7 +90,8 @@ def nearest_place(
     ``keep_unmatched`` adds the original's failure row (0, "", ..., "") for
     every point with no place in range.
     """
-    cell = cell_size_deg(radius_m, max_abs_lat)
+    k = max(1, int(cells_per_radius))
+    cell = cell_size_deg(radius_m, max_abs_lat) / k
     pts = (
         points.where((F.col(x_col) != "") & (F.col(y_col) != ""))
         .select(
@@ -96,7 +100,8 @@ def nearest_place(
             F.col(y_col).try_cast("double").alias("_lng"),
         )
     )
-    offsets = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
+    ring = range(-k, k + 1)
+    offsets = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx in ring for dy in ring])
     probe = pts.where(F.col("_lat").isNotNull() & F.col("_lng").isNotNull()).select(
         "*", F.inline(offsets)
     ).select(

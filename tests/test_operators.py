@@ -228,6 +228,9 @@ def test_nearest_place_equals_brute_force(spark):
         ldf = ldf.withColumn(c, F.concat(F.lit(c[:2]), F.col("place_id").cast("string")))
     radius = 8000.0
     got = {r.mid: r for r in geo.nearest_place(pdf, ldf, radius_m=radius, keep_unmatched=False).collect()}
+    coarse = {r.mid: r for r in geo.nearest_place(pdf, ldf, radius_m=radius, keep_unmatched=False,
+                                                  cells_per_radius=1).collect()}
+    assert got == coarse
 
     def hav(a, b, c, d):
         r = math.pi / 180
