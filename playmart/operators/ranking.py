@@ -26,6 +26,19 @@ def _sort_exprs(cols, descending: bool) -> list[Column]:
     return out
 
 
+def range_slices(df: DataFrame, keys: list[Column], n: int) -> DataFrame:
+    """Range-partition on the full sort key and sort each range; adds the
+    range id ``_pid`` and a position ``_idx`` increasing within each range.
+    With a tie-break in the key, equal order values (even a third of all rows
+    sharing one value, or NULL) are spread over ranges instead of one task."""
+    return (
+        df.repartitionByRange(n, *keys)
+        .sortWithinPartitions(*keys)
+        .withColumn("_pid", F.spark_partition_id())
+        .withColumn("_idx", F.monotonically_increasing_id())
+    )
+
+
 def rank_rows(
     df: DataFrame,
     order_by: list[str],
@@ -45,12 +58,7 @@ def rank_rows(
     partition_by = list(partition_by)
     n = num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = _sort_exprs(partition_by, False) + _sort_exprs(list(order_by) + list(tie_break), descending)
-    ranged = (
-        df.repartitionByRange(n, *keys)
-        .sortWithinPartitions(*keys)
-        .withColumn("_pid", F.spark_partition_id())
-        .withColumn("_idx", F.monotonically_increasing_id())
-    )
+    ranged = range_slices(df, keys, n)
     slices = ranged.groupBy("_pid", *partition_by).agg(
         F.count(F.lit(1)).alias("_cnt"), F.min("_idx").alias("_first")
     )

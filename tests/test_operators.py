@@ -283,3 +283,16 @@ def test_fanout_row_multiplicity(spark):
     assert w.agg(F.sum("n_rows")).first()[0] == 5 * 2 * 3
     two_orders = revenue.fanout_weights(only_payments, people, mb)
     assert two_orders.agg(F.sum("n_rows")).first()[0] == 2 * 2  # no refunds: max(1, 0)
+
+
+def test_rank_hot_value_is_spread(spark):
+    """A third of the rows share one (NULL) order value: ranges stay balanced."""
+    rnd = random.Random(1)
+    rows = [(i, None if i % 3 == 0 else float(rnd.randint(0, 1000))) for i in range(30000)]
+    df = spark.createDataFrame(rows, "k long, v double")
+    keys = ranking._sort_exprs(["v", "k"], False)
+    sizes = [r["count"] for r in ranking.range_slices(df, keys, 8).groupBy("_pid").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 0.25 * len(rows)
+    a = ranking.rank_rows(df, ["v"], tie_break=["k"], out="r")
+    b = ranking.rank_rows_window(df, ["v"], tie_break=["k"], out="r")
+    assert rows_set(a) == rows_set(b)
