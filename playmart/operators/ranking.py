@@ -53,6 +53,11 @@ def rank_rows(
     (``descending=True``: descending, NULLs last). ``tie_break`` columns make
     the order total, so the result is deterministic and equals the plain
     window function with the same ORDER BY.
+
+    ``num_ranges`` (default: ``spark.sql.shuffle.partitions``) is kept exactly:
+    the range exchange is user-numbered so AQE never re-splits it, and both
+    readers of the reused exchange see the same ranges. Size it to the input
+    (about one range per few million rows).
     """
     spark = df.sparkSession
     partition_by = list(partition_by)
