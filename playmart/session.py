@@ -13,9 +13,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Size coalesced partitions by bytes (advisory size), not by core count:
-    # on a large cluster this keeps tasks near 128 MB instead of tiny ones.
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    # Target size of coalesced partitions. On a shared cluster also set
+    # spark.sql.adaptive.coalescePartitions.parallelismFirst=false so AQE sizes
+    # partitions by bytes, not by core count (see README, "Running at scale").
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
