@@ -30,22 +30,27 @@ END_ID = 1
 _SPECIAL = "<|endoftext|>"  # the only special token of the vocabulary
 
 
+def vocabulary_pieces(json_path: str) -> dict[bytes, int]:
+    """Bytes and id of each piece of a byte-level vocabulary file, special tokens left out."""
+    import json
+
+    with open(json_path, encoding="utf-8") as f:
+        vocab = json.load(f)["model"]["vocab"]
+    # Byte-level vocabularies write each byte as one printable character.
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    byte_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(plain))}
+    return {bytes(byte_of[c] for c in piece): i for piece, i in vocab.items() if piece != _SPECIAL}
+
+
 @lru_cache(maxsize=2)
 def _encoder(json_path: str):
     """The vocabulary file's encoder. tiktoken runs the same merges several times
     faster; a text with a special token's string is left to ``tokenizers``."""
-    import json
-
     import public_tokenizers
     import tiktoken
     from tokenizers import Tokenizer
 
-    with open(json_path, encoding="utf-8") as f:
-        vocab = json.load(f)["model"]["vocab"]
-    # Byte-level vocabularies write each byte as one printable character.
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    byte_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(plain))}
-    ranks = {bytes(byte_of[c] for c in piece): rank for piece, rank in vocab.items() if piece != _SPECIAL}
+    ranks = vocabulary_pieces(json_path)
     fast = tiktoken.Encoding("byte-bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     exact = Tokenizer.from_file(json_path)
 

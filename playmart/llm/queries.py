@@ -3,15 +3,25 @@
 from __future__ import annotations
 
 from .decontaminate import op3_decontaminate
+from .fingerprints import op7_fingerprints
+from .language_id import op2_language_id
+from .language_model import op1_language_model
+from .licenses import op6_licenses
 from .packing import op10_packing
 from .secrets import op4_secrets
 from .simhash import op5_simhash
+from .token_counts import op8_token_counts
 from .toxicity import op9_toxicity
 
 QUERIES = {
+    "op1_language_model": op1_language_model,
+    "op2_language_id": op2_language_id,
     "op3_decontaminate": op3_decontaminate,
     "op4_secrets": op4_secrets,
     "op5_simhash": op5_simhash,
+    "op6_licenses": op6_licenses,
+    "op7_fingerprints": op7_fingerprints,
+    "op8_token_counts": op8_token_counts,
     "op9_toxicity": op9_toxicity,
     "op10_packing": op10_packing,
 }
