@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from playmart.session import checkpoint_dir
@@ -56,6 +56,26 @@ def slices(items: list[bytes], max_bytes: int) -> Iterator[tuple[int, int]]:
         yield lo, len(items)
 
 
+def bounded_sample(keys: DataFrame, group: str, n: int, order: list[str]) -> DataFrame:
+    """The ``n`` rows of each group with the smallest hash of ``order`` (at least, of those
+    under a hash threshold that about 2 * n rows of the group pass, so only few rows are ranked).
+
+    The groups must be few: their sizes become one literal. The result has at most ``n``
+    rows a group and the rank in the column ``__rank``.
+    """
+    sizes = {r[group]: r["count"] for r in keys.groupBy(group).count().collect()}
+    if not sizes:
+        return keys.withColumn("__rank", F.lit(0))
+    limit = F.lit(0)
+    for value, count in sizes.items():
+        share = min(1.0, 2.0 * n / count) if count > 4 * n else 1.0
+        limit = F.when(F.col(group).eqNullSafe(F.lit(value)), F.lit(int(share * (1 << 31)))).otherwise(limit)
+    hashed = keys.withColumn("__hash", F.xxhash64(*order))
+    few = hashed.where(F.shiftrightunsigned("__hash", 33) < limit)
+    rank = F.row_number().over(Window.partitionBy(group).orderBy(F.shiftrightunsigned("__hash", 33), "__hash", *order))
+    return few.withColumn("__rank", rank).where(F.col("__rank") <= n).drop("__hash")
+
+
 class Scratch:
     """A fresh folder of written tables under the shared ``spark.checkpoint.dir``."""
 

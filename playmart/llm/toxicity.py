@@ -27,10 +27,10 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, free_name, slices, alnum_words, table, texts
+from .common import bounded_sample, fold, free_name, slices, alnum_words, table, texts
 
 ORDER = 6  # bytes: a context and its byte are one 48-bit key
 WINDOW, STRIDE = 8, 4
@@ -203,14 +203,14 @@ def fit(rows: list[tuple[bytes, int]]) -> ToxicityModel:
 def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int, id_col: str, text_col: str, folds: int, held_out: int) -> list:
     """At most ``max_rows`` labelled texts of each class, in the order of a hash of the id."""
     marked = labels.where(F.col("toxic").isin(0, 1)).groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").alias("_y"))
-    marked = marked.where(fold("_id", folds) != held_out).withColumn("_h", F.xxhash64("_id"))
-    order = Window.partitionBy("_y").orderBy("_h", "_id")
+    marked = marked.where(fold("_id", folds) != held_out)
     texts_of = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"))
-    # Labelled documents that exist, ranked on ids alone; the texts are joined to the few that are kept.
-    kept = marked.join(texts_of.select("_id").distinct(), "_id", "left_semi").withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= max_rows)
-    chosen = texts_of.join(kept, "_id").groupBy("_id", "_y", "_h").agg(F.min("_t").alias("_t"))
-    rows = [((r["_t"] or "").encode(), r["_y"], r["_h"], str(r["_id"])) for r in chosen.collect()]
-    return [(t, y) for t, y, _, _ in sorted(rows, key=lambda r: r[1:])]
+    # Labelled documents that exist are ranked on ids alone; the texts are joined to the few that are kept.
+    kept = bounded_sample(marked.join(texts_of.select("_id").distinct(), "_id", "left_semi"), "_y", max_rows, ["_id"])
+    # At most max_rows rows a class: bounded by the parameter, so broadcast.
+    chosen = texts_of.join(F.broadcast(kept), "_id").groupBy("_id", "_y", "__rank").agg(F.min("_t").alias("_t"))
+    rows = [((r["_t"] or "").encode(), r["_y"], r["__rank"]) for r in chosen.collect()]
+    return [(t, y) for t, y, _ in sorted(rows, key=lambda r: r[1:])]
 
 
 def score_toxicity(
