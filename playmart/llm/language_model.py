@@ -25,10 +25,12 @@ both scores are 0, as is the contract's base; only the id and text columns are r
 
 from __future__ import annotations
 
+import heapq
 import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -38,9 +40,9 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, fold, slices, space_words, table, texts
 
-CLASSES, MEMBERS, TAILS = 32, 64, 32
+CLASSES, MEMBERS, TAILS = 16, 64, 16
 HEAD = CLASSES * MEMBERS
-HIDDEN = 32
+HIDDEN = 24
 END = b""  # no word is empty
 _FLUSH = 400_000
 
@@ -135,78 +137,90 @@ class GruModel:
             setattr(self, n, flat[at : at + p.size].reshape(p.shape).astype(np.float32))
             at += p.size
 
-    def step(self, h: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, tuple]:
-        """Next state of lanes with states ``h`` that read tokens ``x``."""
-        a = self.gates[x] + self.gate_bias
+    def step(self, h: np.ndarray, a: np.ndarray) -> tuple[np.ndarray, tuple]:
+        """Next state of lanes with states ``h``; ``a`` is the gates' input of the tokens they read."""
         u = h @ self.recurrent
-        zr = a[:, : 2 * HIDDEN] + u[:, : 2 * HIDDEN]
-        np.negative(zr, out=zr)
-        np.exp(np.minimum(zr, 30, out=zr), out=zr)
-        zr += 1
-        np.reciprocal(zr, out=zr)
+        zr = _sigmoid(a[:, : 2 * HIDDEN] + u[:, : 2 * HIDDEN])
         z, r, un = zr[:, :HIDDEN], zr[:, HIDDEN:], u[:, 2 * HIDDEN :]
-        n = np.tanh(a[:, 2 * HIDDEN :] + r * un)
+        n = _sigmoid(2 * (a[:, 2 * HIDDEN :] + r * un))  # tanh(x) = 2 * sigmoid(2 * x) - 1
+        n *= 2
+        n -= 1
         return n + z * (h - n), (h, z, r, un, n)
 
+    def inputs(self) -> np.ndarray:
+        return self.gates + self.gate_bias
+
     def log_probs(self, h: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """log10 of the class probability, times the member's within a head class."""
-        logits = h @ self.classes + self.class_bias
-        top = logits.max(axis=1)
         head = ids < HEAD
         cls = np.where(head, ids // MEMBERS, ids - HEAD + CLASSES)
-        out = logits[np.arange(len(ids)), cls] - top - np.log(np.exp(logits - top[:, None]).sum(axis=1))
-        out = out.astype(float)
+        out = _log_softmax_at(h @ self.classes + self.class_bias, cls).astype(float)
         for c, rows in _groups(np.flatnonzero(head), cls):
-            logits = h[rows] @ self.members[c] + self.member_bias[c]
-            top = logits.max(axis=1)
-            out[rows] += logits[np.arange(len(rows)), ids[rows] % MEMBERS] - top - np.log(np.exp(logits - top[:, None]).sum(axis=1))
+            out[rows] += _log_softmax_at(h[rows] @ self.members[c] + self.member_bias[c], ids[rows] % MEMBERS)
         return out / math.log(10)
 
     def gradients(self, h0: np.ndarray, tokens: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
         """State after a window (steps, lanes), and the mean gradient, truncated at its start.
 
-        A token of -1 is no token. ``keep`` is 0 where a document begins."""
+        ``keep`` is 0 where a document begins."""
         steps, lanes = tokens.shape
-        h, seen, tape = h0, [], []
+        h, seen, tape, inputs = h0, [], [], self.inputs()
         for t in range(steps):
             h = h * keep[t][:, None]
             seen.append(h)
-            h, saved = self.step(h, np.maximum(tokens[t], 0))
+            h, saved = self.step(h, inputs[tokens[t]])
             tape.append(saved)
         flat, ids = np.concatenate(seen), tokens.ravel()
-        real = ids >= 0
-        scale = 1 / max(1, int(real.sum()))
-        grads = {n: np.zeros_like(p) for n, p in zip(self.NAMES, self.params(), strict=True)}
-        head = real & (ids < HEAD)
-        cls = np.where(ids < HEAD, ids // MEMBERS, ids - HEAD + CLASSES)
+        scale = np.float32(1 / len(ids))
+        head = ids < HEAD
+        cls = np.where(head, ids // MEMBERS, ids - HEAD + CLASSES)
         p = _softmax(flat @ self.classes + self.class_bias)
-        p[np.arange(len(ids)), np.where(real, cls, 0)] -= 1
-        p *= (real * scale)[:, None].astype(np.float32)
-        grads["classes"], grads["class_bias"] = flat.T @ p, p.sum(axis=0)
+        p[np.arange(len(ids)), cls] -= 1
+        p *= scale
+        classes, class_bias = flat.T @ p, p.sum(axis=0)
         back = p @ self.classes.T
+        members, member_bias = np.zeros_like(self.members), np.zeros_like(self.member_bias)
         for c, rows in _groups(np.flatnonzero(head), cls):
             p = _softmax(flat[rows] @ self.members[c] + self.member_bias[c])
             p[np.arange(len(rows)), ids[rows] % MEMBERS] -= 1
-            p *= np.float32(scale)
-            grads["members"][c], grads["member_bias"][c] = flat[rows].T @ p, p.sum(axis=0)
+            p *= scale
+            members[c], member_bias[c] = flat[rows].T @ p, p.sum(axis=0)
             back[rows] += p @ self.members[c].T
         back = back.reshape(steps, lanes, HIDDEN)
-        dh, inputs = np.zeros((lanes, HIDDEN), np.float32), np.zeros((steps, lanes, 3 * HIDDEN), np.float32)
+        dh = np.zeros((lanes, HIDDEN), np.float32)
+        da, du = np.empty((2, steps, lanes, 3 * HIDDEN), np.float32)
         for t in reversed(range(steps)):
             before, z, r, un, n = tape[t]
             dn = dh * (1 - z) * (1 - n * n)
-            da = inputs[t]
-            da[:, :HIDDEN] = dh * (before - n) * z * (1 - z)
-            da[:, HIDDEN : 2 * HIDDEN] = dn * un * r * (1 - r)
-            da[:, 2 * HIDDEN :] = dn
-            du = da.copy()
-            du[:, 2 * HIDDEN :] *= r
-            grads["recurrent"] += before.T @ du
-            dh = (dh * z + du @ self.recurrent.T + back[t]) * keep[t][:, None]
-        flat_inputs = inputs.reshape(-1, 3 * HIDDEN)
-        grads["gate_bias"] = flat_inputs.sum(axis=0)
-        np.add.at(grads["gates"], np.maximum(ids, 0), flat_inputs)
-        return h, [grads[n] for n in self.NAMES]
+            da[t, :, :HIDDEN] = dh * (before - n) * z * (1 - z)
+            da[t, :, HIDDEN : 2 * HIDDEN] = dn * un * r * (1 - r)
+            da[t, :, 2 * HIDDEN :] = dn
+            du[t] = da[t]
+            du[t, :, 2 * HIDDEN :] *= r
+            dh = (dh * z + du[t] @ self.recurrent.T + back[t]) * keep[t][:, None]
+        da = da.reshape(-1, 3 * HIDDEN)
+        order = np.argsort(ids, kind="stable")
+        first = np.flatnonzero(np.diff(ids[order], prepend=-1))
+        gates = np.zeros_like(self.gates)
+        gates[ids[order[first]]] = np.add.reduceat(da[order], first, axis=0)
+        return h, [gates, flat.T @ du.reshape(-1, 3 * HIDDEN), da.sum(axis=0), classes, class_bias, members, member_bias]
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    """1 / (1 + exp(-x)), in place."""
+    np.negative(x, out=x)
+    np.minimum(x, 60, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
+
+def _log_softmax_at(z: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Natural log of each row's softmax at one column; ``z`` is overwritten."""
+    z -= z.max(axis=1, keepdims=True)
+    chosen = z[np.arange(len(z)), at]
+    np.exp(z, out=z)
+    return chosen - np.log(z @ np.ones(z.shape[1], z.dtype))
 
 
 def _groups(rows: np.ndarray, cls: np.ndarray):
@@ -222,67 +236,84 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def lanes_of(documents: list[np.ndarray], n_lanes: int) -> list[list[int]]:
-    """Documents dealt to lanes of like length, the longest first."""
-    import heapq
-
-    heap = [(0, i) for i in range(min(n_lanes, max(1, len(documents))))]
-    lanes: list[list[int]] = [[] for _ in heap]
-    for i in sorted(range(len(documents)), key=lambda i: -len(documents[i])):
-        size, lane = heapq.heappop(heap)
-        lanes[lane].append(i)
-        heapq.heappush(heap, (size + len(documents[i]), lane))
-    return sorted(lanes, key=lambda lane: -sum(len(documents[i]) for i in lane))
-
-
-def stream(documents: list[np.ndarray], lanes: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(steps, lanes) tokens (-1 past a lane's end), keep (0 where a document begins) and document of each."""
-    steps = max(sum(len(documents[i]) for i in lane) for lane in lanes)
-    tokens = np.full((steps, len(lanes)), -1, np.int32)
-    keep = np.ones((steps, len(lanes)), np.float32)
-    doc = np.zeros((steps, len(lanes)), np.int32)
-    for k, lane in enumerate(lanes):
-        at = 0
-        for i in lane:
-            n = len(documents[i])
-            tokens[at : at + n, k], doc[at : at + n, k], keep[at, k] = documents[i], i, 0
-            at += n
-    return tokens, keep, doc
+class Lanes:
+    """Documents side by side: dealt to lanes of like length (the longest document first), lanes ordered by length.
+
+    ``tokens``, ``keep`` (0 where a document begins) and ``doc`` are flat, step after step;
+    ``bounds[t] : bounds[t + 1]`` are the lanes that go on at step t, always the first ones.
+    """
+
+    def __init__(self, documents: list[np.ndarray], n_lanes: int):
+        heap = [(0, i) for i in range(min(n_lanes, len(documents)))]
+        dealt: list[list[int]] = [[] for _ in heap]
+        for i in sorted(range(len(documents)), key=lambda i: -len(documents[i])):
+            size, lane = heapq.heappop(heap)
+            dealt[lane].append(i)
+            heapq.heappush(heap, (size + len(documents[i]), lane))
+        sizes = {lane: size for size, lane in heap}
+        order = sorted(sizes, key=lambda lane: -sizes[lane])
+        ends = np.array([sizes[lane] for lane in order])
+        active = np.searchsorted(-ends, -np.arange(ends.max() if len(ends) else 0), side="left")
+        self.bounds = np.concatenate([[0], np.cumsum(active)])
+        n = int(self.bounds[-1])
+        self.tokens, self.keep, self.doc = np.zeros(n, np.int32), np.ones(n, np.float32), np.zeros(n, np.int32)
+        for k, lane in enumerate(order):
+            at = self.bounds[: ends[k]] + k
+            step = 0
+            for i in dealt[lane]:
+                place = at[step : step + len(documents[i])]
+                self.tokens[place], self.doc[place], self.keep[place[0]] = documents[i], i, 0
+                step += len(documents[i])
 
 
 class Trainer:
-    """Adam over windows of ``steps`` tokens of ``lanes`` documents side by side."""
+    """Adam over windows of ``steps`` tokens of ``lanes`` streams side by side.
+
+    The documents follow one another in one stream that is cut into lanes of equal length; the
+    state is carried from window to window and is zero where a document or a lane begins.
+    """
 
-    def __init__(self, model: GruModel, rate: float = 5e-3, lanes: int = 64, steps: int = 16):
+    def __init__(self, model: GruModel, rate: float = 5e-3, lanes: int = 128, steps: int = 16):
         self.model, self.rate, self.lanes, self.window, self.updates, self.n_tokens = model, rate, lanes, steps, 0, 0
         self.moments = [(np.zeros_like(p), np.zeros_like(p)) for p in model.params()]
 
     def learn(self, documents: list[np.ndarray]) -> None:
         if not documents:
             return
-        tokens, keep, _ = stream(documents, lanes_of(documents, self.lanes))
+        ids = np.concatenate(documents)
+        keep = np.ones(len(ids), np.float32)
+        keep[np.cumsum([0, *map(len, documents[:-1])])] = 0
+        lanes = max(1, min(self.lanes, len(ids) // self.window))
+        steps = len(ids) // lanes
+        # What doesn't divide evenly makes one more, shorter window of single steps.
+        cut = lanes * steps
+        grid, marks = ids[:cut].reshape(lanes, steps).T, keep[:cut].reshape(lanes, steps).T
+        self._windows(grid, marks)
+        if cut < len(ids):
+            self._windows(ids[cut:, None], keep[cut:, None])
+        self.n_tokens += len(ids)
+
+    def _windows(self, tokens: np.ndarray, keep: np.ndarray) -> None:
         h = np.zeros((tokens.shape[1], HIDDEN), np.float32)
         for at in range(0, len(tokens), self.window):
-            part = tokens[at : at + self.window]
-            n = int((part >= 0).any(axis=0).sum())  # lanes are ordered by length: the first n go on
-            h, grads = self.model.gradients(h[:n], part[:, :n], keep[at : at + self.window, :n])
+            h, grads = self.model.gradients(h, tokens[at : at + self.window], keep[at : at + self.window])
             self.updates += 1
-            norm = math.sqrt(sum(float((g * g).sum()) for g in grads))
+            norm = math.sqrt(sum(float(np.vdot(g, g)) for g in grads))
             clip = min(1.0, 1.0 / (norm + 1e-9))
+            fast, slow = 1 - 0.9**self.updates, 1 - 0.99**self.updates
             for p, g, (m, v) in zip(self.model.params(), grads, self.moments, strict=True):
                 g *= clip
                 m += 0.1 * (g - m)
                 v += 0.01 * (g * g - v)
-                p -= self.rate * (m / (1 - 0.9**self.updates)) / (np.sqrt(v / (1 - 0.99**self.updates)) + 1e-6)
-        self.n_tokens += sum(map(len, documents))
+                p -= (self.rate / fast) * m / (np.sqrt(v / slow) + 1e-6)
 
 
 def encode(text: bytes, vocabulary: Vocabulary) -> np.ndarray:
     """Model ids of a text's tokens."""
     words = [*space_words(text), END]
-    at = np.array([vocabulary.index.get(w, -1) for w in words])
+    at = np.fromiter(map(vocabulary.index.get, words, repeat(-1)), np.int32, len(words))
     ids = vocabulary.ids[at]
-    for i in np.flatnonzero(at < 0):
+    for i in np.flatnonzero(at < 0).tolist():
         ids[i] = HEAD + tail_class(words[i])
     return ids
 
@@ -325,34 +356,29 @@ def score_batch(column: list[bytes], model: GruModel, vocabulary: Vocabulary, n_
     documents, rest, base, table_tokens, tail = [], [], [], [], []
     for text in column:
         words = [*space_words(text), END]
-        at = np.array([vocabulary.index.get(w, -1) for w in words])
-        ids = vocabulary.ids[at]
+        at = np.fromiter(map(vocabulary.index.get, words, repeat(-1)), np.int32, len(words))
+        ids, logs = vocabulary.ids[at], vocabulary.log_c1[at]
         out = np.flatnonzero(at < 0).tolist()
         beyond = [words[i] for i in out]
-        ids[out] = [HEAD + tail_class(w) for w in beyond]
-        logs = vocabulary.log_c1[at]
-        logs[out] = 0
+        if out:
+            ids[out], logs[out] = [HEAD + tail_class(w) for w in beyond], 0
         documents.append(ids)
         base.append(float(logs.sum()))
         table_tokens.append(len(words) - len(out))
         # The members of tail classes: log10((c + 1) / mass); beyond the table the join adds log10(c + 1).
         in_tail = ids >= HEAD
-        tail.append(float((logs * in_tail).sum() - vocabulary.log_tail[ids[in_tail] - HEAD].sum()))
+        tail.append(float(logs[in_tail].sum() - vocabulary.log_tail[ids[in_tail] - HEAD].sum()))
         rest.append(list(Counter(beyond).items()))
-    score = np.array(tail)
-    tokens, keep, doc = stream(documents, lanes_of(documents, n_lanes))
-    active = (tokens >= 0).sum(axis=1)
-    h = np.zeros((tokens.shape[1], HIDDEN), np.float32)
-    for at in range(0, len(tokens), window):
-        seen, ids, owner = [], [], []
-        for t in range(at, min(at + window, len(tokens))):
-            n = int(active[t])  # the longest lanes come first
-            h = h[:n] * keep[t, :n, None]
+    score, lanes, inputs = np.array(tail), Lanes(documents, n_lanes), model.inputs()
+    h = np.zeros((n_lanes, HIDDEN), np.float32)
+    for first in range(0, len(lanes.bounds) - 1, window):
+        bounds, seen = lanes.bounds[first : first + window + 1].tolist(), []
+        for lo, hi in zip(bounds, bounds[1:]):
+            h = h[: hi - lo] * lanes.keep[lo:hi, None]
             seen.append(h)
-            ids.append(tokens[t, :n])
-            owner.append(doc[t, :n])
-            h, _ = model.step(h, tokens[t, :n])
-        score += np.bincount(np.concatenate(owner), model.log_probs(np.concatenate(seen), np.concatenate(ids)), len(column))
+            h, _ = model.step(h, inputs[lanes.tokens[lo:hi]])
+        ids = lanes.tokens[bounds[0] : bounds[-1]]
+        score += np.bincount(lanes.doc[bounds[0] : bounds[-1]], model.log_probs(np.concatenate(seen), ids), len(column))
     return list(zip(map(len, documents), table_tokens, base, score.tolist(), rest, strict=True))
 
 
@@ -417,7 +443,7 @@ def score_documents(
         at = TaskContext.get().partitionId() << 33
         for b in batches:
             column = texts(b.column(1))
-            for lo, hi in slices(column, 3 << 20):
+            for lo, hi in slices(column, 24 << 20):
                 n, n_table, base, total, rest = zip(*score_batch(column[lo:hi], model, vocabulary), strict=True)
                 rest = pa.array([[{"word": w, "n": k} for w, k in r] for r in rest], rest_type)
                 numbers = [pa.array(c, t) for c, t in ((n, pa.int64()), (n_table, pa.int64()), (base, pa.float64()), (total, pa.float64()))]
