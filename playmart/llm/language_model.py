@@ -154,9 +154,9 @@ class GruModel:
         """log10 of the class probability, times the member's within a head class."""
         head = ids < HEAD
         cls = np.where(head, ids // MEMBERS, ids - HEAD + CLASSES)
-        out = _log_softmax_at(h @ self.classes + self.class_bias, cls).astype(float)
+        out = _log_softmax_at(h, self.classes, self.class_bias, cls).astype(float)
         for c, rows in _groups(np.flatnonzero(head), cls):
-            out[rows] += _log_softmax_at(h[rows] @ self.members[c] + self.member_bias[c], ids[rows] % MEMBERS)
+            out[rows] += _log_softmax_at(h[rows], self.members[c], self.member_bias[c], ids[rows] % MEMBERS)
         return out / math.log(10)
 
     def gradients(self, h0: np.ndarray, tokens: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -215,9 +215,20 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return np.reciprocal(x, out=x)
 
 
-def _log_softmax_at(z: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Natural log of each row's softmax at one column; ``z`` is overwritten."""
-    z -= z.max(axis=1, keepdims=True)
+def _log_softmax_at(h: np.ndarray, w: np.ndarray, b: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Natural log of the softmax of h @ w + b at one column a row.
+
+    States are within -1 and 1, so no row exceeds ``most``; where exp can't underflow below it
+    either, one constant does instead of each row's maximum.
+    """
+    reach = np.abs(w).sum(axis=0)
+    most, least = float((b + reach).max()), float((b - reach).max())
+    z = h @ w
+    if most - least < 60:
+        z += b - np.float32(most)
+    else:
+        z += b
+        z -= z.max(axis=1, keepdims=True)
     chosen = z[np.arange(len(z)), at]
     np.exp(z, out=z)
     return chosen - np.log(z @ np.ones(z.shape[1], z.dtype))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from . import licenses
 from .decontaminate import op3_decontaminate
 from .fingerprints import op7_fingerprints
 from .language_id import op2_language_id
@@ -25,4 +26,38 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_packing": op10_packing,
 }
-ORACLE: dict[str, str] = {}
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+_TEMPLATES = ", ".join(f"({k}, '{label}', string_split('{text}', ' '))" for k, (label, text) in enumerate(licenses.TEMPLATES))
+_PHRASES = ", ".join(f"('{label}', string_split('{phrase}', ' '))" for phrase, label in licenses.PHRASES.items())
+
+ORACLE: dict[str, str] = {
+    "op3_decontaminate": f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
+grams AS (SELECT DISTINCT item, w[i:i + 9] AS g FROM (SELECT item, w, unnest(range(1, greatest(2, len(w) - 8))) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT len(g) AS n FROM grams),
+spots AS (SELECT r, n, i, w[i:i + n - 1] AS g FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n)),
+hit AS (SELECT r, i, n, item FROM spots JOIN grams USING (g)),
+hits AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hit) GROUP BY r),
+found AS (SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hit GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits USING (r) LEFT JOIN found USING (r)""",
+    "op6_licenses": f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+phrases(label, p) AS (VALUES {_PHRASES}),
+templates(k, label, t) AS (VALUES {_TEMPLATES}),
+places AS (SELECT r, label, i FROM (SELECT r, w, label, p, unnest(range(0, len(w))) AS i FROM d, phrases) WHERE w[i + 1:i + len(p)] = p),
+base AS (SELECT r, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word FROM places GROUP BY r),
+blocks AS (SELECT r, w[s + 1:s + 64] AS part FROM (SELECT r, w, unnest(range(0, greatest(1, len(w) - 32), 32)) AS s FROM d)),
+met AS (SELECT r, label, len(list_intersect(list_distinct(t), part)) / len(list_distinct(t)) AS c FROM blocks, templates),
+own AS (SELECT r, label, c FROM met WHERE c >= 0.85 - 1e-9),
+tags AS (SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM places GROUP BY r),
+every AS (SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+          FROM (SELECT r, label FROM places UNION ALL SELECT r, label FROM own) GROUP BY r),
+best AS (SELECT r, max(c) AS c FROM own GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(c, 0.0)::DOUBLE END AS score
+FROM d LEFT JOIN base USING (r) LEFT JOIN tags USING (r) LEFT JOIN every USING (r) LEFT JOIN best USING (r)""",
+}
