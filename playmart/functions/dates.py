@@ -15,16 +15,10 @@ DAY_FORMAT = "yyyyMMdd"
 EPOCH_DAY = "19700101"
 EPOCH_DATE = "1970-01-01"
 
-# Free-form date texts accepted by ``post_date`` (tried in order).
-POST_DATE_FORMATS = (
-    "MMM d, yyyy h:mm:ss a",
-    "MMM d, yyyy",
-    "d MMM yyyy HH:mm:ss",
-    "yyyy/M/d H:mm:ss",
-    "yyyy/M/d",
-    "M/d/yyyy H:mm:ss",
-    "M/d/yyyy",
-)
+# Names that free-form date texts may hold, and US zones with their hours from UTC.
+MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
+WEEKDAYS = ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday")
+ZONES = {"gmt": 0, "ut": 0, "utc": 0, "est": -5, "edt": -4, "cst": -6, "cdt": -5, "mst": -7, "mdt": -6, "pst": -8, "pdt": -7}
 
 
 def _col(c) -> Column:
@@ -51,21 +45,66 @@ def date_minus(s, n: int) -> Column:
     return F.coalesce(F.date_format(F.date_sub(parsed, n), DAY_FORMAT), F.lit(EPOCH_DAY))
 
 
-def _parse_any(s: Column, formats) -> Column:
-    return F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in formats])
+def _named(word: Column, names, least: int = 3) -> Column:
+    """1-based place of the name that ``word`` abbreviates (``least`` letters or more), else 0."""
+    hit = F.array(*[F.lit(n).startswith(word) for n in names])
+    return F.when(F.length(word) >= least, F.array_position(hit, True)).otherwise(F.lit(0)).cast("int")
 
 
-def post_date(s, formats=POST_DATE_FORMATS, default: str = EPOCH_DATE) -> Column:
-    """Free-form date text -> ``yyyy-MM-dd``; unknown form / NULL -> default.
+def free_date(s, century_start: int | None = None) -> Column:
+    """Free-form date text -> DATE, NULL for any other text.
 
-    ISO ``2019-01-01`` is deliberately not in the accepted set.
+    Month, day and year as ``Aug 13 2019``, ``13 August 2019``, ``8/13/19`` or
+    ``2019/8/13``; commas, a weekday, a time (with AM or PM) and a zone may be
+    among them. A time in another zone counts in UTC. Two-digit years are
+    within 100 years of ``century_start`` (default: 80 years ago). A day past the
+    month's end runs on into the next month. ISO ``2019-01-01`` is not accepted.
     """
-    return F.coalesce(F.date_format(_parse_any(_col(s), formats), "yyyy-MM-dd"), F.lit(default))
-
-
-def date_text(s, formats=POST_DATE_FORMATS) -> Column:
+    start = _dt.date.today().year - 80 if century_start is None else century_start
+    days = "|".join(sorted({w[:k] for w in WEEKDAYS for k in range(3, len(w) + 1)}, key=len, reverse=True))
+    zone = rf"(?<![a-z])({'|'.join(sorted(ZONES, key=len, reverse=True))})(?![a-z])"
+    time = r"(\d{1,2}):(\d{1,2})(?::(\d{1,2}))?\s*(am|pm)?(?![a-z0-9:])"
+    forms = {  # pattern -> groups of year, month, day
+        r"^([a-z]{3,9})\.? (\d{1,2}) (\d{4}|\d{2})$": (3, 1, 2),
+        r"^(\d{1,2}) ([a-z]{3,9})\.? (\d{4}|\d{2})$": (3, 2, 1),
+        r"^(\d{1,2})/(\d{1,2})/(\d{4}|\d{2})$": (3, 1, 2),
+        r"^(\d{4})/(\d{1,2})/(\d{1,2})$": (1, 2, 3),
+    }
+
+    def split(text):
+        """Hours from UTC of the time's zone, and what is left without weekday, time, zone and commas."""
+        part = lambda i: F.coalesce(F.nullif(F.regexp_extract(text, time, i), F.lit("")).try_cast("int"), F.lit(0))
+        half = F.regexp_extract(text, time, 4)
+        hour = F.when(half == "", part(1)).otherwise(part(1) % 12 + F.when(half == "pm", 12).otherwise(0))
+        offset = F.coalesce(F.get(F.array(*map(F.lit, ZONES.values())), F.array_position(F.array(*map(F.lit, ZONES)), F.regexp_extract(text, zone, 1)).cast("int") - 1), F.lit(0))
+        rest = F.regexp_replace(F.regexp_replace(text, time, " "), rf"(?<![a-z])(?:{days})(?![a-z])\.?", " ")
+        rest = F.trim(F.regexp_replace(F.regexp_replace(rest, zone, " "), r"[\s,]+", " "))
+        which = [F.when(F.regexp_like(rest, F.lit(p)), F.struct(*[F.regexp_extract(rest, p, g).alias(n) for g, n in zip(gs, "ymd")])) for p, gs in forms.items()]
+        # Whole days by which the time in UTC is after (or before) the written day.
+        moved = F.floor((hour * 60 + part(2) - offset * 60) / 1440).cast("int")
+        return F.struct(F.coalesce(*which).alias("of"), moved.alias("moved"))
+
+    def date(found):
+        y, m = found["of"]["y"], found["of"]["m"]
+        near = F.lit(start // 100 * 100) + y.try_cast("int")
+        year = F.when(F.length(y) > 2, y.try_cast("int")).otherwise(F.when(near < start, near + 100).otherwise(near))
+        month = F.when(F.regexp_like(m, F.lit("^[a-z]")), _named(m, MONTHS)).otherwise(m.try_cast("int"))
+        first = F.try_to_date(F.format_string("%04d-%02d-01", year, month), "yyyy-MM-dd")
+        return F.date_add(first, found["of"]["d"].try_cast("int") - 1 + found["moved"])
+
+    # Each step's value is bound once (transform over one element) instead of being pasted into the next.
+    text = F.lower(F.regexp_replace(_col(s), r"\([^()]*\)", " "))
+    return F.get(F.transform(F.transform(F.array(text), split), date), 0)
+
+
+def post_date(s, default: str = EPOCH_DATE, century_start: int | None = None) -> Column:
+    """Free-form date text (see ``free_date``) -> ``yyyy-MM-dd``; unknown form / NULL -> default."""
+    return F.coalesce(F.date_format(free_date(s, century_start), "yyyy-MM-dd"), F.lit(default))
+
+
+def date_text(s, century_start: int | None = None) -> Column:
     """As ``post_date`` but failures give ""."""
-    return post_date(s, formats, default="")
+    return post_date(s, "", century_start)
 
 
 def login_date(s) -> Column:

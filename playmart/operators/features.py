@@ -103,7 +103,7 @@ def rolling_features(
         ]
     for w in peaks:
         out.append(F.coalesce(F.col(f"_peak{w}"), F.lit(0).cast("long")).alias(f"top{w}day"))
-    return folded.where(F.col("_k").isNotNull()).select(*out)
+    return folded.select(*out)
 
 
 def window_counts(
@@ -161,12 +161,6 @@ def feature_wide(history: DataFrame, features: DataFrame, key: str, attrs: list[
     """Every distinct (key, attributes) of the history with its features.
 
     Equals ``SELECT DISTINCT h.key, h.attrs..., f.* FROM history h LEFT JOIN
-    features f`` because features hold one row per key. The attribute
-    variants are collected per key (deduplicated map-side, one shuffle keyed by
-    the join key, so the join needs no second exchange of the song list) and
-    exploded after the join; a key has only a handful of variants.
+    features f`` because features hold one row per key; duplicates go before the join.
     """
-    variants = history.groupBy(key).agg(F.collect_set(F.struct(*attrs)).alias("_variants"))
-    joined = variants.join(features, on=key, how="left")
-    rest = [c for c in joined.columns if c not in (key, "_variants")]
-    return joined.select(key, F.inline("_variants"), *rest)
+    return history.select(key, *attrs).distinct().join(features, on=key, how="left")

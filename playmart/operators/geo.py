@@ -4,15 +4,15 @@ The original asks a web reverse-geocoder once per machine row. Here the
 lookup is a join against a table of places (street numbers with their
 province, city, township, street, number and coordinates):
 
-* every place is keyed by a grid cell whose side is at least 1/k of the
-  search radius (in degrees, valid up to ``max_abs_lat``), so any place
-  within the radius of a point lies within k cells of the point's cell;
-* each point is exploded to those (2k+1)^2 cells and equi-joined on the cell
-  key. k = 2 probes 6.25 r^2 instead of 9 r^2 for k = 1, so fewer candidate
-  pairs reach the distance filter;
-  the optimizer decides broadcast vs shuffle by size, AQE splits hot cells;
+* every coordinate is a point on a sphere, and space is cut into cubes whose
+  side is the chord of the search radius, so a place within the radius lies in
+  the point's cube or one of its neighbours, at any latitude and on either side
+  of the 180th meridian;
+* each distinct coordinate is exploded to those cubes and equi-joined on the
+  cube; the optimizer decides broadcast vs shuffle by size, AQE splits hot cubes;
 * haversine distance, keep places within the radius, ``min_by`` on
-  (distance, place id) picks the nearest deterministically.
+  (distance, place id) picks the nearest deterministically;
+* the result is joined back to the location rows, one output row each.
 
 ``flatten_geo`` turns a reverse-geocoder JSON response into the same columns.
 """
@@ -25,11 +25,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EARTH_RADIUS_M = 6_371_008.8
-M_PER_DEG = EARTH_RADIUS_M * math.pi / 180.0
 
 # Compass names for 8 sectors starting at north, clockwise.
 DIRECTIONS = ("北", "东北", "东", "东南", "南", "西南", "西", "西北")
 
+# The column names of the location table.
 LOCATION_COLS = ("mid", "addressDetail", "province", "city", "township", "street", "number", "xy", "direction", "distance")
 
 GEO_SCHEMA = (
@@ -53,7 +53,7 @@ def haversine_m(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Colum
     dlat = _rad(lat2 - lat1)
     dlng = _rad(lng2 - lng1)
     a = F.pow(F.sin(dlat / 2), 2) + F.cos(p1) * F.cos(p2) * F.pow(F.sin(dlng / 2), 2)
-    return F.lit(2 * EARTH_RADIUS_M) * F.asin(F.sqrt(a))
+    return F.lit(2 * EARTH_RADIUS_M) * F.asin(F.sqrt(F.least(F.greatest(a, F.lit(0.0)), F.lit(1.0))))
 
 
 def direction(from_lat: Column, from_lng: Column, to_lat: Column, to_lng: Column) -> Column:
@@ -65,50 +65,43 @@ def direction(from_lat: Column, from_lng: Column, to_lat: Column, to_lng: Column
     return F.element_at(F.array(*[F.lit(d) for d in DIRECTIONS]), sector + 1)
 
 
-def cell_size_deg(radius_m: float, max_abs_lat: float = 60.0) -> float:
-    """Grid side in degrees so that ``radius_m`` spans at most one cell in
-    both latitude and longitude for |lat| <= max_abs_lat."""
-    return radius_m / (M_PER_DEG * math.cos(math.radians(max_abs_lat)))
+def _cube(lat: Column, lng: Column, side_m: float) -> list[Column]:
+    """Integer coordinates of the cube that holds a point of the sphere."""
+    scale = F.lit(EARTH_RADIUS_M / side_m)
+    x = F.cos(_rad(lat)) * F.cos(_rad(lng))
+    y = F.cos(_rad(lat)) * F.sin(_rad(lng))
+    return [F.floor(c * scale) for c in (x, y, F.sin(_rad(lat)))]
 
 
 def nearest_place(
     points: DataFrame,
     places: DataFrame,
     radius_m: float = 1_000.0,
-    max_abs_lat: float = 60.0,
     keep_unmatched: bool = True,
-    cells_per_radius: int = 2,
     id_col: str = "mid",
     x_col: str = "x",
     y_col: str = "y",
     place_id: str = "place_id",
 ) -> DataFrame:
-    """Nearest place within ``radius_m`` of each point (x = latitude,
-    y = longitude, as texts; empty texts are skipped).
+    """Nearest place within ``radius_m`` of each location row (x = latitude,
+    y = longitude, as texts; rows with an empty text are skipped).
 
-    Output columns LOCATION_COLS; ``distance`` in meters (3 decimals).
+    One output row per location row, so a machine with several rows keeps all
+    of them. Output columns LOCATION_COLS; ``distance`` in meters (3 decimals).
     ``keep_unmatched`` adds the original's failure row (0, "", ..., "") for
-    every point with no place in range.
+    every row with no place in range or without valid coordinates.
     """
-    k = max(1, int(cells_per_radius))
-    cell = cell_size_deg(radius_m, max_abs_lat) / k
-    pts = (
-        points.where((F.col(x_col) != "") & (F.col(y_col) != ""))
-        .select(
-            F.col(id_col).alias("_mid"),
-            F.col(x_col).try_cast("double").alias("_lat"),
-            F.col(y_col).try_cast("double").alias("_lng"),
-        )
-    )
-    ring = range(-k, k + 1)
-    offsets = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx in ring for dy in ring])
-    probe = pts.where(F.col("_lat").isNotNull() & F.col("_lng").isNotNull()).select(
-        "*", F.inline(offsets)
-    ).select(
-        "_mid", "_lat", "_lng",
-        (F.floor(F.col("_lng") / cell) + F.col("dx")).alias("_gx"),
-        (F.floor(F.col("_lat") / cell) + F.col("dy")).alias("_gy"),
+    # A little wider than the chord, so rounding can't put a place two cubes away.
+    side = 2 * EARTH_RADIUS_M * math.sin(min(radius_m / (2 * EARTH_RADIUS_M), math.pi / 2)) * 1.000001 + 1e-6
+    coord = lambda c: F.when(F.isnan(c.try_cast("double")), None).otherwise(c.try_cast("double"))
+    rows = points.where((F.col(x_col) != "") & (F.col(y_col) != "")).select(
+        F.col(id_col).alias("_mid"), coord(F.col(x_col)).alias("_lat"), coord(F.col(y_col)).alias("_lng")
     )
+    at = rows.select("_lat", "_lng").where(F.abs("_lat") <= 1e6).where(F.abs("_lng") <= 1e6).distinct()
+    ring = (-1, 0, 1)
+    shifts = F.array(*[F.struct(F.lit(a).alias("dx"), F.lit(b).alias("dy"), F.lit(c).alias("dz")) for a in ring for b in ring for c in ring])
+    probe = at.select("*", *[c.alias(n) for c, n in zip(_cube(F.col("_lat"), F.col("_lng"), side), "xyz")], F.inline(shifts))
+    probe = probe.select("_lat", "_lng", *[(F.col(n) + F.col(f"d{n}")).alias(f"_c{n}") for n in "xyz"])
     loc = (
         F.col("location")
         if "location" in places.columns
@@ -120,8 +113,9 @@ def nearest_place(
         F.col("lng").alias("_plng"),
         loc.alias("_ploc"),
         "formatted_address", "province", "city", "township", "street", "number",
-    ).withColumn("_gx", F.floor(F.col("_plng") / cell)).withColumn("_gy", F.floor(F.col("_plat") / cell))
-    cand = probe.join(pl, ["_gx", "_gy"], "inner").withColumn(
+        *[c.alias(f"_c{n}") for c, n in zip(_cube(F.col("lat"), F.col("lng"), side), "xyz")],
+    )
+    cand = probe.join(pl, ["_cx", "_cy", "_cz"], "inner").withColumn(
         "_dist", haversine_m(F.col("_lat"), F.col("_lng"), F.col("_plat"), F.col("_plng"))
     ).where(F.col("_dist") <= F.lit(radius_m))
     info = F.struct(
@@ -129,18 +123,15 @@ def nearest_place(
         "province", "city", "township", "street", "number",
         F.col("_ploc").alias("xy"),
         direction(F.col("_plat"), F.col("_plng"), F.col("_lat"), F.col("_lng")).alias("direction"),
-        F.round(F.col("_dist"), 3).alias("distance"),
+        F.round(F.col("_dist"), 3).cast("string").alias("distance"),
     )
-    best = cand.groupBy("_mid").agg(F.min_by(info, F.struct("_dist", "_pid")).alias("_b"))
-    found = best.select(F.col("_mid").alias("mid"), "_b.*")
+    best = cand.groupBy("_lat", "_lng").agg(F.min_by(info, F.struct("_dist", "_pid")).alias("_b"))
+    joined = rows.join(best, ["_lat", "_lng"], "left")
+    ok = F.col("_b").isNotNull()
     if not keep_unmatched:
-        return found
-    missing = pts.join(best, "_mid", "left_anti").select(
-        F.lit(0).cast(points.schema[id_col].dataType).alias("mid"),
-        *[F.lit("").alias(c) for c in LOCATION_COLS[1:-1]],
-        F.lit(None).cast("double").alias("distance"),
-    )
-    return found.unionByName(missing)
+        joined = joined.where(ok)
+    mid = F.when(ok, F.col("_mid")).otherwise(F.lit(0).cast(points.schema[id_col].dataType)).alias("mid")
+    return joined.select(mid, *[F.when(ok, F.col("_b")[c]).otherwise(F.lit("")).alias(c) for c in LOCATION_COLS[1:]])
 
 
 def flatten_geo(df: DataFrame, json_col: str = "response", id_col: str = "mid", keep_failed: bool = True) -> DataFrame:

@@ -1,21 +1,24 @@
 """Ranking, unpivot and rolling windows.
 
 ``rank_rows`` is ``row_number() OVER (PARTITION BY p ORDER BY o)`` that does
-not funnel a partition into one task. Rows are range-partitioned on
-(p, o, tie-break) and sorted inside each range, so every task sorts a slice;
-a small table of per-(task, group) row counts gives each slice its starting
-offset. That table has at most ``n_ranges + n_groups`` rows: it is broadcast
-when the group count is bounded by construction (no partition columns, or a
-caller-declared bound), otherwise joined by a regular shuffle on (task, group).
+not funnel a partition into one task. A few cut points on the sort key are
+computed once and put into the plan as literals; the range a row falls into is
+then a pure function of the row, so any cut points give the right ranks, however
+often the plan is evaluated and whether or not exchanges are reused. Rows are
+numbered inside (partition, range) and the row counts of the ranges before give
+the starting offset. The offsets have at most ``ranges + 2 * groups`` rows.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Above this many (task, group) rows the offsets are not broadcast.
-BROADCAST_OFFSET_ROWS = 1_000_000
+# One range holds about this many rows, and the cut points come from about this many keys a range.
+ROWS_PER_RANGE = 2_000_000
+KEYS_PER_RANGE = 100
 
 
 def _sort_exprs(cols, descending: bool) -> list[Column]:
@@ -26,17 +29,32 @@ def _sort_exprs(cols, descending: bool) -> list[Column]:
     return out
 
 
-def range_slices(df: DataFrame, keys: list[Column], n: int) -> DataFrame:
-    """Range-partition on the full sort key and sort each range; adds the
-    range id ``_pid`` and a position ``_idx`` increasing within each range.
-    With a tie-break in the key, equal order values (even a third of all rows
-    sharing one value, or NULL) are spread over ranges instead of one task."""
-    return (
-        df.repartitionByRange(n, *keys)
-        .sortWithinPartitions(*keys)
-        .withColumn("_pid", F.spark_partition_id())
-        .withColumn("_idx", F.monotonically_increasing_id())
-    )
+def cut_points(df: DataFrame, key_cols: list[str], ranges: int, n_rows: int) -> list[tuple]:
+    """At most ``ranges - 1`` distinct keys in ascending order (NULLs first) that
+    split the rows about evenly; read from about KEYS_PER_RANGE keys a range."""
+    if ranges <= 1 or not n_rows:
+        return []
+    keys = df.select(*key_cols)
+    some = keys.sample(fraction=min(1.0, KEYS_PER_RANGE * ranges / n_rows), seed=1)
+    rows = [tuple(r) for r in some.distinct().orderBy(*_sort_exprs(key_cols, False)).collect()]
+    at = sorted({i * len(rows) // ranges for i in range(1, ranges)})
+    return [rows[i] for i in at if 0 < i < len(rows)]
+
+
+def range_number(df: DataFrame, key_cols: list[str], cuts: list[tuple]) -> Column:
+    """How many cut points are at most the row's key, by about 2 * sqrt(cuts) comparisons."""
+    if not cuts:
+        return F.lit(0)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    lit = lambda cut: F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(key_cols, cut)])
+    key = F.struct(*[F.col(c) for c in key_cols])
+    width = math.isqrt(len(cuts)) + 1
+    chunks = [cuts[i : i + width] for i in range(0, len(cuts), width)]
+    # Chunks that start at or below the key; the last of them is the one to look into.
+    started = F.size(F.filter(F.array(*[lit(c[0]) for c in chunks]), lambda c: c <= key))
+    inside = F.get(F.array(*[F.array(*[lit(c) for c in chunk]) for chunk in chunks]), started - 1)
+    below = F.size(F.filter(inside, lambda c: c <= key))
+    return F.when(started == 0, F.lit(0)).otherwise((started - 1) * width + below)
 
 
 def rank_rows(
@@ -46,43 +64,40 @@ def rank_rows(
     tie_break: list[str] | tuple = (),
     out: str = "rank",
     descending: bool = False,
-    groups_bound: int | None = None,
     num_ranges: int | None = None,
 ) -> DataFrame:
     """Dense 1..n row numbers per partition, ascending with NULLs first
-    (``descending=True``: descending, NULLs last). ``tie_break`` columns make
-    the order total, so the result is deterministic and equals the plain
-    window function with the same ORDER BY.
-
-    ``num_ranges`` (default: ``spark.sql.shuffle.partitions``) is kept exactly:
-    the range exchange is user-numbered so AQE never re-splits it, and both
-    readers of the reused exchange see the same ranges. Size it to the input
-    (about one range per few million rows).
+    (``descending=True``: descending, NULLs last). ``tie_break`` columns must
+    make the order total; the result then equals the plain window function with
+    the same ORDER BY. Rows whose whole sort key is equal share a range, and
+    their order among themselves is open, as in the plain window.
+
+    ``num_ranges`` (default: one per ROWS_PER_RANGE rows) changes the
+    parallelism only, never the result.
     """
-    spark = df.sparkSession
-    partition_by = list(partition_by)
-    n = num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = _sort_exprs(partition_by, False) + _sort_exprs(list(order_by) + list(tie_break), descending)
-    ranged = range_slices(df, keys, n)
-    slices = ranged.groupBy("_pid", *partition_by).agg(
-        F.count(F.lit(1)).alias("_cnt"), F.min("_idx").alias("_first")
-    )
-    before = Window.partitionBy(*partition_by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = slices.select(
-        "_pid",
+    partition_by, sort_cols = list(partition_by), list(dict.fromkeys([*order_by, *tie_break]))
+    n_rows = df.count()
+    ranges = num_ranges or -(-n_rows // ROWS_PER_RANGE)
+    key_cols = list(dict.fromkeys([*partition_by, *sort_cols]))
+    cuts = cut_points(df, key_cols, ranges, n_rows)
+    if not cuts:
+        return rank_rows_window(df, order_by, partition_by, tie_break, out, descending)
+    ranged = df.withColumn("_range", range_number(df, key_cols, cuts))
+    order = _sort_exprs(list(order_by) + list(tie_break), descending)
+    numbered = ranged.withColumn("_n", F.row_number().over(Window.partitionBy(*partition_by, "_range").orderBy(*order)))
+    counts = ranged.groupBy(*partition_by, "_range").agg(F.count(F.lit(1)).alias("_cnt"))
+    by_range = F.col("_range").desc() if descending else F.col("_range").asc()
+    before = Window.partitionBy(*partition_by).orderBy(by_range).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(
         *[F.col(c).alias(f"_g_{c}") for c in partition_by],
-        "_first",
+        F.col("_range").alias("_r"),
         F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_offset"),
     )
-    bounded = not partition_by or (groups_bound is not None and groups_bound + n <= BROADCAST_OFFSET_ROWS)
-    if bounded:
-        offsets = F.broadcast(offsets)
-    cond = ranged["_pid"] == offsets["_pid"]
+    cond = F.col("_range") == F.col("_r")
     for c in partition_by:
-        cond = cond & ranged[c].eqNullSafe(offsets[f"_g_{c}"])
-    joined = ranged.join(offsets, cond, "inner")
-    rn = (F.col("_offset") + (F.col("_idx") - F.col("_first")) + 1).cast("int")
-    return joined.select(*[ranged[c] for c in df.columns], rn.alias(out))
+        cond = cond & numbered[c].eqNullSafe(offsets[f"_g_{c}"])
+    joined = numbered.join(offsets, cond)
+    return joined.select(*[numbered[c] for c in df.columns], (F.col("_offset") + F.col("_n")).cast("int").alias(out))
 
 
 def rank_rows_window(

@@ -84,11 +84,14 @@ def semi_join(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
     return df.join(other.select(key).where(F.col(key).isNotNull()), on=key, how="left_semi")
 
 
-def map_source(df: DataFrame, schema: T.StructType, renames: dict | None = None, constants: dict | None = None) -> DataFrame:
+def map_source(
+    df: DataFrame, schema: T.StructType, renames: dict | None = None, constants: dict | None = None, optional=None
+) -> DataFrame:
     """Map one source onto a target schema BY NAME.
 
     ``renames``: target -> source column; ``constants``: target -> literal.
-    Columns neither present, renamed nor constant become typed NULLs.
+    A column that is neither present, renamed nor constant becomes a typed NULL;
+    with ``optional`` (a collection of names) it must be one of these, else it is an error.
     """
     renames = renames or {}
     constants = constants or {}
@@ -100,6 +103,8 @@ def map_source(df: DataFrame, schema: T.StructType, renames: dict | None = None,
             cols.append(F.col(renames[f.name]).cast(f.dataType).alias(f.name))
         elif f.name in df.columns:
             cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
+        elif optional is not None and f.name not in optional:
+            raise ValueError(f"column {f.name} missing; have {df.columns}")
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
     return df.select(*cols)

@@ -21,7 +21,7 @@ number of machines, not by the number of orders.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from playmart.functions.scoring import share
@@ -32,6 +32,7 @@ RATE = "decimal(10,2)"
 PAYMENT, REFUND = 1, 2
 GROUP_KEYS = ("mid", "pkg_id", "m_type")
 RATE_COLS = ("com_rate", "par_rate", "inv_rate", "age_rate")
+# Share column per rate column.
 SHARE_NAMES = {"com_rate": "company", "par_rate": "partner", "inv_rate": "investor", "age_rate": "operator"}
 
 
@@ -90,6 +91,61 @@ def refund_groups(orders: DataFrame, keys=GROUP_KEYS) -> DataFrame:
     )
 
 
+def group_table(orders: DataFrame, keys=GROUP_KEYS) -> DataFrame:
+    """Order rows, payments and refunds per group in one pass over the orders.
+
+    Columns: ``n_od`` (all order rows), ``n_pay`` and ``n_ref`` (payment rows; refund
+    rows whose order id also has a payment), and the columns of ``revenue_groups`` and
+    ``refund_groups``, NULL where the group has no such row. Rows meet by order id
+    once, which flags the paid ids; a NULL id matches nothing, so these rows are
+    spread by their other columns. Whatever follows works on per-user and per-group rows.
+    """
+    keys = list(keys)
+    pay, refund = F.col("order_type") == PAYMENT, F.col("order_type") == REFUND
+    alone = F.concat(F.lit("\u0000"), F.xxhash64(*keys, "uid").cast("string"))
+    rows = orders.select(*keys, "uid", "order_id", "order_type", _amount().alias("_amt"),
+                         F.coalesce(F.col("order_id").cast("string"), alone).alias("_o")).repartition("_o")
+    lines = rows.groupBy("_o", "order_id", *keys, "uid").agg(
+        F.count(F.lit(1)).alias("n_od"),
+        F.count_if(pay).alias("n_pay"),
+        F.sum(F.when(pay, F.col("_amt"))).alias("_pay"),
+        F.count_if(refund).alias("n_ref"),
+        F.sum(F.when(refund, F.col("_amt"))).alias("_ref"),
+    )
+    paid = F.max(F.col("n_pay") > 0).over(Window.partitionBy("_o")) & F.col("order_id").isNotNull()
+    lines = lines.withColumn("_paid", paid)
+    ids = F.when(F.col("order_id").isNotNull(), F.col("n_pay")).otherwise(0)
+    per_user = lines.groupBy(*keys, "uid").agg(
+        F.sum("n_od").alias("n_od"),
+        F.sum("n_pay").alias("n_pay"),
+        F.sum(ids).alias("_ids"),
+        F.sum("_pay").alias("_pay"),
+        F.sum(F.when(F.col("_paid"), F.col("n_ref")).otherwise(0)).alias("n_ref"),
+        F.sum(F.when(F.col("_paid"), F.col("_ref"))).alias("_ref"),
+    )
+    known = F.col("uid").isNotNull()
+    out = per_user.groupBy(*keys).agg(
+        F.sum("n_od").alias("n_od"),
+        F.sum("n_pay").alias("n_pay"),
+        F.count_if(known & (F.col("n_pay") > 0)).alias("_users"),
+        F.sum("_ids").alias("_ids"),
+        F.sum("_pay").cast(MONEY).alias("total_revenue"),
+        F.sum("n_ref").alias("n_ref"),
+        F.count_if(known & (F.col("n_ref") > 0)).alias("_rusers"),
+        F.sum("_ref").cast(MONEY).alias("total_refund"),
+    )
+    has_pay, has_ref = F.col("n_pay") > 0, F.col("n_ref") > 0
+    return out.select(
+        *keys, "n_od", "n_pay",
+        F.when(has_pay, F.col("_users")).alias("total_user_cnt"),
+        F.when(has_pay, F.col("_ids")).alias("total_order_cnt"),
+        "total_revenue", "n_ref",
+        F.when(has_ref, F.col("_rusers")).alias("total_user_refund_cnt"),
+        F.when(has_ref, F.col("n_ref")).alias("total_order_refund_cnt"),
+        "total_refund",
+    )
+
+
 def new_users(users: DataFrame, reg_mid: str = "reg_mid") -> DataFrame:
     """Distinct registered users per registration machine."""
     return users.groupBy(F.col(reg_mid).alias("mid")).agg(F.count_distinct("uid").alias("new_user_cnt"))
@@ -130,6 +186,7 @@ def machine_places(mb: DataFrame, ml: DataFrame | None) -> DataFrame:
     )
 
 
+# The dimension columns of the statistics table.
 STAT_DIM_COLS = (
     "machine_name", "store_address", "package_num", "package_name", "pay_switch",
     "sub_scence_cate_name", "sub_scence_name", "brand_name", "sub_brand_name", "adminid",
@@ -152,24 +209,33 @@ def machine_statistics(
     keys = tuple(keys)
     if not set(GROUP_KEYS) <= set(keys):
         raise ValueError("keys must contain mid, pkg_id and m_type; use fanout_weights for the mid-only join")
-    rev = revenue_groups(orders, keys)
-    ref = refund_groups(orders, keys)
     places = machine_places(mb, ml)
     dims = [c for c in STAT_DIM_COLS if c in places.columns]
-    od = orders.select("mid", "p_type", "pkg_id", "m_type", *[k for k in keys if k not in GROUP_KEYS])
-    out = (
-        od.join(rev, list(keys), "left")
-        .join(ref, list(keys), "left")
-        .join(_machine_users(users, orders), "mid", "left")
-        .join(places.select("mid", *dims), "mid", "inner")
+    # All joins happen at the group and machine grain; the order rows are joined once, to the result.
+    grp = group_table(orders, keys).withColumnsRenamed({k: f"_{k}" for k in keys})
+    matched = F.lit(True)
+    for k in keys:  # a NULL key matches no group in the original's join
+        matched = matched & F.col(f"_{k}").isNotNull()
+    totals = ["total_user_cnt", "total_order_cnt", "total_revenue",
+              "total_user_refund_cnt", "total_order_refund_cnt", "total_refund"]
+    grp = grp.select(*[f"_{k}" for k in keys], *[F.when(matched, F.col(c)).alias(c) for c in totals])
+    people = _machine_users(users, orders).withColumnRenamed("mid", "_umid")
+    info = (
+        grp.join(people, grp["_mid"] == people["_umid"], "left")
+        .join(places.select(F.col("mid").alias("_pmid"), *dims), F.col("_mid") == F.col("_pmid"), "inner")
+        .drop("_umid", "_pmid")
     )
-    return out.select(
-        "mid", "p_type", "pkg_id", pay_label("m_type").alias("m_type"), *dims,
-        "total_user_cnt", "total_order_cnt", "total_revenue",
-        "total_user_refund_cnt", "total_order_refund_cnt", "total_refund", "new_user_cnt",
+    od = orders.select("mid", "p_type", "pkg_id", "m_type", *[k for k in keys if k not in GROUP_KEYS])
+    same = F.col("mid") == F.col("_mid")
+    for k in keys:
+        if k != "mid":
+            same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return od.join(info, same).select(
+        "mid", "p_type", "pkg_id", pay_label("m_type").alias("m_type"), *dims, *totals, "new_user_cnt"
     )
 
 
+# The summed columns of the statistics table.
 SUM_COLS = (
     "total_user_cnt", "total_order_cnt", "total_revenue",
     "total_user_refund_cnt", "total_order_refund_cnt", "total_refund", "new_user_cnt",
@@ -186,23 +252,23 @@ def fanout_weights(orders: DataFrame, users: DataFrame, mb: DataFrame, ml: DataF
     Columns: mid, m_type (label), place columns, ``n_rows`` and the SUM_COLS
     holding the column sums over those rows (NULL where all values are NULL).
     """
-    # One pass over the orders gives both the order-row counts and the revenue
-    # groups (a group exists where a payment row exists).
-    grp = order_groups(orders)
-    od = grp.groupBy("mid", "m_type").agg(F.sum("n_od").alias("n_od"))
-    rev = grp.where(F.col("n_pay") > 0).groupBy("mid").agg(
-        F.count(F.lit(1)).alias("n_rev"),
+    # One row per (machine, pay type) with its own groups' sums, then the sums over the
+    # machine's few pay types: no self join, so the orders are read once.
+    own = group_table(orders).groupBy("mid", "m_type").agg(
+        F.sum("n_od").alias("n_od"),
+        F.count_if(F.col("n_pay") > 0).alias("n_rev"),
         F.sum("total_user_cnt").alias("r_users"),
         F.sum("total_order_cnt").alias("r_orders"),
         F.sum("total_revenue").alias("r_revenue"),
-    )
-    ref = refund_groups(orders).groupBy("mid").agg(
-        F.count(F.lit(1)).alias("n_ref"),
+        F.count_if(F.col("n_ref") > 0).alias("n_ref"),
         F.sum("total_user_refund_cnt").alias("f_users"),
         F.sum("total_order_refund_cnt").alias("f_orders"),
         F.sum("total_refund").alias("f_refund"),
     )
-    w = od.join(rev, "mid", "left").join(ref, "mid", "left").join(_machine_users(users, orders), "mid", "left")
+    over = Window.partitionBy("mid")
+    sums = ("n_rev", "r_users", "r_orders", "r_revenue", "n_ref", "f_users", "f_orders", "f_refund")
+    od = own.select("mid", "m_type", "n_od", *[F.sum(c).over(over).alias(c) for c in sums])
+    w = od.join(_machine_users(users, orders), "mid", "left")
     rp = F.greatest(F.coalesce("n_rev", F.lit(0)), F.lit(1))
     fp = F.greatest(F.coalesce("n_ref", F.lit(0)), F.lit(1))
     n = F.col("n_od")

@@ -25,25 +25,22 @@ def rank_by_period(
     tie_break: list[str],
     day_col: str | None = "dt_data",
     descending: bool = False,
-    days_bound: int = 1,
+    num_ranges: int | None = None,
 ) -> DataFrame:
     """Unpivot RSI_1/7/30 into (period, RSI) and number rows per period (and
     day) ascending with NULLs first: one pass instead of three window queries
-    and a union. Groups are periods x days, so the offsets are broadcast."""
+    and a union. ``tie_break`` must identify a row within a period and day."""
     keep = ([day_col] if day_col else []) + id_cols
     long = unpivot(df, keep, RSI_PERIODS, "period", "RSI")
     part = ([day_col] if day_col else []) + ["period"]
-    # Groups are periods x days; inputs hold ``days_bound`` days (one run day).
-    bound = len(RSI_PERIODS) * (days_bound if day_col else 1)
-    return rank_rows(long, ["RSI"], part, tie_break, out="RSI_RANK", descending=descending, groups_bound=bound)
+    return rank_rows(long, ["RSI"], part, tie_break, out="RSI_RANK", descending=descending, num_ranges=num_ranges)
 
 
 def song_rank(features: DataFrame, descending: bool = False) -> DataFrame:
     """tm_song_rsi: period, songid, songname, singer1, singer2, RSI, RSI_RANK (+ dt_data)."""
-    scored = with_rsi(features)
-    ranked = rank_by_period(
-        scored, ["songid", "songname", "singer1", "singer2"], ["songid"], descending=descending
-    )
+    ids = ["songid", "songname", "singer1", "singer2"]
+    # A song whose attributes vary has several rows with one RSI: all id columns break the tie.
+    ranked = rank_by_period(with_rsi(features), ids, ids, descending=descending)
     return ranked.select("period", "songid", "songname", "singer1", "singer2", "RSI", "RSI_RANK", "dt_data")
 
 

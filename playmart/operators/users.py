@@ -10,6 +10,7 @@ from playmart.functions.dates import login_date
 from playmart.operators.ranking import rolling_sum
 from playmart.operators.relational import map_source, union_sources
 
+# The columns of the unified user table.
 USER_SCHEMA = T.StructType(
     [T.StructField(n, T.StringType()) for n in (
         "uid", "reg_mid", "reg_channel", "ref_channelid", "ref_uid", "sex", "birthday", "msisdn",
@@ -28,17 +29,18 @@ CHANNELS = {
 }
 
 
-def channel_users(df: DataFrame, channel: str) -> DataFrame:
-    """Map one channel's registrations onto USER_SCHEMA by name."""
+def channel_users(df: DataFrame, channel: str, optional=None) -> DataFrame:
+    """Map one channel's registrations onto USER_SCHEMA by name. With ``optional``
+    only the columns named there may be absent (see ``map_source``)."""
     spec = CHANNELS[channel]
     renames = {"ref_uid": spec["ref_uid"], **spec.get("renames", {})}
     consts = {"reg_channel": channel, "ref_channelid": spec["id"], **spec["const"]}
-    return map_source(df, USER_SCHEMA, renames, consts)
+    return map_source(df, USER_SCHEMA, renames, consts, optional)
 
 
-def unify_users(sources: dict[str, DataFrame]) -> DataFrame:
+def unify_users(sources: dict[str, DataFrame], optional=None) -> DataFrame:
     """UNION ALL of the channels present in ``sources`` (map-only, no shuffle)."""
-    return union_sources([channel_users(df, ch) for ch, df in sources.items()])
+    return union_sources([channel_users(df, ch, optional) for ch, df in sources.items()])
 
 
 def daily_logins(logins: DataFrame, users: DataFrame, snapshot_day: str | None = None) -> DataFrame:

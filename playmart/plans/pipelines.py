@@ -20,7 +20,7 @@ from playmart.operators import geo, revenue, songs, users
 from playmart.operators.relational import join_dim, non_empty, sentinel_split, union_sources
 from playmart.plans import schemas as S
 from playmart.sources import logs
-from playmart.sources.sinks import export
+from playmart.sources.sinks import export, jdbc_options
 from playmart.sources.tables import DAY_COL, conform, overwrite_table, read_table, table_path, write_day
 
 
@@ -35,6 +35,7 @@ class Job:
     export_options: dict = field(default_factory=dict)
     export_base: str | None = None
     mode: str = "overwrite"  # day writes; "append" = the original's insert into
+    optional: frozenset = frozenset()  # source columns that may be absent (written as NULL); others must exist
 
     def path(self, name: str) -> str:
         return table_path(self.base, name)
@@ -47,18 +48,18 @@ class Job:
         return df if day is None else df.where(F.col(DAY_COL) == F.lit(day))
 
     def write_day(self, df: DataFrame, name: str, schema, mode: str | None = None) -> DataFrame:
-        out = conform(df.withColumn(DAY_COL, F.lit(self.run_date)), schema)
+        out = conform(df.withColumn(DAY_COL, F.lit(self.run_date)), schema, strict=True, optional=self.optional)
         write_day(out, self.path(name), self.run_date, mode=mode or self.mode)
         return self.read_day(name, schema, self.run_date)
 
     def export(self, stored: DataFrame, table: str, mode: str = "append", all_days: bool = False,
                constant_day: str | None = None) -> None:
+        """``stored`` must hold every day for ``all_days`` (``read``, not what ``write_day`` returns)."""
         if not self.export_fmt:
             return
-        opts = dict(self.export_options)
-        target = None
+        opts, target = dict(self.export_options), None
         if self.export_fmt == "jdbc":
-            opts["dbtable"] = table
+            opts = jdbc_options(**{k: v for k, v in opts.items() if k != "dbtable"}, table=table)
         else:
             target = table_path(self.export_base or self.path("export"), table)
         export(stored, target, fmt=self.export_fmt, mode=mode, options=opts,
@@ -68,13 +69,22 @@ class Job:
 # ---------------------------------------------------------------- ODS / DWD
 
 
-def ingest_play_log(job: Job, src: str, routed_out: str | None = None) -> DataFrame:
+def ingest_play_log(job: Job, src: str, routed_out: str | None = None, missing: str = "text") -> DataFrame:
     """L1: log text -> 6-field lines -> per-type outputs; the play event's
-    fields become the day partition of the ODS play table."""
+    fields become the day partition of the ODS play table.
+
+    A missing field is stored as the text ``null``, as the original's tab-joined
+    records have it (so it is one more distinct order or user id);
+    ``missing="null"`` stores a real NULL.
+    """
+    if missing not in ("text", "null"):
+        raise ValueError("missing is 'text' or 'null'")
     routed = logs.route_log(logs.split_log(logs.read_log(job.spark, src)))
     if routed_out:
         logs.write_routed(logs.flatten_payloads(routed), routed_out)
     plays = logs.play_fields(routed.where(F.col("event_type") == logs.PLAY_EVENT))
+    if missing == "text":
+        plays = plays.select(*[text.null_text(F.col(c)).alias(c) for c in plays.columns])
     return job.write_day(plays, "to_client_song_play_operate_req_d", S.PLAY_LOG)
 
 
@@ -90,11 +100,12 @@ def song_base_info(job: Job, second_index: int = 0) -> DataFrame:
         text.singer("singer_info", 2, "name", second_index).alias("singer2"),
         text.singer("singer_info", 2, "id", second_index).alias("singerid2"),
         dates.post_date("post_time").alias("post_time"),
+        *[c for c in S.columns(S.SONG_PASSED).fieldNames() if c in src.columns],
         text.company("authorized_company").alias("authorized_company"),
         "status",
         text.int_list("publish_to").alias("publish_to"),
     )
-    overwrite_table(conform(out, S.SONG_INFO), job.path("tw_song_info_d"))
+    overwrite_table(conform(out, S.SONG_INFO, strict=True, optional=job.optional), job.path("tw_song_info_d"))
     return job.read("tw_song_info_d", S.SONG_INFO)
 
 
@@ -123,7 +134,7 @@ def unify_users(job: Job) -> DataFrame:
         "QQ": job.read("to_user_qqbaseinfo_d"),
         "app": job.read("to_user_appbaseinfo_d"),
     }
-    return job.write_day(users.unify_users(sources), "tw_user_baseinfo_d", S.USER_BASE)
+    return job.write_day(users.unify_users(sources, job.optional), "tw_user_baseinfo_d", S.USER_BASE)
 
 
 # ----------------------------------------------------------------- DWM / DWS
@@ -137,26 +148,19 @@ def song_plays(job: Job) -> DataFrame:
     return job.write_day(j, "tw_song_play_d", S.SONG_PLAY)
 
 
+# The song attributes of the feature table.
 FEATURE_ATTRS = ["songname", "source", "album", "product", "language", "video_format", "duration",
                  "singer1", "singerid1", "singer2", "singerid2"]
 
 
-def _has_day(job: Job, name: str, day: str) -> bool:
-    """Whether ``name`` has a ``dt_data=day`` partition (driver-side listing)."""
-    jvm = job.spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{job.path(name)}/{DAY_COL}={day}")
-    return path.getFileSystem(job.spark._jsc.hadoopConfiguration()).exists(path)
-
-
-def song_features(job: Job, windows=(0, 7, 30), history: str = "incremental",
-                  peak_per_key: bool = True) -> DataFrame:
+def song_features(job: Job, windows=(0, 7, 30), history: str = "full", peak_per_key: bool = True) -> DataFrame:
     """Every song of the play history with its 1/7/30-day features.
 
-    The song list is the distinct (song, attributes) of all plays so far. With
-    ``history="incremental"`` it is yesterday's feature partition (which holds
-    exactly that list up to yesterday) plus today's plays, instead of a scan
-    of the whole play history every day; without yesterday's partition, or
-    with ``history="full"``, the whole history is scanned as in the original.
+    The song list is the distinct (song, attributes) of all plays, read from the
+    whole history as in the original, so late or re-ingested days are in it.
+    ``history="incremental"`` takes the caller's word that no day before the run
+    date changed since yesterday's run: the list is then yesterday's feature
+    partition plus today's plays. A missing yesterday is an error, not a switch.
     ``peak_per_key=False`` reproduces the original's single global peak row
     (put on the smallest active song; every other song gets NULL peaks).
     """
@@ -166,13 +170,15 @@ def song_features(job: Job, windows=(0, 7, 30), history: str = "incremental",
     else:
         feats = feat.rolling_features(plays, job.run_date, windows=tuple(windows), peaks=()).join(
             feat.peak_days(plays, job.run_date, per_key=False), "songid", "left")
-    yesterday = dates.shift_day(job.run_date, 1)
-    if history == "incremental" and _has_day(job, "tw_song_play_feature_d", yesterday):
+    seen = plays
+    if history == "incremental":
+        yesterday = dates.shift_day(job.run_date, 1)
         known = job.read_day("tw_song_play_feature_d", S.SONG_FEATURES, yesterday).select("songid", *FEATURE_ATTRS)
-        today = plays.where(F.col(DAY_COL) == F.lit(job.run_date)).select("songid", *FEATURE_ATTRS)
-        seen = known.unionByName(today)
-    else:
-        seen = plays
+        if known.isEmpty():
+            raise ValueError(f"no song features of {yesterday}: use history='full'")
+        seen = known.unionByName(plays.where(F.col(DAY_COL) == F.lit(job.run_date)).select("songid", *FEATURE_ATTRS))
+    elif history != "full":
+        raise ValueError("history is 'full' or 'incremental'")
     wide = feat.feature_wide(seen, feats, "songid", FEATURE_ATTRS)
     return job.write_day(wide, "tw_song_play_feature_d", S.SONG_FEATURES)
 
@@ -196,12 +202,16 @@ def machine_base_info(job: Job) -> DataFrame:
     store = job.read("to_mac_machinestoreinfo_d")
     admin = job.read("to_mac_machineadminmap_d").withColumnRenamed("machine_num", "_anum").drop("ground_name")
     base = job.read("to_mac_machinebaseinfo_d").withColumnRenamed("mid", "_bmid")
-    smap = job.read("to_mac_machinestoremap_d")
+    smap = job.read("to_mac_machinestoremap_d").select(
+        F.col("machine_num").alias("_snum"), F.col("store_id").alias("_store"), "adminid", "create_time"
+    )
+    # Each table contributes its own columns only: the declared ones it has, by name.
+    admin = admin.withColumn("machine_num", F.col("_anum"))
     j = (
-        smap.join(store, smap["store_id"] == store["id"])
-        .join(loc, smap["machine_num"] == loc["mid"])
-        .join(base, smap["machine_num"] == base["_bmid"])
-        .join(admin, smap["machine_num"] == admin["_anum"])
+        smap.join(store, smap["_store"] == store["id"])
+        .join(loc, smap["_snum"] == loc["mid"])
+        .join(base, smap["_snum"] == base["_bmid"])
+        .join(admin, smap["_snum"] == admin["_anum"])
     )
     return job.write_day(j, "tw_mac_baseinfo_d", S.MACHINE_BASE)
 
@@ -220,6 +230,10 @@ def machine_revenue(job: Job, day: str | None = None) -> DataFrame:
     totals, machine new users, dimension and location (no fan-out)."""
     orders, people, mb, ml = _revenue_inputs(job, day)
     stats = revenue.machine_statistics(orders, people, mb, ml)
+    # The totals of the original's mid-only fan-out, stored once: L14 and L15 read them.
+    weights = revenue.fanout_weights(orders, people, mb, ml).groupBy("adminid", "m_type", "province", *revenue.RATE_COLS)
+    weights = weights.agg(F.sum("n_rows").alias("n_rows"), *[F.sum(c).alias(c) for c in revenue.SUM_COLS])
+    job.write_day(weights, "tws_revenue_fanout_d", S.FANOUT)
     return job.write_day(stats, "tws_revenue_macstatistic_d", S.MACHINE_STATISTIC)
 
 
@@ -228,7 +242,7 @@ def daily_logins(job: Job, snapshot_day: str | None = None) -> DataFrame:
     logins = job.read("to_user_logininfo_d")
     people = job.read("tw_user_baseinfo_d", S.USER_BASE)
     daily = users.daily_logins(logins, people, snapshot_day)
-    overwrite_table(conform(daily, S.DAILY_LOGIN).sortWithinPartitions("loginTm"), job.path("tw_user_dailylogincnt_d"))
+    overwrite_table(conform(daily, S.DAILY_LOGIN, strict=True).sortWithinPartitions("loginTm"), job.path("tw_user_dailylogincnt_d"))
     return job.read("tw_user_dailylogincnt_d", S.DAILY_LOGIN)
 
 
@@ -260,10 +274,11 @@ def province_machine_count(job: Job, day: str | None = None) -> DataFrame:
 
 
 def _stats(job: Job, semantics: str, day: str | None):
-    if semantics == "reference":
-        orders, people, mb, ml = _revenue_inputs(job, day)
-        return revenue.fanout_weights(orders, people, mb, ml)
-    return job.read_day("tws_revenue_macstatistic_d", S.MACHINE_STATISTIC, day or job.run_date)
+    name, schema = {
+        "reference": ("tws_revenue_fanout_d", S.FANOUT),
+        "grain": ("tws_revenue_macstatistic_d", S.MACHINE_STATISTIC),
+    }[semantics]
+    return job.read_day(name, schema, day or job.run_date)
 
 
 def province_revenue(job: Job, semantics: str = "reference", day: str | None = None) -> DataFrame:
@@ -272,7 +287,7 @@ def province_revenue(job: Job, semantics: str = "reference", day: str | None = N
     of the per-order statistics table."""
     stored = job.write_day(revenue.province_revenue(_stats(job, semantics, day)), "tm_revenue_provincerevenue_d",
                            S.PROVINCE_REVENUE)
-    job.export(stored, "tm_revenue_provincerevenue_d", all_days=True)
+    job.export(job.read("tm_revenue_provincerevenue_d", S.PROVINCE_REVENUE), "tm_revenue_provincerevenue_d", all_days=True)
     return stored
 
 
@@ -281,14 +296,14 @@ def operator_revenue(job: Job, semantics: str = "reference", day: str | None = N
     """Per (operator, pay type) totals and four revenue shares."""
     shares = revenue.operator_share(_stats(job, semantics, day), distinct_rates=distinct_rates)
     stored = job.write_day(shares, "tm_revenue_adminrevenue_d", S.ADMIN_REVENUE)
-    job.export(stored, "tm_revenue_adminrevenue_d", all_days=True)
+    job.export(job.read("tm_revenue_adminrevenue_d", S.ADMIN_REVENUE), "tm_revenue_adminrevenue_d", all_days=True)
     return stored
 
 
 def rolling_logins(job: Job, rows: int = 8) -> DataFrame:
     """Rolling 8-row login counts over the daily table."""
     daily = job.read("tw_user_dailylogincnt_d", S.DAILY_LOGIN)
-    out = conform(users.rolling_logins(daily, rows), S.WEEK_LOGIN)
+    out = conform(users.rolling_logins(daily, rows), S.WEEK_LOGIN, strict=True)
     overwrite_table(out, job.path("tm_user_weeklogincnt_d"))
     stored = job.read("tm_user_weeklogincnt_d", S.WEEK_LOGIN)
     job.export(stored, "tm_user_weeklogincnt_d", all_days=True)

@@ -10,7 +10,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from playmart.operators.geo import DIRECTIONS, EARTH_RADIUS_M, cell_size_deg, flatten_geo, nearest_place
+from playmart.operators.geo import DIRECTIONS, EARTH_RADIUS_M, flatten_geo, nearest_place
 from playmart.plans.driver_tables import table
 
 RADIUS_M = 30_000.0
@@ -22,10 +22,12 @@ def _dotted(n, head):
 
 
 def machine_points(spark, d):
-    s = table(spark, d, "supplier")
-    k = F.col("s_suppkey")
-    x = F.when(k % 17 == 0, F.lit("")).otherwise(_dotted(20000 + (k * 29) % 10000, 2))
-    y = _dotted(100000 + (k * 71) % 10000, 3)
+    """Three location rows a machine: near places, elsewhere near places, and in the far north."""
+    s = table(spark, d, "supplier").select("s_suppkey", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("j"))
+    k, j = F.col("s_suppkey"), F.col("j")
+    lat = F.when(j == 2, F.lit(75123).cast("long")).otherwise(20000 + (k * 29 + j * 3571) % 10000)
+    x = F.when(k % 17 == 0, F.lit("")).otherwise(_dotted(lat, 2))
+    y = _dotted(100000 + (k * 71 + j * 17) % 10000, 3)
     return s.select(k.alias("mid"), x.alias("x"), y.alias("y"))
 
 
@@ -49,7 +51,8 @@ def street_places(spark, d):
 
 
 def q_nearest_place(spark, d):
-    return nearest_place(machine_points(spark, d), street_places(spark, d), radius_m=RADIUS_M)
+    found = nearest_place(machine_points(spark, d), street_places(spark, d), radius_m=RADIUS_M)
+    return found.withColumn("distance", F.col("distance").try_cast("double"))
 
 
 def geo_responses(spark, d):
@@ -86,19 +89,18 @@ QUERIES = {
 
 _D2R = repr(math.pi / 180.0)
 _R2D = repr(180.0 / math.pi)
-_CELL = repr(cell_size_deg(RADIUS_M))
 _DIRS = ", ".join(f"'{d}'" for d in DIRECTIONS)
 
 ORACLE = {
     "nearest_place": f"""WITH pts AS (
-  SELECT s_suppkey AS mid,
+  SELECT s_suppkey AS mid, j,
          CASE WHEN s_suppkey % 17 = 0 THEN '' ELSE
-           substring(CAST(20000 + (s_suppkey * 29) % 10000 AS VARCHAR), 1, 2) || '.' ||
-           substring(CAST(20000 + (s_suppkey * 29) % 10000 AS VARCHAR), 3, 3) END AS x,
-         substring(CAST(100000 + (s_suppkey * 71) % 10000 AS VARCHAR), 1, 3) || '.' ||
-           substring(CAST(100000 + (s_suppkey * 71) % 10000 AS VARCHAR), 4, 3) AS y
-  FROM supplier),
-p AS (SELECT mid, TRY_CAST(x AS DOUBLE) AS lat, TRY_CAST(y AS DOUBLE) AS lng FROM pts WHERE x <> '' AND y <> ''),
+           substring(CAST(lat AS VARCHAR), 1, 2) || '.' || substring(CAST(lat AS VARCHAR), 3, 3) END AS x,
+         substring(CAST(lng AS VARCHAR), 1, 3) || '.' || substring(CAST(lng AS VARCHAR), 4, 3) AS y
+  FROM (SELECT s_suppkey, j, CASE WHEN j = 2 THEN 75123 ELSE 20000 + (s_suppkey * 29 + j * 3571) % 10000 END AS lat,
+               100000 + (s_suppkey * 71 + j * 17) % 10000 AS lng
+        FROM supplier, range(3) r(j)) q),
+p AS (SELECT mid, j, TRY_CAST(x AS DOUBLE) AS lat, TRY_CAST(y AS DOUBLE) AS lng FROM pts WHERE x <> '' AND y <> ''),
 pl AS (
   SELECT c_custkey AS place_id,
          (20000 + (c_custkey * 37) % 10000) / 1000.0 AS plat,
@@ -112,15 +114,13 @@ pl AS (
          'S' || CAST(c_custkey % 97 AS VARCHAR) AS street, CAST(c_custkey % 300 AS VARCHAR) AS number
   FROM customer),
 cand AS (
-  SELECT p.mid, p.lat, p.lng, pl.*,
+  SELECT p.mid, p.j, p.lat, p.lng, pl.*,
          {2 * EARTH_RADIUS_M!r} * asin(sqrt(
             pow(sin((pl.plat - p.lat) * {_D2R} / 2), 2)
             + cos(p.lat * {_D2R}) * cos(pl.plat * {_D2R}) * pow(sin((pl.plng - p.lng) * {_D2R} / 2), 2))) AS dist
-  FROM p, pl
-  WHERE abs(floor(pl.plng / {_CELL}) - floor(p.lng / {_CELL})) <= 1
-    AND abs(floor(pl.plat / {_CELL}) - floor(p.lat / {_CELL})) <= 1),
+  FROM p, pl),
 best AS (
-  SELECT *, row_number() OVER (PARTITION BY mid ORDER BY dist, place_id) AS rn
+  SELECT *, row_number() OVER (PARTITION BY mid, j ORDER BY dist, place_id) AS rn
   FROM cand WHERE dist <= {RADIUS_M!r})
 SELECT mid, formatted_address AS addressDetail, province, city, township, street, number, location AS xy,
        [{_DIRS}][CAST(((floor((atan2((lng - plng) * cos(plat * {_D2R}), lat - plat) * {_R2D} + 22.5) / 45) % 8) + 8) % 8 AS INTEGER) + 1] AS direction,
@@ -128,7 +128,7 @@ SELECT mid, formatted_address AS addressDetail, province, city, township, street
 FROM best WHERE rn = 1
 UNION ALL
 SELECT 0 AS mid, '', '', '', '', '', '', '', '', CAST(NULL AS DOUBLE)
-FROM p WHERE mid NOT IN (SELECT mid FROM best)""",
+FROM p WHERE NOT EXISTS (SELECT 1 FROM best b WHERE b.mid = p.mid AND b.j = p.j)""",
     "geo_flatten": """WITH r AS (
   SELECT s.s_suppkey AS mid,
     CASE s.s_suppkey % 5 WHEN 0 THEN '{"status":"0","info":"INVALID_USER_KEY"}' WHEN 1 THEN 'oops' ELSE

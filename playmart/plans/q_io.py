@@ -13,8 +13,11 @@ from pyspark.sql import functions as F
 from playmart.plans import schemas as S
 from playmart.plans.driver_tables import RUN_DATE, table
 from playmart.session import scratch_path
+from playmart.sources import logs
 from playmart.sources.sinks import export
-from playmart.sources.tables import DAY_COL, append_day, read_day_table, write_day, write_days
+from playmart.sources.tables import (
+    DAY_COL, append_day, overwrite_table, read_day_table, read_text_table, write_day, write_days, write_text_table,
+)
 
 
 def play_rows(spark, d):
@@ -36,44 +39,86 @@ def play_rows(spark, d):
     )
 
 
-def _counts(df):
-    return df.groupBy(DAY_COL).agg(F.count(F.lit(1)).alias("n_rows"))
+ROWS = ("songid", "mid", "optrate_type", "uid", "play_time", "order_id", DAY_COL)
 
 
 def q_day_overwrite_roundtrip(spark, d):
-    """Write every day, then overwrite the run day twice: the run day appears
-    once and all other days are untouched."""
+    """Write every day, then overwrite the run day twice: the run day's rows are
+    there once and all other days are untouched."""
     path = scratch_path(spark, f"roundtrip-{uuid.uuid4().hex}")
     rows = play_rows(spark, d)
     write_days(rows, path)
     one_day = rows.where(F.col(DAY_COL) == F.lit(RUN_DATE))
     write_day(one_day, path, RUN_DATE)
     write_day(one_day, path, RUN_DATE)
-    return _counts(read_day_table(spark, path, S.PLAY_LOG))
+    return read_day_table(spark, path, S.PLAY_LOG).select(*ROWS)
 
 
 def q_append_export_roundtrip(spark, d):
-    """Append the run day twice (insert-into semantics: doubled), export all
+    """Append the run day once more (insert-into semantics: doubled), export all
     partitions with append, then read the export back."""
     base = scratch_path(spark, f"append-{uuid.uuid4().hex}")
     rows = play_rows(spark, d)
     write_days(rows, f"{base}/table")
-    one_day = rows.where(F.col(DAY_COL) == F.lit(RUN_DATE))
-    append_day(one_day, f"{base}/table", RUN_DATE)
+    append_day(rows.where(F.col(DAY_COL) == F.lit(RUN_DATE)), f"{base}/table", RUN_DATE)
     stored = read_day_table(spark, f"{base}/table", S.PLAY_LOG)
     export(stored, f"{base}/export", fmt="parquet", mode="append")
-    return _counts(spark.read.parquet(f"{base}/export"))
+    return spark.read.schema(stored.schema).parquet(f"{base}/export").select(*ROWS)
+
+
+def q_snapshot_overwrite_roundtrip(spark, d):
+    """S8 + S11: an un-partitioned table overwritten by other rows, exported in
+    overwrite mode with a constant day."""
+    base = scratch_path(spark, f"snapshot-{uuid.uuid4().hex}")
+    c = table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
+    overwrite_table(c.where("c_nationkey < 5"), f"{base}/table")
+    overwrite_table(c, f"{base}/table")
+    for _ in range(2):
+        export(spark.read.parquet(f"{base}/table"), f"{base}/export", mode="overwrite", constant_day=RUN_DATE)
+    return spark.read.schema(f"c_custkey long, c_name string, c_nationkey int, {DAY_COL} string").parquet(f"{base}/export")
+
+
+def q_text_table_roundtrip(spark, d):
+    """A tab-separated table with an array column, written and read with its types."""
+    path = scratch_path(spark, f"text-{uuid.uuid4().hex}")
+    p = table(spark, d, "part")
+    sizes = F.when(F.col("p_size") % 5 == 0, F.array().cast("array<int>")).otherwise(
+        F.array(F.col("p_size"), F.col("p_size") + 1).cast("array<int>")
+    )
+    rows = p.select("p_partkey", "p_name", sizes.alias("sizes"), F.when(F.col("p_size") % 3 != 0, F.col("p_brand")).alias("brand"))
+    write_text_table(rows, path)
+    return read_text_table(spark, path, rows.schema)
+
+
+def q_routed_roundtrip(spark, d):
+    """One output folder per event type; the key is the folder, not a field of the records."""
+    path = scratch_path(spark, f"routed-{uuid.uuid4().hex}")
+    e = table(spark, d, "events")
+    logs.write_routed(e.select("event_type", F.concat_ws("|", "event_id", "user_id").alias("record")), path)
+    return spark.read.schema("value string, event_type string").text(path).select("event_type", F.col("value").alias("record"))
 
 
 QUERIES = {
     "day_overwrite_roundtrip": q_day_overwrite_roundtrip,
     "append_export_roundtrip": q_append_export_roundtrip,
+    "snapshot_overwrite_roundtrip": q_snapshot_overwrite_roundtrip,
+    "text_table_roundtrip": q_text_table_roundtrip,
+    "routed_roundtrip": q_routed_roundtrip,
 }
 
+_PLAYS = """SELECT json_extract_string(props, '$.k') AS songid, CAST(event_id % 100 AS VARCHAR) AS mid,
+       event_type AS optrate_type, CAST(user_id AS VARCHAR) AS uid, strftime(ts, '%Y%m%d%H%M%S') AS play_time,
+       CAST(event_id AS VARCHAR) AS order_id, strftime(ts, '%Y%m%d') AS dt_data
+FROM events"""
+
 ORACLE = {
-    "day_overwrite_roundtrip": """SELECT strftime(ts, '%Y%m%d') AS dt_data, count(*) AS n_rows
-FROM events GROUP BY 1""",
-    "append_export_roundtrip": f"""SELECT strftime(ts, '%Y%m%d') AS dt_data,
-       count(*) * CASE WHEN strftime(ts, '%Y%m%d') = '{RUN_DATE}' THEN 2 ELSE 1 END AS n_rows
-FROM events GROUP BY 1""",
+    "day_overwrite_roundtrip": _PLAYS,
+    "append_export_roundtrip": f"{_PLAYS} UNION ALL SELECT * FROM ({_PLAYS}) WHERE dt_data = '{RUN_DATE}'",
+    "snapshot_overwrite_roundtrip": f"SELECT c_custkey, c_name, c_nationkey, '{RUN_DATE}' AS dt_data FROM customer",
+    "text_table_roundtrip": """SELECT p_partkey, p_name,
+       CASE WHEN p_size % 5 = 0 THEN CAST([] AS INTEGER[]) ELSE [CAST(p_size AS INTEGER), CAST(p_size + 1 AS INTEGER)] END AS sizes,
+       CASE WHEN p_size % 3 <> 0 THEN p_brand END AS brand
+FROM part""",
+    "routed_roundtrip": """SELECT event_type, CAST(event_id AS VARCHAR) || '|' || CAST(user_id AS VARCHAR) AS record
+FROM events""",
 }

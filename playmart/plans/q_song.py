@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from playmart.functions.dates import shift_day
 from playmart.functions.scoring import with_rsi
 from playmart.operators import features as feat
-from playmart.operators.songs import singer_features, rank_by_period
-from playmart.plans.driver_tables import RUN_DATE, play_log, song_plays
+from playmart.operators.ranking import rank_rows
+from playmart.operators.songs import rank_by_period, singer_features
+from playmart.plans.driver_tables import RUN_DATE, play_log, song_plays, table
 
 D0 = RUN_DATE
 D7 = shift_day(RUN_DATE, 7)
@@ -74,7 +75,8 @@ def q_rsi_song(spark, d):
 
 def q_rank_song(spark, d):
     scored = with_rsi(song_feature_table(spark, d)).withColumn("dt_data", F.lit(RUN_DATE))
-    ranked = rank_by_period(scored, ["songid", "songname", "singer1"], ["songid"])
+    ids = ["songid", "songname", "singer1"]
+    ranked = rank_by_period(scored, ids, ids)
     return ranked.select(
         "period", "songid", "songname", "singer1", F.round("RSI", R6).alias("RSI"), "RSI_RANK", "dt_data"
     )
@@ -92,6 +94,18 @@ def q_rank_singer_global(spark, d):
     return ranked.select("period", "singer1", F.round("RSI", R6).alias("RSI"), "RSI_RANK")
 
 
+RANK_TIES = ("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_discount", "l_tax", "l_shipdate")
+
+
+def _rank_lines(descending):
+    def q(spark, d):
+        li = table(spark, d, "lineitem").select("l_suppkey", "l_extendedprice", *RANK_TIES, "l_returnflag")
+        ties = [*RANK_TIES, "l_returnflag"]
+        return rank_rows(li, ["l_extendedprice"], ["l_suppkey"], ties, "price_rank", descending, num_ranges=16)
+
+    return q
+
+
 QUERIES = {
     "song_play_join": q_song_play_join,
     "features_1d": _features_window(0),
@@ -106,6 +120,8 @@ QUERIES = {
     "rank_song": q_rank_song,
     "rsi_singer": q_rsi_singer,
     "rank_singer_global": q_rank_singer_global,
+    "rank_lines": _rank_lines(False),  # W1 over a whole fact table, payload columns, 16 ranges
+    "rank_lines_desc": _rank_lines(True),  # D4: highest first
 }
 
 # ---------------------------------------------------------------- oracle SQL
@@ -129,7 +145,7 @@ def _win_sql(src, label, lo):
          0 AS per{label}SongSuppNBM,
          count(DISTINCT uid) AS per{label}UserSongNBM,
          count(DISTINCT order_id) AS per{label}OrderSongNBM
-  FROM {src} WHERE dt_data BETWEEN '{lo}' AND '{D0}' AND songid IS NOT NULL GROUP BY songid"""
+  FROM {src} WHERE dt_data BETWEEN '{lo}' AND '{D0}' GROUP BY songid"""
 
 
 def _features_sql(src):
@@ -142,16 +158,16 @@ top AS (
          max(CASE WHEN dt_data BETWEEN '{D30}' AND '{D0}' THEN cnt ELSE 0 END) AS top30day
   FROM (SELECT dt_data, songid, count(songid) AS cnt FROM {src}
         WHERE dt_data BETWEEN '{D30}' AND '{D0}' GROUP BY dt_data, songid) o
-  WHERE songid IS NOT NULL GROUP BY songid),
+  GROUP BY songid),
 feats AS (
   SELECT w30.songid,
          w1.perSongNBM, w1.perSongSuppNBM, w1.perUserSongNBM, w1.perOrderSongNBM,
          w7.perSevenSongNBM, w7.perSevenSongSuppNBM, w7.perSevenUserSongNBM, w7.perSevenOrderSongNBM,
          w30.perThirtySongNBM, w30.perThirtySongSuppNBM, w30.perThirtyUserSongNBM, w30.perThirtyOrderSongNBM,
          top.top7day, top.top30day
-  FROM w30 LEFT JOIN w1 ON w30.songid = w1.songid
-           LEFT JOIN w7 ON w30.songid = w7.songid
-           LEFT JOIN top ON w30.songid = top.songid)"""
+  FROM w30 LEFT JOIN w1 ON w30.songid IS NOT DISTINCT FROM w1.songid
+           LEFT JOIN w7 ON w30.songid IS NOT DISTINCT FROM w7.songid
+           LEFT JOIN top ON w30.songid IS NOT DISTINCT FROM top.songid)"""
 
 
 WIDE = SONGPLAYS + ",\n" + _features_sql("songplays") + """,
@@ -199,6 +215,14 @@ def _rank_union(src, ids, part):
     return "\nUNION ALL\n".join(parts)
 
 
+def _rank_lines_sql(order):
+    ties = [*RANK_TIES, "l_returnflag"]
+    by = ", ".join(f"{c} {order}" for c in ["l_extendedprice", *ties])
+    cols = ", ".join(["l_suppkey", "l_extendedprice", *ties])
+    return f"""SELECT {cols}, CAST(row_number() OVER (PARTITION BY l_suppkey ORDER BY {by}) AS INTEGER) AS price_rank
+FROM lineitem"""
+
+
 ORACLE = {
     "song_play_join": SONGPLAYS + f"""
 SELECT songid, songname, singer1, uid, order_id, dt_data FROM songplays WHERE dt_data = '{D0}'""",
@@ -209,7 +233,7 @@ SELECT songid, songname, singer1, uid, order_id, dt_data FROM songplays WHERE dt
     "daily_count": "WITH " + PLAYS + f"""
 SELECT dt_data, songid, count(songid) AS cnt FROM plays
 WHERE dt_data BETWEEN '{D30}' AND '{D0}' GROUP BY dt_data, songid""",
-    "peak_day": "WITH " + PLAYS + ",\n" + _features_sql("plays") + "\nSELECT * FROM top",
+    "peak_day": "WITH " + PLAYS + ",\n" + _features_sql("plays") + "\nSELECT * FROM top WHERE songid IS NOT NULL",
     "peak_day_global": "WITH " + PLAYS + f"""
 SELECT min(o.songid) AS songid,
        max(CASE WHEN o.dt_data BETWEEN '{D7}' AND '{D0}' THEN o.cnt ELSE 0 END) AS top7day,
@@ -230,6 +254,8 @@ SELECT singer1, perSongNBM, perSongSuppNBM, perUserSongNBM, perOrderSongNBM,
        round(RSI_1, {R6}) AS RSI_1, round(RSI_7, {R6}) AS RSI_7, round(RSI_30, {R6}) AS RSI_30
 FROM singer_rsi""",
     "rank_singer_global": "WITH " + SINGER + "\n" + _rank_union("singer_rsi", "singer1", ""),
+    "rank_lines": _rank_lines_sql("ASC NULLS FIRST"),
+    "rank_lines_desc": _rank_lines_sql("DESC NULLS LAST"),
 }
 for _k in ("song_play_join", "features_1d", "features_7d", "features_30d"):
     ORACLE[_k] = "WITH " + ORACLE[_k]

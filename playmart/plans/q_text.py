@@ -93,14 +93,27 @@ def q_publish_list(spark, d):
     return t.select("source_id", text.int_list("publish_to").alias("publish_to"))
 
 
+# Every accepted form of the order date, two refused ones and NULL; the flag says whether it is accepted.
+POST_FORMS = (
+    ("MMM d, yyyy h:mm:ss a", True),
+    ("yyyy-MM-dd", False),
+    ("'zz'", False),
+    (None, False),
+    ("EEE MMM dd HH:mm:ss 'GMT' yyyy", True),
+    ("MMM d yyyy", True),
+    ("d MMMM yyyy", True),
+    ("M/d/yy", True),
+    ("M/d/yyyy H:mm:ss", True),
+    ("yyyy/MM/dd HH:mm", True),
+)
+
+
 def post_texts(spark, d):
     o = table(spark, d, "orders")
-    k = F.col("o_orderkey") % 4
-    raw = (
-        F.when(k == 0, F.date_format("o_orderdate", "MMM d, yyyy h:mm:ss a"))
-        .when(k == 1, F.date_format("o_orderdate", "yyyy-MM-dd"))
-        .when(k == 2, F.lit("zz"))
-    )
+    k, raw = F.col("o_orderkey") % len(POST_FORMS), F.lit(None).cast("string")
+    for i, (form, _) in enumerate(POST_FORMS):
+        if form:
+            raw = F.when(k == i, F.date_format("o_orderdate", form)).otherwise(raw)
     return o.select(F.col("o_orderkey"), raw.alias("post_time"))
 
 
@@ -238,6 +251,8 @@ QUERIES = {
 
 # ---------------------------------------------------------------- oracle SQL
 
+_ACCEPTED = ", ".join(str(i) for i, (_, accepted) in enumerate(POST_FORMS) if accepted)
+
 SONG_TEXTS = """t AS (
   SELECT p_partkey AS source_id,
     CASE p_size % 5 WHEN 0 THEN p_brand || '《' || p_name || '》 vol ' || CAST(p_size AS VARCHAR)
@@ -365,16 +380,10 @@ SELECT source_id,
                    lambda x: CAST(trunc(x) AS INTEGER))
   ELSE CAST([] AS INTEGER[]) END AS publish_to
 FROM v""",
-    "post_date": """WITH t AS (
-  SELECT o_orderkey,
-    CASE o_orderkey % 4 WHEN 0 THEN strftime(o_orderdate, '%b %-d, %Y %-I:%M:%S %p')
-                        WHEN 1 THEN strftime(o_orderdate, '%Y-%m-%d')
-                        WHEN 2 THEN 'zz' END AS post_time
-  FROM orders)
-SELECT o_orderkey,
-  COALESCE(strftime(try_strptime(post_time, '%b %d, %Y %I:%M:%S %p'), '%Y-%m-%d'), '1970-01-01') AS post_date,
-  COALESCE(strftime(try_strptime(post_time, '%b %d, %Y %I:%M:%S %p'), '%Y-%m-%d'), '') AS date_text
-FROM t""",
+    "post_date": f"""SELECT o_orderkey,
+  CASE WHEN o_orderkey % {len(POST_FORMS)} IN ({_ACCEPTED}) THEN strftime(o_orderdate, '%Y-%m-%d') ELSE '1970-01-01' END AS post_date,
+  CASE WHEN o_orderkey % {len(POST_FORMS)} IN ({_ACCEPTED}) THEN strftime(o_orderdate, '%Y-%m-%d') ELSE '' END AS date_text
+FROM orders""",
     "province_city": "WITH " + MACHINE_LOCAL + f"""
 SELECT mid, {_province_sql('address')} AS province, {_city_sql('address')} AS city FROM m""",
     "default_time": "WITH " + MACHINE_LOCAL + f"""

@@ -2,22 +2,16 @@
 
 from __future__ import annotations
 
-import importlib
+from playmart.plans import q_geo, q_io, q_revenue, q_song, q_text, q_users
 
-_MODULES = ["q_song", "q_text", "q_revenue", "q_users", "q_geo", "q_io"]
+_MODULES = (q_song, q_text, q_revenue, q_users, q_geo, q_io)
 
 
 def _load():
     queries, oracle = {}, {}
-    for name in _MODULES:
-        try:
-            mod = importlib.import_module(f"playmart.plans.{name}")
-        except ModuleNotFoundError as exc:  # module not written yet
-            if exc.name == f"playmart.plans.{name}":
-                continue
-            raise
+    for mod in _MODULES:
         queries.update(mod.QUERIES)
-        oracle.update(getattr(mod, "ORACLE", {}))
+        oracle.update(mod.ORACLE)
     return queries, oracle
 
 

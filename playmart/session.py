@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -51,8 +52,9 @@ def get_spark(
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is only read here.
-    Only when it is unset (local runs, tests) a fresh scratch folder is created.
+    On a cluster this setting points at shared storage and is only read here; a
+    cluster without it is an error, since other hosts can't see a local folder.
+    Only on a local master a fresh scratch folder is created for it.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -62,6 +64,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not current and sc is not None:
         current = sc.getCheckpointDir()
     if not current:
+        master = spark.conf.get("spark.master", "") if sc is None else sc.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all hosts of {master or 'the cluster'} share")
         current = tempfile.mkdtemp(prefix="playmart-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if sc is not None:

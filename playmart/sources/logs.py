@@ -91,7 +91,7 @@ def write_routed(records: DataFrame, path: str, mode: str = "overwrite") -> None
     records.write.mode(mode).partitionBy("event_type").text(path)
 
 
-def ingest_play_log(spark: SparkSession, src: str, out: str, play_event: str = PLAY_EVENT) -> DataFrame:
+def ingest_play_log(spark: SparkSession, src: str, play_event: str = PLAY_EVENT) -> DataFrame:
     """Read -> filter -> route -> flatten; returns the records (not written)."""
     routed = route_log(split_log(read_log(spark, src)))
     return flatten_payloads(routed, play_event)

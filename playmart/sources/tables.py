@@ -42,18 +42,23 @@ def read_day_table(spark: SparkSession, path: str, schema: T.StructType, day: st
     return df
 
 
-def conform(df: DataFrame, schema: T.StructType, strict: bool = False) -> DataFrame:
+def conform(df: DataFrame, schema: T.StructType, strict: bool = False, optional=()) -> DataFrame:
     """Select the declared columns BY NAME and cast to the declared types.
 
-    Missing columns become typed NULLs unless ``strict``. Explicit casts replace
-    the by-position narrowing of the original inserts.
+    A missing column becomes a typed NULL, or is an error if ``strict`` and it
+    isn't in ``optional``. A name that ``df`` has twice is an error. Explicit
+    casts replace the by-position narrowing of the original inserts.
     """
     cols = []
     present = {c.lower(): c for c in df.columns}
+    names = [c.lower() for c in df.columns]
+    twice = sorted({f.name for f in schema.fields if names.count(f.name.lower()) > 1})
+    if twice:
+        raise ValueError(f"columns {twice} occur more than once")
     for field in schema.fields:
         src = present.get(field.name.lower())
         if src is None:
-            if strict:
+            if strict and field.name not in optional:
                 raise ValueError(f"column {field.name} missing; have {df.columns}")
             cols.append(F.lit(None).cast(field.dataType).alias(field.name))
         else:
@@ -68,7 +73,8 @@ def write_day(df: DataFrame, path: str, day: str, mode: str = "overwrite", fmt:
     on the writer, so other days survive); re-running is idempotent.
     ``mode="append"`` adds rows to the day (re-runs duplicate them).
     """
-    out = df.drop(DAY_COL).withColumn(DAY_COL, F.lit(day))
+    # A rebalance sizes the files (and merges the crumbs of many small tasks) without a fixed file count.
+    out = df.drop(DAY_COL).withColumn(DAY_COL, F.lit(day)).hint("rebalance")
     (
         out.write.format(fmt)
         .mode(mode)
@@ -85,9 +91,10 @@ def append_day(df: DataFrame, path: str, day: str, fmt: str = "parquet") -> None
 
 def write_days(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "parquet") -> None:
     """Write a frame that already carries ``dt_data``; overwrite replaces only
-    the days present in ``df``."""
+    the days present in ``df``. Rows are rebalanced by day first, so a day's files
+    come from a few tasks (a hot day is split by size) and not from every task."""
     (
-        df.write.format(fmt)
+        df.hint("rebalance", DAY_COL).write.format(fmt)
         .mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(DAY_COL)
@@ -111,6 +118,24 @@ def to_text_columns(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+# Fixed value: how the text row format writes NULL.
+TEXT_NULL = "\\N"
+
+
 def write_text_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Tab-separated text output (the original row format), arrays ``,``-joined."""
-    to_text_columns(df).write.mode(mode).option("sep", "\t").csv(path)
+    """Tab-separated text output (the original row format): arrays ``,``-joined, NULL
+    as ``\\N``, nothing quoted. As in the original format, values can't hold tabs or line breaks."""
+    cols = [F.coalesce(F.col(c), F.lit(TEXT_NULL)) for c in df.columns]
+    to_text_columns(df).select(F.concat_ws("\t", *cols).alias("value")).write.mode(mode).text(path)
+
+
+def read_text_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A tab-separated text table with its declared types; arrays are split at ``,``."""
+    parts = spark.read.text(path).select(F.split("value", "\t").alias("p"))
+    cols = []
+    for i, f in enumerate(schema.fields):
+        c = F.nullif(F.get("p", F.lit(i)), F.lit(TEXT_NULL))
+        if isinstance(f.dataType, T.ArrayType):
+            c = F.when(c == "", F.array().cast("array<string>")).otherwise(F.split(c, ","))
+        cols.append(c.cast(f.dataType).alias(f.name))
+    return parts.select(*cols)

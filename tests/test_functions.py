@@ -29,9 +29,31 @@ def test_singer(spark):
 
 
 def test_post_date(spark):
-    vals = ["Aug 13, 2019 12:00:00 AM", "zz", None, "2019-01-01"]
-    assert one(spark, vals, dates.post_date) == ["2019-08-13", "1970-01-01", "1970-01-01", "1970-01-01"]
-    assert one(spark, vals, dates.date_text) == ["2019-08-13", "", "", ""]
+    want = {
+        "Aug 13, 2019 12:00:00 AM": "2019-08-13",
+        "Aug 13, 2019": "2019-08-13",
+        "Aug 13 2019": "2019-08-13",
+        "13 August 2019": "2019-08-13",
+        "13 Aug 2019 10:11:12": "2019-08-13",
+        "Tue Aug 13 12:00:00 GMT 2019": "2019-08-13",
+        "Tuesday, August 13, 2019 11:30 PM": "2019-08-13",
+        "Tue Aug 13 23:00:00 EST 2019": "2019-08-14",
+        "8/13/19": "2019-08-13",
+        "8/13/2019 1:02:03": "2019-08-13",
+        "2019/08/13 01:02": "2019-08-13",
+        "2019/8/13": "2019-08-13",
+        "Feb 30 2019": "2019-03-02",
+        "2019-08-13": "1970-01-01",
+        "2019-08-13 10:00:00": "1970-01-01",
+        "Foo 13 2019": "1970-01-01",
+        "13/13/2019": "1970-01-01",
+        "Aug 2019": "1970-01-01",
+        "x": "1970-01-01",
+        "": "1970-01-01",
+        None: "1970-01-01",
+    }
+    assert one(spark, list(want), lambda c: dates.post_date(c, century_start=1940)) == list(want.values())
+    assert one(spark, ["8/13/39", "8/13/40", "x"], lambda c: dates.date_text(c, century_start=1940)) == ["2039-08-13", "1940-08-13", ""]
 
 
 def test_company(spark):

@@ -3,6 +3,8 @@
 import math
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from playmart.functions.dates import shift_day
@@ -44,8 +46,11 @@ def three_scans(df, run):
     top = daily.groupBy("songid").agg(
         F.max(F.when(F.col("dt_data") >= d7, F.col("cnt")).otherwise(0)).alias("top7day"),
         F.max("cnt").alias("top30day"))
-    base = win(30, "Thirty").where(F.col("songid").isNotNull())
-    return base.join(win(0, ""), "songid", "left").join(win(7, "Seven"), "songid", "left").join(top, "songid", "left")
+    out = win(30, "Thirty")  # NULL is a group like any other
+    for part in (win(0, ""), win(7, "Seven"), top):
+        part = part.withColumnRenamed("songid", "_k")
+        out = out.join(part, out["songid"].eqNullSafe(part["_k"]), "left").drop("_k")
+    return out
 
 
 def rows_set(df):
@@ -58,6 +63,8 @@ def test_onepass_equals_three_scans(spark):
     a = feat.rolling_features(df, RUN)
     b = three_scans(df, RUN)
     assert rows_set(a) == rows_set(b.select(*a.columns))
+    null_key = [r for r in feat.window_counts(df, RUN, 30).collect() if r.songid is None]
+    assert len(null_key) == 1 and null_key[0].perThirtySongNBM == 0 and null_key[0].perThirtyUserSongNBM > 0
 
 
 def test_window_boundaries(spark):
@@ -100,15 +107,38 @@ def test_rank_rows_global_equals_window(spark):
 
 def test_rank_rows_partitioned(spark):
     df = spark.createDataFrame(random_rank_rows(), "k long, day string, period string, v double")
-    for bound in (6, None):
-        a = ranking.rank_rows(df, ["v"], ["day", "period"], ["k"], out="r", groups_bound=bound)
+    for ranges in (None, 5, 16):
+        a = ranking.rank_rows(df, ["v"], ["day", "period"], ["k"], out="r", num_ranges=ranges)
         b = ranking.rank_rows_window(df, ["v"], ["day", "period"], ["k"], out="r")
         assert rows_set(a) == rows_set(b)
-    a = ranking.rank_rows(df, ["v"], ["period"], ["k"], out="r", descending=True, groups_bound=3)
+    a = ranking.rank_rows(df, ["v"], ["period"], ["k"], out="r", descending=True, num_ranges=7)
     b = ranking.rank_rows_window(df, ["v"], ["period"], ["k"], out="r", descending=True)
     assert rows_set(a) == rows_set(b)
 
 
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_rank_rows_with_payload_at_size(spark, reuse):
+    """200,000 rows over several input partitions, with payload columns, whether or not exchanges are reused."""
+    before = spark.conf.get("spark.sql.exchange.reuse")
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        k = F.col("id")
+        df = spark.range(0, 200_000, numPartitions=7).select(
+            F.pmod(F.xxhash64(k), F.lit(9_973)).cast("double").alias("v"),
+            F.concat(F.lit("name "), k.cast("string")).alias("name"),
+            F.repeat(F.lit("x"), 40).alias("payload"),
+            F.when(k % 3 == 0, F.lit(None)).otherwise(k % 3).alias("g"),
+            k.alias("k"),
+        )
+        for part in ([], ["g"]):
+            a = ranking.rank_rows(df, ["v"], part, ["name"], out="r", num_ranges=16)
+            b = ranking.rank_rows_window(df, ["v"], part, ["name"], out="r0").select("k", "r0")
+            j = a.join(b, "k")
+            assert j.count() == 200_000 and j.where("r != r0").count() == 0
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", before)
+
+
 def test_rolling_rows_not_dates(spark):
     import datetime as dt
 
@@ -218,37 +248,47 @@ def test_refund_needs_payment(spark):
 
 # --------------------------------------------------------------------- geo
 
-def test_nearest_place_equals_brute_force(spark):
-    rnd = random.Random(5)
-    pts = [(i + 1, f"{rnd.uniform(20, 21):.4f}", f"{rnd.uniform(100, 101):.4f}") for i in range(60)] + [(99, "", "100.5")]
-    places = [(j, rnd.uniform(20, 21), rnd.uniform(100, 101)) for j in range(200)]
-    pdf = spark.createDataFrame(pts, "mid long, x string, y string")
-    ldf = spark.createDataFrame(places, "place_id long, lat double, lng double")
+def _places(spark, places):
+    df = spark.createDataFrame(places, "place_id long, lat double, lng double")
     for c in ("formatted_address", "province", "city", "township", "street", "number"):
-        ldf = ldf.withColumn(c, F.concat(F.lit(c[:2]), F.col("place_id").cast("string")))
-    radius = 8000.0
-    got = {r.mid: r for r in geo.nearest_place(pdf, ldf, radius_m=radius, keep_unmatched=False).collect()}
-    coarse = {r.mid: r for r in geo.nearest_place(pdf, ldf, radius_m=radius, keep_unmatched=False,
-                                                  cells_per_radius=1).collect()}
-    assert got == coarse
+        df = df.withColumn(c, F.concat(F.lit(c[:2]), F.col("place_id").cast("string")))
+    return df
 
-    def hav(a, b, c, d):
-        r = math.pi / 180
-        x = math.sin((c - a) * r / 2) ** 2 + math.cos(a * r) * math.cos(c * r) * math.sin((d - b) * r / 2) ** 2
-        return 2 * geo.EARTH_RADIUS_M * math.asin(math.sqrt(x))
 
+def _hav(a, b, c, d):
+    r = math.pi / 180
+    x = math.sin((c - a) * r / 2) ** 2 + math.cos(a * r) * math.cos(c * r) * math.sin((d - b) * r / 2) ** 2
+    return 2 * geo.EARTH_RADIUS_M * math.asin(math.sqrt(min(1.0, x)))
+
+
+@pytest.mark.parametrize("lat, lng", [((20, 21), (100, 101)), ((74, 75), (179.5, 180.5)), ((-89.9, -89.2), (-180, 180))])
+def test_nearest_place_equals_brute_force(spark, lat, lng):
+    """Every location row gets its row: repeated and NULL machines, far north, the 180th meridian, near a pole."""
+    rnd = random.Random(5)
+    wrap = lambda x: x - 360 if x > 180 else x
+    spot = lambda: (round(rnd.uniform(*lat), 4), round(wrap(rnd.uniform(*lng)), 4))
+    pts = [(rnd.choice([1, 2, 3, None]), *map(str, spot())) for _ in range(60)]
+    pts += [pts[0], pts[1], (99, "", "100.5"), (98, "north", "1"), (97, "NaN", "1")]
+    places = [(j, *spot()) for j in range(200)]
+    radius = 8000.0
+    want = []
     for mid, x, y in pts:
         if not x:
             continue
-        cands = sorted((hav(float(x), float(y), la, ln), pid) for pid, la, ln in places)
-        cands = [c for c in cands if c[0] <= radius]
-        if not cands:
-            assert mid not in got
-        else:
-            assert got[mid].street == f"st{cands[0][1]}"
-            assert abs(got[mid].distance - round(cands[0][0], 3)) < 1e-6
-    with_missing = geo.nearest_place(pdf, ldf, radius_m=radius).where("mid = 0").count()
-    assert with_missing == sum(1 for m, x, y in pts if x) - len(got)
+        try:
+            cands = sorted((_hav(float(x), float(y), la, ln), pid) for pid, la, ln in places)
+            cands = [c for c in cands if c[0] <= radius]
+        except ValueError:
+            cands = []
+        want.append((mid, f"st{cands[0][1]}", round(cands[0][0], 3)) if cands else (0, "", None))
+    df = spark.createDataFrame(pts, "mid long, x string, y string")
+    got = [(r.mid, r.street, float(r.distance) if r.distance else None) for r in geo.nearest_place(df, _places(spark, places), radius_m=radius).collect()]
+    key = lambda t: (t[0] is None, t[0] or 0, t[1], t[2] or 0)
+    assert len(got) == len(want) == len(pts) - 1 and any(s for _, s, _ in got) and any(not s for _, s, _ in got)
+    for g, w in zip(sorted(got, key=key), sorted(want, key=key)):
+        assert g[:2] == w[:2] and abs((g[2] or 0) - (w[2] or 0)) < 2e-3
+    found = geo.nearest_place(df, _places(spark, places), radius_m=radius, keep_unmatched=False).count()
+    assert found == sum(1 for w in want if w[1])
 
 
 def test_flatten_geo(spark):
@@ -290,9 +330,10 @@ def test_rank_hot_value_is_spread(spark):
     rnd = random.Random(1)
     rows = [(i, None if i % 3 == 0 else float(rnd.randint(0, 1000))) for i in range(30000)]
     df = spark.createDataFrame(rows, "k long, v double")
-    keys = ranking._sort_exprs(["v", "k"], False)
-    sizes = [r["count"] for r in ranking.range_slices(df, keys, 8).groupBy("_pid").count().collect()]
+    cuts = ranking.cut_points(df, ["v", "k"], 8, len(rows))
+    of = ranking.range_number(df, ["v", "k"], cuts).alias("n")
+    sizes = [r["count"] for r in df.select(of).groupBy("n").count().collect()]
     assert len(sizes) == 8 and max(sizes) < 0.25 * len(rows)
-    a = ranking.rank_rows(df, ["v"], tie_break=["k"], out="r")
+    a = ranking.rank_rows(df, ["v"], tie_break=["k"], out="r", num_ranges=8)
     b = ranking.rank_rows_window(df, ["v"], tie_break=["k"], out="r")
     assert rows_set(a) == rows_set(b)

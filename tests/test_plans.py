@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from playmart.plans import registry
 from playmart.plans import schemas as S
 from playmart.sources.tables import read_day_table, write_days
 
@@ -41,7 +42,7 @@ def test_scan_prunes_columns(spark):
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in scan
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_no_python_udf(spark, name):
     if name.endswith("roundtrip"):
         pytest.skip("writes files")
@@ -55,7 +56,19 @@ def test_onepass_features_partial_aggregation(spark):
     assert p.count("partial_count") >= 1
 
 
-def test_global_rank_is_range_partitioned(spark):
-    p = plan(E.queries()["rank_singer_global"](spark, SF))
-    assert "rangepartitioning" in p.lower()
-    assert "BroadcastExchange" in p  # the bounded offset table
+def test_rank_ranges_are_literals(spark):
+    """The range of a row is computed from the row, not from an exchange, and each range sorts in its own group."""
+    p = plan(E.queries()["rank_lines"](spark, SF))
+    assert "rangepartitioning" not in p.lower() and "_range" in p
+
+
+@pytest.mark.parametrize("name, scans", [("machine_revenue_grain", 2), ("machine_revenue_mid", 1), ("province_revenue", 1)])
+def test_orders_are_scanned_once_per_use(spark, name, scans):
+    """One pass for all group totals, and one for the per-order rows; no self join of the orders."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(E.queries()[name](spark, SF))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert p.count("l_orderkey") and sum("FileScan parquet" in line and "l_orderkey" in line for line in p.splitlines()) == scans

@@ -14,8 +14,9 @@ def test_stream_ingest(spark, tmpdir_path):
                 fh.write(f"{i}&t&MINIK_CLIENT_SONG_PLAY_OPERATE_REQ&{payload}&x&y\n")
             fh.write("bad&line\n1&2&OTHER&{}&x&y\n")
     out = os.path.join(tmpdir_path, "ods")
-    q = stream_play_log(spark, src, out, os.path.join(tmpdir_path, "ckpt"))
+    q = stream_play_log(spark, src, out, os.path.join(tmpdir_path, "ckpt"), "20240131")
     q.awaitTermination(120)
     df = spark.read.parquet(out)
     assert df.count() == 10
-    assert sorted(r.dt_data for r in df.select("dt_data").distinct().collect()) == [20240130, 20240131]
+    assert [r.dt_data for r in df.select("dt_data").distinct().collect()] == [20240131]
+    assert df.where("uid = 'null'").count() == 10
