@@ -197,6 +197,7 @@ QUERIES = {
     "province_count": q_province_count,
     "province_revenue": q_province_revenue,
     "operator_share": q_operator_share,
+    "operator_share_distinct": lambda spark, d: rev.operator_share(fanout(spark, d), distinct_rates=True),  # D8
 }
 
 # ---------------------------------------------------------------- oracle SQL
@@ -340,3 +341,4 @@ SELECT adminid, pay_type, total_order_count, total_refund_order_count, total_rev
 FROM shares
 GROUP BY ALL""",
 }
+ORACLE["operator_share_distinct"] = ORACLE["operator_share"].replace("CAST(sum(COALESCE(n, 1)) AS BIGINT) AS n_rows", "CAST(1 AS BIGINT) AS n_rows")

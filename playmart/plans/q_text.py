@@ -235,6 +235,29 @@ def q_log_json_fields(spark, d):
     return plays.select(*fields, logs.play_record("payload").alias("record"))
 
 
+def q_log_missing_text(spark, d):
+    """L1: a field that no record has counts as one distinct text ``null`` as stored, and as none if NULL."""
+    plays = logs.play_fields(logs.route_log(logs.split_log(log_lines(spark, d))).where(F.col("event_type") == logs.PLAY_EVENT))
+    return plays.groupBy("songid").agg(
+        F.count_distinct(text.null_text(F.col("pkg_id"))).alias("n_stored"),
+        F.count_distinct("pkg_id").alias("n_null"),
+        F.count_distinct(text.null_text(F.col("order_id"))).alias("n_orders"),
+    )
+
+
+def q_log_failfast(spark, d):
+    """The play fields with a reader that fails on bad JSON."""
+    routed = logs.route_log(logs.split_log(log_lines(spark, d)))
+    return logs.play_fields(routed.where(F.col("event_type") == logs.PLAY_EVENT), mode="failfast")
+
+
+def q_date_minus(spark, d):
+    """30 days before the order date; texts that are no day give 19700101."""
+    o, k = table(spark, d, "orders"), F.col("o_orderkey") % 5
+    day = F.when(k == 0, F.lit("bad")).when(k == 1, F.date_format("o_orderdate", "yyyy-MM-dd")).otherwise(F.date_format("o_orderdate", "yyyyMMdd"))
+    return o.select("o_orderkey", dates.date_minus(day, 30).alias("day_30"))
+
+
 QUERIES = {
     "album_title": q_album_title,
     "singer_slots": q_singer_slots,
@@ -247,6 +270,9 @@ QUERIES = {
     "log_split_filter": q_log_split_filter,
     "log_route_count": q_log_route_count,
     "log_json_fields": q_log_json_fields,
+    "log_missing_text": q_log_missing_text,
+    "log_failfast": q_log_failfast,
+    "date_minus": q_date_minus,
 }
 
 # ---------------------------------------------------------------- oracle SQL
@@ -397,4 +423,12 @@ SELECT event_type, count(*) AS n FROM routed GROUP BY event_type""",
 f AS (SELECT {_PLAY_FIELD_SQL}
       FROM routed WHERE event_type = 'MINIK_CLIENT_SONG_PLAY_OPERATE_REQ')
 SELECT *, {_RECORD_SQL} AS record FROM f""",
+    "log_missing_text": "WITH " + LOG_LINES + f""",
+f AS (SELECT {_PLAY_FIELD_SQL} FROM routed WHERE event_type = 'MINIK_CLIENT_SONG_PLAY_OPERATE_REQ')
+SELECT songid, count(DISTINCT COALESCE(pkg_id, 'null')) AS n_stored, count(DISTINCT pkg_id) AS n_null,
+       count(DISTINCT COALESCE(order_id, 'null')) AS n_orders FROM f GROUP BY songid""",
+    "log_failfast": "WITH " + LOG_LINES + f"""
+SELECT {_PLAY_FIELD_SQL} FROM routed WHERE event_type = 'MINIK_CLIENT_SONG_PLAY_OPERATE_REQ'""",
+    "date_minus": """SELECT o_orderkey, CASE WHEN o_orderkey % 5 < 2 THEN '19700101'
+       ELSE strftime(o_orderdate - INTERVAL 30 DAY, '%Y%m%d') END AS day_30 FROM orders""",
 }
