@@ -69,7 +69,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
             raise RuntimeError(f"set spark.checkpoint.dir to a folder that all hosts of {master or 'the cluster'} share")
         current = tempfile.mkdtemp(prefix="playmart-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    if sc is not None:
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return current
 
