@@ -29,6 +29,7 @@ from .common import Scratch, free_name, space_words, table, texts
 from .components import connected_components
 
 SEED = 42
+VARIANTS_PER_TASK = 4_000_000
 _CHUNK = 1 << 16
 
 
@@ -73,8 +74,11 @@ def ball_links(fingerprints: DataFrame, radius: int, col: str = "fp") -> DataFra
     For an odd radius one end comes from the smaller ball and one from the larger.
     """
     small = radius // 2
-    masks = F.array(*[F.struct(F.lit(m).cast("long").alias("m"), F.lit(w <= small).alias("near")) for m, w in _masks(radius - small)])
-    out = fingerprints.select(F.col(col).alias("a"), F.inline(masks)).select(F.col("a").bitwiseXOR(F.col("m")).alias("variant"), "a", "near")
+    ball = _masks(radius - small)
+    masks = F.array(*[F.struct(F.lit(m).cast("long").alias("m"), F.lit(w <= small).alias("near")) for m, w in ball])
+    # Every fingerprint becomes a whole ball, so the tasks that emit are sized by the variants.
+    tasks = max(1, fingerprints.count() * len(ball) // VARIANTS_PER_TASK)
+    out = fingerprints.repartition(tasks, col).select(F.col(col).alias("a"), F.inline(masks)).select(F.col("a").bitwiseXOR(F.col("m")).alias("variant"), "a", "near")
     centre = F.min(F.when(F.col("near"), F.col("a"))).over(Window.partitionBy("variant"))
     pairs = out.select("a", centre.alias("b")).where("a != b").distinct()
     return pairs.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)
