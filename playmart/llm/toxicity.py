@@ -60,6 +60,12 @@ def _find(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, missing: flo
     return np.where(keys[i] == wanted, values[i], missing)
 
 
+def class_discount(count: np.ndarray) -> np.ndarray:
+    """What is taken off a count of the highest order: all of a single one, so that what one
+    document alone has is left to the shared backoff, and less of what recurs."""
+    return np.select([count <= 1, count <= 2], [count, 1.25], 1.5)
+
+
 class KneserNey:
     """The log-likelihood ratio of the two class models, as two sorted tables."""
 
@@ -73,10 +79,11 @@ class KneserNey:
         for g, c in counts:
             own = np.zeros(len(grams))
             own[np.searchsorted(grams, g)] = c
-            total, kinds = np.bincount(at, own, len(self.contexts)), np.bincount(at, own > 0, len(self.contexts))
+            cut = class_discount(own)
+            total, off = np.bincount(at, own, len(self.contexts)), np.bincount(at, cut, len(self.contexts))
             with np.errstate(divide="ignore", invalid="ignore"):
-                back = np.where(total > 0, discount * kinds / total, 1.0)
-                p = np.where(total[at] > 0, np.maximum(own - discount, 0) / total[at], 0) + back[at] * shared
+                back = np.where(total > 0, off / total, 1.0)
+                p = np.where(total[at] > 0, (own - cut) / total[at], 0) + back[at] * shared
             seen.append(np.log(p))
             unseen.append(np.log(back))
         self.gram_ratio, self.context_ratio = seen[1] - seen[0], unseen[1] - unseen[0]
@@ -157,9 +164,15 @@ class ToxicityModel:
 
 
 def _counts(documents: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    grams, counts = np.zeros(0, np.uint64), np.zeros(0)
-    for lo, hi in slices(documents, 4 << 20):
-        g, c = np.unique(word_grams([w for t in documents[lo:hi] for w in alnum_words(t)])[0], return_counts=True)
+    """Grams of the documents' words. A word counts once for each different word before it: copies
+    of a document, or a line it repeats, are no further evidence."""
+    pairs: set[bytes] = set()
+    for t in documents:
+        words = alnum_words(t)
+        pairs.update(map(b" ".join, zip([b"", *words], words)))
+    words, grams, counts = [p.rpartition(b" ")[2] for p in pairs], np.zeros(0, np.uint64), np.zeros(0)
+    for lo in range(0, len(words), 100_000):
+        g, c = np.unique(word_grams(words[lo : lo + 100_000])[0], return_counts=True)
         grams, at = np.unique(np.concatenate([grams, g]), return_inverse=True)
         counts = np.bincount(at, np.concatenate([counts, c]), len(grams))
     return grams, counts

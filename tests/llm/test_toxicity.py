@@ -91,8 +91,8 @@ def test_ratio_equals_the_two_models():
         table = dict(zip(counts[which][0].tolist(), counts[which][1].tolist()))
         of = {g: c for g, c in table.items() if g >> 8 == gram >> 8}
         back = shared(gram >> 8, gram & 255, T.ORDER - 1)
-        total = sum(of.values())
-        return back if not total else max(of.get(gram, 0) - d, 0) / total + d * len(of) / total * back
+        total, off = sum(of.values()), {g: 1 if c == 1 else 1.25 if c == 2 else 1.5 for g, c in of.items()}
+        return back if not total else (of.get(gram, 0) - off.get(gram, 0)) / total + sum(off.values()) / total * back
 
     for word in ("ab", "abz", "badly", "abq", "new", ""):
         grams = T.word_grams([word.encode()])[0].tolist()
@@ -100,6 +100,14 @@ def test_ratio_equals_the_two_models():
         assert abs(model.words([word.encode()])[0] - want) < 1e-9
 
 
+def test_copies_and_repeats_are_no_further_evidence():
+    once = T._counts([b"one two three two"])
+    assert all(np.array_equal(a, b) for a, b in zip(once, T._counts([b"one two three two"] * 9)))
+    grams = dict(zip(*T._counts([b"a bad b bad a bad"])))
+    end = T.word_grams([b"bad"])[0].tolist()[-1]
+    assert grams[end] == 2  # after "a" and after "b"
+
+
 def test_windows_cover_the_whole_text():
     model = T.fit([(" ".join(words(40, k) + (["idiot"] if k % 2 else [])).encode(), k % 2) for k in range(120)])
     long = words(5000, 1)
