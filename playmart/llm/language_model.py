@@ -154,11 +154,18 @@ class GruModel:
         """log10 of the class probability, times the member's within a head class."""
         head = ids < HEAD
         cls = np.where(head, ids // MEMBERS, ids - HEAD + CLASSES)
-        out = _log_softmax_at(h, self.classes, self.class_bias, cls).astype(float)
-        for c, rows in _groups(np.flatnonzero(head), cls):
-            out[rows] += _log_softmax_at(h[rows], self.members[c], self.member_bias[c], ids[rows] % MEMBERS)
+        out = _log_softmax_at(h @ self.classes + _shifted(self.classes, self.class_bias), cls).astype(float)
+        rows, spans = _groups(np.flatnonzero(head), cls)
+        out[rows] += _log_softmax_at(self._member_logits(h[rows], spans, _shifted(self.members, self.member_bias)), ids[rows] % MEMBERS)
         return out / math.log(10)
 
+    def _member_logits(self, h: np.ndarray, spans, bias: np.ndarray) -> np.ndarray:
+        z = np.empty((len(h), MEMBERS), h.dtype)
+        for c, lo, hi in spans:
+            np.matmul(h[lo:hi], self.members[c], out=z[lo:hi])
+            z[lo:hi] += bias[c]
+        return z
+
     def gradients(self, h0: np.ndarray, tokens: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
         """State after a window (steps, lanes), and the mean gradient, truncated at its start.
 
@@ -180,12 +187,17 @@ class GruModel:
         classes, class_bias = flat.T @ p, p.sum(axis=0)
         back = p @ self.classes.T
         members, member_bias = np.zeros_like(self.members), np.zeros_like(self.member_bias)
-        for c, rows in _groups(np.flatnonzero(head), cls):
-            p = _softmax(flat[rows] @ self.members[c] + self.member_bias[c])
+        rows, spans = _groups(np.flatnonzero(head), cls)
+        if len(rows):
+            own = flat[rows]
+            p = _softmax(self._member_logits(own, spans, self.member_bias))
             p[np.arange(len(rows)), ids[rows] % MEMBERS] -= 1
             p *= scale
-            members[c], member_bias[c] = flat[rows].T @ p, p.sum(axis=0)
-            back[rows] += p @ self.members[c].T
+            member_bias[[c for c, _, _ in spans]] = np.add.reduceat(p, [lo for _, lo, _ in spans], axis=0)
+            for c, lo, hi in spans:
+                members[c] = own[lo:hi].T @ p[lo:hi]
+                own[lo:hi] = p[lo:hi] @ self.members[c].T
+            back[rows] += own
         back = back.reshape(steps, lanes, HIDDEN)
         dh = np.zeros((lanes, HIDDEN), np.float32)
         da, du = np.empty((2, steps, lanes, 3 * HIDDEN), np.float32)
@@ -215,31 +227,26 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return np.reciprocal(x, out=x)
 
 
-def _log_softmax_at(h: np.ndarray, w: np.ndarray, b: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Natural log of the softmax of h @ w + b at one column a row.
+def _shifted(w: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``b`` less the largest value that h @ w + b can take, states being within -1 and 1: exp can't overflow then."""
+    return b - (b + np.abs(w).sum(axis=-2)).max(axis=-1, keepdims=True)
 
-    States are within -1 and 1, so no row exceeds ``most``; where exp can't underflow below it
-    either, one constant does instead of each row's maximum.
-    """
-    reach = np.abs(w).sum(axis=0)
-    most, least = float((b + reach).max()), float((b - reach).max())
-    z = h @ w
-    if most - least < 60:
-        z += b - np.float32(most)
-    else:
-        z += b
-        z -= z.max(axis=1, keepdims=True)
+
+def _log_softmax_at(z: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Natural log of each row's softmax at one column, ``z`` being at most 0."""
     chosen = z[np.arange(len(z)), at]
-    np.exp(z, out=z)
-    return chosen - np.log(z @ np.ones(z.shape[1], z.dtype))
+    total = np.exp(z) @ np.ones(z.shape[1], z.dtype)
+    if len(total) and total.min() < 1e-30:  # far below the bound: shift by each row's maximum
+        top = z.max(axis=1, keepdims=True)
+        return chosen - top[:, 0] - np.log(np.exp(z - top).sum(axis=1))
+    return chosen - np.log(total)
 
 
-def _groups(rows: np.ndarray, cls: np.ndarray):
-    """(class, rows of it) for the given rows."""
+def _groups(rows: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """The given rows in the order of their class, and (class, from, to) of each class's run."""
     rows = rows[np.argsort(cls[rows], kind="stable")]
     starts = np.flatnonzero(np.diff(cls[rows], prepend=-1)).tolist()
-    for lo, hi in zip(starts, [*starts, len(rows)][1:], strict=True):
-        yield int(cls[rows[lo]]), rows[lo:hi]
+    return rows, [(int(cls[rows[lo]]), lo, hi) for lo, hi in zip(starts, [*starts, len(rows)][1:], strict=True)]
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
