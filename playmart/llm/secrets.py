@@ -1,30 +1,34 @@
 """Secret scan: fixed patterns, and a randomness test battery for what they miss.
 
 Every run of at least ``MIN_RUN`` key characters is a candidate. Its encoding is inferred
-from its characters (hex, one-case letters with digits, base64) and three tests measure how
-well it agrees with uniformly random characters of that alphabet: chi-squared uniformity of
-character classes and value bins, a runs test about the middle of the alphabet, and lag-one
-serial correlation. Fisher's method joins them; the joint p-value is near 0 for ordinary
+from its characters (hex, one-case letters with digits, base64) and three kinds of tests measure
+how well it agrees with uniformly random characters of that alphabet: chi-squared uniformity of
+character classes, of common and rare letters and of value bins, runs tests about the middle of
+the alphabet and of character classes, and serial tests (lag-one correlation, pairs of letters
+that words are made of). Fisher's method joins them; the joint p-value is near 0 for ordinary
 text and uniform for random keys.
 
-What ordinary text looks like is measured on the corpus: long runs of letters of one case are
-its words, and their joint p-values by length form the null. A candidate of one length bin is
-compared with words that are no longer than itself (a short word passes more easily, so this
-is conservative), and a Benjamini-Hochberg cut per length bin keeps the expected share of
-words among the flagged strings below ``fdr``. The histograms behind the cuts have at most
-``LENGTH_BINS * P_BINS`` rows.
-
-Defined results: NULL and empty texts have no spans; with fewer than 1/fdr words to compare
-with, a length bin flags nothing beyond the patterns; runs of digits only are numbers, not
-secrets; repeated rows are scanned one by one; an empty table gives no rows. All columns of
-the documents are kept.
+What ordinary strings look like doesn't depend on the corpus: the null of each encoding and
+length bin is the joint p-values of ``NULL_SIZE`` fixed strings that are not random (hex of
+ASCII text and counters; words with numbers; identifiers, slugs and paths). They have the
+shortest length of their bin (a short string passes more easily, so this is conservative),
+and the bins from ``NULL_BINS`` on take the null of the last one. A Benjamini-Hochberg cut per
+encoding and length bin keeps the expected share of such strings among the flagged ones below
+``fdr``. The histogram behind the cuts has at most ``len(ENCODINGS) * LENGTH_BINS * P_BINS`` rows.
+
+Defined results: NULL and empty texts have no spans; a corpus of any size, also of one string,
+is compared with the same null, and a corpus repeated any number of times has the same cuts;
+runs of digits only are numbers, not secrets; repeated rows are scanned one by one; an empty
+table gives no rows. All columns of the documents are kept.
 """
 
 from __future__ import annotations
 
 import math
+import random
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +47,8 @@ _KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 MIN_RUN = 20
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 LENGTH_BINS, P_BINS = 12, 64
+ENCODINGS = ("hex", "base36", "base64")
+NULL_BINS, NULL_SIZE = 6, 20_000
 
 _VALUES = np.full(128, -1)
 for _i, _c in enumerate("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"):
@@ -55,6 +61,18 @@ for _i, _c in enumerate("0123456789abcdefghijklmnopqrstuvwxyz"):
         _BASE36_VALUES[ord(_d)] = _i
         if _i < 16:
             _HEX_VALUES[ord(_d)] = _i
+# 0: the letters that make two thirds of ordinary text, 1: the rarest, 2: others, digits and signs.
+_COMMON = np.full(128, 2)
+for _k, _letters in enumerate(("etaoinsr", "jkqvwxyz")):
+    for _c in _letters + _letters.upper():
+        _COMMON[ord(_c)] = _k
+# Neighbours that are frequent in words, in either case.
+_PAIRS = "th he in er an re nd at on nt ha es st en ed to it ou ea hi is or ti as te et ng of al de se le sa si ar ve ra ld ur li ri ic el ch ro io ne us la ta me".split()
+_PAIR = np.zeros((128, 128))
+for _a, _b in _PAIRS:
+    for _c in (_a, _a.upper()):
+        for _d in (_b, _b.upper()):
+            _PAIR[ord(_c), ord(_d)] = 1
 _ONE_CASE = re.compile(r"[a-z]+|[A-Z][a-z]*|[A-Z]+")
 _HEX_ONLY = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 _BASE36 = re.compile(r"[0-9a-z]+|[0-9A-Z]+")
@@ -72,11 +90,19 @@ def _two_sided(z: np.ndarray) -> np.ndarray:
     return _erfc(np.abs(z) / math.sqrt(2)).astype(float)
 
 
-def _chi2_sf(x: np.ndarray, df: np.ndarray | int) -> np.ndarray:
-    """Wilson-Hilferty upper tail."""
+def _chi2_z(x: np.ndarray, df: np.ndarray | int) -> np.ndarray:
+    """Wilson-Hilferty."""
     k = 2 / (9 * np.asarray(df, float))
-    z = (np.cbrt(x / np.asarray(df, float)) - (1 - k)) / np.sqrt(k)
-    return 0.5 * _erfc(z / math.sqrt(2)).astype(float)
+    return (np.cbrt(x / np.asarray(df, float)) - (1 - k)) / np.sqrt(k)
+
+
+def _chi2_sf(x: np.ndarray, df: np.ndarray | int) -> np.ndarray:
+    return 0.5 * _erfc(_chi2_z(x, df) / math.sqrt(2)).astype(float)
+
+
+def _poisson_sf(count: np.ndarray, mean: np.ndarray) -> np.ndarray:
+    """Upper tail with half of the count's own share, as a lower tail of chi-squared."""
+    return 0.5 * _erfc(-_chi2_z(2 * mean, 2 * count + 1) / math.sqrt(2)).astype(float)
 
 
 def battery(runs: list[str], encoding: str) -> np.ndarray:
@@ -88,7 +114,8 @@ def battery(runs: list[str], encoding: str) -> np.ndarray:
         runs = [r.rstrip("=").replace("=", "-") or "A" for r in runs]
     values, size = {"hex": (_HEX_VALUES, 16), "base36": (_BASE36_VALUES, 36), "base64": (_VALUES, 64)}[encoding]
     n = np.fromiter(map(len, runs), np.int64, len(runs)).astype(float)
-    x = values[np.frombuffer("".join(runs).encode("ascii"), np.uint8)].astype(float)
+    codes = np.frombuffer("".join(runs).encode("ascii"), np.uint8)
+    x = values[codes].astype(float)
     first = np.concatenate([[0], np.cumsum(n)[:-1]]).astype(np.int64)
     owner = np.repeat(np.arange(len(runs)), n.astype(np.int64))
     total = lambda v: np.bincount(owner, v, len(runs))
@@ -98,11 +125,26 @@ def battery(runs: list[str], encoding: str) -> np.ndarray:
         expected = n[:, None] * shares
         return _chi2_sf(((seen - expected) ** 2 / expected).sum(axis=1), len(shares) - 1)
 
+    def stays(cell: np.ndarray, shares: np.ndarray) -> np.ndarray:
+        """Two neighbours are of one class as often as if drawn one by one (the variance is exact)."""
+        same = np.zeros(len(x))
+        same[1:] = cell[1:] == cell[:-1]
+        same[first] = 0
+        q, t = (shares**2).sum(), (shares**3).sum()
+        variance = (n - 1) * q * (1 - q) + 2 * (n - 2) * (t - q * q)
+        return _two_sided((total(same) - (n - 1) * q) / np.sqrt(np.maximum(variance, 1e-9)))
+
     tests = []
-    if encoding == "base64":  # upper, lower, digits and signs
-        tests.append(uniformity(np.minimum(x // 26, 2).astype(int), np.array([26, 26, 12]) / 64))
-    if encoding == "base36":  # digits, letters
-        tests.append(uniformity((x >= 10).astype(int), np.array([10, 26]) / 36))
+    if encoding != "hex":
+        # Upper, lower, digits and signs; or digits, letters.
+        cell, shares = (np.minimum(x // 26, 2), np.array([26, 26, 12]) / 64) if encoding == "base64" else (x >= 10, np.array([10, 26]) / 36)
+        tests += [uniformity(cell.astype(int), shares), stays(cell, shares)]
+        pair = np.zeros(len(x))
+        pair[1:] = _PAIR[codes[:-1], codes[1:]]
+        pair[first] = 0
+        cases = 2 if encoding == "base64" else 1
+        tests.append(_poisson_sf(total(pair), (n - 1) * len(_PAIRS) * cases**2 / size**2))
+        tests.append(uniformity(_COMMON[codes], np.array([8 * cases, 8 * cases, size - 16 * cases]) / size))
     tests.append(uniformity((x * 4 // size).astype(int), np.full(4, 0.25)))
     fine = uniformity((x * 8 // size).astype(int), np.bincount(np.arange(size) * 8 // size) / size)
     tests.append(np.where(n >= 40, fine, tests[-1]))
@@ -136,6 +178,58 @@ def p_bin(p: np.ndarray) -> np.ndarray:
     return np.minimum(P_BINS - 1, (-4 * np.log10(np.maximum(p, 1e-30))).astype(int))
 
 
+_PLAIN = """the of and to in is that for it as was with be by on not he this are or his from at which but have an had they
+you were their one all we can her has there been if more when will would who so no out up into than them only some could time
+these two may then do first any my now such like our over me even most made after also did many before must through years where
+much your way well down should because each just those people how too little state good very make world still own see men work
+long get here between both life being under never day same another know while last might us great old year off come since go
+against came right used take three user name file path index value config server client request response data list table key
+string number type error message report image page version test build update delete create account service order item local
+""".split()
+
+
+def _plain_text(encoding: str, rnd: random.Random, size: int) -> str:
+    """At least ``size`` characters of strings that have the alphabet of ``encoding`` but are not random."""
+    pick = lambda n: [rnd.choice(_PLAIN) for _ in range(n)]
+    number = lambda: str(rnd.choice((rnd.randrange(10), rnd.randrange(100), rnd.randrange(1990, 2030), rnd.randrange(10_000))))
+    styles = {
+        "hex": (
+            lambda: " ".join(pick(20)).encode().hex(),
+            lambda: "".join(f"{rnd.randrange(1 << 14):08x}" for _ in range(12)),
+            lambda: "".join(rnd.choice(("dead", "beef", "cafe", "face", "fade", "babe", "feed", "added", "decade", "facade", number())) for _ in range(25)),
+        ),
+        "base36": (
+            lambda: "".join(w + (number() if rnd.random() < 0.3 else "") for w in pick(20)),
+            lambda: "".join([*pick(4), number(), *pick(4), number()]),
+        ),
+        "base64": (
+            lambda: "".join(w.capitalize() + (number() if rnd.random() < 0.2 else "") for w in pick(20)),
+            lambda: "_".join([*pick(18), number()]),
+            lambda: "-".join([*pick(9), number(), *pick(9)]).title(),
+            lambda: "/".join(rnd.choice((w, w.capitalize(), w.upper(), number())) for w in pick(20)),
+            lambda: "_".join([*pick(18), number()]).upper(),
+        ),
+    }[encoding]
+    parts: list[str] = []
+    while size > 0:
+        parts.append(rnd.choice(styles)())
+        size -= len(parts[-1])
+    return "".join(parts)
+
+
+@lru_cache
+def null_counts(encoding: str) -> dict[int, int]:
+    """Counts (length bin * P_BINS + p bin) of the fixed strings of ``encoding``."""
+    rnd, out = random.Random(f"null {encoding}"), {}
+    text = _plain_text(encoding, rnd, 1 << 19)
+    for i in range(NULL_BINS):
+        n = next(n for n in range(MIN_RUN, 1000) if length_bin(n) == i)
+        starts = [rnd.randrange(len(text) - n) for _ in range(NULL_SIZE)]
+        seen = np.bincount(p_bin(battery([text[at : at + n] for at in starts], encoding)), minlength=P_BINS)
+        out |= {i * P_BINS + b: c for b, c in enumerate(seen.tolist()) if c}
+    return out
+
+
 def _infer(run: str) -> str | None:
     if run.isdigit() or not run.strip("+/_=-"):
         return None
@@ -147,13 +241,12 @@ def _infer(run: str) -> str | None:
 
 
 _SPAN = "struct<kind:int,first:int,last:int>"
-FOUND = f"base array<{_SPAN}>, runs array<struct<first:int,last:int,length:int,p:int>>, words array<int>"
+FOUND = f"base array<{_SPAN}>, runs array<struct<first:int,last:int,bin:int,p:int>>"
 _SPAN_ARROW = pa.struct([("kind", pa.int32()), ("first", pa.int32()), ("last", pa.int32())])
 _FOUND_ARROW = pa.struct(
     [
         ("base", pa.list_(_SPAN_ARROW)),
-        ("runs", pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("length", pa.int32()), ("p", pa.int32())]))),
-        ("words", pa.list_(pa.int32())),
+        ("runs", pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("bin", pa.int32()), ("p", pa.int32())]))),
     ]
 )
 
@@ -171,22 +264,19 @@ def base_spans(text: str, runs: list[tuple[int, int]]) -> list[tuple[int, int, i
 
 
 def scan_batch(documents: list[str | None]) -> list[dict]:
-    out, pending = [], {"word": [], "hex": [], "base36": [], "base64": []}
+    out, pending = [], {encoding: [] for encoding in ENCODINGS}
     for text in documents:
         runs = [m.span() for m in RUN.finditer(text)] if text else []
-        found = {"base": [dict(zip(("kind", "first", "last"), s, strict=True)) for s in base_spans(text, runs)] if text else [], "runs": [], "words": []}
+        found = {"base": [dict(zip(("kind", "first", "last"), s, strict=True)) for s in base_spans(text, runs)] if text else [], "runs": []}
         for lo, hi in runs:
             run = text[lo:hi]
-            if encoding := _infer(run):
+            if (encoding := _infer(run)) in pending:
                 pending[encoding].append((found, run, lo, hi))
         out.append(found)
-    for encoding, items in pending.items():
-        p = p_bin(battery([run for _, run, _, _ in items], "base36" if encoding == "word" else encoding))
+    for k, (encoding, items) in enumerate(pending.items()):
+        p = p_bin(battery([run for _, run, _, _ in items], encoding))
         for (found, run, lo, hi), b in zip(items, p.tolist(), strict=True):
-            if encoding == "word":
-                found["words"].append(length_bin(len(run)) * P_BINS + b)
-            else:
-                found["runs"].append({"first": lo, "last": hi, "length": length_bin(len(run)), "p": b})
+            found["runs"].append({"first": lo, "last": hi, "bin": k * LENGTH_BINS + length_bin(len(run)), "p": b})
     return out
 
 
@@ -200,16 +290,18 @@ def _scan(column: Column) -> Column:
     return scan(column)
 
 
-def cuts(words: dict[int, int], runs: dict[int, int], fdr: float) -> list[int]:
-    """Per length bin the largest flagged p bin, or -1. Both arguments count (length bin * P_BINS + p bin)."""
+def cuts(null: dict[int, int], runs: dict[int, int], fdr: float) -> list[int]:
+    """Per length bin the largest flagged p bin, or -1. Both arguments count (length bin * P_BINS + p bin);
+    a length bin without null strings is compared with those of the last shorter bin that has some."""
     grid = lambda d: np.array([[d.get(i * P_BINS + j, 0) for j in range(P_BINS)] for i in range(LENGTH_BINS)])
-    null, found = np.cumsum(grid(words), axis=0), grid(runs)
+    plain, found = grid(null), grid(runs)
     out = []
     for i in range(LENGTH_BINS):
-        m, n_null = found[i].sum(), null[i].sum()
-        p0 = (np.cumsum(null[i]) + 1) / (n_null + 1)
+        if i and not plain[i].any():
+            plain[i] = plain[i - 1]
+        p0 = (np.cumsum(plain[i]) + 1) / (plain[i].sum() + 1)
         hits = np.cumsum(found[i])
-        good = np.flatnonzero((p0 * m <= fdr * hits) & (hits > 0) & (n_null >= 1 / fdr))
+        good = np.flatnonzero((p0 * found[i].sum() <= fdr * hits) & (hits > 0))
         out.append(int(good[-1]) if len(good) else -1)
     return out
 
@@ -220,12 +312,15 @@ def scan_secrets(docs: DataFrame, out: str, fdr: float = 0.01, text_col: str = "
     scratch = Scratch(docs.sparkSession, "secrets")
     found = free_name(docs, "found")
     scanned = scratch.keep(docs.withColumn(found, _scan(F.col(text_col))))
-    count = lambda codes: dict(scanned.select(F.explode(codes).alias("c")).groupBy("c").count().collect())
     f = F.col(found)
-    limit = cuts(count(f["words"]), count(F.transform(f["runs"], lambda r: r["length"] * P_BINS + r["p"])), fdr)
+    codes = F.explode(F.transform(f["runs"], lambda r: r["bin"] * P_BINS + r["p"]))
+    counts = dict(scanned.select(codes.alias("c")).groupBy("c").count().collect())
+    limit, per = [], LENGTH_BINS * P_BINS
+    for k, encoding in enumerate(ENCODINGS):
+        limit += cuts(null_counts(encoding), {c - k * per: n for c, n in counts.items() if c // per == k}, fdr)
     limits = F.array(*[F.lit(x) for x in limit])
     flagged = F.transform(
-        F.filter(f["runs"], lambda r: r["p"] <= F.get(limits, r["length"])),
+        F.filter(f["runs"], lambda r: r["p"] <= F.get(limits, r["bin"])),
         lambda r: F.struct(F.lit(KINDS.index("random")).alias("kind"), r["first"].alias("first"), r["last"].alias("last")),
     )
     spans = F.transform(

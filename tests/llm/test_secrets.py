@@ -99,3 +99,28 @@ def test_redact(spark):
     assert r.text == "é [REDACTED] and [REDACTED]!" and r.n_chars == len(r.text)
     assert plain(out.where("doc_id is null or doc_id <> 50")) == plain(docs.where("doc_id is null or doc_id <> 50"))
     assert S.redact(frame(spark, [])).count() == 0
+
+
+def test_decision_does_not_depend_on_corpus_size_or_long_words(spark):
+    """No text has a long word; one key is found alone, in a few and in many documents alike."""
+    rnd = random.Random(8)
+    upper_hex = "".join(rnd.choices("0123456789ABCDEF", k=40))
+    mixed = "".join(rnd.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=48))
+    plain_run = "getUserNameFromServerConfigPage2AndUpdateList"
+    texts = [f"a key {upper_hex} here", f"and {mixed} too", f"see {plain_run} there", "short words only"]
+    want = {0: [(3, 6, 46)], 1: [(3, 4, 52)], 2: [], 3: []}
+    for times in (1, 3, 60):
+        rows = [doc(10 * k + j, t) for k in range(times) for j, t in enumerate(texts)]
+        found = S.scan_secrets(frame(spark, rows), "result").collect()
+        assert len(found) == len(rows)
+        for r in found:
+            assert [tuple(s) for s in r.result] == want[r.doc_id % 10], (times, r.text)
+
+
+def test_null_is_fixed_and_ordinary_strings_look_less_random_with_length():
+    for encoding in S.ENCODINGS:
+        null = S.null_counts(encoding)
+        share = [sum(null.get(i * S.P_BINS + b, 0) for b in range(4)) / S.NULL_SIZE for i in range(S.NULL_BINS)]
+        assert sum(null.values()) == S.NULL_BINS * S.NULL_SIZE and share[-1] < 0.01 and share[-1] <= share[0]
+        cut = S.cuts(null, {c: 1 for c in (3 * S.P_BINS, 11 * S.P_BINS)}, 0.01)
+        assert cut[3] >= 0 and cut[11] >= 0
