@@ -1,9 +1,9 @@
 """Gated recurrent language model, scored over whole documents.
 
 The corpus gives the counts of all tokens (words, and an end per document) of the training
-documents. Its ``HEAD`` most frequent words are the model's own; every other word belongs to
-one of ``TAILS`` classes by its last bytes. The output softmax is factored: first over the
-classes (``CLASSES`` of head words, binned by frequency, and the tail classes), then over the
+documents. Its ``head`` most frequent words are the model's own; every other word belongs to
+one of ``tails`` classes by its last bytes. The output softmax is factored: first over the
+classes (``classes`` of head words, binned by frequency, and the tail classes), then over the
 members, by a second softmax in a head class and by the add-one count share in a tail class.
 So the model is a distribution over all known words and one unknown word a tail class.
 
@@ -31,6 +31,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -40,21 +41,35 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, fold, slices, space_words, table, texts
 
-CLASSES, MEMBERS, TAILS = 16, 64, 16
-HEAD = CLASSES * MEMBERS
-HIDDEN = 24
+
+
+class Size(NamedTuple):
+    classes: int
+    members: int
+    tails: int
+    hidden: int
+
+    @property
+    def head(self) -> int:
+        return self.classes * self.members
+
+
+NETWORK = Size(32, 64, 32, 32)  # of documents' scores
+SMALL = Size(16, 64, 16, 24)  # of a vocabulary or model made without a size
+CLASSES, MEMBERS, TAILS, HIDDEN = SMALL
+HEAD = SMALL.head
 END = b""  # no word is empty
 _FLUSH = 400_000
 
 
-def tail_class(word: bytes) -> int:
-    return zlib.crc32(word[-2:]) % TAILS
+def tail_class(word: bytes, tails: int = TAILS) -> int:
+    return zlib.crc32(word[-2:]) % tails
 
 
 # ---------------------------------------------------------------- corpus counts
 
 
-def token_counts(training: DataFrame) -> DataFrame:
+def token_counts(training: DataFrame, tails: int = TAILS) -> DataFrame:
     """(word, tail, c) of all tokens; tasks add up before the shuffle, in bounded tables."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -62,7 +77,7 @@ def token_counts(training: DataFrame) -> DataFrame:
 
         def rows() -> pa.RecordBatch:
             words = list(counts)
-            cols = [pa.array(words, pa.binary()), pa.array(list(map(tail_class, words)), pa.int32()), pa.array(list(counts.values()), pa.int64())]
+            cols = [pa.array(words, pa.binary()), pa.array([tail_class(w, tails) for w in words], pa.int32()), pa.array(list(counts.values()), pa.int64())]
             counts.clear()
             return pa.RecordBatch.from_arrays(cols, names=["word", "tail", "c"])
 
@@ -80,27 +95,28 @@ def token_counts(training: DataFrame) -> DataFrame:
 class Vocabulary:
     """Model ids and log10(c + 1) of the table's words, and the shares of the tail classes."""
 
-    def __init__(self, words: list[bytes], counts: list[int], tails: dict[int, tuple[int, int]], n_tokens: int, n_types: int):
+    def __init__(self, words: list[bytes], counts: list[int], tails: dict[int, tuple[int, int]], n_tokens: int, n_types: int, size: Size = SMALL):
+        self.size, head_size = size, size.head
         order = sorted(range(len(words)), key=lambda i: (-counts[i], words[i]))
         if END in words:  # the end is always a head word
             end = words.index(END)
             place = order.index(end)
-            if place >= HEAD:
-                order.insert(HEAD - 1, order.pop(place))
-        head = order[:HEAD]
+            if place >= head_size:
+                order.insert(head_size - 1, order.pop(place))
+        head = order[:head_size]
         self.index = {words[i]: k for k, i in enumerate(order)}
         self.log_c1 = np.log10(np.array([counts[i] for i in order], float) + 1)
-        self.ids = np.array([k if k < HEAD else HEAD + tail_class(words[i]) for k, i in enumerate(order)], np.int32)
+        self.ids = np.array([k if k < head_size else head_size + tail_class(words[i], size.tails) for k, i in enumerate(order)], np.int32)
         self.n_tokens, self.n_types = n_tokens, n_types
-        total, kinds = np.zeros(TAILS), np.zeros(TAILS)
+        total, kinds = np.zeros(size.tails), np.zeros(size.tails)
         for t, (c, k) in tails.items():
             total[t], kinds[t] = c, k
         for i in head:
-            total[tail_class(words[i])] -= counts[i]
-            kinds[tail_class(words[i])] -= 1
+            total[tail_class(words[i], size.tails)] -= counts[i]
+            kinds[tail_class(words[i], size.tails)] -= 1
         self.tail_tokens = total
         self.log_tail = np.log10(total + kinds + 1)  # add-one mass of a tail class with its unknown word
-        self.head_counts = np.array([counts[i] for i in head] + [0] * (HEAD - len(head)), float)
+        self.head_counts = np.array([counts[i] for i in head] + [0] * (head_size - len(head)), float)
 
 
 # ---------------------------------------------------------------- the network
@@ -112,13 +128,14 @@ class GruModel:
     NAMES = ("gates", "recurrent", "gate_bias", "classes", "class_bias", "members", "member_bias")
 
     def __init__(self, vocabulary: Vocabulary, seed: int = 5):
-        rng = np.random.default_rng(seed)
+        rng, self.size = np.random.default_rng(seed), vocabulary.size
+        n_classes, n_members, n_tails, n_hidden = self.size
         init = lambda *shape: rng.normal(0, 0.1, shape).astype(np.float32)
-        self.gates, self.recurrent = init(HEAD + TAILS, 3 * HIDDEN), init(HIDDEN, 3 * HIDDEN)
-        self.gate_bias = np.zeros(3 * HIDDEN, np.float32)
-        self.classes, self.members = init(HIDDEN, CLASSES + TAILS), init(CLASSES, HIDDEN, MEMBERS)
+        self.gates, self.recurrent = init(self.size.head + n_tails, 3 * n_hidden), init(n_hidden, 3 * n_hidden)
+        self.gate_bias = np.zeros(3 * n_hidden, np.float32)
+        self.classes, self.members = init(n_hidden, n_classes + n_tails), init(n_classes, n_hidden, n_members)
         # Untrained, the model is the unigram distribution.
-        members = vocabulary.head_counts.reshape(CLASSES, MEMBERS)
+        members = vocabulary.head_counts.reshape(n_classes, n_members)
         mass = np.concatenate([members.sum(axis=1), vocabulary.tail_tokens])
         self.class_bias = np.log(mass + 0.5).astype(np.float32)
         self.class_bias -= self.class_bias.max()
@@ -139,10 +156,10 @@ class GruModel:
 
     def step(self, h: np.ndarray, a: np.ndarray) -> tuple[np.ndarray, tuple]:
         """Next state of lanes with states ``h``; ``a`` is the gates' input of the tokens they read."""
-        u = h @ self.recurrent
-        zr = _sigmoid(a[:, : 2 * HIDDEN] + u[:, : 2 * HIDDEN])
-        z, r, un = zr[:, :HIDDEN], zr[:, HIDDEN:], u[:, 2 * HIDDEN :]
-        n = _sigmoid(2 * (a[:, 2 * HIDDEN :] + r * un))  # tanh(x) = 2 * sigmoid(2 * x) - 1
+        u, hidden = h @ self.recurrent, self.size.hidden
+        zr = _sigmoid(a[:, : 2 * hidden] + u[:, : 2 * hidden])
+        z, r, un = zr[:, :hidden], zr[:, hidden:], u[:, 2 * hidden :]
+        n = _sigmoid(2 * (a[:, 2 * hidden :] + r * un))  # tanh(x) = 2 * sigmoid(2 * x) - 1
         n *= 2
         n -= 1
         return n + z * (h - n), (h, z, r, un, n)
@@ -152,15 +169,15 @@ class GruModel:
 
     def log_probs(self, h: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """log10 of the class probability, times the member's within a head class."""
-        head = ids < HEAD
-        cls = np.where(head, ids // MEMBERS, ids - HEAD + CLASSES)
+        head = ids < self.size.head
+        cls = np.where(head, ids // self.size.members, ids - self.size.head + self.size.classes)
         out = _log_softmax_at(h @ self.classes + _shifted(self.classes, self.class_bias), cls).astype(float)
         rows, spans = _groups(np.flatnonzero(head), cls)
-        out[rows] += _log_softmax_at(self._member_logits(h[rows], spans, _shifted(self.members, self.member_bias)), ids[rows] % MEMBERS)
+        out[rows] += _log_softmax_at(self._member_logits(h[rows], spans, _shifted(self.members, self.member_bias)), ids[rows] % self.size.members)
         return out / math.log(10)
 
     def _member_logits(self, h: np.ndarray, spans, bias: np.ndarray) -> np.ndarray:
-        z = np.empty((len(h), MEMBERS), h.dtype)
+        z = np.empty((len(h), self.size.members), h.dtype)
         for c, lo, hi in spans:
             np.matmul(h[lo:hi], self.members[c], out=z[lo:hi])
             z[lo:hi] += bias[c]
@@ -170,7 +187,7 @@ class GruModel:
         """State after a window (steps, lanes), and the mean gradient, truncated at its start.
 
         ``keep`` is 0 where a document begins."""
-        steps, lanes = tokens.shape
+        (steps, lanes), hidden = tokens.shape, self.size.hidden
         h, seen, tape, inputs = h0, [], [], self.inputs()
         for t in range(steps):
             h = h * keep[t][:, None]
@@ -179,8 +196,8 @@ class GruModel:
             tape.append(saved)
         flat, ids = np.concatenate(seen), tokens.ravel()
         scale = np.float32(1 / len(ids))
-        head = ids < HEAD
-        cls = np.where(head, ids // MEMBERS, ids - HEAD + CLASSES)
+        head = ids < self.size.head
+        cls = np.where(head, ids // self.size.members, ids - self.size.head + self.size.classes)
         p = _softmax(flat @ self.classes + self.class_bias)
         p[np.arange(len(ids)), cls] -= 1
         p *= scale
@@ -191,31 +208,31 @@ class GruModel:
         if len(rows):
             own = flat[rows]
             p = _softmax(self._member_logits(own, spans, self.member_bias))
-            p[np.arange(len(rows)), ids[rows] % MEMBERS] -= 1
+            p[np.arange(len(rows)), ids[rows] % self.size.members] -= 1
             p *= scale
             member_bias[[c for c, _, _ in spans]] = np.add.reduceat(p, [lo for _, lo, _ in spans], axis=0)
             for c, lo, hi in spans:
                 members[c] = own[lo:hi].T @ p[lo:hi]
                 own[lo:hi] = p[lo:hi] @ self.members[c].T
             back[rows] += own
-        back = back.reshape(steps, lanes, HIDDEN)
-        dh = np.zeros((lanes, HIDDEN), np.float32)
-        da, du = np.empty((2, steps, lanes, 3 * HIDDEN), np.float32)
+        back = back.reshape(steps, lanes, hidden)
+        dh = np.zeros((lanes, hidden), np.float32)
+        da, du = np.empty((2, steps, lanes, 3 * hidden), np.float32)
         for t in reversed(range(steps)):
             before, z, r, un, n = tape[t]
             dn = dh * (1 - z) * (1 - n * n)
-            da[t, :, :HIDDEN] = dh * (before - n) * z * (1 - z)
-            da[t, :, HIDDEN : 2 * HIDDEN] = dn * un * r * (1 - r)
-            da[t, :, 2 * HIDDEN :] = dn
+            da[t, :, :hidden] = dh * (before - n) * z * (1 - z)
+            da[t, :, hidden : 2 * hidden] = dn * un * r * (1 - r)
+            da[t, :, 2 * hidden :] = dn
             du[t] = da[t]
-            du[t, :, 2 * HIDDEN :] *= r
+            du[t, :, 2 * hidden :] *= r
             dh = (dh * z + du[t] @ self.recurrent.T + back[t]) * keep[t][:, None]
-        da = da.reshape(-1, 3 * HIDDEN)
+        da = da.reshape(-1, 3 * hidden)
         order = np.argsort(ids, kind="stable")
         first = np.flatnonzero(np.diff(ids[order], prepend=-1))
         gates = np.zeros_like(self.gates)
         gates[ids[order[first]]] = np.add.reduceat(da[order], first, axis=0)
-        return h, [gates, flat.T @ du.reshape(-1, 3 * HIDDEN), da.sum(axis=0), classes, class_bias, members, member_bias]
+        return h, [gates, flat.T @ du.reshape(-1, 3 * hidden), da.sum(axis=0), classes, class_bias, members, member_bias]
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -312,7 +329,7 @@ class Trainer:
         self.n_tokens += len(ids)
 
     def _windows(self, tokens: np.ndarray, keep: np.ndarray) -> None:
-        h = np.zeros((tokens.shape[1], HIDDEN), np.float32)
+        h = np.zeros((tokens.shape[1], self.model.size.hidden), np.float32)
         for at in range(0, len(tokens), self.window):
             h, grads = self.model.gradients(h, tokens[at : at + self.window], keep[at : at + self.window])
             self.updates += 1
@@ -332,7 +349,7 @@ def encode(text: bytes, vocabulary: Vocabulary) -> np.ndarray:
     at = np.fromiter(map(vocabulary.index.get, words, repeat(-1)), np.int32, len(words))
     ids = vocabulary.ids[at]
     for i in np.flatnonzero(at < 0).tolist():
-        ids[i] = HEAD + tail_class(words[i])
+        ids[i] = vocabulary.size.head + tail_class(words[i], vocabulary.size.tails)
     return ids
 
 
@@ -343,6 +360,7 @@ def average_round(training: DataFrame, model: GruModel, vocabulary, scratch: Scr
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = GruModel.__new__(GruModel)
+        own.size = start.value.size
         for name, p in zip(GruModel.NAMES, start.value.params(), strict=True):
             setattr(own, name, p.copy())
         trainer = Trainer(own)
@@ -371,6 +389,7 @@ def average_round(training: DataFrame, model: GruModel, vocabulary, scratch: Scr
 def score_batch(column: list[bytes], model: GruModel, vocabulary: Vocabulary, n_lanes: int = 512, window: int = 32) -> list[tuple]:
     """Per text: tokens, table tokens, their sum of log10(c + 1), log10 of the model's class and
     head parts, and the counted words beyond the table."""
+    head, tails = vocabulary.size.head, vocabulary.size.tails
     documents, rest, base, table_tokens, tail = [], [], [], [], []
     for text in column:
         words = [*space_words(text), END]
@@ -379,16 +398,16 @@ def score_batch(column: list[bytes], model: GruModel, vocabulary: Vocabulary, n_
         out = np.flatnonzero(at < 0).tolist()
         beyond = [words[i] for i in out]
         if out:
-            ids[out], logs[out] = [HEAD + tail_class(w) for w in beyond], 0
+            ids[out], logs[out] = [head + tail_class(w, tails) for w in beyond], 0
         documents.append(ids)
         base.append(float(logs.sum()))
         table_tokens.append(len(words) - len(out))
         # The members of tail classes: log10((c + 1) / mass); beyond the table the join adds log10(c + 1).
-        in_tail = ids >= HEAD
-        tail.append(float(logs[in_tail].sum() - vocabulary.log_tail[ids[in_tail] - HEAD].sum()))
+        in_tail = ids >= head
+        tail.append(float(logs[in_tail].sum() - vocabulary.log_tail[ids[in_tail] - head].sum()))
         rest.append(list(Counter(beyond).items()))
     score, lanes, inputs = np.array(tail), Lanes(documents, n_lanes), model.inputs()
-    h = np.zeros((n_lanes, HIDDEN), np.float32)
+    h = np.zeros((n_lanes, model.size.hidden), np.float32)
     for first in range(0, len(lanes.bounds) - 1, window):
         bounds, seen = lanes.bounds[first : first + window + 1].tolist(), []
         for lo, hi in zip(bounds, bounds[1:]):
@@ -400,7 +419,7 @@ def score_batch(column: list[bytes], model: GruModel, vocabulary: Vocabulary, n_
     return list(zip(map(len, documents), table_tokens, base, score.tolist(), rest, strict=True))
 
 
-def fit(training: DataFrame, scratch: Scratch, counts: DataFrame, rounds: int, share: float, max_table: int):
+def fit(training: DataFrame, scratch: Scratch, counts: DataFrame, rounds: int, share: float, max_table: int, size: Size):
     """(vocabulary, model, cut): words with a count of at least ``cut`` are in the vocabulary's table."""
     spark = training.sparkSession
     log_bin = F.floor(F.log2("c") * 8).cast("int")
@@ -415,7 +434,7 @@ def fit(training: DataFrame, scratch: Scratch, counts: DataFrame, rounds: int, s
     tails = counts.groupBy("tail").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("n")).collect()
     n_types = sum(r["n"] for r in tails)
     vocabulary = Vocabulary(
-        [bytes(w) for w in words["word"]], words["c"].tolist(), {r["tail"]: (r["c"], r["n"]) for r in tails}, sum(r["c"] for r in tails), n_types
+        [bytes(w) for w in words["word"]], words["c"].tolist(), {r["tail"]: (r["c"], r["n"]) for r in tails}, sum(r["c"] for r in tails), n_types, size
     )
     shared, model = spark.sparkContext.broadcast(vocabulary), GruModel(vocabulary)
     parts = max(rounds, round(rounds / share))
@@ -434,6 +453,7 @@ def score_documents(
     rounds: int = 3,
     share: float = 0.25,
     max_table: int = 200_000,
+    size: Size = NETWORK,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -443,8 +463,8 @@ def score_documents(
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     out_of_fold = F.coalesce(fold("id", folds) == held_out, F.lit(False))
     training = rows.where(~out_of_fold)
-    counts = scratch.keep(token_counts(training))
-    vocabulary, model, cut = fit(training, scratch, counts, rounds, share, max_table)
+    counts = scratch.keep(token_counts(training, size.tails))
+    vocabulary, model, cut = fit(training, scratch, counts, rounds, share, max_table, size)
     n_tokens, n_types = vocabulary.n_tokens, vocabulary.n_types
     if not n_tokens:
         zero, none = F.lit(0.0), F.lit(0).cast("long")

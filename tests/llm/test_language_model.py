@@ -158,3 +158,19 @@ def test_training_lowers_the_loss_and_averages_copies(spark):
         trainer.learn(ids)
     assert sum(r[3] for r in L.score_batch([t.encode() for t in texts], m, v)) > 0.5 * before
     assert L.average_round(training.where(F.lit(False)), m, shared, Scratch(spark, "t")) is None
+
+
+def test_documents_are_scored_by_the_whole_network(spark, monkeypatch):
+    """2048 head words in 32 classes, 32 tail classes and 32 hidden units; a word of rank 2000 has its own output."""
+    made, fit = [], L.fit
+    monkeypatch.setattr(L, "fit", lambda *a: made.append(fit(*a)) or made[-1])
+    rows = [doc(k, " ".join(f"w{j}" for j in range(k, 2600, 40) for _ in range(1 + (j < 2100)))) for k in range(40)]
+    rows += [doc(100 + k, " ".join(f"w{j}" for j in range(2100))) for k in range(7)]
+    got = L.score_documents(frame(spark, rows)).collect()
+    vocabulary, model, _ = made[0]
+    assert len(got) == len(rows) and all(np.isfinite(r.score) and r.score < 0 for r in got)
+    assert model.gates.shape == (2048 + 32, 96) and model.recurrent.shape == (32, 96)
+    assert model.classes.shape == (32, 64) and model.members.shape == (32, 32, 64)
+    assert sorted(vocabulary.ids[vocabulary.ids < 2048].tolist()) == list(range(2048))
+    beyond = vocabulary.ids[vocabulary.ids >= 2048]
+    assert len(beyond) and beyond.max() < 2048 + 32 and len(set(beyond.tolist())) > 16
