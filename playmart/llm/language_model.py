@@ -451,7 +451,7 @@ def score_documents(
     folds: int = 7,
     held_out: int = 2,
     rounds: int = 3,
-    share: float = 0.25,
+    share: float = 1.0,
     max_table: int = 200_000,
     size: Size = NETWORK,
     id_col: str = "doc_id",

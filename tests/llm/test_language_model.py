@@ -174,3 +174,10 @@ def test_documents_are_scored_by_the_whole_network(spark, monkeypatch):
     assert sorted(vocabulary.ids[vocabulary.ids < 2048].tolist()) == list(range(2048))
     beyond = vocabulary.ids[vocabulary.ids >= 2048]
     assert len(beyond) and beyond.max() < 2048 + 32 and len(set(beyond.tolist())) > 16
+
+
+def test_every_training_document_trains_the_network_once(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(L, "average_round", lambda training, *_: seen.extend(r.id for r in training.select("id").collect()))
+    L.score_documents(frame(spark, [doc(k, f"a text {k}") for k in range(200)])).count()
+    assert sorted(seen) == [k for k in range(200) if zlib.crc32(str(k).encode()) % 7 != 2]
