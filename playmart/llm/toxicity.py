@@ -5,14 +5,15 @@ word, are learned from labelled texts: one from toxic, one from ordinary documen
 The highest order has counts per class; every lower order is the Kneser-Ney
 continuation count shared by both, so an expression that one class never showed falls
 back to the same probability in both and says little either way. The two
-log-likelihoods of a window of ``WINDOW`` words are divided by its length; a document
-is described by its highest window difference and by the difference over the whole
-text (a repeated word counts once), and a logistic fit on labelled documents that the
-counts didn't use turns both into a score.
+log-likelihoods of a window of ``WINDOW`` words are divided by its length (a word that
+recurs in the window counts once in it); a document is described by its highest window
+difference and by the mean difference of its distinct words, and a logistic fit on
+labelled documents that the counts didn't use turns both into a score.
 
 The fit uses at most ``max_rows`` labelled documents of each class (those with the
-smallest hash of their id), so the model that is broadcast is bounded; scoring reads
-every document whole.
+smallest hash of their id), so the model that is broadcast is bounded; the logistic fit
+weights them by the labelled documents of the class each stands for, so the cap doesn't
+move the threshold. Scoring reads every document whole.
 
 Defined results: NULL, empty and blank texts score like a text without evidence; without
 a labelled document of both classes every score is 0 (or 1 if all are toxic); labels that
@@ -136,21 +137,28 @@ class ToxicityModel:
         self.cache.update(zip(new, range(first, first + len(new)), strict=True))
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         codes = np.fromiter(map(self.cache.__getitem__, chain.from_iterable(words)), np.int64, int(sizes.sum()))
-        # A word counts where a document first has it: repeats are no further evidence.
-        once = np.unique(np.repeat(np.arange(len(words)), sizes) * len(self.values) + codes, return_index=True)[1]
-        values = np.zeros(len(codes))
-        values[once] = self.values[codes[once]]
-        sums = np.concatenate([[0.0], np.cumsum(values)])
+        # The place where the document has the same word before, or -1.
+        owner = np.repeat(np.arange(len(words)), sizes)
+        keys = owner * len(self.values) + codes
+        order = np.argsort(keys, kind="stable")
+        again = keys[order[1:]] == keys[order[:-1]]
+        before = np.full(len(codes), -1)
+        before[order[1:][again]] = order[:-1][again]
+        values, new = self.values[codes], before < 0
         ends = np.cumsum(sizes)
         starts = ends - sizes
-        mean = (sums[ends] - sums[starts]) / np.maximum(sizes, WINDOW)
+        # Over the whole text each distinct word counts once, in the sum and in its length.
+        mean = np.bincount(owner[new], values[new], len(words)) / np.maximum(np.bincount(owner[new], minlength=len(words)), WINDOW)
         # Windows start every STRIDE words; the last one ends with the text.
         n = np.maximum(1, -(-np.maximum(sizes - WINDOW, 0) // STRIDE) + 1)
         doc = np.repeat(np.arange(len(words)), n)
         k = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
         lo = starts[doc] + np.maximum(0, np.minimum(k * STRIDE, sizes[doc] - WINDOW))
-        hi = np.minimum(lo + WINDOW, ends[doc])
-        best = np.maximum.reduceat((sums[hi] - sums[lo]) / WINDOW, np.cumsum(n) - n) if len(words) else np.zeros(0)
+        total = np.zeros(len(lo))
+        for k in range(WINDOW if len(codes) else 0):
+            at = np.minimum(lo + k, len(codes) - 1)
+            total += np.where((lo + k < ends[doc]) & (before[at] < lo), values[at], 0)
+        best = np.maximum.reduceat(total / WINDOW, np.cumsum(n) - n) if len(words) else np.zeros(0)
         return np.column_stack([best, mean])
 
     def score(self, documents: list[bytes]) -> np.ndarray:

@@ -114,3 +114,23 @@ def test_windows_cover_the_whole_text():
     clean = model.features([" ".join(long).encode()])[0, 0]
     late = model.features([" ".join([*long, "idiot"]).encode()])[0, 0]
     assert late > clean + 0.1
+
+
+def test_late_dense_passage_and_repeated_line_count_in_full():
+    model = T.fit([(" ".join(words(40, k) + (random.Random(k).sample(BAD, 5) if k % 2 else [])).encode(), k % 2) for k in range(240)])
+    passage = [*BAD, *words(1, 3), "idiot", "moron"]
+    clean = words(20_000, 1)
+    spread = list(clean)
+    for k, bad in enumerate(BAD):  # each word occurs early, alone among clean ones
+        spread.insert(500 * (k + 1), bad)
+    score = lambda ws: model.features([" ".join(ws).encode()])[0]
+    late, alone = score([*spread, *passage]), score([*words(8, 5), *passage])
+    assert late[0] > score(spread)[0] + 0.1 and late[0] >= 0.95 * score(passage)[0]
+    assert alone[0] > score(clean)[0]
+    line = [*words(6, 4), "idiot", "scum"]
+    assert np.allclose(score(line * 1000)[1], score(line)[1]) and score(line)[1] > 0
+    best = max(score(line[k:] + line[:k])[0] for k in range(8))
+    assert score(line * 1000)[0] <= best + 1e-9 and score(line * 1000)[0] >= score(line)[0] - 1e-9
+    # Texts side by side don't touch one another.
+    both = model.features([b"", " ".join(passage).encode(), b"", " ".join(line).encode()])
+    assert np.allclose(both[[1, 3]], [score(passage), score(line)]) and not both[[0, 2]].any()
