@@ -186,19 +186,20 @@ def _counts(documents: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return grams, counts
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
-    """Newton steps for a ridge logistic regression with an intercept."""
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
+    """Newton steps for a ridge logistic regression of weighted rows with an intercept."""
     x = np.column_stack([x, np.ones(len(x))])
     w, penalty = np.zeros(x.shape[1]), ridge * np.diag([1.0, 1.0, 1e-3])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -50, 50)))
-        step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + penalty, x.T @ (y - p) - penalty @ w)
+        step = np.linalg.solve(x.T @ (x * (weight * p * (1 - p))[:, None]) + penalty, x.T @ (weight * (y - p)) - penalty @ w)
         w += np.clip(step, -5, 5)
     return w
 
 
-def fit(rows: list[tuple[bytes, int]]) -> ToxicityModel:
-    """A model from (text, label) rows in a fixed order; counts and weights use different thirds in turn."""
+def fit(rows: list[tuple[bytes, int]], sizes: dict[int, int] | None = None) -> ToxicityModel:
+    """A model from (text, label) rows in a fixed order; counts and weights use different thirds in turn,
+    copies of a text being in one third. ``sizes``: the labelled documents of each class, of which the rows are a sample."""
     labels = np.array([y for _, y in rows], np.int64)
     if not len(rows) or labels.min() == labels.max():
         return ToxicityModel(None, None, float(labels.max()) if len(rows) else 0.0)
@@ -209,8 +210,9 @@ def fit(rows: list[tuple[bytes, int]]) -> ToxicityModel:
 
     part = np.zeros(len(rows), np.int64)
     for label in (0, 1):
-        of = np.flatnonzero(labels == label)
-        part[of] = np.arange(len(of)) % 3
+        distinct: dict[bytes, int] = {}
+        for i in np.flatnonzero(labels == label).tolist():
+            part[i] = distinct.setdefault(documents[i], len(distinct)) % 3
     x = np.zeros((len(rows), 2))
     for k in range(3):
         out = part == k
@@ -218,20 +220,25 @@ def fit(rows: list[tuple[bytes, int]]) -> ToxicityModel:
             model = ToxicityModel(ratios(~out), None)
             held = [documents[i] for i in np.flatnonzero(out)]
             x[out] = np.concatenate([model.features(held[lo:hi]) for lo, hi in slices(held, 2 << 20)])
-    return ToxicityModel(ratios(np.ones(len(rows), bool)), _logistic(x, labels))
+    kept = np.bincount(labels, minlength=2)
+    share = np.array([sizes[0], sizes[1]], float) if sizes else kept.astype(float)
+    weight = (share / share.sum() * kept.sum() / kept)[labels]  # 1 where nothing is left out
+    return ToxicityModel(ratios(np.ones(len(rows), bool)), _logistic(x, labels, weight))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int, id_col: str, text_col: str, folds: int, held_out: int) -> list:
-    """At most ``max_rows`` labelled texts of each class, in the order of a hash of the id."""
+def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int, id_col: str, text_col: str, folds: int, held_out: int) -> tuple[list, dict[int, int]]:
+    """At most ``max_rows`` labelled texts of each class, in the order of a hash of the id, and each class's documents."""
     marked = labels.where(F.col("toxic").isin(0, 1)).groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").alias("_y"))
     marked = marked.where(fold("_id", folds) != held_out)
     texts_of = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"))
     # Labelled documents that exist are ranked on ids alone; the texts are joined to the few that are kept.
-    kept = bounded_sample(marked.join(texts_of.select("_id").distinct(), "_id", "left_semi"), "_y", max_rows, ["_id"])
+    known = marked.join(texts_of.select("_id").distinct(), "_id", "left_semi")
+    kept = bounded_sample(known, "_y", max_rows, ["_id"])
     # At most max_rows rows a class: bounded by the parameter, so broadcast.
     chosen = texts_of.join(F.broadcast(kept), "_id").groupBy("_id", "_y", "__rank").agg(F.min("_t").alias("_t"))
     rows = [((r["_t"] or "").encode(), r["_y"], r["__rank"]) for r in chosen.collect()]
-    return [(t, y) for t, y, _ in sorted(rows, key=lambda r: r[1:])]
+    sizes = {r["_y"]: r["count"] for r in known.groupBy("_y").count().collect()}
+    return [(t, y) for t, y, _ in sorted(rows, key=lambda r: r[1:])], sizes
 
 
 def score_toxicity(
@@ -246,7 +253,7 @@ def score_toxicity(
 ) -> DataFrame:
     """``docs`` with the double column ``out`` (0 to 1). Labels of ids whose crc32 modulo
     ``folds`` is ``held_out`` are never learned."""
-    model = fit(training_rows(docs, labels, max_rows, id_col, text_col, folds, held_out))
+    model = fit(*training_rows(docs, labels, max_rows, id_col, text_col, folds, held_out))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("double")

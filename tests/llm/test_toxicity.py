@@ -134,3 +134,24 @@ def test_late_dense_passage_and_repeated_line_count_in_full():
     # Texts side by side don't touch one another.
     both = model.features([b"", " ".join(passage).encode(), b"", " ".join(line).encode()])
     assert np.allclose(both[[1, 3]], [score(passage), score(line)]) and not both[[0, 2]].any()
+
+
+def test_the_cap_does_not_move_the_threshold(spark):
+    """A labelled corpus without clear borders, 12 times over and past the cap, gives the same predictions."""
+    rnd, rows, labels = random.Random(4), [], []
+    for k in range(500):
+        toxic = k % 8 == 0
+        said = rnd.random() < (0.7 if toxic else 0.1)  # the same words in both classes
+        rows.append(doc(k, " ".join(words(rnd.randint(8, 40), k) + ([rnd.choice(BAD)] if said else []))))
+        labels.append((k, 1, int(toxic)))
+    copies = [(j * 1000 + r[0], *r[1:]) for j in range(12) for r in rows]
+    marks = [(j * 1000 + i, q, y) for j in range(12) for i, q, y in labels]
+
+    def scores(rows, labels):
+        scored = T.score_toxicity(frame(spark, rows), spark.createDataFrame(labels, LABELS), max_rows=500)
+        return {r.doc_id: r.score for r in scored.where("doc_id < 500").collect()}
+
+    one, many = scores(rows, labels), scores(copies, marks)
+    flips = sum((one[i] >= 0.5) != (many[i] >= 0.5) for i in one)
+    assert flips <= 10
+    assert abs(np.mean(list(one.values())) - np.mean(list(many.values()))) < 0.05
