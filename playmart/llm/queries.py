@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from . import licenses
 from .decontaminate import op3_decontaminate
+from .fill_middle import op12_fill_middle
 from .fingerprints import op7_fingerprints
 from .language_id import op2_language_id
 from .language_model import op1_language_model
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_toxicity": op9_toxicity,
     "op10_packing": op10_packing,
+    "op12_fill_middle": op12_fill_middle,
 }
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
          '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
@@ -60,4 +62,15 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, las
        coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
        CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(c, 0.0)::DOUBLE END AS score
 FROM d LEFT JOIN base USING (r) LEFT JOIN tags USING (r) LEFT JOIN every USING (r) LEFT JOIN best USING (r)""",
+    "op12_fill_middle": """WITH t AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS w,
+              sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+d AS (SELECT *, len(w) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(w) + 1) AS c1, CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(w) + 1) AS c2,
+             CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 AS h4 FROM t),
+f AS (SELECT *, CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 >= 90 THEN 'plain'
+                     WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form, least(c1, c2) AS a, greatest(c1, c2) AS b FROM d),
+p AS (SELECT *, array_to_string(w[1:a], '') AS prefix, array_to_string(w[a + 1:b], '') AS middle, array_to_string(w[b + 1:], '') AS suffix FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256
+FROM p""",
 }
