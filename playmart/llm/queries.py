@@ -10,6 +10,7 @@ from .language_id import op2_language_id
 from .language_model import op1_language_model
 from .licenses import op6_licenses
 from .packing import op10_packing
+from .periodic_runs import op11_periodic_runs
 from .secrets import op4_secrets
 from .simhash import op5_simhash
 from .token_counts import op8_token_counts
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_toxicity": op9_toxicity,
     "op10_packing": op10_packing,
+    "op11_periodic_runs": op11_periodic_runs,
     "op12_fill_middle": op12_fill_middle,
 }
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
