@@ -11,6 +11,7 @@ from .language_model import op1_language_model
 from .licenses import op6_licenses
 from .packing import op10_packing
 from .periodic_runs import op11_periodic_runs
+from .repeats import op13_substring_dedup
 from .secrets import op4_secrets
 from .simhash import op5_simhash
 from .token_counts import op8_token_counts
@@ -29,6 +30,7 @@ QUERIES = {
     "op10_packing": op10_packing,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_fill_middle": op12_fill_middle,
+    "op13_substring_dedup": op13_substring_dedup,
 }
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
          '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
@@ -75,4 +77,12 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS pre
        sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
                         ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256
 FROM p""",
+    "op13_substring_dedup": r"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+spots AS (SELECT r, doc_id, i, array_to_string(w[i:i + 12], ' ') AS g FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
+first AS (SELECT g, min(doc_id) AS low FROM spots GROUP BY g),
+gone AS (SELECT DISTINCT r, p FROM (SELECT r, unnest(range(i, i + 13)) AS p FROM spots JOIN first USING (g) WHERE doc_id > low)),
+kept AS (SELECT r, string_agg(x, ' ' ORDER BY p) AS kept, count(*) AS n
+         FROM (SELECT r, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d) ANTI JOIN gone USING (r, p) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)""",
 }
