@@ -78,74 +78,109 @@ def order_groups(orders: DataFrame, keys=GROUP_KEYS) -> DataFrame:
     )
 
 
-def refund_groups(orders: DataFrame, keys=GROUP_KEYS) -> DataFrame:
-    """Refunds per group, counting only refunds whose order id also has a payment."""
+# An order id held by at least one in HOT_IDS refund rows is hot; a bounded counter finds these.
+HOT_IDS, HOT_TRACKED = 1_000, 10_000
+
+
+def hot_ids(rows: DataFrame, id_col: str) -> list:
+    """The ids held by at least 1 / HOT_IDS of the rows, so at most HOT_IDS values.
+
+    One pass with a counter of HOT_TRACKED entries a task, merged by Spark: nothing is
+    shuffled by id. The counter may miss an id that is only just hot, never a larger one.
+    """
+    top = F.expr(f"approx_top_k(`{id_col}`, {HOT_IDS}, {HOT_TRACKED})")
+    found = rows.where(F.col(id_col).isNotNull()).agg(top.alias("top"), F.count(F.lit(1)).alias("n")).first()
+    return [x["item"] for x in found["top"] or [] if x["count"] * HOT_IDS >= found["n"]]
+
+
+def paid_refunds(orders: DataFrame) -> DataFrame:
+    """Refund rows whose order id also has a payment (a NULL id has none).
+
+    Only refund rows and distinct paid ids meet by id. A hot id would bring all its refund rows to one
+    task, so the few hot ids are looked up first and their rows filtered in place; of the
+    other ids none has more than 1 / HOT_IDS of the rows.
+    """
+    key = F.col("order_id")
     # Distinct paid ids: deduplicated map-side, and the shuffle that does it is
     # already partitioned by order_id for the semi join.
     paid = orders.where(F.col("order_type") == PAYMENT).select("order_id").distinct()
-    refunds = semi_join(orders.where(F.col("order_type") == REFUND), paid, "order_id")
-    return refunds.groupBy(*keys).agg(
+    refunds = orders.where(F.col("order_type") == REFUND)
+    hot = hot_ids(refunds, "order_id")
+    if not hot:
+        return semi_join(refunds, paid, "order_id")
+    hot_paid = [r[0] for r in paid.where(key.isin(hot)).collect()]
+    rest = semi_join(refunds.where(~key.isin(hot)), paid.where(~key.isin(hot)), "order_id")
+    return rest.unionByName(refunds.where(key.isin(hot_paid))) if hot_paid else rest
+
+
+def refund_groups(orders: DataFrame, keys=GROUP_KEYS) -> DataFrame:
+    """Refunds per group, counting only refunds whose order id also has a payment."""
+    return paid_refunds(orders).groupBy(*keys).agg(
         F.count_distinct("uid").alias("total_user_refund_cnt"),
         F.count("order_id").alias("total_order_refund_cnt"),
         F.sum(_amount()).cast(MONEY).alias("total_refund"),
     )
 
 
-def group_table(orders: DataFrame, keys=GROUP_KEYS) -> DataFrame:
-    """Order rows, payments and refunds per group in one pass over the orders.
+def user_lines(orders: DataFrame, keys=GROUP_KEYS) -> DataFrame:
+    """Per (group, user): ``n_od`` order rows, ``n_pay`` payments, ``n_ids`` of them with an order id, their
+    amount ``pay``, ``n_ref`` refunds of paid orders and their amount ``ref``.
 
-    Columns: ``n_od`` (all order rows), ``n_pay`` and ``n_ref`` (payment rows; refund
-    rows whose order id also has a payment), and the columns of ``revenue_groups`` and
-    ``refund_groups``, NULL where the group has no such row. Rows meet by order id
-    once, which flags the paid ids; a NULL id matches nothing, so these rows are
-    spread by their other columns. Whatever follows works on per-user and per-group rows.
+    Payments are summed where they are read and never travel by order id.
     """
-    keys = list(keys)
-    pay, refund = F.col("order_type") == PAYMENT, F.col("order_type") == REFUND
-    alone = F.concat(F.lit("\u0000"), F.xxhash64(*keys, "uid").cast("string"))
-    rows = orders.select(*keys, "uid", "order_id", "order_type", _amount().alias("_amt"),
-                         F.coalesce(F.col("order_id").cast("string"), alone).alias("_o")).repartition("_o")
-    lines = rows.groupBy("_o", "order_id", *keys, "uid").agg(
-        F.count(F.lit(1)).alias("n_od"),
-        F.count_if(pay).alias("n_pay"),
-        F.sum(F.when(pay, F.col("_amt"))).alias("_pay"),
-        F.count_if(refund).alias("n_ref"),
-        F.sum(F.when(refund, F.col("_amt"))).alias("_ref"),
+    keys, pay = list(keys), F.col("order_type") == PAYMENT
+    zero = F.lit(0).cast("decimal(31,2)")
+    amount = _amount().cast("decimal(31,2)")
+    rows = orders.select(
+        *keys, "uid", F.lit(1).alias("n_od"), F.when(pay, 1).otherwise(0).alias("n_pay"),
+        F.when(pay & F.col("order_id").isNotNull(), 1).otherwise(0).alias("n_ids"), F.when(pay, amount).otherwise(zero).alias("pay"),
+        F.lit(0).alias("n_ref"), zero.alias("ref"),
     )
-    paid = F.max(F.col("n_pay") > 0).over(Window.partitionBy("_o")) & F.col("order_id").isNotNull()
-    lines = lines.withColumn("_paid", paid)
-    ids = F.when(F.col("order_id").isNotNull(), F.col("n_pay")).otherwise(0)
-    per_user = lines.groupBy(*keys, "uid").agg(
-        F.sum("n_od").alias("n_od"),
-        F.sum("n_pay").alias("n_pay"),
-        F.sum(ids).alias("_ids"),
-        F.sum("_pay").alias("_pay"),
-        F.sum(F.when(F.col("_paid"), F.col("n_ref")).otherwise(0)).alias("n_ref"),
-        F.sum(F.when(F.col("_paid"), F.col("_ref"))).alias("_ref"),
+    back = paid_refunds(orders).select(
+        *keys, "uid", *[F.lit(0).alias(c) for c in ("n_od", "n_pay", "n_ids")], zero.alias("pay"), F.lit(1).alias("n_ref"),
+        F.coalesce(amount, zero).alias("ref"),
     )
-    known = F.col("uid").isNotNull()
-    out = per_user.groupBy(*keys).agg(
+    sums = ("n_od", "n_pay", "n_ids", "n_ref")
+    return rows.unionByName(back).groupBy(*keys, "uid").agg(
+        *[F.sum(c).alias(c) for c in sums], *[F.sum(c).cast("decimal(31,2)").alias(c) for c in ("pay", "ref")])
+
+
+def fold_user_lines(lines: DataFrame, keys=GROUP_KEYS) -> DataFrame:
+    """``user_lines`` -> per group, the columns of ``group_table``."""
+    keys, known = list(keys), F.col("uid").isNotNull()
+    out = lines.groupBy(*keys).agg(
         F.sum("n_od").alias("n_od"),
         F.sum("n_pay").alias("n_pay"),
         F.count_if(known & (F.col("n_pay") > 0)).alias("_users"),
-        F.sum("_ids").alias("_ids"),
-        F.sum("_pay").cast(MONEY).alias("total_revenue"),
+        F.sum("n_ids").alias("_ids"),
+        F.sum("pay").cast(MONEY).alias("_pay"),
         F.sum("n_ref").alias("n_ref"),
         F.count_if(known & (F.col("n_ref") > 0)).alias("_rusers"),
-        F.sum("_ref").cast(MONEY).alias("total_refund"),
+        F.sum("ref").cast(MONEY).alias("_ref"),
     )
     has_pay, has_ref = F.col("n_pay") > 0, F.col("n_ref") > 0
     return out.select(
         *keys, "n_od", "n_pay",
         F.when(has_pay, F.col("_users")).alias("total_user_cnt"),
         F.when(has_pay, F.col("_ids")).alias("total_order_cnt"),
-        "total_revenue", "n_ref",
+        F.when(has_pay, F.col("_pay")).alias("total_revenue"),
+        "n_ref",
         F.when(has_ref, F.col("_rusers")).alias("total_user_refund_cnt"),
         F.when(has_ref, F.col("n_ref")).alias("total_order_refund_cnt"),
-        "total_refund",
+        F.when(has_ref, F.col("_ref")).alias("total_refund"),
     )
 
 
+def group_table(orders: DataFrame, keys=GROUP_KEYS) -> DataFrame:
+    """Order rows, payments and refunds per group.
+
+    Columns: ``n_od`` (all order rows), ``n_pay`` and ``n_ref`` (payment rows; refund
+    rows whose order id also has a payment), and the columns of ``revenue_groups`` and
+    ``refund_groups``, NULL where the group has no such row.
+    """
+    return fold_user_lines(user_lines(orders, keys), keys)
+
+
 def new_users(users: DataFrame, reg_mid: str = "reg_mid") -> DataFrame:
     """Distinct registered users per registration machine."""
     return users.groupBy(F.col(reg_mid).alias("mid")).agg(F.count_distinct("uid").alias("new_user_cnt"))

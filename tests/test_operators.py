@@ -337,3 +337,70 @@ def test_rank_hot_value_is_spread(spark):
     a = ranking.rank_rows(df, ["v"], tie_break=["k"], out="r", num_ranges=8)
     b = ranking.rank_rows_window(df, ["v"], tie_break=["k"], out="r")
     assert rows_set(a) == rows_set(b)
+
+
+def groups_by_definition(rows):
+    """rows (mid, pkg, type, uid, order id, order type, price) -> group_table by definition."""
+    paid = {o for *_, o, t, _ in rows if t == 1 and o is not None}
+    groups = {}
+    for m, p, t, u, o, kind, price in rows:
+        g = groups.setdefault((m, p, t), {"n": 0, "pay": [], "ref": []})
+        g["n"] += 1
+        if kind == 1:
+            g["pay"].append((u, o, price))
+        elif kind == 2 and o in paid:
+            g["ref"].append((u, o, price))
+    out = []
+    for key, g in groups.items():
+        row = [*key, g["n"]]
+        for part, ids in (("pay", True), ("ref", False)):
+            lines = g[part]
+            row.append(len(lines))
+            row += [None] * 3 if not lines else [
+                len({u for u, _, _ in lines if u is not None}), sum(o is not None for _, o, _ in lines) if ids else len(lines), sum(x for *_, x in lines)]
+        out.append(tuple(row))
+    return sorted(out, key=str)
+
+
+def order_frame(spark, rows):
+    df = spark.createDataFrame([(m, p, t, u, o, k, str(x)) for m, p, t, u, o, k, x in rows],
+                               "mid long, pkg_id int, m_type int, uid string, order_id string, order_type int, price string")
+    return df.select("mid", "pkg_id", "m_type", "uid", "order_id", "order_type", F.col("price").cast("decimal(20,2)").alias("coin_price"), F.lit(1).alias("coin_cnt"))
+
+
+def group_rows(df):
+    cols = ["mid", "pkg_id", "m_type", "n_od", "n_pay", "total_user_cnt", "total_order_cnt", "total_revenue",
+            "n_ref", "total_user_refund_cnt", "total_order_refund_cnt", "total_refund"]
+    return sorted((tuple(int(v) if v is not None and c not in ("mid", "pkg_id", "m_type") else v for c, v in zip(cols, r)) for r in df.select(*cols).collect()), key=str)
+
+
+@pytest.mark.parametrize("hot_paid", [True, False])
+def test_group_table_with_hot_and_null_ids(spark, hot_paid):
+    rnd = random.Random(4)
+    rows = []
+    for i in range(6000):
+        o = rnd.choice(["null", None, str(rnd.randrange(900)), "null"])
+        kind = rnd.choice([1, 2, 3]) if hot_paid or o != "null" else rnd.choice([2, 3])
+        rows.append((rnd.choice([1, 2, 3, None]), rnd.choice([1, 2, None]), rnd.randrange(3), rnd.choice([None, *map(str, range(40))]), o, kind, rnd.randrange(100)))
+    got = group_rows(revenue.group_table(order_frame(spark, rows)))
+    assert got == groups_by_definition(rows)
+    assert revenue.hot_ids(order_frame(spark, rows).where("order_type = 2"), "order_id")[0] == "null"
+
+
+def test_hot_order_id_is_spread(spark, tmpdir_path):
+    """200,000 orders, two thirds with the id text ``null``: no task of the plan's shuffles has a large share."""
+    i = F.col("id")
+    df = spark.range(0, 200_000, numPartitions=8).select(
+        (i % 50).alias("mid"), (i % 7).cast("int").alias("pkg_id"), (i % 5).cast("int").alias("m_type"), F.pmod(F.xxhash64(i), F.lit(50_000)).cast("string").alias("uid"),
+        F.when(i % 3 != 0, F.lit("null")).otherwise((i % 60_000).cast("string")).alias("order_id"), (1 + F.pmod(F.hash(i), F.lit(2))).cast("int").alias("order_type"),
+        F.lit(1).cast("decimal(20,2)").alias("coin_price"), F.lit(1).alias("coin_cnt"))
+    hot = revenue.hot_ids(df.where("order_type = 2"), "order_id")
+    assert hot == ["null"]
+    refunds = revenue.paid_refunds(df)
+    sizes = [r["n"] for r in refunds.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert max(sizes) < 2 * sorted(sizes)[len(sizes) // 2]
+    rest = df.where((F.col("order_type") == 2) & (F.col("order_id") != "null")).repartition(8, "order_id")
+    dealt = sorted(r["n"] for r in rest.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())
+    assert dealt[-1] < 2 * dealt[len(dealt) // 2]
+    plain = df.where("order_type = 2").join(df.where("order_type = 1").select("order_id").distinct(), "order_id", "left_semi")
+    assert refunds.count() == plain.count()
