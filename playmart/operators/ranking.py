@@ -1,24 +1,28 @@
-"""Ranking, unpivot and rolling windows.
+"""Ranking, prefix sums, unpivot and rolling windows.
 
 ``rank_rows`` is ``row_number() OVER (PARTITION BY p ORDER BY o)`` that does
-not funnel a partition into one task. A few cut points on the sort key are
-computed once and put into the plan as literals; the range a row falls into is
-then a pure function of the row, so any cut points give the right ranks, however
-often the plan is evaluated and whether or not exchanges are reused. Rows are
-numbered inside (partition, range) and the row counts of the ranges before give
-the starting offset. The offsets have at most ``ranges + 2 * groups`` rows.
+not funnel a partition into one task. The input is evaluated once, into a scratch
+table. From there it is written as sorted runs: range partitions of the whole sort key,
+each sorted, with the number of the run and the row's place in it beside every row. As the runs
+are in order, the rank of a row is its place, less the place where its group starts in
+the run, plus the rows that the group has in earlier runs. These extents are read from
+the runs' own columns; there are at most ``runs + groups`` of them. No window sorts the rows
+again and the payload is shuffled once.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# One range holds about this many rows, and the cut points come from about this many keys a range.
+from playmart.sources.scratch import Scratch, free_name
+
+# One run holds about this many rows.
 ROWS_PER_RANGE = 2_000_000
-KEYS_PER_RANGE = 100
+# Extents are broadcast up to this many rows; beyond, rows and extents meet in a shuffled join.
+BROADCAST_EXTENTS = 200_000
+# monotonically_increasing_id: the partition in the upper bits, the row's place in the lower 33.
+PLACE_BITS = 33
 
 
 def _sort_exprs(cols, descending: bool) -> list[Column]:
@@ -29,32 +33,11 @@ def _sort_exprs(cols, descending: bool) -> list[Column]:
     return out
 
 
-def cut_points(df: DataFrame, key_cols: list[str], ranges: int, n_rows: int) -> list[tuple]:
-    """At most ``ranges - 1`` distinct keys in ascending order (NULLs first) that
-    split the rows about evenly; read from about KEYS_PER_RANGE keys a range."""
-    if ranges <= 1 or not n_rows:
-        return []
-    keys = df.select(*key_cols)
-    some = keys.sample(fraction=min(1.0, KEYS_PER_RANGE * ranges / n_rows), seed=1)
-    rows = [tuple(r) for r in some.distinct().orderBy(*_sort_exprs(key_cols, False)).collect()]
-    at = sorted({i * len(rows) // ranges for i in range(1, ranges)})
-    return [rows[i] for i in at if 0 < i < len(rows)]
-
-
-def range_number(df: DataFrame, key_cols: list[str], cuts: list[tuple]) -> Column:
-    """How many cut points are at most the row's key, by about 2 * sqrt(cuts) comparisons."""
-    if not cuts:
-        return F.lit(0)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    lit = lambda cut: F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(key_cols, cut)])
-    key = F.struct(*[F.col(c) for c in key_cols])
-    width = math.isqrt(len(cuts)) + 1
-    chunks = [cuts[i : i + width] for i in range(0, len(cuts), width)]
-    # Chunks that start at or below the key; the last of them is the one to look into.
-    started = F.size(F.filter(F.array(*[lit(c[0]) for c in chunks]), lambda c: c <= key))
-    inside = F.get(F.array(*[F.array(*[lit(c) for c in chunk]) for chunk in chunks]), started - 1)
-    below = F.size(F.filter(inside, lambda c: c <= key))
-    return F.when(started == 0, F.lit(0)).otherwise((started - 1) * width + below)
+def sorted_runs(stored: DataFrame, order: list[Column], runs: int, scratch: Scratch, at: str) -> DataFrame:
+    """``stored`` as ``runs`` range partitions of about equal size, each sorted; the column ``at``
+    ascends in the order over all rows and holds run << PLACE_BITS | place in the run."""
+    ranged = stored.repartitionByRange(runs, *order).sortWithinPartitions(*order)
+    return scratch.keep(ranged.withColumn(at, F.monotonically_increasing_id()))
 
 
 def rank_rows(
@@ -65,39 +48,42 @@ def rank_rows(
     out: str = "rank",
     descending: bool = False,
     num_ranges: int | None = None,
+    scratch: Scratch | None = None,
 ) -> DataFrame:
     """Dense 1..n row numbers per partition, ascending with NULLs first
     (``descending=True``: descending, NULLs last). ``tie_break`` columns must
     make the order total; the result then equals the plain window function with
-    the same ORDER BY. Rows whose whole sort key is equal share a range, and
+    the same ORDER BY. Rows whose whole sort key is equal share a run, and
     their order among themselves is open, as in the plain window.
 
     ``num_ranges`` (default: one per ROWS_PER_RANGE rows) changes the
-    parallelism only, never the result.
+    parallelism only, never the result. The result reads tables of ``scratch`` (default:
+    a new one); a caller that has stored the result may close it.
     """
-    partition_by, sort_cols = list(partition_by), list(dict.fromkeys([*order_by, *tie_break]))
-    n_rows = df.count()
-    ranges = num_ranges or -(-n_rows // ROWS_PER_RANGE)
-    key_cols = list(dict.fromkeys([*partition_by, *sort_cols]))
-    cuts = cut_points(df, key_cols, ranges, n_rows)
-    if not cuts:
-        return rank_rows_window(df, order_by, partition_by, tie_break, out, descending)
-    ranged = df.withColumn("_range", range_number(df, key_cols, cuts))
-    order = _sort_exprs(list(order_by) + list(tie_break), descending)
-    numbered = ranged.withColumn("_n", F.row_number().over(Window.partitionBy(*partition_by, "_range").orderBy(*order)))
-    counts = ranged.groupBy(*partition_by, "_range").agg(F.count(F.lit(1)).alias("_cnt"))
-    by_range = F.col("_range").desc() if descending else F.col("_range").asc()
-    before = Window.partitionBy(*partition_by).orderBy(by_range).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        *[F.col(c).alias(f"_g_{c}") for c in partition_by],
-        F.col("_range").alias("_r"),
-        F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_offset"),
-    )
-    cond = F.col("_range") == F.col("_r")
-    for c in partition_by:
-        cond = cond & numbered[c].eqNullSafe(offsets[f"_g_{c}"])
-    joined = numbered.join(offsets, cond)
-    return joined.select(*[numbered[c] for c in df.columns], (F.col("_offset") + F.col("_n")).cast("int").alias(out))
+    partition_by = list(partition_by)
+    scratch = scratch or Scratch(df.sparkSession, "rank")
+    stored = scratch.keep(df)
+    runs = num_ranges or -(-stored.count() // ROWS_PER_RANGE)
+    if runs <= 1:
+        return rank_rows_window(stored, order_by, partition_by, tie_break, out, descending)
+    at = free_name([*df.columns, out], "at")
+    sort_cols = [c for c in dict.fromkeys([*order_by, *tie_break]) if c not in partition_by]
+    order = [*_sort_exprs(partition_by, False), *_sort_exprs(sort_cols, descending)]
+    rows = sorted_runs(stored, order, runs, scratch, at)
+    run = F.shiftrightunsigned(F.col(at), PLACE_BITS)
+    groups = [F.col(c).alias(f"g{i}") for i, c in enumerate(partition_by)]
+    names = [f"g{i}" for i in range(len(partition_by))]
+    extents = scratch.keep(rows.groupBy(*groups, run.alias("run")).agg(F.min(at).alias("first"), F.count(F.lit(1)).alias("n")))
+    # A group has one extent a run; without groups there is one row a run.
+    before = Window.partitionBy(*names).orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.coalesce(F.sum("n").over(before), F.lit(0))
+    starts = extents.select(*names, F.col("run"), (F.col("first") - offset - 1).alias("start"))
+    if extents.count() <= BROADCAST_EXTENTS:
+        starts = F.broadcast(starts)
+    same = run == starts["run"]
+    for c, g in zip(partition_by, names):
+        same = same & rows[c].eqNullSafe(starts[g])
+    return rows.join(starts, same).select(*[rows[c] for c in df.columns if c != out], (rows[at] - starts["start"]).cast("int").alias(out))
 
 
 def rank_rows_window(
@@ -113,6 +99,28 @@ def rank_rows_window(
     return df.withColumn(out, F.row_number().over(w))
 
 
+def prefix_sums(
+    df: DataFrame, order_by: list[str], value: str, out: str, num_ranges: int | None = None, scratch: Scratch | None = None
+) -> DataFrame:
+    """The sum of ``value`` over all rows before each row, in one global order (ascending, NULLs first).
+
+    Summed inside each sorted run, plus the totals of the runs before: no task
+    sees more than a run, and what is broadcast has one row a run. ``order_by`` must make the order total.
+    """
+    scratch = scratch or Scratch(df.sparkSession, "prefix")
+    stored = scratch.keep(df)
+    runs = max(1, num_ranges or -(-stored.count() // ROWS_PER_RANGE))
+    at, run, total = (free_name([*df.columns, out], x) for x in ("at", "run", "total"))
+    rows = sorted_runs(stored, _sort_exprs(order_by, False), runs, scratch, at)
+    rows = rows.withColumn(run, F.shiftrightunsigned(F.col(at), PLACE_BITS))
+    inside = Window.partitionBy(run).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy(run).rowsBetween(Window.unboundedPreceding, -1)
+    totals = rows.groupBy(run).agg(F.sum(value).alias(total))
+    totals = totals.select(F.col(run), F.coalesce(F.sum(total).over(before), F.lit(0)).alias(total))
+    rows = rows.withColumn(out, F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    return rows.join(F.broadcast(totals), run).withColumn(out, F.col(out) + F.col(total)).select(*[c for c in df.columns if c != out], out)
+
+
 def unpivot(df: DataFrame, id_cols: list[str], columns: dict[str, str], name: str, value: str) -> DataFrame:
     """Wide -> long in one pass: one row per (input row, label) with the value.
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from playmart.functions.dates import shift_day
 from playmart.operators import features as feat
 from playmart.operators import geo, ranking, revenue, users
+from playmart.sources.scratch import Scratch
 
 RUN = "20240131"
 
@@ -330,13 +331,11 @@ def test_rank_hot_value_is_spread(spark):
     rnd = random.Random(1)
     rows = [(i, None if i % 3 == 0 else float(rnd.randint(0, 1000))) for i in range(30000)]
     df = spark.createDataFrame(rows, "k long, v double")
-    cuts = ranking.cut_points(df, ["v", "k"], 8, len(rows))
-    of = ranking.range_number(df, ["v", "k"], cuts).alias("n")
-    sizes = [r["count"] for r in df.select(of).groupBy("n").count().collect()]
-    assert len(sizes) == 8 and max(sizes) < 0.25 * len(rows)
+    runs = ranking.sorted_runs(df, [F.col("v").asc_nulls_first(), F.col("k")], 8, Scratch(spark, "t"), "at")
+    sizes = sorted(r["count"] for r in runs.groupBy(F.shiftrightunsigned("at", ranking.PLACE_BITS)).count().collect())
+    assert len(sizes) == 8 and sizes[-1] < 2 * sizes[0]
     a = ranking.rank_rows(df, ["v"], tie_break=["k"], out="r", num_ranges=8)
-    b = ranking.rank_rows_window(df, ["v"], tie_break=["k"], out="r")
-    assert rows_set(a) == rows_set(b)
+    assert rows_set(a) == rows_set(ranking.rank_rows_window(df, ["v"], tie_break=["k"], out="r"))
 
 
 def groups_by_definition(rows):
@@ -404,3 +403,43 @@ def test_hot_order_id_is_spread(spark, tmpdir_path):
     assert dealt[-1] < 2 * dealt[len(dealt) // 2]
     plain = df.where("order_type = 2").join(df.where("order_type = 1").select("order_id").distinct(), "order_id", "left_semi")
     assert refunds.count() == plain.count()
+
+
+def test_rank_rows_keeps_clashing_columns(spark):
+    clash = ["_range", "_n", "_cnt", "_at", "_offset", "run", "first", "start", "g0", "n"]
+    df = spark.range(0, 1000, numPartitions=5).select((F.col("id") * 7 % 101).alias("v"), (F.col("id") % 4).alias("p"), "id", *[(F.col("id") * 10 + i).alias(c) for i, c in enumerate(clash)])
+    for part in ([], ["p"], ["n"]):
+        a = ranking.rank_rows(df, ["v"], part, ["id"], out="r", num_ranges=6)
+        b = ranking.rank_rows_window(df, ["v"], part, ["id"], out="r")
+        assert a.columns == b.columns and rows_set(a) == rows_set(b)
+
+
+def test_rank_rows_many_groups_without_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "BROADCAST_EXTENTS", 0)
+    df = spark.range(0, 5000, numPartitions=5).select((F.col("id") * 7 % 101).alias("v"), (F.col("id") % 700).alias("p"), "id")
+    a = ranking.rank_rows(df, ["v"], ["p"], ["id"], out="r", num_ranges=6, descending=True)
+    assert rows_set(a) == rows_set(ranking.rank_rows_window(df, ["v"], ["p"], ["id"], out="r", descending=True))
+
+
+def test_rank_rows_empty_and_scratch_is_removed(spark):
+    import os
+
+    df = spark.createDataFrame([], "v long, k long")
+    assert ranking.rank_rows(df, ["v"], tie_break=["k"]).count() == 0
+    assert ranking.rank_rows(df, ["v"], tie_break=["k"], num_ranges=4).count() == 0
+    with Scratch(spark, "t") as scratch:
+        ranking.rank_rows(spark.range(9).select("id", F.lit(1).alias("v")), ["v"], tie_break=["id"], num_ranges=3, scratch=scratch).collect()
+        path = scratch.path.removeprefix("file://")
+        assert os.path.isdir(path)
+    assert not os.path.exists(path)
+
+
+def test_prefix_sums(spark):
+    df = spark.range(0, 3000, numPartitions=4).select((F.col("id") * 37 % 3001).alias("k"), (F.col("id") % 11).alias("v"), F.lit("x").alias("run"))
+    rows = sorted((r.k, r.v) for r in df.collect())
+    want, total = {}, 0
+    for k, v in rows:
+        want[k], total = total, total + v
+    for ranges in (None, 7):
+        got = ranking.prefix_sums(df, ["k"], "v", "before", ranges)
+        assert got.columns == ["k", "v", "run", "before"] and {r.k: r.before for r in got.collect()} == want

@@ -56,10 +56,12 @@ def test_onepass_features_partial_aggregation(spark):
     assert p.count("partial_count") >= 1
 
 
-def test_rank_ranges_are_literals(spark):
-    """The range of a row is computed from the row, not from an exchange, and each range sorts in its own group."""
-    p = plan(E.queries()["rank_lines"](spark, SF))
-    assert "rangepartitioning" not in p.lower() and "_range" in p
+def test_ranks_read_the_source_once(spark):
+    """What ranks reads the sorted runs and the extents: no scan of the source, no window over the rows."""
+    for name in ("rank_lines", "rank_lines_desc"):
+        p = plan(E.queries()[name](spark, SF))
+        assert "lineitem.parquet" not in p and "playmart-rank" in p
+        assert "BroadcastHashJoin" in p and p.count("Exchange hashpartitioning") <= 1
 
 
 @pytest.mark.parametrize("name", ["machine_revenue_grain", "machine_revenue_mid", "province_revenue"])
