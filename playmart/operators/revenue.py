@@ -8,6 +8,7 @@ product is never materialised here:
 
 * ``machine_statistics`` joins at the group grain (mid, pkg_id, m_type): one
   output row per order row, no fan-out.
+* ``fanout.fanout_table`` holds the product as factors and gives any interval of its rows.
 * ``fanout_weights`` gives, per (machine, pay type, machine-dimension row),
   the exact row count and column sums the fan-out would have produced, from
   per-machine aggregates (multiplicities are products of group counts).
@@ -186,7 +187,7 @@ def new_users(users: DataFrame, reg_mid: str = "reg_mid") -> DataFrame:
     return users.groupBy(F.col(reg_mid).alias("mid")).agg(F.count_distinct("uid").alias("new_user_cnt"))
 
 
-def _machine_users(users: DataFrame, orders: DataFrame) -> DataFrame:
+def machine_new_users(users: DataFrame, orders: DataFrame) -> DataFrame:
     """``new_users`` keyed with the orders' machine-id type."""
     nu = new_users(users)
     return nu.withColumn("mid", F.col("mid").cast(orders.schema["mid"].dataType))
@@ -243,7 +244,7 @@ def machine_statistics(
     """
     keys = tuple(keys)
     if not set(GROUP_KEYS) <= set(keys):
-        raise ValueError("keys must contain mid, pkg_id and m_type; use fanout_weights for the mid-only join")
+        raise ValueError("keys must contain mid, pkg_id and m_type; the mid-only join is fanout.fanout_table (rows) and fanout_weights (sums)")
     places = machine_places(mb, ml)
     dims = [c for c in STAT_DIM_COLS if c in places.columns]
     # All joins happen at the group and machine grain; the order rows are joined once, to the result.
@@ -254,7 +255,7 @@ def machine_statistics(
     totals = ["total_user_cnt", "total_order_cnt", "total_revenue",
               "total_user_refund_cnt", "total_order_refund_cnt", "total_refund"]
     grp = grp.select(*[f"_{k}" for k in keys], *[F.when(matched, F.col(c)).alias(c) for c in totals])
-    people = _machine_users(users, orders).withColumnRenamed("mid", "_umid")
+    people = machine_new_users(users, orders).withColumnRenamed("mid", "_umid")
     info = (
         grp.join(people, grp["_mid"] == people["_umid"], "left")
         .join(places.select(F.col("mid").alias("_pmid"), *dims), F.col("_mid") == F.col("_pmid"), "inner")
@@ -303,7 +304,7 @@ def fanout_weights(orders: DataFrame, users: DataFrame, mb: DataFrame, ml: DataF
     over = Window.partitionBy("mid")
     sums = ("n_rev", "r_users", "r_orders", "r_revenue", "n_ref", "f_users", "f_orders", "f_refund")
     od = own.select("mid", "m_type", "n_od", *[F.sum(c).over(over).alias(c) for c in sums])
-    w = od.join(_machine_users(users, orders), "mid", "left")
+    w = od.join(machine_new_users(users, orders), "mid", "left")
     rp = F.greatest(F.coalesce("n_rev", F.lit(0)), F.lit(1))
     fp = F.greatest(F.coalesce("n_ref", F.lit(0)), F.lit(1))
     n = F.col("n_od")

@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 
 from playmart.functions import dates, text
 from playmart.operators import features as feat
-from playmart.operators import geo, revenue, songs, users
+from playmart.operators import fanout, geo, revenue, songs, users
 from playmart.operators.relational import join_dim, non_empty, sentinel_split, union_sources
 from playmart.plans import schemas as S
 from playmart.sources import logs
+from playmart.sources.scratch import Scratch
 from playmart.sources.sinks import export, jdbc_options
 from playmart.sources.tables import DAY_COL, conform, overwrite_table, read_table, table_path, write_day
 
@@ -225,10 +226,14 @@ def _revenue_inputs(job: Job, day: str | None):
     return orders, people, mb, ml
 
 
-def machine_revenue(job: Job, day: str | None = None) -> DataFrame:
+def machine_revenue(job: Job, day: str | None = None, factors: bool = False) -> DataFrame:
     """Per order row, its (machine, package, pay type) revenue and refund
-    totals, machine new users, dimension and location (no fan-out)."""
+    totals, machine new users, dimension and location (no fan-out). With ``factors`` the rows of the
+    original's mid-only join are stored too, as factors: ``fanout_rows`` reads any interval of them."""
     orders, people, mb, ml = _revenue_inputs(job, day)
+    if factors:
+        with Scratch(job.spark, "fanout") as scratch:
+            fanout.fanout_table(orders, people, mb, ml, scratch).write(f"{job.path('tws_revenue_fanout_factors_d')}/{DAY_COL}={job.run_date}")
     stats = revenue.machine_statistics(orders, people, mb, ml)
     # The totals of the original's mid-only fan-out, stored once: L14 and L15 read them.
     weights = revenue.fanout_weights(orders, people, mb, ml).groupBy("adminid", "m_type", "province", *revenue.RATE_COLS)
@@ -237,6 +242,12 @@ def machine_revenue(job: Job, day: str | None = None) -> DataFrame:
     return job.write_day(stats, "tws_revenue_macstatistic_d", S.MACHINE_STATISTIC)
 
 
+def fanout_rows(job: Job, lo: int = 0, hi: int | None = None, day: str | None = None) -> DataFrame:
+    """Rows [lo, hi) of the day's mid-only statistics, as the original stored them (L9 with ``factors``)."""
+    path = f"{job.path('tws_revenue_fanout_factors_d')}/{DAY_COL}={day or job.run_date}"
+    return fanout.FanoutTable.read(job.spark, path).rows(lo, hi)
+
+
 def daily_logins(job: Job, snapshot_day: str | None = None) -> DataFrame:
     """Logins per day (every user snapshot row matches)."""
     logins = job.read("to_user_logininfo_d")

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from playmart.operators import revenue as rev
+from playmart.operators.fanout import fanout_table
 from playmart.operators.users import unify_users
 from playmart.plans.driver_tables import table
 from playmart.plans.q_text import MACHINE_LOCAL, MACHINE_UNION_SELECT, machine_local, machine_locations
@@ -174,6 +175,19 @@ def q_machine_revenue_mid(spark, d):
     )
 
 
+STAT_ROW = ("mid", "p_type", "pkg_id", "m_type", "machine_name", "adminid", "com_rate", "inv_rate", "province", "city", "township", "addressdetail", *rev.SUM_COLS)
+HALF = 10_000  # rows on each side of a machine's first row
+
+
+def q_fanout_interval(spark, d):
+    """The original's default rows around the first row of the machine that holds the middle row."""
+    t = fanout_table(clean(spark, d), users(spark, d), machine_star(spark, d), machine_geo(spark, d))
+    total = t.count()
+    start = t.machine_starts(total // 2, total // 2 + 1).agg(F.min("start")).first()[0] or 0
+    rows = t.rows(max(0, start - HALF), min(total, start + HALF))
+    return rows.select("row_no", *STAT_ROW, F.lit(total).alias("total_rows"))
+
+
 def q_province_count(spark, d):
     return rev.province_machine_count(machine_star(spark, d))
 
@@ -194,6 +208,7 @@ QUERIES = {
     "machine_star": q_machine_star,
     "machine_revenue_grain": q_machine_revenue_grain,
     "machine_revenue_mid": q_machine_revenue_mid,
+    "fanout_interval": q_fanout_interval,
     "province_count": q_province_count,
     "province_revenue": q_province_revenue,
     "operator_share": q_operator_share,
@@ -305,6 +320,26 @@ SELECT mid, m_type, CAST(count(*) AS BIGINT) AS n_rows,
        CAST(sum(new_user_cnt) AS BIGINT) AS new_user_cnt,
        CAST(sum(total_revenue) AS DECIMAL(38,2)) AS total_revenue, CAST(sum(total_refund) AS DECIMAL(38,2)) AS total_refund
 FROM fan GROUP BY mid, m_type""",
+    # The whole product is counted per machine; the machines that meet the interval are written out and numbered.
+    "fanout_interval": "WITH " + OD + ",\n" + USERS + ",\n" + MB + f""",
+sizes AS (SELECT od.mid, count(*) AS size
+          FROM od LEFT JOIN rev ON od.mid = rev.mid LEFT JOIN ref ON od.mid = ref.mid
+               JOIN mbd ON od.mid = mbd.mid LEFT JOIN ml ON od.mid = ml.mid GROUP BY od.mid),
+starts AS (SELECT mid, size, sum(size) OVER (ORDER BY mid) - size AS start, sum(size) OVER () AS total FROM sizes),
+mid_start AS (SELECT start AS s, total FROM starts WHERE start <= total // 2 AND start + size > total // 2),
+near AS (SELECT mid, start, s, mid_start.total FROM starts, mid_start WHERE start < s + {HALF} AND start + size > s - {HALF}),
+numbered AS (
+  SELECT near.start + row_number() OVER (PARTITION BY od.mid ORDER BY od.p_type NULLS FIRST, od.pkg_id NULLS FIRST, od.m_type NULLS FIRST,
+           rev.pkg_id NULLS FIRST, rev.m_type NULLS FIRST, ref.pkg_id NULLS FIRST, ref.m_type NULLS FIRST) - 1 AS row_no,
+         od.mid, od.p_type, od.pkg_id, {LABEL.format(c='od.m_type')} AS m_type, mbd.machine_name, mbd.adminid, mbd.com_rate, mbd.inv_rate,
+         COALESCE(ml.province, mbd.province) AS province, COALESCE(ml.city, mbd.city) AS city,
+         COALESCE(ml.township, mbd.address) AS township, ml.addressdetail,
+         rev.total_user_cnt, rev.total_order_cnt, rev.total_revenue,
+         ref.total_user_refund_cnt, ref.total_order_refund_cnt, ref.total_refund, nusr.new_user_cnt, near.s, near.total
+  FROM near JOIN od ON near.mid = od.mid LEFT JOIN rev ON od.mid = rev.mid LEFT JOIN ref ON od.mid = ref.mid
+       LEFT JOIN nusr ON CAST(od.mid AS VARCHAR) = nusr.mid JOIN mbd ON od.mid = mbd.mid LEFT JOIN ml ON od.mid = ml.mid)
+SELECT CAST(row_no AS BIGINT) AS row_no, {", ".join(STAT_ROW)}, CAST(total AS BIGINT) AS total_rows
+FROM numbered WHERE row_no >= s - {HALF} AND row_no < s + {HALF}""",
     "province_count": "WITH " + MB + """
 SELECT province, count(mid) AS mac_cnt FROM mb GROUP BY province""",
     "province_revenue": ALL + """
