@@ -125,21 +125,21 @@ def refund_groups(orders: DataFrame, keys=GROUP_KEYS) -> DataFrame:
 
 def user_lines(orders: DataFrame, keys=GROUP_KEYS) -> DataFrame:
     """Per (group, user): ``n_od`` order rows, ``n_pay`` payments, ``n_ids`` of them with an order id, their
-    amount ``pay``, ``n_ref`` refunds of paid orders and their amount ``ref``.
+    amount ``pay``, ``n_ref`` refunds of paid orders and their amount ``ref`` (NULL where all amounts are).
 
     Payments are summed where they are read and never travel by order id.
     """
     keys, pay = list(keys), F.col("order_type") == PAYMENT
-    zero = F.lit(0).cast("decimal(31,2)")
+    none = F.lit(None).cast("decimal(31,2)")
     amount = _amount().cast("decimal(31,2)")
     rows = orders.select(
         *keys, "uid", F.lit(1).alias("n_od"), F.when(pay, 1).otherwise(0).alias("n_pay"),
-        F.when(pay & F.col("order_id").isNotNull(), 1).otherwise(0).alias("n_ids"), F.when(pay, amount).otherwise(zero).alias("pay"),
-        F.lit(0).alias("n_ref"), zero.alias("ref"),
+        F.when(pay & F.col("order_id").isNotNull(), 1).otherwise(0).alias("n_ids"), F.when(pay, amount).alias("pay"),
+        F.lit(0).alias("n_ref"), none.alias("ref"),
     )
     back = paid_refunds(orders).select(
-        *keys, "uid", *[F.lit(0).alias(c) for c in ("n_od", "n_pay", "n_ids")], zero.alias("pay"), F.lit(1).alias("n_ref"),
-        F.coalesce(amount, zero).alias("ref"),
+        *keys, "uid", *[F.lit(0).alias(c) for c in ("n_od", "n_pay", "n_ids")], none.alias("pay"), F.lit(1).alias("n_ref"),
+        amount.alias("ref"),
     )
     sums = ("n_od", "n_pay", "n_ids", "n_ref")
     return rows.unionByName(back).groupBy(*keys, "uid").agg(
@@ -164,11 +164,11 @@ def fold_user_lines(lines: DataFrame, keys=GROUP_KEYS) -> DataFrame:
         *keys, "n_od", "n_pay",
         F.when(has_pay, F.col("_users")).alias("total_user_cnt"),
         F.when(has_pay, F.col("_ids")).alias("total_order_cnt"),
-        F.when(has_pay, F.col("_pay")).alias("total_revenue"),
+        F.col("_pay").alias("total_revenue"),
         "n_ref",
         F.when(has_ref, F.col("_rusers")).alias("total_user_refund_cnt"),
         F.when(has_ref, F.col("n_ref")).alias("total_order_refund_cnt"),
-        F.when(has_ref, F.col("_ref")).alias("total_refund"),
+        F.col("_ref").alias("total_refund"),
     )
 
 

@@ -356,13 +356,13 @@ def groups_by_definition(rows):
             lines = g[part]
             row.append(len(lines))
             row += [None] * 3 if not lines else [
-                len({u for u, _, _ in lines if u is not None}), sum(o is not None for _, o, _ in lines) if ids else len(lines), sum(x for *_, x in lines)]
+                len({u for u, _, _ in lines if u is not None}), sum(o is not None for _, o, _ in lines) if ids else len(lines), sum(x for *_, x in lines if x is not None) if any(x is not None for *_, x in lines) else None]
         out.append(tuple(row))
     return sorted(out, key=str)
 
 
 def order_frame(spark, rows):
-    df = spark.createDataFrame([(m, p, t, u, o, k, str(x)) for m, p, t, u, o, k, x in rows],
+    df = spark.createDataFrame([(m, p, t, u, o, k, x and str(x)) for m, p, t, u, o, k, x in rows],
                                "mid long, pkg_id int, m_type int, uid string, order_id string, order_type int, price string")
     return df.select("mid", "pkg_id", "m_type", "uid", "order_id", "order_type", F.col("price").cast("decimal(20,2)").alias("coin_price"), F.lit(1).alias("coin_cnt"))
 
@@ -380,7 +380,7 @@ def test_group_table_with_hot_and_null_ids(spark, hot_paid):
     for i in range(6000):
         o = rnd.choice(["null", None, str(rnd.randrange(900)), "null"])
         kind = rnd.choice([1, 2, 3]) if hot_paid or o != "null" else rnd.choice([2, 3])
-        rows.append((rnd.choice([1, 2, 3, None]), rnd.choice([1, 2, None]), rnd.randrange(3), rnd.choice([None, *map(str, range(40))]), o, kind, rnd.randrange(100)))
+        rows.append((rnd.choice([1, 2, 3, None]), rnd.choice([1, 2, None]), rnd.randrange(3), rnd.choice([None, *map(str, range(40))]), o, kind, rnd.randrange(1, 100) if rnd.random() < 0.5 else None))
     got = group_rows(revenue.group_table(order_frame(spark, rows)))
     assert got == groups_by_definition(rows)
     assert revenue.hot_ids(order_frame(spark, rows).where("order_type = 2"), "order_id")[0] == "null"
