@@ -12,6 +12,8 @@ second only carries one partial row per key and map task.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,40 +56,42 @@ def rolling_features(
     columns ``top{w}day`` are the largest daily play count inside window w
     (0 when active in the widest window only).
     """
-    labels = {**WINDOW_LABELS, **(labels or {})}
     widest = max(windows + peaks)
     start = shift_day(run_date, widest)
-    base = df.where(_day_filter(dt, start, run_date)).select(
-        F.col(key).alias("_k"), F.col(dt).alias("_dt"), F.col(user).alias("_u"), F.col(order).alias("_o")
-    )
-    tagged = base.select(
-        "_k",
-        "_dt",
-        F.inline(
-            F.array(
-                F.struct(F.lit(0).alias("kind"), F.col("_dt").cast("string").alias("grp")),
-                F.struct(F.lit(1).alias("kind"), F.col("_u").cast("string").alias("grp")),
-                F.struct(F.lit(2).alias("kind"), F.col("_o").cast("string").alias("grp")),
-            )
-        ),
-    ).where((F.col("kind") == 0) | F.col("grp").isNotNull())
-    # The last day is kept as an int (yyyyMMdd keys compare like their ints):
-    # fixed-width buffers keep the aggregation hash-based, not sort-based.
-    per_value = tagged.groupBy("_k", "kind", "grp").agg(
+    per_value = value_rows(df.where(_day_filter(dt, start, run_date)), key, dt, user, order).groupBy("_k", "kind", "grp").agg(
+        # The last day is kept as an int (yyyyMMdd keys compare like their ints):
+        # fixed-width buffers keep the aggregation hash-based, not sort-based.
         F.count("_k").alias("n"), F.max(F.col("_dt").cast("int")).alias("last_dt")
     )
+    return fold_values(per_value, lambda w: F.col("last_dt") >= F.lit(int(shift_day(run_date, w))), key, windows, peaks, labels)
+
+
+def value_rows(df: DataFrame, key: str, dt: str, user: str, order: str) -> DataFrame:
+    """Each row three times, as (_k, _dt, kind, grp): its day (kind 0), its user (1), its order (2; no NULL users and orders)."""
+    base = df.select(F.col(key).alias("_k"), F.col(dt).alias("_dt"), F.col(user).alias("_u"), F.col(order).alias("_o"))
+    kinds = [F.struct(F.lit(k).alias("kind"), F.col(c).cast("string").alias("grp")) for k, c in enumerate(("_dt", "_u", "_o"))]
+    return base.select("_k", "_dt", F.inline(F.array(*kinds))).where((F.col("kind") == 0) | F.col("grp").isNotNull())
 
+
+def fold_values(
+    per_value: DataFrame,
+    seen: Callable[[int], Column],
+    key: str,
+    windows: tuple[int, ...],
+    peaks: tuple[int, ...],
+    labels: dict[int, str] | None = None,
+) -> DataFrame:
+    """(_k, kind, grp, n) rows -> one row per key. ``seen(w)``: was the value active in window w."""
+    labels = {**WINDOW_LABELS, **(labels or {})}
     aggs = []
-    starts = {w: shift_day(run_date, w) for w in set(windows) | set(peaks)}
     for w in sorted(set(windows) | set(peaks)):
-        day_in = (F.col("kind") == 0) & (F.col("last_dt") >= F.lit(int(starts[w])))
-        seen = lambda kind: (F.col("kind") == kind) & (F.col("last_dt") >= F.lit(int(starts[w])))
+        day_in = (F.col("kind") == 0) & seen(w)
         aggs += [
             F.max(F.when(day_in, F.lit(True))).alias(f"_act{w}"),
             F.sum(F.when(day_in, F.col("n"))).alias(f"_plays{w}"),
             F.max(F.when(day_in, F.col("n"))).alias(f"_peak{w}"),
-            F.count_if(seen(1)).alias(f"_users{w}"),
-            F.count_if(seen(2)).alias(f"_orders{w}"),
+            F.count_if((F.col("kind") == 1) & seen(w)).alias(f"_users{w}"),
+            F.count_if((F.col("kind") == 2) & seen(w)).alias(f"_orders{w}"),
         ]
     folded = per_value.groupBy("_k").agg(*aggs)
 

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from playmart.functions import dates, text
 from playmart.operators import features as feat
 from playmart.operators import fanout, geo, revenue, songs, users
+from playmart.operators.feature_state import FeatureState, features_of_state
+from playmart.operators.ledger import RevenueLedger
 from playmart.operators.relational import join_dim, non_empty, sentinel_split, union_sources
 from playmart.plans import schemas as S
 from playmart.sources import logs
@@ -154,7 +156,8 @@ FEATURE_ATTRS = ["songname", "source", "album", "product", "language", "video_fo
                  "singer1", "singerid1", "singer2", "singerid2"]
 
 
-def song_features(job: Job, windows=(0, 7, 30), history: str = "full", peak_per_key: bool = True) -> DataFrame:
+def song_features(job: Job, windows=(0, 7, 30), history: str = "full", peak_per_key: bool = True,
+                  maintained: bool = False, changed: tuple[str, ...] = ()) -> DataFrame:
     """Every song of the play history with its 1/7/30-day features.
 
     The song list is the distinct (song, attributes) of all plays, read from the
@@ -164,9 +167,16 @@ def song_features(job: Job, windows=(0, 7, 30), history: str = "full", peak_per_
     partition plus today's plays. A missing yesterday is an error, not a switch.
     ``peak_per_key=False`` reproduces the original's single global peak row
     (put on the smallest active song; every other song gets NULL peaks).
+    ``maintained=True`` takes the features from the stored state of the last run, advanced by the days since
+    then; ``changed`` names earlier days that came late or were sent again. The result is the same.
     """
     plays = job.read("tw_song_play_d", S.SONG_PLAY)
-    if peak_per_key:
+    if maintained:
+        if not peak_per_key:
+            raise ValueError("the maintained state holds peaks per song")
+        state = FeatureState(job.spark, job.path("tw_song_play_state_d"), widest=max(*windows, 30))
+        feats = features_of_state(state.advance(plays, job.run_date, list(changed)), windows=tuple(windows))
+    elif peak_per_key:
         feats = feat.rolling_features(plays, job.run_date, windows=tuple(windows))
     else:
         feats = feat.rolling_features(plays, job.run_date, windows=tuple(windows), peaks=()).join(
@@ -242,6 +252,15 @@ def machine_revenue(job: Job, day: str | None = None, factors: bool = False) ->
     return job.write_day(stats, "tws_revenue_macstatistic_d", S.MACHINE_STATISTIC)
 
 
+def revenue_totals(job: Job, days: list[str] | None = None) -> DataFrame:
+    """Payment and refund totals per (machine, package, pay type) from the stored ledger, after ``days`` (default:
+    the run day; new, late or sent again) were replaced by the orders as they are now."""
+    kinds = {f.name: f.dataType.simpleString() for f in S.CONSUME_DETAIL.fields}
+    ledger = RevenueLedger(job.spark, job.path("tws_revenue_ledger_d"), key_types=[kinds[k] for k in revenue.GROUP_KEYS])
+    ledger.replace_days(job.read("twd_revenue_machineconsumedetail_d", S.CONSUME_DETAIL), days or [job.run_date])
+    return ledger.totals()
+
+
 def fanout_rows(job: Job, lo: int = 0, hi: int | None = None, day: str | None = None) -> DataFrame:
     """Rows [lo, hi) of the day's mid-only statistics, as the original stored them (L9 with ``factors``)."""
     path = f"{job.path('tws_revenue_fanout_factors_d')}/{DAY_COL}={day or job.run_date}"

@@ -6,13 +6,17 @@ machines, customer the registered users.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from playmart.operators import revenue as rev
 from playmart.operators.fanout import fanout_table
+from playmart.operators.ledger import RevenueLedger
 from playmart.operators.users import unify_users
 from playmart.plans.driver_tables import table
 from playmart.plans.q_text import MACHINE_LOCAL, MACHINE_UNION_SELECT, machine_local, machine_locations
+from playmart.session import scratch_path
 
 
 def raw_orders(spark, d):
@@ -175,6 +179,20 @@ def q_machine_revenue_mid(spark, d):
     )
 
 
+def q_revenue_ledger(spark, d):
+    """The groups after years were added day by day of the ledger (a year is one here), one of them wrongly
+    and then sent again, and one that was missing came late."""
+    orders = clean(spark, d).withColumn("dt_data", F.substring("action_time", 1, 4))
+    years = [str(y) for y in range(1992, 2003)]  # the table's years, and some without orders
+    late, again = "1996", "1999"
+    ledger = RevenueLedger(spark, scratch_path(spark, f"ledger-{uuid.uuid4().hex}"), key_types=("long", "int", "int"))
+    wrong = orders.where(F.col("dt_data") == F.lit("1998")).select(
+        *[F.lit(again).alias(c) if c == "dt_data" else F.lit("nobody").alias(c) if c == "uid" else F.col(c) for c in orders.columns])
+    ledger.replace_days(orders.where(F.col("dt_data") != F.lit(again)).unionByName(wrong), [y for y in years if y != late])
+    ledger.replace_days(orders, [late, again])
+    return ledger.totals()
+
+
 STAT_ROW = ("mid", "p_type", "pkg_id", "m_type", "machine_name", "adminid", "com_rate", "inv_rate", "province", "city", "township", "addressdetail", *rev.SUM_COLS)
 HALF = 10_000  # rows on each side of a machine's first row
 
@@ -204,6 +222,7 @@ QUERIES = {
     "order_clean": q_order_clean,
     "machine_income": q_machine_income,
     "machine_refund": q_machine_refund,
+    "revenue_ledger": q_revenue_ledger,
     "machine_new_users": q_machine_new_users,
     "machine_star": q_machine_star,
     "machine_revenue_grain": q_machine_revenue_grain,
@@ -293,6 +312,11 @@ ORACLE = {
 SELECT id, uid, mid, m_type, pkg_id, coin_price, coin_cnt, order_id, order_type FROM od""",
     "machine_income": "WITH " + OD + "\nSELECT * FROM rev",
     "machine_refund": "WITH " + OD + "\nSELECT * FROM ref",
+    "revenue_ledger": "WITH " + OD + """,
+grp AS (SELECT mid, pkg_id, m_type, count(*) AS n_od, count(*) FILTER (WHERE order_type = 1) AS n_pay FROM od GROUP BY mid, pkg_id, m_type)
+SELECT g.mid, g.pkg_id, g.m_type, g.n_od, g.n_pay, rev.total_user_cnt, rev.total_order_cnt, rev.total_revenue,
+       coalesce(ref.total_order_refund_cnt, 0) AS n_ref, ref.total_user_refund_cnt, ref.total_order_refund_cnt, ref.total_refund
+FROM grp g LEFT JOIN rev USING (mid, pkg_id, m_type) LEFT JOIN ref USING (mid, pkg_id, m_type)""",
     "machine_new_users": "WITH " + USERS + "\nSELECT * FROM nusr",
     "machine_star": "WITH " + MB + """
 SELECT mb.mid, mb.province, mb.city, mb.address, mb.store_address, 'B' || CAST(nn.n_regionkey AS VARCHAR) AS brand_name,

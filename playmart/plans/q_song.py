@@ -6,14 +6,18 @@ the original three-scan / left-join formulation rather than our one-pass plan.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from playmart.functions.dates import shift_day
 from playmart.functions.scoring import with_rsi
 from playmart.operators import features as feat
+from playmart.operators.feature_state import FeatureState, features_of_state
 from playmart.operators.ranking import rank_rows
 from playmart.operators.songs import rank_by_period, singer_features
 from playmart.plans.driver_tables import RUN_DATE, play_log, song_plays, table
+from playmart.session import scratch_path
 
 D0 = RUN_DATE
 D7 = shift_day(RUN_DATE, 7)
@@ -39,6 +43,19 @@ def q_features_onepass(spark, d):
     return feat.rolling_features(play_log(spark, d, D30, D0), RUN_DATE)
 
 
+def q_features_maintained(spark, d):
+    """A6 from a stored state: five days before the run date without one earlier day, then advanced day by day;
+    the missing day comes late, and one day is sent again."""
+    late, again, first = shift_day(RUN_DATE, 9), shift_day(RUN_DATE, 3), shift_day(RUN_DATE, 5)
+    state = FeatureState(spark, scratch_path(spark, f"features-{uuid.uuid4().hex}"))
+    plays = play_log(spark, d, D30, D0)
+    state.advance(plays.where(F.col("dt_data") != F.lit(late)), first)
+    for back, changed in ((4, ()), (3, ()), (2, (late,)), (1, (again,)), (0, ())):
+        day = shift_day(RUN_DATE, back)
+        state.advance(plays, day, changed)
+    return features_of_state(state.of(RUN_DATE))
+
+
 def q_peak_day(spark, d):
     return feat.peak_days(play_log(spark, d, D30, D0), RUN_DATE, per_key=True)
 
@@ -112,6 +129,7 @@ QUERIES = {
     "features_7d": _features_window(7),
     "features_30d": _features_window(30),
     "features_onepass": q_features_onepass,
+    "features_maintained": q_features_maintained,
     "daily_count": q_daily_count,
     "peak_day": q_peak_day,
     "peak_day_global": q_peak_day_global,
@@ -257,5 +275,6 @@ FROM singer_rsi""",
     "rank_lines": _rank_lines_sql("ASC NULLS FIRST"),
     "rank_lines_desc": _rank_lines_sql("DESC NULLS LAST"),
 }
+ORACLE["features_maintained"] = ORACLE["features_onepass"]
 for _k in ("song_play_join", "features_1d", "features_7d", "features_30d"):
     ORACLE[_k] = "WITH " + ORACLE[_k]
