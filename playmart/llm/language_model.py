@@ -8,11 +8,16 @@ members, by a second softmax in a head class and by the add-one count share in a
 So the model is a distribution over all known words and one unknown word a tail class.
 
 The network is trained by truncated backpropagation in numpy, in ``rounds`` rounds. In a
-round every task trains a copy on its own documents of the round, and the copies'
-parameters are averaged, weighted by tokens, as one Spark aggregation (bounded by the number
-of parameters); what is trained on grows with the corpus. ``share`` is the part of
+round every task trains a copy on its own documents of the round, and the copies are
+averaged, weighted by tokens, in groups of ``_GROUP`` at a time until one is left (a copy is bounded by the
+number of parameters); what is trained on grows with the corpus. The optimizer's moments are averaged with
+the parameters, so a round goes on where the last one ended. ``share`` is the part of
 the training documents that all rounds see together (1 trains on every document once).
 
+The score mixes the network with the add-one unigram share, which alone is the better model of a small corpus. Both
+give a tail word its count share, so the mixture is again one distribution. The weight is the one that
+predicts the documents of the last round best, each window before it is learned from.
+
 Scoring runs many documents side by side and carries each one's state across windows up to
 its end, however long it is. Words more frequent than the broadcast table's cut (at most
 ``max_table`` words) have their counts at hand; the rest, rare by construction, meet
@@ -59,6 +64,9 @@ SMALL = Size(16, 64, 16, 24)  # of a vocabulary or model made without a size
 CLASSES, MEMBERS, TAILS, HIDDEN = SMALL
 HEAD = SMALL.head
 END = b""  # no word is empty
+# Weights of the network that the mixture chooses from.
+WEIGHTS = np.arange(17) / 16
+_GROUP = 16
 _FLUSH = 400_000
 
 
@@ -107,7 +115,7 @@ class Vocabulary:
         self.index = {words[i]: k for k, i in enumerate(order)}
         self.log_c1 = np.log10(np.array([counts[i] for i in order], float) + 1)
         self.ids = np.array([k if k < head_size else head_size + tail_class(words[i], size.tails) for k, i in enumerate(order)], np.int32)
-        self.n_tokens, self.n_types = n_tokens, n_types
+        self.n_tokens, self.n_types, self.weight = n_tokens, n_types, 1.0
         total, kinds = np.zeros(size.tails), np.zeros(size.tails)
         for t, (c, k) in tails.items():
             total[t], kinds[t] = c, k
@@ -117,6 +125,10 @@ class Vocabulary:
         self.tail_tokens = total
         self.log_tail = np.log10(total + kinds + 1)  # add-one mass of a tail class with its unknown word
         self.head_counts = np.array([counts[i] for i in head] + [0] * (head_size - len(head)), float)
+        # Of a head word, or of a tail class by (c + 1): what the network's probability is multiplied by, and the unigram share.
+        mass = n_tokens + n_types + size.tails
+        self.scale = np.concatenate([np.ones(head_size), 10.0**-self.log_tail])
+        self.unigram = np.concatenate([self.head_counts + 1, np.ones(size.tails)]) / mass
 
 
 # ---------------------------------------------------------------- the network
@@ -183,8 +195,9 @@ class GruModel:
             z[lo:hi] += bias[c]
         return z
 
-    def gradients(self, h0: np.ndarray, tokens: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-        """State after a window (steps, lanes), and the mean gradient, truncated at its start.
+    def gradients(self, h0: np.ndarray, tokens: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+        """State after a window (steps, lanes), the mean gradient, truncated at its start, and the
+        probability that each token had (of its class, times the member's within a head class).
 
         ``keep`` is 0 where a document begins."""
         (steps, lanes), hidden = tokens.shape, self.size.hidden
@@ -199,6 +212,7 @@ class GruModel:
         head = ids < self.size.head
         cls = np.where(head, ids // self.size.members, ids - self.size.head + self.size.classes)
         p = _softmax(flat @ self.classes + self.class_bias)
+        had = p[np.arange(len(ids)), cls]
         p[np.arange(len(ids)), cls] -= 1
         p *= scale
         classes, class_bias = flat.T @ p, p.sum(axis=0)
@@ -208,6 +222,7 @@ class GruModel:
         if len(rows):
             own = flat[rows]
             p = _softmax(self._member_logits(own, spans, self.member_bias))
+            had[rows] *= p[np.arange(len(rows)), ids[rows] % self.size.members]
             p[np.arange(len(rows)), ids[rows] % self.size.members] -= 1
             p *= scale
             member_bias[[c for c, _, _ in spans]] = np.add.reduceat(p, [lo for _, lo, _ in spans], axis=0)
@@ -232,7 +247,7 @@ class GruModel:
         first = np.flatnonzero(np.diff(ids[order], prepend=-1))
         gates = np.zeros_like(self.gates)
         gates[ids[order[first]]] = np.add.reduceat(da[order], first, axis=0)
-        return h, [gates, flat.T @ du.reshape(-1, 3 * hidden), da.sum(axis=0), classes, class_bias, members, member_bias]
+        return h, [gates, flat.T @ du.reshape(-1, 3 * hidden), da.sum(axis=0), classes, class_bias, members, member_bias], had
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -308,9 +323,25 @@ class Trainer:
     state is carried from window to window and is zero where a document or a lane begins.
     """
 
-    def __init__(self, model: GruModel, rate: float = 5e-3, lanes: int = 128, steps: int = 16):
+    def __init__(self, model: GruModel, rate: float = 5e-3, lanes: int = 256, steps: int = 16, vocabulary: Vocabulary | None = None):
         self.model, self.rate, self.lanes, self.window, self.updates, self.n_tokens = model, rate, lanes, steps, 0, 0
         self.moments = [(np.zeros_like(p), np.zeros_like(p)) for p in model.params()]
+        # Natural log-likelihood of what was read, by weight of the network in the mixture.
+        self.vocabulary, self.mixtures = vocabulary, np.zeros(len(WEIGHTS))
+
+    def state(self) -> np.ndarray:
+        """Parameters, moments and number of updates as one vector."""
+        parts = [self.model.flat(), *[np.concatenate([m[k].ravel() for m in self.moments]) for k in (0, 1)], [self.updates]]
+        return np.concatenate(parts).astype(np.float32)
+
+    def resume(self, state: np.ndarray) -> None:
+        n = (len(state) - 1) // 3
+        self.model.load(state[:n])
+        self.updates, at = round(float(state[-1])), n
+        for k in (0, 1):
+            for p, m in zip(self.model.params(), self.moments, strict=True):
+                m[k][...] = state[at : at + p.size].reshape(p.shape)
+                at += p.size
 
     def learn(self, documents: list[np.ndarray]) -> None:
         if not documents:
@@ -331,7 +362,11 @@ class Trainer:
     def _windows(self, tokens: np.ndarray, keep: np.ndarray) -> None:
         h = np.zeros((tokens.shape[1], self.model.size.hidden), np.float32)
         for at in range(0, len(tokens), self.window):
-            h, grads = self.model.gradients(h, tokens[at : at + self.window], keep[at : at + self.window])
+            part = tokens[at : at + self.window]
+            h, grads, had = self.model.gradients(h, part, keep[at : at + self.window])
+            if self.vocabulary is not None:
+                net, other = had * self.vocabulary.scale[part.ravel()], self.vocabulary.unigram[part.ravel()]
+                self.mixtures += [np.log(other + w * (net - other)).sum() for w in WEIGHTS]
             self.updates += 1
             norm = math.sqrt(sum(float(np.vdot(g, g)) for g in grads))
             clip = min(1.0, 1.0 / (norm + 1e-9))
@@ -353,42 +388,58 @@ def encode(text: bytes, vocabulary: Vocabulary) -> np.ndarray:
     return ids
 
 
-def average_round(training: DataFrame, model: GruModel, vocabulary, scratch: Scratch) -> np.ndarray | None:
-    """Token-weighted mean of the parameters that the tasks learn, starting from ``model``."""
+_COPY = "p binary, n long, mixtures array<double>"
+
+
+def _mean(copies: pa.Table) -> pa.Table:
+    """One copy for a group of them: the mean by tokens, the sums of the rest."""
+    n = copies.column("n").to_pylist()
+    total = np.zeros(len(copies.column("p")[0].as_py()) // 4)
+    for p, k in zip(copies.column("p"), n, strict=True):
+        total += np.frombuffer(p.as_py(), np.float32) * (k / sum(n))
+    mixtures = np.sum(copies.column("mixtures").to_pylist(), axis=0)
+    return pa.table({"p": pa.array([total.astype(np.float32).tobytes()], pa.binary()), "n": [sum(n)], "mixtures": pa.array([mixtures], pa.list_(pa.float64()))})
+
+
+def average_round(training: DataFrame, model: GruModel, state: np.ndarray | None, vocabulary, scratch: Scratch) -> tuple[np.ndarray, np.ndarray] | None:
+    """Token-weighted mean of what the tasks learn, starting from ``model`` and the optimizer's
+    ``state``, and the log-likelihoods of the mixtures."""
     spark = training.sparkSession
-    start = spark.sparkContext.broadcast(model)
+    start = spark.sparkContext.broadcast((model, state))
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, state = start.value
         own = GruModel.__new__(GruModel)
-        own.size = start.value.size
-        for name, p in zip(GruModel.NAMES, start.value.params(), strict=True):
+        own.size = first.size
+        for name, p in zip(GruModel.NAMES, first.params(), strict=True):
             setattr(own, name, p.copy())
-        trainer = Trainer(own)
+        trainer = Trainer(own, vocabulary=vocabulary.value)
+        if state is not None:
+            trainer.resume(state)
         for b in batches:
             column = texts(b.column(0))
             for lo, hi in slices(column, 2 << 20):
                 trainer.learn([encode(t, vocabulary.value) for t in column[lo:hi]])
         if trainer.n_tokens:
-            flat = own.flat().astype(np.float64) * trainer.n_tokens
-            values = pa.array([flat], pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([values, pa.array([trainer.n_tokens], pa.int64())], names=["p", "n"])
+            cols = [pa.array([trainer.state().tobytes()], pa.binary()), pa.array([trainer.n_tokens], pa.int64()), pa.array([trainer.mixtures], pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays(cols, names=["p", "n", "mixtures"])
 
-    copies = scratch.keep(training.select("text").mapInArrow(learn, "p array<double>, n long"))
-    n = copies.agg(F.sum("n")).first()[0]
-    if not n:
-        return None
-    rows = copies.select(F.posexplode("p").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x")).toPandas()
-    out = np.zeros(len(rows))
-    out[rows["i"].to_numpy()] = rows["x"].to_numpy() / n
-    return out
+    copies = scratch.keep(training.select("text").mapInArrow(learn, _COPY))
+    left = copies.count()
+    while left > 1:
+        group = F.pmod(F.xxhash64("p"), F.lit(-(-left // _GROUP)))
+        copies = scratch.keep(copies.groupBy(group.alias("g")).applyInArrow(_mean, _COPY))
+        left = copies.count()
+    row = copies.first()
+    return row and (np.frombuffer(bytes(row["p"]), np.float32), np.array(row["mixtures"]))
 
 
 # ---------------------------------------------------------------- scoring
 
 
 def score_batch(column: list[bytes], model: GruModel, vocabulary: Vocabulary, n_lanes: int = 512, window: int = 32) -> list[tuple]:
-    """Per text: tokens, table tokens, their sum of log10(c + 1), log10 of the model's class and
-    head parts, and the counted words beyond the table."""
+    """Per text: tokens, table tokens, their sum of log10(c + 1), log10 of the model's probability less
+    the log10(c + 1) of words beyond the table, and these words, counted."""
     head, tails = vocabulary.size.head, vocabulary.size.tails
     documents, rest, base, table_tokens, tail = [], [], [], [], []
     for text in column:
@@ -402,9 +453,8 @@ def score_batch(column: list[bytes], model: GruModel, vocabulary: Vocabulary, n_
         documents.append(ids)
         base.append(float(logs.sum()))
         table_tokens.append(len(words) - len(out))
-        # The members of tail classes: log10((c + 1) / mass); beyond the table the join adds log10(c + 1).
-        in_tail = ids >= head
-        tail.append(float(logs[in_tail].sum() - vocabulary.log_tail[ids[in_tail] - head].sum()))
+        # The members of tail classes have their count share; beyond the table the join adds log10(c + 1).
+        tail.append(float(logs[ids >= head].sum()))
         rest.append(list(Counter(beyond).items()))
     score, lanes, inputs = np.array(tail), Lanes(documents, n_lanes), model.inputs()
     h = np.zeros((n_lanes, model.size.hidden), np.float32)
@@ -415,7 +465,8 @@ def score_batch(column: list[bytes], model: GruModel, vocabulary: Vocabulary, n_
             seen.append(h)
             h, _ = model.step(h, inputs[lanes.tokens[lo:hi]])
         ids = lanes.tokens[bounds[0] : bounds[-1]]
-        score += np.bincount(lanes.doc[bounds[0] : bounds[-1]], model.log_probs(np.concatenate(seen), ids), len(column))
+        net, other = 10.0 ** model.log_probs(np.concatenate(seen), ids) * vocabulary.scale[ids], vocabulary.unigram[ids]
+        score += np.bincount(lanes.doc[bounds[0] : bounds[-1]], np.log10(other + vocabulary.weight * (net - other)), len(column))
     return list(zip(map(len, documents), table_tokens, base, score.tolist(), rest, strict=True))
 
 
@@ -439,10 +490,13 @@ def fit(training: DataFrame, scratch: Scratch, counts: DataFrame, rounds: int, s
     shared, model = spark.sparkContext.broadcast(vocabulary), GruModel(vocabulary)
     parts = max(rounds, round(rounds / share))
     part = F.pmod(F.xxhash64("id", "text"), F.lit(parts))
+    state = None
     for k in range(rounds):
-        flat = average_round(training.where(part == k), model, shared, scratch)
-        if flat is not None:
-            model.load(flat)
+        learned = average_round(training.where(part == k), model, state, shared, scratch)
+        if learned:
+            state, mixtures = learned
+            model.load(state[: len(model.flat())])
+            vocabulary.weight = float(WEIGHTS[int(np.argmax(mixtures))])
     return vocabulary, model, cut
 
 

@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from playmart.llm import language_model as L
@@ -64,14 +65,17 @@ def small_model(texts):
     return v, L.GruModel(v), counts
 
 
-def test_scores_are_step_by_step_log_probabilities_and_sum_to_one():
-    """Against plain loops; every state's distribution over words and unknown words adds up to 1."""
+@pytest.mark.parametrize("weight", [1.0, 0.25])
+def test_scores_are_step_by_step_log_probabilities_and_sum_to_one(weight):
+    """Against plain loops; every state's distribution over words and unknown words adds up to 1, and so does the unigram share."""
     texts = [" ".join(f"w{(k * j) % (1500 + k)}" for j in range(40 + 9 * k)) for k in range(30)] + ["", "w1"]
     v, m, counts = small_model(texts)
     L.Trainer(m, lanes=4).learn([L.encode(t.encode(), v) for t in texts])
     members = [w for w, k in v.index.items() if v.ids[k] < L.HEAD]
     tail_words = [w for w, k in v.index.items() if v.ids[k] >= L.HEAD]
     assert tail_words
+    v.weight, mass = weight, sum(counts.values()) + len(counts) + L.TAILS
+    assert abs(sum(counts[w] + 1 for w in counts) + L.TAILS - mass) < 1e-9
     got = L.score_batch([t.encode() for t in texts], m, v, n_lanes=5, window=7)
     sig = lambda x: 1 / (1 + np.exp(-x))
     h_n = L.HIDDEN
@@ -100,7 +104,7 @@ def test_scores_are_step_by_step_log_probabilities_and_sum_to_one():
                     e = np.exp(y - y.max())
                     spare += cls[c] * e[[j for j in range(L.MEMBERS) if c * L.MEMBERS + j >= len(members)]].sum() / e.sum()
                 assert abs(known + unknown + spare - 1) < 1e-5
-            total += math.log10(prob(t))
+            total += math.log10(weight * prob(t) + (1 - weight) * (counts[t] + 1) / mass)
             a, u = m.gates[v.ids[v.index[t]]] + m.gate_bias, h @ m.recurrent
             zg, r = sig(a[:h_n] + u[:h_n]), sig(a[h_n : 2 * h_n] + u[h_n : 2 * h_n])
             cand = np.tanh(a[2 * h_n :] + r * u[2 * h_n :])
@@ -128,7 +132,8 @@ def test_gradient_equals_finite_differences():
             h, _ = m.step(h, x[grid[t]])
         return out / grid.size
 
-    _, grads = m.gradients(np.zeros((2, L.HIDDEN)), grid, marks)
+    _, grads, had = m.gradients(np.zeros((2, L.HIDDEN)), grid, marks)
+    assert abs(-np.log(had).mean() - loss()) < 1e-6  # what a window had before it is learned from
     rng = np.random.default_rng(0)
     for name, g in zip(m.NAMES, grads):
         p = getattr(m, name)
@@ -149,15 +154,44 @@ def test_training_lowers_the_loss_and_averages_copies(spark):
     before = sum(r[3] for r in L.score_batch([t.encode() for t in texts], m, v))
     training = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "id long, text string").repartition(4)
     shared = spark.sparkContext.broadcast(v)
+    state, found = None, []
     for _ in range(3):
-        m.load(L.average_round(training, m, shared, Scratch(spark, "t")))
+        state, mixtures = L.average_round(training, m, state, shared, Scratch(spark, "t"))
+        m.load(state[: len(m.flat())])
+        found.append(mixtures.max())
+    assert found[0] < found[1] < found[2] and state[-1] > 3  # the optimizer goes on where it stopped
     after = sum(r[3] for r in L.score_batch([t.encode() for t in texts], m, v))
     assert after > before
     trainer, ids = L.Trainer(m, lanes=16), [L.encode(t.encode(), v) for t in texts]
     for _ in range(12):
         trainer.learn(ids)
     assert sum(r[3] for r in L.score_batch([t.encode() for t in texts], m, v)) > 0.5 * before
-    assert L.average_round(training.where(F.lit(False)), m, shared, Scratch(spark, "t")) is None
+    assert L.average_round(training.where(F.lit(False)), m, None, shared, Scratch(spark, "t")) is None
+
+
+def test_mean_of_copies(monkeypatch):
+    import pyarrow as pa
+
+    copies = [(np.full(3, k, np.float32), k + 1, [float(k), 1.0]) for k in range(3)]
+    table = pa.table({"p": pa.array([p.tobytes() for p, _, _ in copies]), "n": [n for _, n, _ in copies], "mixtures": [m for *_, m in copies]})
+    (row,) = L._mean(table).to_pylist()
+    assert np.allclose(np.frombuffer(row["p"], np.float32), (0 * 1 + 1 * 2 + 2 * 3) / 6) and (row["n"], row["mixtures"]) == (6, [3.0, 3.0])
+
+
+def test_training_goes_on_from_a_state():
+    """Two halves with the state between them are one training."""
+    texts = [f"left right w{k % 20} stop" for k in range(60)]
+    v, one, _ = small_model(texts)
+    ids = [L.encode(t.encode(), v) for t in texts]
+    whole = L.Trainer(one, lanes=4)
+    whole.learn(ids[:30])
+    state = whole.state()
+    whole.learn(ids[30:])
+    _, two, _ = small_model(texts)
+    half = L.Trainer(two, lanes=4)
+    half.resume(state)
+    half.learn(ids[30:])
+    assert half.updates == whole.updates and np.allclose(one.flat(), two.flat(), atol=1e-5)
 
 
 def test_documents_are_scored_by_the_whole_network(spark, monkeypatch):
