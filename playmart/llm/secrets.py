@@ -1,23 +1,24 @@
 """Secret scan: fixed patterns, and a randomness test battery for what they miss.
 
 Every run of at least ``MIN_RUN`` key characters is a candidate. Its encoding is inferred
-from its characters (hex, one-case letters with digits, base64) and three kinds of tests measure
+from its characters (hex, one-case letters with digits, base64, letters of one case) and three kinds of tests measure
 how well it agrees with uniformly random characters of that alphabet: chi-squared uniformity of
 character classes, of common and rare letters and of value bins, runs tests about the middle of
 the alphabet and of character classes, and serial tests (lag-one correlation, pairs of letters
 that words are made of). Fisher's method joins them; the joint p-value is near 0 for ordinary
-text and uniform for random keys.
-
-What ordinary strings look like doesn't depend on the corpus: the null of each encoding and
-length bin is the joint p-values of ``NULL_SIZE`` fixed strings that are not random (hex of
-ASCII text and counters; words with numbers; identifiers, slugs and paths). They have the
-shortest length of their bin (a short string passes more easily, so this is conservative),
-and the bins from ``NULL_BINS`` on take the null of the last one. A Benjamini-Hochberg cut per
-encoding and length bin keeps the expected share of such strings among the flagged ones below
-``fdr``. The histogram behind the cuts has at most ``len(ENCODINGS) * LENGTH_BINS * P_BINS`` rows.
-
-Defined results: NULL and empty texts have no spans; a corpus of any size, also of one string,
-is compared with the same null, and a corpus repeated any number of times has the same cuts;
+text and uniform for random keys. A run below ``GATE`` isn't random and is out.
+
+For the rest a second p-value says how often an ordinary string would look so little like one. For
+each style of ordinary string (hex of ASCII text, counters; words with numbers; identifiers,
+slugs, paths) a fixed table holds how much more often a character follows another than in a random string. The sum
+of these log ratios over a string is about normal, with a mean and a variance that grow with its length, so its
+lower tail reaches far below any sample's size; the p-value is the largest of the styles. It depends on
+the string alone. A Benjamini-Hochberg cut per encoding and length bin keeps the expected share of ordinary
+strings among the flagged ones below ``fdr``: a key of 32 characters has p-values around 1e-10, so it
+stays flagged among a million ordinary strings. The histogram behind
+the cuts has at most ``len(ENCODINGS) * LENGTH_BINS * P_BINS`` rows.
+
+Defined results: NULL and empty texts have no spans; a corpus repeated any number of times has the same cuts;
 runs of digits only are numbers, not secrets; repeated rows are scanned one by one; an empty
 table gives no rows. All columns of the documents are kept.
 """
@@ -47,8 +48,9 @@ _KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 MIN_RUN = 20
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 LENGTH_BINS, P_BINS = 12, 64
-ENCODINGS = ("hex", "base36", "base64")
-NULL_BINS, NULL_SIZE = 6, 20_000
+ENCODINGS = ("hex", "base36", "base64", "letters")
+GATE = 0.005
+STYLE_SIZE, STYLE_WINDOWS = 1 << 17, 2_000
 
 _VALUES = np.full(128, -1)
 for _i, _c in enumerate("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"):
@@ -56,6 +58,9 @@ for _i, _c in enumerate("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012
 _VALUES[ord("-")], _VALUES[ord("_")] = 62, 63
 _HEX_VALUES = np.full(128, -1)
 _BASE36_VALUES = np.full(128, -1)
+_LETTER_VALUES = np.full(128, -1)
+for _i in range(26):
+    _LETTER_VALUES[65 + _i] = _LETTER_VALUES[97 + _i] = _i
 for _i, _c in enumerate("0123456789abcdefghijklmnopqrstuvwxyz"):
     for _d in (_c, _c.upper()):
         _BASE36_VALUES[ord(_d)] = _i
@@ -74,6 +79,7 @@ for _a, _b in _PAIRS:
         for _d in (_b, _b.upper()):
             _PAIR[ord(_c), ord(_d)] = 1
 _ONE_CASE = re.compile(r"[a-z]+|[A-Z][a-z]*|[A-Z]+")
+_ALPHABETS = {"hex": (_HEX_VALUES, 16), "base36": (_BASE36_VALUES, 36), "base64": (_VALUES, 64), "letters": (_LETTER_VALUES, 26)}
 _HEX_ONLY = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 _BASE36 = re.compile(r"[0-9a-z]+|[0-9A-Z]+")
 
@@ -105,19 +111,23 @@ def _poisson_sf(count: np.ndarray, mean: np.ndarray) -> np.ndarray:
     return 0.5 * _erfc(-_chi2_z(2 * mean, 2 * count + 1) / math.sqrt(2)).astype(float)
 
 
+def _characters(runs: list[str], encoding: str):
+    """All characters of the runs, their values, and the runs' lengths, first places and owners."""
+    if encoding == "base64":
+        runs = [r.rstrip("=").replace("=", "-") or "A" for r in runs]
+    values, size = _ALPHABETS[encoding]
+    n = np.fromiter(map(len, runs), np.int64, len(runs))
+    codes = np.frombuffer("".join(runs).encode("ascii"), np.uint8)
+    return codes, values[codes], n.astype(float), np.cumsum(n) - n, np.repeat(np.arange(len(runs)), n), size
+
+
 def battery(runs: list[str], encoding: str) -> np.ndarray:
     """Joint p-value of each run under uniformly random characters of ``encoding``
-    (hex, base36 or base64)."""
+    (one of ENCODINGS)."""
     if not runs:
         return np.zeros(0)
-    if encoding == "base64":
-        runs = [r.rstrip("=").replace("=", "-") or "A" for r in runs]
-    values, size = {"hex": (_HEX_VALUES, 16), "base36": (_BASE36_VALUES, 36), "base64": (_VALUES, 64)}[encoding]
-    n = np.fromiter(map(len, runs), np.int64, len(runs)).astype(float)
-    codes = np.frombuffer("".join(runs).encode("ascii"), np.uint8)
-    x = values[codes].astype(float)
-    first = np.concatenate([[0], np.cumsum(n)[:-1]]).astype(np.int64)
-    owner = np.repeat(np.arange(len(runs)), n.astype(np.int64))
+    codes, x, n, first, owner, size = _characters(runs, encoding)
+    x = x.astype(float)
     total = lambda v: np.bincount(owner, v, len(runs))
 
     def uniformity(cell: np.ndarray, shares: np.ndarray) -> np.ndarray:
@@ -137,8 +147,9 @@ def battery(runs: list[str], encoding: str) -> np.ndarray:
     tests = []
     if encoding != "hex":
         # Upper, lower, digits and signs; or digits, letters.
-        cell, shares = (np.minimum(x // 26, 2), np.array([26, 26, 12]) / 64) if encoding == "base64" else (x >= 10, np.array([10, 26]) / 36)
-        tests += [uniformity(cell.astype(int), shares), stays(cell, shares)]
+        if encoding != "letters":
+            cell, shares = (np.minimum(x // 26, 2), np.array([26, 26, 12]) / 64) if encoding == "base64" else (x >= 10, np.array([10, 26]) / 36)
+            tests += [uniformity(cell.astype(int), shares), stays(cell, shares)]
         pair = np.zeros(len(x))
         pair[1:] = _PAIR[codes[:-1], codes[1:]]
         pair[first] = 0
@@ -174,8 +185,12 @@ def battery(runs: list[str], encoding: str) -> np.ndarray:
 
 
 def p_bin(p: np.ndarray) -> np.ndarray:
-    """0 looks most random; every bin is a quarter of a power of ten."""
-    return np.minimum(P_BINS - 1, (-4 * np.log10(np.maximum(p, 1e-30))).astype(int))
+    """0 is the smallest p-value; every bin is a quarter of a power of ten, and ``bin_top`` its upper end."""
+    return np.maximum(0, P_BINS - 1 - (-4 * np.log10(np.maximum(p, 1e-30))).astype(int))
+
+
+def bin_top(b: np.ndarray) -> np.ndarray:
+    return 10.0 ** (-(P_BINS - 1 - b) / 4)
 
 
 _PLAIN = """the of and to in is that for it as was with be by on not he this are or his from at which but have an had they
@@ -188,8 +203,8 @@ string number type error message report image page version test build update del
 """.split()
 
 
-def _plain_text(encoding: str, rnd: random.Random, size: int) -> str:
-    """At least ``size`` characters of strings that have the alphabet of ``encoding`` but are not random."""
+def _styles(encoding: str, rnd: random.Random) -> tuple:
+    """Makers of strings that have the alphabet of ``encoding`` but are not random."""
     pick = lambda n: [rnd.choice(_PLAIN) for _ in range(n)]
     number = lambda: str(rnd.choice((rnd.randrange(10), rnd.randrange(100), rnd.randrange(1990, 2030), rnd.randrange(10_000))))
     styles = {
@@ -204,37 +219,69 @@ def _plain_text(encoding: str, rnd: random.Random, size: int) -> str:
         ),
         "base64": (
             lambda: "".join(w.capitalize() + (number() if rnd.random() < 0.2 else "") for w in pick(20)),
-            lambda: "_".join([*pick(18), number()]),
-            lambda: "-".join([*pick(9), number(), *pick(9)]).title(),
-            lambda: "/".join(rnd.choice((w, w.capitalize(), w.upper(), number())) for w in pick(20)),
-            lambda: "_".join([*pick(18), number()]).upper(),
+            lambda: "_".join([*pick(18), number()]) + "_",
+            lambda: "-".join([*pick(9), number(), *pick(9)]).title() + "-",
+            lambda: "/".join(rnd.choice((w, w.capitalize(), w.upper(), number())) for w in pick(20)) + "/",
+            lambda: "_".join([*pick(18), number()]).upper() + "_",
         ),
+        "letters": (lambda: "".join(pick(20)),),
     }[encoding]
-    parts: list[str] = []
-    while size > 0:
-        parts.append(rnd.choice(styles)())
-        size -= len(parts[-1])
-    return "".join(parts)
+
+    def mixed() -> str:
+        """Pieces of all styles in one string."""
+        text = rnd.choice(styles)()
+        at = rnd.randrange(len(text))
+        return text[at : at + rnd.randrange(4, 24)]
+
+    return (*styles, mixed)
 
 
 @lru_cache
-def null_counts(encoding: str) -> dict[int, int]:
-    """Counts (length bin * P_BINS + p bin) of the fixed strings of ``encoding``."""
-    rnd, out = random.Random(f"null {encoding}"), {}
-    text = _plain_text(encoding, rnd, 1 << 19)
-    for i in range(NULL_BINS):
-        n = next(n for n in range(MIN_RUN, 1000) if length_bin(n) == i)
-        starts = [rnd.randrange(len(text) - n) for _ in range(NULL_SIZE)]
-        seen = np.bincount(p_bin(battery([text[at : at + n] for at in starts], encoding)), minlength=P_BINS)
-        out |= {i * P_BINS + b: c for b, c in enumerate(seen.tolist()) if c}
+def ordinary_models(encoding: str) -> list[tuple[np.ndarray, float, float]]:
+    """Per style: log ratio of each pair of neighbours against a random string (a tenth of the pairs
+    may be anything, so no pair counts for more than -log 10), its mean a pair and its variance a pair."""
+    rnd, (_, size), out = random.Random(f"ordinary {encoding}"), _ALPHABETS[encoding], []
+    for make in _styles(encoding, rnd):
+        text = ""
+        while len(text) < STYLE_SIZE:
+            text += "".join(make() for _ in range(50))
+        x = _characters([text], encoding)[1]
+        pairs = np.bincount(x[:-1] * size + x[1:], minlength=size * size).reshape(size, size) + 0.01
+        ratio = np.log(0.9 * size * pairs / pairs.sum(axis=1, keepdims=True) + 0.1)
+        sums = np.concatenate([[0], np.cumsum(ratio[x[:-1], x[1:]])])
+        mean, variance = sums[-1] / (len(x) - 1), 0.0
+        for n in (20, 40, 80, 160):  # neighbours depend on one another: the largest variance a pair of any length
+            at = np.array([rnd.randrange(len(x) - n) for _ in range(STYLE_WINDOWS)])
+            variance = max(variance, ((sums[at + n - 1] - sums[at] - (n - 1) * mean) ** 2).mean() / (n - 1))
+        out.append((ratio, float(mean), float(variance)))
     return out
 
 
+def ordinary_p(runs: list[str], encoding: str) -> np.ndarray:
+    """How often an ordinary string of the same length would look as little like one; the largest of its styles."""
+    if not runs:
+        return np.zeros(0)
+    _, x, n, first, owner, _ = _characters(runs, encoding)
+    best = np.zeros(len(runs))
+    for ratio, mean, variance in ordinary_models(encoding):
+        step = np.zeros(len(x))
+        step[1:] = ratio[x[:-1], x[1:]]
+        step[first] = 0
+        z = (np.bincount(owner, step, len(runs)) - (n - 1) * mean) / np.sqrt((n - 1) * variance)
+        best = np.maximum(best, 0.5 * _erfc(-z / math.sqrt(2)).astype(float))
+    return best
+
+
+def run_p(runs: list[str], encoding: str) -> np.ndarray:
+    """p-value of each run as an ordinary string; 1 where the battery says that it isn't random."""
+    return np.where(battery(runs, encoding) < GATE, 1.0, ordinary_p(runs, encoding))
+
+
 def _infer(run: str) -> str | None:
     if run.isdigit() or not run.strip("+/_=-"):
         return None
     if _ONE_CASE.fullmatch(run):
-        return "word"
+        return "letters"
     if _HEX_ONLY.fullmatch(run):
         return "hex"
     return "base36" if _BASE36.fullmatch(run) else "base64"
@@ -270,11 +317,11 @@ def scan_batch(documents: list[str | None]) -> list[dict]:
         found = {"base": [dict(zip(("kind", "first", "last"), s, strict=True)) for s in base_spans(text, runs)] if text else [], "runs": []}
         for lo, hi in runs:
             run = text[lo:hi]
-            if (encoding := _infer(run)) in pending:
+            if encoding := _infer(run):
                 pending[encoding].append((found, run, lo, hi))
         out.append(found)
     for k, (encoding, items) in enumerate(pending.items()):
-        p = p_bin(battery([run for _, run, _, _ in items], encoding))
+        p = p_bin(run_p([run for _, run, _, _ in items], encoding))
         for (found, run, lo, hi), b in zip(items, p.tolist(), strict=True):
             found["runs"].append({"first": lo, "last": hi, "bin": k * LENGTH_BINS + length_bin(len(run)), "p": b})
     return out
@@ -290,18 +337,13 @@ def _scan(column: Column) -> Column:
     return scan(column)
 
 
-def cuts(null: dict[int, int], runs: dict[int, int], fdr: float) -> list[int]:
-    """Per length bin the largest flagged p bin, or -1. Both arguments count (length bin * P_BINS + p bin);
-    a length bin without null strings is compared with those of the last shorter bin that has some."""
-    grid = lambda d: np.array([[d.get(i * P_BINS + j, 0) for j in range(P_BINS)] for i in range(LENGTH_BINS)])
-    plain, found = grid(null), grid(runs)
-    out = []
+def cuts(runs: dict[int, int], fdr: float) -> list[int]:
+    """Per length bin the largest flagged p bin, or -1. ``runs`` counts (length bin * P_BINS + p bin)."""
+    out, top = [], bin_top(np.arange(P_BINS))
     for i in range(LENGTH_BINS):
-        if i and not plain[i].any():
-            plain[i] = plain[i - 1]
-        p0 = (np.cumsum(plain[i]) + 1) / (plain[i].sum() + 1)
-        hits = np.cumsum(found[i])
-        good = np.flatnonzero((p0 * found[i].sum() <= fdr * hits) & (hits > 0))
+        found = np.array([runs.get(i * P_BINS + j, 0) for j in range(P_BINS)])
+        hits = np.cumsum(found)
+        good = np.flatnonzero((top * found.sum() <= fdr * hits) & (hits > 0))
         out.append(int(good[-1]) if len(good) else -1)
     return out
 
@@ -316,8 +358,8 @@ def scan_secrets(docs: DataFrame, out: str, fdr: float = 0.01, text_col: str = "
     codes = F.explode(F.transform(f["runs"], lambda r: r["bin"] * P_BINS + r["p"]))
     counts = dict(scanned.select(codes.alias("c")).groupBy("c").count().collect())
     limit, per = [], LENGTH_BINS * P_BINS
-    for k, encoding in enumerate(ENCODINGS):
-        limit += cuts(null_counts(encoding), {c - k * per: n for c, n in counts.items() if c // per == k}, fdr)
+    for k in range(len(ENCODINGS)):
+        limit += cuts({c - k * per: n for c, n in counts.items() if c // per == k}, fdr)
     limits = F.array(*[F.lit(x) for x in limit])
     flagged = F.transform(
         F.filter(f["runs"], lambda r: r["p"] <= F.get(limits, r["bin"])),

@@ -2,8 +2,10 @@ import base64
 import hashlib
 import random
 import re
+import string
 
 import numpy as np
+import pytest
 
 from playmart.llm import secrets as S
 from playmart.llm.common import table
@@ -73,12 +75,80 @@ def test_battery_is_uniform_for_random_keys_and_low_for_words():
     assert (S.battery(["a" * 30, "0123456789abcdef" * 3, "ab" * 20], "hex") < 1e-3).all()
 
 
+ALPHABETS = {
+    "hex": "0123456789ABCDEF",
+    "base36": string.ascii_lowercase + string.digits,
+    "base64": string.ascii_letters + string.digits + "+/",
+    "letters": string.ascii_lowercase,
+}
+
+
+def ordinary(encoding, n, count, seed=2):
+    """Windows of the styles, one after the other."""
+    rnd = random.Random(seed)
+    make = S._styles(encoding, rnd)[:-1]
+    text = "".join(rnd.choice(make)() for _ in range(1500))
+    return [text[i : i + n] for i in (rnd.randrange(len(text) - n) for _ in range(count))]
+
+
+def keys(encoding, n, count, seed=3):
+    rnd = random.Random(seed)
+    return ["".join(rnd.choices(ALPHABETS[encoding], k=n)) for _ in range(count)]
+
+
 def test_false_discovery_cuts():
-    words_at = {0 * S.P_BINS + b: n for b, n in ((0, 1), (10, 999))}
-    runs = {0 * S.P_BINS + 0: 500, 0 * S.P_BINS + 12: 300, 3 * S.P_BINS + 0: 5}
-    cut = S.cuts(words_at, runs, 0.01)
-    assert 0 <= cut[0] < 10 and cut[3] >= 0 and cut[1] == -1
-    assert S.cuts({}, runs, 0.01) == [-1] * S.LENGTH_BINS  # nothing to compare with
+    top = S.P_BINS - 1
+    runs = {0 * S.P_BINS + 0: 5, 0 * S.P_BINS + top: 995, 3 * S.P_BINS + 30: 1, 4 * S.P_BINS + top: 50}
+    cut = S.cuts(runs, 0.01)
+    assert 0 <= cut[0] < top and cut[3] >= 30 and cut[4] == -1 and cut[1] == -1
+    assert S.cuts({}, 0.01) == [-1] * S.LENGTH_BINS
+    assert S.cuts({c: 1000 * n for c, n in runs.items()}, 0.01) == cut  # a repeated corpus has the same cuts
+    p = 10.0 ** -np.random.default_rng(1).uniform(0, 16, 1000)
+    assert (S.bin_top(S.p_bin(p)) >= p * (1 - 1e-9)).all()
+
+
+@pytest.mark.parametrize("encoding", S.ENCODINGS)
+@pytest.mark.parametrize("n", [32, 48])
+def test_one_key_among_any_number_of_ordinary_strings(encoding, n):
+    """Of 300 keys, each alone among 10 to a million ordinary strings, nearly all are marked, and by one decision."""
+    plain_bins = np.bincount(S.p_bin(S.run_p(ordinary(encoding, n, 4000), encoding)), minlength=S.P_BINS)
+    own = S.p_bin(S.run_p(keys(encoding, n, 300), encoding))
+    marked = {}
+    for total in (10, 1_000, 100_000, 1_000_000):
+        share = plain_bins / plain_bins.sum() * total
+        found = {S.length_bin(n) * S.P_BINS + b: round(c) for b, c in enumerate(share.tolist()) if round(c)}
+        decisions = []
+        for b in own.tolist():
+            runs = dict(found)
+            runs[S.length_bin(n) * S.P_BINS + b] = runs.get(S.length_bin(n) * S.P_BINS + b, 0) + 1
+            decisions.append(b <= S.cuts(runs, 0.01)[S.length_bin(n)])
+        marked[total] = decisions
+    least = 0.7 if encoding == "hex" and n == 32 else 0.93
+    assert all(np.mean(d) >= least for d in marked.values()), {k: np.mean(d) for k, d in marked.items()}
+    assert np.mean([len(set(d)) == 1 for d in zip(*marked.values())]) >= least
+
+
+def test_ordinary_strings_have_small_p_values_rarely():
+    for encoding in S.ENCODINGS:
+        for n in (20, 40, 80):
+            p = S.run_p(ordinary(encoding, n, 8000), encoding)
+            assert (p <= 1e-3).mean() <= 4e-3 and (p <= 1e-5).mean() <= 5e-4, (encoding, n)
+
+
+def test_one_key_in_corpora_of_any_size(spark):
+    key = keys("base64", 40, 1)[0].replace("+", "x").replace("/", "y")
+    many = [w.strip("-_/") for w in ordinary("base64", 38, 2000)]
+    for n in (10, 100, 2000):
+        rows = [doc(k, f"see {w} there") for k, w in enumerate(many[:n])] + [doc(9999, f"a key {key} here")]
+        hits = {r.doc_id: len(r.result) for r in S.scan_secrets(frame(spark, rows), "result").collect()}
+        assert hits.pop(9999) == 1 and sum(hits.values()) <= 2, n
+
+
+def test_letters_of_one_case(spark):
+    rows = [doc(1, f"x {keys('letters', 40, 1)[0]} y"), doc(2, f"x {keys('letters', 40, 1, 4)[0].upper()} y"), doc(3, "donaudampfschifffahrtsgesellschaft " * 3),
+            doc(4, "x internationalizationandcommunication y"), doc(5, "1234567890" * 4)]
+    hits = {r.doc_id: len(r.result) for r in S.scan_secrets(frame(spark, rows), "result").collect()}
+    assert (hits[1], hits[2]) == (1, 1) and hits[3] == hits[4] == 0
 
 
 def test_random_keys_are_found_and_words_are_not(spark):
@@ -115,12 +185,3 @@ def test_decision_does_not_depend_on_corpus_size_or_long_words(spark):
         assert len(found) == len(rows)
         for r in found:
             assert [tuple(s) for s in r.result] == want[r.doc_id % 10], (times, r.text)
-
-
-def test_null_is_fixed_and_ordinary_strings_look_less_random_with_length():
-    for encoding in S.ENCODINGS:
-        null = S.null_counts(encoding)
-        share = [sum(null.get(i * S.P_BINS + b, 0) for b in range(4)) / S.NULL_SIZE for i in range(S.NULL_BINS)]
-        assert sum(null.values()) == S.NULL_BINS * S.NULL_SIZE and share[-1] < 0.01 and share[-1] <= share[0]
-        cut = S.cuts(null, {c: 1 for c in (3 * S.P_BINS, 11 * S.P_BINS)}, 0.01)
-        assert cut[3] >= 0 and cut[11] >= 0
