@@ -9,6 +9,7 @@ the table just written, so stored and exported rows are the same rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,7 @@ from playmart.operators.ledger import RevenueLedger
 from playmart.operators.relational import join_dim, non_empty, sentinel_split, union_sources
 from playmart.plans import schemas as S
 from playmart.sources import logs
+from playmart.sources.export_ledger import ExportLedger
 from playmart.sources.scratch import Scratch
 from playmart.sources.sinks import export, jdbc_options
 from playmart.sources.tables import DAY_COL, conform, overwrite_table, read_table, table_path, write_day
@@ -38,6 +40,8 @@ class Job:
     export_options: dict = field(default_factory=dict)
     export_base: str | None = None
     mode: str = "overwrite"  # day writes; "append" = the original's insert into
+    export_mode: str = "ledger"  # send new and changed days once; "append" = the original, which sends them again on each run
+    delete_day: Callable[[str, str], None] | None = None  # (table, day): removes a day's rows from a JDBC store
     optional: frozenset = frozenset()  # source columns that may be absent (written as NULL); others must exist
 
     def path(self, name: str) -> str:
@@ -57,7 +61,9 @@ class Job:
 
     def export(self, stored: DataFrame, table: str, mode: str = "append", all_days: bool = False,
                constant_day: str | None = None) -> None:
-        """``stored`` must hold every day for ``all_days`` (``read``, not what ``write_day`` returns)."""
+        """``stored`` must hold every day for ``all_days`` (``read``, not what ``write_day`` returns).
+
+        A run sends what the export ledger doesn't hold yet; a re-run without changes sends nothing."""
         if not self.export_fmt:
             return
         opts, target = dict(self.export_options), None
@@ -65,6 +71,13 @@ class Job:
             opts = jdbc_options(**{k: v for k, v in opts.items() if k != "dbtable"}, table=table)
         else:
             target = table_path(self.export_base or self.path("export"), table)
+        if self.export_mode == "ledger" and mode == "append":
+            rows = stored if all_days or DAY_COL not in stored.columns else stored.where(F.col(DAY_COL) == F.lit(self.run_date))
+            delete = None if self.delete_day is None else lambda day: self.delete_day(table, day)
+            ledger = ExportLedger(self.spark, self.path("export_manifest"))
+            store = target or f"{opts.get('url', self.export_fmt)} {table}"
+            ledger.export(rows, store, fmt=self.export_fmt, path=target, options=opts, delete_day=delete)
+            return
         export(stored, target, fmt=self.export_fmt, mode=mode, options=opts,
                day=None if all_days else self.run_date, constant_day=constant_day)
 

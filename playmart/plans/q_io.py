@@ -10,10 +10,12 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from playmart.functions.dates import shift_day
 from playmart.plans import schemas as S
 from playmart.plans.driver_tables import RUN_DATE, table
 from playmart.session import scratch_path
 from playmart.sources import logs
+from playmart.sources.export_ledger import ExportLedger
 from playmart.sources.sinks import export
 from playmart.sources.tables import (
     DAY_COL, append_day, overwrite_table, read_day_table, read_text_table, write_day, write_days, write_text_table,
@@ -66,6 +68,20 @@ def q_append_export_roundtrip(spark, d):
     return spark.read.schema(stored.schema).parquet(f"{base}/export").select(*ROWS)
 
 
+def q_export_ledger_roundtrip(spark, d):
+    """Three runs of one export, an old day changed between them; the store holds each day once, as it is now."""
+    base = scratch_path(spark, f"ledger-{uuid.uuid4().hex}")
+    ledger = ExportLedger(spark, f"{base}/manifest")
+    rows, old = play_rows(spark, d), shift_day(RUN_DATE, 9)
+    write_days(rows.where(F.col(DAY_COL) != F.lit(RUN_DATE)), f"{base}/table")
+    write_day(rows.where((F.col(DAY_COL) == F.lit(old)) & (F.col("mid") < "5")), f"{base}/table", old)  # half of its rows came late
+    for late in (None, RUN_DATE, old):
+        if late:
+            write_day(rows.where(F.col(DAY_COL) == F.lit(late)), f"{base}/table", late)
+        ledger.export(read_day_table(spark, f"{base}/table", S.PLAY_LOG), "plays", path=f"{base}/export")
+    return read_day_table(spark, f"{base}/export", S.PLAY_LOG).select(*ROWS)
+
+
 def q_snapshot_overwrite_roundtrip(spark, d):
     """S8 + S11: an un-partitioned table overwritten by other rows, exported in
     overwrite mode with a constant day."""
@@ -101,6 +117,7 @@ def q_routed_roundtrip(spark, d):
 QUERIES = {
     "day_overwrite_roundtrip": q_day_overwrite_roundtrip,
     "append_export_roundtrip": q_append_export_roundtrip,
+    "export_ledger_roundtrip": q_export_ledger_roundtrip,
     "snapshot_overwrite_roundtrip": q_snapshot_overwrite_roundtrip,
     "text_table_roundtrip": q_text_table_roundtrip,
     "routed_roundtrip": q_routed_roundtrip,
@@ -113,6 +130,7 @@ FROM events"""
 
 ORACLE = {
     "day_overwrite_roundtrip": _PLAYS,
+    "export_ledger_roundtrip": _PLAYS,
     "append_export_roundtrip": f"{_PLAYS} UNION ALL SELECT * FROM ({_PLAYS}) WHERE dt_data = '{RUN_DATE}'",
     "snapshot_overwrite_roundtrip": f"SELECT c_custkey, c_name, c_nationkey, '{RUN_DATE}' AS dt_data FROM customer",
     "text_table_roundtrip": """SELECT p_partkey, p_name,
