@@ -61,7 +61,57 @@ def free_date(s, century_start: int | None = None) -> Column:
     month's end runs on into the next month. ISO ``2019-01-01`` is not accepted.
     """
     start = _dt.date.today().year - 80 if century_start is None else century_start
-    days = "|".join(sorted({w[:k] for w in WEEKDAYS for k in range(3, len(w) + 1)}, key=len, reverse=True))
+    common = _common_date(_col(s), start)
+    # Every form holds the first letters of a month, or two slashes; other texts need no closer look.
+    possible = F.regexp_like(F.lower(_col(s)), F.lit("|".join([*(m[:3] for m in MONTHS), "/.*/"])))
+    return F.coalesce(common, F.when(possible, _any_date(s, start)))
+
+
+def _prefixes(names) -> str:
+    """Pattern of all abbreviations of three letters or more, the longest first."""
+    return "|".join(sorted({w[:k] for w in names for k in range(3, len(w) + 1)}, key=len, reverse=True))
+
+
+def _year(y: Column, start: int) -> Column:
+    near = F.lit(start // 100 * 100) + y.try_cast("int")
+    return F.when(F.length(y) > 2, y.try_cast("int")).otherwise(F.when(near < start, near + 100).otherwise(near))
+
+
+def _day_of(year: Column, month: Column, day: Column) -> Column:
+    valid = month.between(1, 12) & year.between(1, 9999)
+    return F.when(valid, F.date_add(F.make_date(year, month, F.lit(1)), day - 1))
+
+
+def _common_date(s: Column, start: int) -> Column:
+    """The forms that nearly all texts have: a leading weekday, a time below 24 hours and UTC at their usual
+    places. One compiled pattern decides, plain extractions follow; NULL for every other text."""
+    text, gap = F.lower(s), r"[\s,]+"
+    time = rf"(?:{gap}(?:[01]?\d|2[0-3]):[0-5]?\d(?::[0-5]?\d)?\s*(?:am|pm)?)?(?:{gap}(?:gmt|utc|ut))?"
+    lead, end = rf"^[\s,]*(?:(?:{_prefixes(WEEKDAYS)})\.?{gap})?", rf"{time}[\s,]*$"
+    month, year = rf"({_prefixes(MONTHS)})\.?", r"(\d{4}|\d{2})"
+    forms = {  # pattern -> year, month and day of a match, after a mark that no pattern starts with
+        rf"{lead}{month}{gap}(\d{{1,2}}){time}{gap}{year}{end}": "=$3 $1 $2",
+        rf"{lead}(\d{{1,2}}){gap}{month}{gap}{year}{end}": "=$3 $2 $1",
+        rf"{lead}(\d{{1,2}})/(\d{{1,2}})/{year}{end}": "=$3 $1 $2",
+        rf"{lead}(\d{{4}})/(\d{{1,2}})/(\d{{1,2}}){end}": "=$1 $2 $3",
+    }
+    found = F.regexp_replace(text, "^=", " =")
+    for pattern, parts in forms.items():
+        found = F.regexp_replace(found, pattern, parts)
+
+    def date(x: Column) -> Column:
+        y, m, d = (F.split_part(F.substring(x, 2, 100), F.lit(" "), F.lit(i)) for i in (1, 2, 3))
+        named = F.instr(F.lit("".join(n[:3] for n in MONTHS)), F.substring(m, 1, 3)) + 2
+        number = F.when(named > 2, (named / 3).cast("int")).otherwise(m.try_cast("int"))
+        return F.when(x.startswith("="), _day_of(_year(y, start), number, d.try_cast("int")))
+
+    # The match is bound once (transform over one element) instead of being pasted into each use.
+    return F.get(F.transform(F.array(found), date), 0)
+
+
+def _any_date(s, start: int) -> Column:
+    """``free_date`` for any order of the parts."""
+    days = _prefixes(WEEKDAYS)
     zone = rf"(?<![a-z])({'|'.join(sorted(ZONES, key=len, reverse=True))})(?![a-z])"
     time = r"(\d{1,2}):(\d{1,2})(?::(\d{1,2}))?\s*(am|pm)?(?![a-z0-9:])"
     forms = {  # pattern -> groups of year, month, day
@@ -86,11 +136,8 @@ def free_date(s, century_start: int | None = None) -> Column:
 
     def date(found):
         y, m = found["of"]["y"], found["of"]["m"]
-        near = F.lit(start // 100 * 100) + y.try_cast("int")
-        year = F.when(F.length(y) > 2, y.try_cast("int")).otherwise(F.when(near < start, near + 100).otherwise(near))
         month = F.when(F.regexp_like(m, F.lit("^[a-z]")), _named(m, MONTHS)).otherwise(m.try_cast("int"))
-        first = F.try_to_date(F.format_string("%04d-%02d-01", year, month), "yyyy-MM-dd")
-        return F.date_add(first, found["of"]["d"].try_cast("int") - 1 + found["moved"])
+        return _day_of(_year(y, start), month, found["of"]["d"].try_cast("int") + found["moved"])
 
     # Each step's value is bound once (transform over one element) instead of being pasted into the next.
     text = F.lower(F.regexp_replace(_col(s), r"\([^()]*\)", " "))

@@ -230,9 +230,8 @@ def q_log_route_count(spark, d):
 
 def q_log_json_fields(spark, d):
     routed = logs.route_log(logs.split_log(log_lines(spark, d)))
-    plays = routed.where(F.col("event_type") == logs.PLAY_EVENT)
-    fields = [text.json_field("payload", f).alias(f) for f in logs.PLAY_FIELDS]
-    return plays.select(*fields, logs.play_record("payload").alias("record"))
+    plays = logs.play_fields(routed.where(F.col("event_type") == logs.PLAY_EVENT))
+    return plays.select("*", logs.join_record(logs.PLAY_FIELDS).alias("record"))
 
 
 def q_log_missing_text(spark, d):

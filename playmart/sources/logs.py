@@ -58,8 +58,9 @@ def route_log(parts: DataFrame, type_idx: int = TYPE_IDX, payload_idx: int = PAY
 
 
 def play_fields(routed: DataFrame, fields=PLAY_FIELDS, mode: str = "permissive") -> DataFrame:
-    """JSON payload -> one string column per field.
+    """JSON payload -> one string column per field; the payload is parsed once.
 
+    Of a key that occurs twice the last one counts, as in the original's parser.
     ``mode="permissive"``: invalid JSON gives NULL fields (the job goes on).
     ``mode="failfast"``: invalid JSON fails the job, as the original does.
     """
@@ -67,7 +68,7 @@ def play_fields(routed: DataFrame, fields=PLAY_FIELDS, mode: str = "permissive")
         schema = ", ".join(f"{f} string" for f in fields)
         parsed = F.from_json(F.col("payload"), schema, {"mode": "FAILFAST"})
         return routed.select(*[parsed.getField(f).alias(f) for f in fields])
-    return routed.select(*[json_field("payload", f).alias(f) for f in fields])
+    return routed.select(F.json_tuple("payload", *fields).alias(*fields))
 
 
 def play_record(payload, fields=PLAY_FIELDS) -> Column:
@@ -75,11 +76,18 @@ def play_record(payload, fields=PLAY_FIELDS) -> Column:
     return F.concat_ws("\t", *[null_text(json_field(payload, f)) for f in fields])
 
 
+def join_record(columns) -> Column:
+    """The record of fields that are columns already."""
+    return F.concat_ws("\t", *[null_text(F.col(c)) for c in columns])
+
+
 def flatten_payloads(routed: DataFrame, play_event: str = PLAY_EVENT, fields=PLAY_FIELDS) -> DataFrame:
     """(event_type, record): the play event becomes its fields tab-joined with
     missing ones written as ``null``; other events keep the raw payload."""
-    record = play_record("payload", fields)
-    return routed.select(
+    names = [f"_f{i}" for i in range(len(fields))]
+    parsed = routed.select("event_type", "payload", F.json_tuple("payload", *fields).alias(*names))
+    record = join_record(names)
+    return parsed.select(
         "event_type",
         F.when(F.col("event_type") == F.lit(play_event), record).otherwise(F.col("payload")).alias("record"),
     )

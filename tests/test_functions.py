@@ -135,3 +135,41 @@ def test_play_fields_failfast(spark):
     assert [r.songid for r in logs.play_fields(df).collect()] == ["1", None]
     with pytest.raises(Exception):
         logs.play_fields(df, mode="failfast").collect()
+
+
+def test_common_dates_equal_the_general_form(spark):
+    """Random texts made of date parts: where the quick patterns match, the general ones say the same."""
+    import random
+
+    rnd = random.Random(11)
+    months = [m[:k].capitalize() for m in dates.MONTHS for k in (3, len(m))] + ["SEPT", "Ju", "Foo", "febr."]
+    parts = [lambda: rnd.choice(months), lambda: str(rnd.randrange(0, 40)), lambda: str(rnd.choice([2019, 1999, 19, 40, 7, 2024])),
+             lambda: rnd.choice(["Tue", "monday,", "Wed.", "xyz"]), lambda: f"{rnd.randrange(27)}:{rnd.randrange(62):02d}{rnd.choice(['', ':01', ' AM', 'pm'])}",
+             lambda: rnd.choice(["GMT", "est", "UTC", "(note)"])]
+    texts = []
+    for _ in range(1500):
+        m, d, y, w, t, z = (p() for p in parts)
+        form = rnd.choice(["{m} {d}, {y}", "{d} {m} {y}", "{d}/{n}/{y}", "{y}/{n}/{d}", "{w} {m} {d} {t} {z} {y}", "{w}, {m} {d}, {y} {t}", "{m} {d} {t} {y} {z}", "{d} {m} {y} {t} {z}", "{n}/{d}/{y} {t}", "{t} {m} {d} {y}", "{m} {y}", " {m},{d}  {y} "])
+        texts.append(form.format(m=m, d=d, y=y, w=w, t=t, z=z, n=rnd.randrange(15)))
+    df = spark.createDataFrame([(x,) for x in texts], "s string")
+    rows = df.select("s", dates.free_date("s", 1940).alias("a"), dates._any_date("s", 1940).alias("b"), dates._common_date(F.col("s"), 1940).alias("c")).collect()
+    assert all(r.a == r.b for r in rows), [tuple(r) for r in rows if r.a != r.b][:5]
+    assert sum(r.c is not None for r in rows) > 400 and sum(r.b is not None and r.c is None for r in rows) > 20
+
+
+def test_payload_is_parsed_once(spark):
+    """json_tuple gives what get_json_object gives, but for keys that occur twice."""
+    from playmart.sources import logs
+
+    payloads = ['{"songid":"x","uid":1.50}', '{"uid":{"c":[1, 2.0]},"songid":null}', '{"songid":1e3,"uid":"\\u00e9\\n"}', "bad", '{"songid":1, bad', "[1]", '"s"', "", None,
+                '{"SONGID":5}', '{"songid":12345678901234567890123,"uid":-0.0}', '{"songid":"","uid":[]}', "{'songid':'q','uid':2}", ' {"songid" : 7 } ', '{"uid":01,"songid":3}']
+    df = spark.createDataFrame([(i, logs.PLAY_EVENT, p) for i, p in enumerate(payloads)], "i int, event_type string, payload string")
+    got = logs.play_fields(df, ("songid", "uid")).collect()
+    want = df.select(*[text.json_field("payload", f).alias(f) for f in ("songid", "uid")]).collect()
+    assert got == want
+    twice = spark.createDataFrame([('{"songid":1,"songid":2}',)], "payload string")
+    assert logs.play_fields(twice, ("songid",)).first().songid == "2"
+    p = logs.flatten_payloads(df)._jdf.queryExecution().executedPlan().toString()
+    assert p.count("json_tuple") == 1 and "get_json_object" not in p
+    records = logs.flatten_payloads(df).collect()
+    assert records[0].record.startswith("x\tnull\tnull\t1.5\t") and len(records) == len(payloads)
