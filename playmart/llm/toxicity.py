@@ -7,8 +7,9 @@ continuation count shared by both, so an expression that one class never showed
 back to the same probability in both and says little either way. The two
 log-likelihoods of a window of ``WINDOW`` words are divided by its length (a word that
 recurs in the window counts once in it); a document is described by its highest window
-difference and by the mean difference of its distinct words, and a logistic fit on
-labelled documents that the counts didn't use turns both into a score.
+difference, by the mean difference of its distinct words and by that of the ``TOP`` words among
+them with the highest differences, which don't shrink with the text around them. A logistic fit on
+labelled documents that the counts didn't use turns these into a score.
 
 The fit uses at most ``max_rows`` labelled documents of each class (those with the
 smallest hash of their id), so the model that is broadcast is bounded; the logistic fit
@@ -33,14 +34,14 @@ from pyspark.sql import functions as F
 
 from .common import bounded_sample, fold, free_name, slices, alnum_words, table, texts
 
-ORDER = 6  # bytes: a context and its byte are one 48-bit key
-WINDOW, STRIDE = 8, 4
+ORDER = 8  # bytes: a context and its byte are one 64-bit key
+WINDOW, STRIDE, TOP = 8, 4, 3
 _CACHE = 300_000
 _END = 0x20
 
 
 def word_grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """48-bit keys of the ORDER-byte windows that end at each byte (and at the end) of
+    """64-bit keys of the ORDER-byte windows that end at each byte (and at the end) of
     each word, padded with zero bytes in front, and the word each belongs to."""
     pad = bytes(ORDER - 1)
     flat = np.frombuffer(pad + b"".join([w + b"\x20" + pad for w in words]), np.uint8).astype(np.uint64)
@@ -126,7 +127,7 @@ class ToxicityModel:
         return self.__dict__ | {"cache": {}, "values": np.zeros(0)}
 
     def features(self, documents: list[bytes]) -> np.ndarray:
-        """Highest window mean and overall mean of the length-normalised ratio, per document."""
+        """Highest window mean, overall mean and mean of the top words' length-normalised ratios, per document."""
         words = [alnum_words(t) for t in documents]
         new = list(set(chain.from_iterable(words)) - self.cache.keys())
         if len(self.cache) + len(new) > _CACHE:
@@ -159,7 +160,13 @@ class ToxicityModel:
             at = np.minimum(lo + k, len(codes) - 1)
             total += np.where((lo + k < ends[doc]) & (before[at] < lo), values[at], 0)
         best = np.maximum.reduceat(total / WINDOW, np.cumsum(n) - n) if len(words) else np.zeros(0)
-        return np.column_stack([best, mean])
+        # The TOP distinct words that speak most for toxicity, zero where a text has fewer.
+        place = np.flatnonzero(new)
+        place = place[np.lexsort((-values[place], owner[place]))]
+        rank = np.arange(len(place)) - np.searchsorted(owner[place], owner[place])
+        place = place[(rank < TOP) & (values[place] > 0)]
+        top = np.bincount(owner[place], values[place], len(words)) / TOP
+        return np.column_stack([best, mean, top])
 
     def score(self, documents: list[bytes]) -> np.ndarray:
         if self.ratios is None:
@@ -189,7 +196,7 @@ def _counts(documents: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
     """Newton steps for a ridge logistic regression of weighted rows with an intercept."""
     x = np.column_stack([x, np.ones(len(x))])
-    w, penalty = np.zeros(x.shape[1]), ridge * np.diag([1.0, 1.0, 1e-3])
+    w, penalty = np.zeros(x.shape[1]), ridge * np.diag([1.0] * (x.shape[1] - 1) + [1e-3])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -50, 50)))
         step = np.linalg.solve(x.T @ (x * (weight * p * (1 - p))[:, None]) + penalty, x.T @ (weight * (y - p)) - penalty @ w)
@@ -213,7 +220,7 @@ def fit(rows: list[tuple[bytes, int]], sizes: dict[int, int] | None = None) -> T
         distinct: dict[bytes, int] = {}
         for i in np.flatnonzero(labels == label).tolist():
             part[i] = distinct.setdefault(documents[i], len(distinct)) % 3
-    x = np.zeros((len(rows), 2))
+    x = np.zeros((len(rows), 3))
     for k in range(3):
         out = part == k
         if out.any() and len(set(labels[~out])) == 2:

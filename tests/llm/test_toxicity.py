@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from playmart.llm import toxicity as T
 
@@ -111,9 +112,9 @@ def test_copies_and_repeats_are_no_further_evidence():
 def test_windows_cover_the_whole_text():
     model = T.fit([(" ".join(words(40, k) + (["idiot"] if k % 2 else [])).encode(), k % 2) for k in range(120)])
     long = words(5000, 1)
-    clean = model.features([" ".join(long).encode()])[0, 0]
-    late = model.features([" ".join([*long, "idiot"]).encode()])[0, 0]
-    assert late > clean + 0.1
+    clean = model.features([" ".join(long).encode()])[0]
+    late = model.features([" ".join([*long, "idiot"]).encode()])[0]
+    assert late[0] > clean[0] and late[2] > clean[2] + 0.1  # in the last window, and among the top words
 
 
 def test_late_dense_passage_and_repeated_line_count_in_full():
@@ -155,3 +156,25 @@ def test_the_cap_does_not_move_the_threshold(spark):
     flips = sum((one[i] >= 0.5) != (many[i] >= 0.5) for i in one)
     assert flips <= 10
     assert abs(np.mean(list(one.values())) - np.mean(list(many.values()))) < 0.05
+
+
+def test_expressions_made_of_ordinary_syllables(spark):
+    """Toxic words are new combinations of syllables that all texts have; held-out documents are still told apart, long ones too."""
+    rnd = random.Random(21)
+    syllables = ["ach", "lich", "keit", "er", "ver", "zu", "ge", "en", "ung", "heit", "ein", "sch", "be", "au", "un", "st"]
+    usual = lambda: "".join(rnd.choices(syllables, k=rnd.choice([1, 2, 2, 3, 4])))
+    bad = lambda: "achlich" + "".join(rnd.choices(syllables, k=rnd.choice([1, 1, 2])))
+    rows, labels = [], []
+    for i in range(900):
+        toxic = i % 6 == 0
+        w = [usual() for _ in range(rnd.choice([60, 150, 400]))]
+        w = [x for x in w if not x.startswith("achlich") or rnd.random() < 0.1]
+        for _ in range(max(4, len(w) // 25) if toxic else 0):
+            w.insert(rnd.randrange(len(w)), bad())
+        rows.append(doc(i, " ".join(w)))
+        labels.append((i, int(toxic)))
+    labels = spark.createDataFrame(labels, "doc_id long, toxic int")
+    held = [i for i in range(900) if zlib.crc32(str(i).encode()) % 5 == 0]
+    got = {r.doc_id: r.score >= 0.5 for r in T.score_toxicity(frame(spark, rows), labels).where(F.col("doc_id").isin(held)).collect()}
+    bad_ones, fine = [got[i] for i in held if i % 6 == 0], [got[i] for i in held if i % 6]
+    assert sum(bad_ones) >= 0.85 * len(bad_ones) and sum(fine) <= 0.02 * len(fine)
