@@ -105,8 +105,15 @@ def template_index(texts: DataFrame, templates, threshold: float) -> tuple[list[
     return order, texts.sparkSession.range(1).select(F.inline(F.array(*rows)))
 
 
-def similar_blocks(texts: DataFrame, templates=TEMPLATES, threshold: float = 0.85, block: int = 64, max_index: int = 100_000) -> DataFrame:
-    """(rid, start, label, containment) of every block that meets a template; ``texts`` has rid and norm."""
+def similar_blocks(texts: DataFrame, templates=TEMPLATES, threshold: float = 0.85, block: int | None = None, max_index: int = 100_000) -> DataFrame:
+    """(rid, start, label, containment) of every block that meets a template; ``texts`` has rid and norm.
+
+    Blocks start every half block. ``block`` (default: twice the longest template's words, 64 at least)
+    must be twice the longest template, so a template's words always lie within one block."""
+    longest = max((len(text.split()) for _, text in templates), default=0)
+    block = max(64, 2 * longest) if block is None else block
+    if block < 2 * longest:
+        raise ValueError(f"a template of {longest} words needs blocks of {2 * longest} words")
     order, index = template_index(texts, templates, threshold)
     if index.count() > max_index:
         raise ValueError(f"the templates have more than {max_index} prefix words")
@@ -131,7 +138,7 @@ def scan_licenses(
     templates=TEMPLATES,
     phrases: dict[str, str] = PHRASES,
     threshold: float = 0.85,
-    block: int = 64,
+    block: int | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:

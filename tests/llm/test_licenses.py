@@ -1,5 +1,7 @@
 import math
 
+import pytest
+
 from playmart.llm import licenses as L
 from playmart.llm.common import table
 
@@ -54,3 +56,16 @@ def test_edges(spark):
 def test_empty_table_and_no_template_words(spark):
     assert scan(frame(spark, [])).count() == 0
     assert plain(scan(frame(spark, [doc(1, "zzz yyy")]))) == [(1, 2, 0, None, None, "", "", 0.0)]
+
+
+def test_long_templates_are_found_at_every_offset(spark):
+    """The block follows the longest template; one that is too short for it is refused."""
+    long = " ".join(f"term{k}" for k in range(90))
+    middle = " ".join(f"part{k}" for k in range(50))
+    templates = [("long", long), ("middle", middle)]
+    fill = lambda n: " ".join(f"w{k % 7}" for k in range(n))
+    rows = [doc(2 * k, f"{fill(k)} {long} {fill(40)}") for k in range(0, 200, 9)] + [doc(2 * k + 1, f"{fill(k)} {middle} {fill(40)}") for k in range(0, 200, 9)]
+    got = {r.doc_id: (r.labels, r.score) for r in L.scan_licenses(frame(spark, rows), templates, phrases={"no such phrase": "x", "nor this one": "y"}).collect()}
+    assert got == {i: (["long"], 1.0) if i % 2 == 0 else (["middle"], 1.0) for i in got} and len(got) == len(rows)
+    with pytest.raises(ValueError):
+        L.scan_licenses(frame(spark, rows), templates, block=64)
