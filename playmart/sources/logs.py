@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playmart.functions.text import json_field, null_text
+from playmart.sources.archives import is_archive, read_archives
 
 LOG_SEP = "&"
 LOG_FIELDS = 6
@@ -34,7 +35,9 @@ PLAY_FIELDS = (
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """Raw lines as a one-column frame ``value`` (gzip decoded by extension)."""
+    """Raw lines as a one-column frame ``value`` (gzip decoded by extension, tar archives member by member)."""
+    if is_archive(path):
+        return read_archives(spark, path).select("value")
     return spark.read.text(path)
 
 
