@@ -9,7 +9,9 @@ province, city, township, street, number and coordinates):
   the point's cube or one of its neighbours, at any latitude and on either side
   of the 180th meridian;
 * each distinct coordinate is exploded to those cubes and equi-joined on the
-  cube; the optimizer decides broadcast vs shuffle by size, AQE splits hot cubes;
+  cube; the optimizer decides broadcast vs shuffle by size;
+* where a cube holds more than ``leaf`` places, cubes are split and searched by distance bounds
+  (``geo_cells``), so a point's candidates don't grow with the places in its radius;
 * haversine distance, keep places within the radius, ``min_by`` on
   (distance, place id) picks the nearest deterministically;
 * the result is joined back to the location rows, one output row each.
@@ -24,6 +26,9 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from playmart.operators import geo_cells
+from playmart.sources.scratch import Scratch
+
 EARTH_RADIUS_M = 6_371_008.8
 
 # Compass names for 8 sectors starting at north, clockwise.
@@ -65,12 +70,18 @@ def direction(from_lat: Column, from_lng: Column, to_lat: Column, to_lng: Column
     return F.element_at(F.array(*[F.lit(d) for d in DIRECTIONS]), sector + 1)
 
 
+def _sphere(lat: Column, lng: Column) -> list[Column]:
+    """The point of the unit sphere."""
+    return [F.cos(_rad(lat)) * F.cos(_rad(lng)), F.cos(_rad(lat)) * F.sin(_rad(lng)), F.sin(_rad(lat))]
+
+
 def _cube(lat: Column, lng: Column, side_m: float) -> list[Column]:
     """Integer coordinates of the cube that holds a point of the sphere."""
-    scale = F.lit(EARTH_RADIUS_M / side_m)
-    x = F.cos(_rad(lat)) * F.cos(_rad(lng))
-    y = F.cos(_rad(lat)) * F.sin(_rad(lng))
-    return [F.floor(c * scale) for c in (x, y, F.sin(_rad(lat)))]
+    return [F.floor(c * F.lit(EARTH_RADIUS_M / side_m)) for c in _sphere(lat, lng)]
+
+
+def _in_meters(df: DataFrame, lat: str, lng: str) -> DataFrame:
+    return df.withColumns({f"_{a}": c * F.lit(EARTH_RADIUS_M) for a, c in zip("xyz", _sphere(F.col(lat), F.col(lng)))})
 
 
 def nearest_place(
@@ -82,6 +93,8 @@ def nearest_place(
     x_col: str = "x",
     y_col: str = "y",
     place_id: str = "place_id",
+    leaf: int = geo_cells.LEAF,
+    scratch: Scratch | None = None,
 ) -> DataFrame:
     """Nearest place within ``radius_m`` of each location row (x = latitude,
     y = longitude, as texts; rows with an empty text are skipped).
@@ -115,7 +128,17 @@ def nearest_place(
         "formatted_address", "province", "city", "township", "street", "number",
         *[c.alias(f"_c{n}") for c, n in zip(_cube(F.col("lat"), F.col("lng"), side), "xyz")],
     )
-    cand = probe.join(pl, ["_cx", "_cy", "_cz"], "inner").withColumn(
+    cubes = ["_cx", "_cy", "_cz"]
+    densest = pl.groupBy(*cubes).count().agg(F.max("count")).first()[0] or 0
+    if densest <= leaf:
+        cand = probe.join(pl, cubes, "inner")
+    else:
+        # Of places at one coordinate the smallest id is the nearest.
+        one = [c for c in pl.columns if c not in ("_plat", "_plng", *cubes)]
+        distinct = pl.groupBy("_plat", "_plng").agg(F.min_by(F.struct(*one), "_pid").alias("_one")).select("_plat", "_plng", "_one.*")
+        scratch = scratch or Scratch(points.sparkSession, "places")
+        cand = geo_cells.candidates(_in_meters(at, "_lat", "_lng"), scratch.keep(_in_meters(distinct, "_plat", "_plng")), side, side, leaf, scratch)
+    cand = cand.withColumn(
         "_dist", haversine_m(F.col("_lat"), F.col("_lng"), F.col("_plat"), F.col("_plng"))
     ).where(F.col("_dist") <= F.lit(radius_m))
     info = F.struct(
