@@ -26,7 +26,7 @@ from playmart.sources import logs
 from playmart.sources.export_ledger import ExportLedger
 from playmart.sources.scratch import Scratch
 from playmart.sources.sinks import export, jdbc_options
-from playmart.sources.tables import DAY_COL, conform, overwrite_table, read_table, table_path, write_day
+from playmart.sources.tables import DAY_COL, conform, ensure_table, insert_table, overwrite_table, read_table, table_path, write_day
 
 
 @dataclass
@@ -40,6 +40,7 @@ class Job:
     export_options: dict = field(default_factory=dict)
     export_base: str | None = None
     mode: str = "overwrite"  # day writes; "append" = the original's insert into
+    catalog: str | None = None  # a database of the session's catalog: tables are read and written by name, their files being at ``base``
     export_mode: str = "ledger"  # send new and changed days once; "append" = the original, which sends them again on each run
     delete_day: Callable[[str, str], None] | None = None  # (table, day): removes a day's rows from a JDBC store
     optional: frozenset = frozenset()  # source columns that may be absent (written as NULL); others must exist
@@ -47,7 +48,13 @@ class Job:
     def path(self, name: str) -> str:
         return table_path(self.base, name)
 
+    def table(self, name: str) -> str:
+        return f"{self.catalog}.{name}"
+
     def read(self, name: str, schema=None) -> DataFrame:
+        if self.catalog and self.spark.catalog.tableExists(self.table(name)):
+            stored = self.spark.table(self.table(name))
+            return stored if schema is None else conform(stored, schema)
         return read_table(self.spark, self.path(name), schema)
 
     def read_day(self, name: str, schema, day: str | None = None) -> DataFrame:
@@ -56,9 +63,23 @@ class Job:
 
     def write_day(self, df: DataFrame, name: str, schema, mode: str | None = None) -> DataFrame:
         out = conform(df.withColumn(DAY_COL, F.lit(self.run_date)), schema, strict=True, optional=self.optional)
-        write_day(out, self.path(name), self.run_date, mode=mode or self.mode)
+        if self.catalog:
+            stored = schema if DAY_COL in schema.fieldNames() else schema.add(DAY_COL, "string")
+            ensure_table(self.spark, self.table(name), stored, self.path(name))
+            insert_table(out.withColumn(DAY_COL, F.lit(self.run_date)), self.table(name), mode or self.mode)
+        else:
+            write_day(out, self.path(name), self.run_date, mode=mode or self.mode)
         return self.read_day(name, schema, self.run_date)
 
+    def overwrite(self, df: DataFrame, name: str, schema) -> DataFrame:
+        """Replace a table without days."""
+        if self.catalog:
+            ensure_table(self.spark, self.table(name), schema, self.path(name))
+            insert_table(df, self.table(name))
+        else:
+            overwrite_table(df, self.path(name))
+        return self.read(name, schema)
+
     def export(self, stored: DataFrame, table: str, mode: str = "append", all_days: bool = False,
                constant_day: str | None = None) -> None:
         """``stored`` must hold every day for ``all_days`` (``read``, not what ``write_day`` returns).
@@ -121,8 +142,7 @@ def song_base_info(job: Job, second_index: int = 0) -> DataFrame:
         "status",
         text.int_list("publish_to").alias("publish_to"),
     )
-    overwrite_table(conform(out, S.SONG_INFO, strict=True, optional=job.optional), job.path("tw_song_info_d"))
-    return job.read("tw_song_info_d", S.SONG_INFO)
+    return job.overwrite(conform(out, S.SONG_INFO, strict=True, optional=job.optional), "tw_song_info_d", S.SONG_INFO)
 
 
 def machine_location(job: Job, radius_m: float = 1_000.0, keep_unmatched: bool = True) -> DataFrame:
@@ -285,8 +305,7 @@ def daily_logins(job: Job, snapshot_day: str | None = None) -> DataFrame:
     logins = job.read("to_user_logininfo_d")
     people = job.read("tw_user_baseinfo_d", S.USER_BASE)
     daily = users.daily_logins(logins, people, snapshot_day)
-    overwrite_table(conform(daily, S.DAILY_LOGIN, strict=True).sortWithinPartitions("loginTm"), job.path("tw_user_dailylogincnt_d"))
-    return job.read("tw_user_dailylogincnt_d", S.DAILY_LOGIN)
+    return job.overwrite(conform(daily, S.DAILY_LOGIN, strict=True).sortWithinPartitions("loginTm"), "tw_user_dailylogincnt_d", S.DAILY_LOGIN)
 
 
 # ------------------------------------------------------------------------ DM
@@ -347,8 +366,7 @@ def rolling_logins(job: Job, rows: int = 8) -> DataFrame:
     """Rolling 8-row login counts over the daily table."""
     daily = job.read("tw_user_dailylogincnt_d", S.DAILY_LOGIN)
     out = conform(users.rolling_logins(daily, rows), S.WEEK_LOGIN, strict=True)
-    overwrite_table(out, job.path("tm_user_weeklogincnt_d"))
-    stored = job.read("tm_user_weeklogincnt_d", S.WEEK_LOGIN)
+    stored = job.overwrite(out, "tm_user_weeklogincnt_d", S.WEEK_LOGIN)
     job.export(stored, "tm_user_weeklogincnt_d", all_days=True)
     return stored
 

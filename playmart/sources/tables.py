@@ -139,3 +139,29 @@ def read_text_table(spark: SparkSession, path: str, schema: T.StructType) -> Dat
             c = F.when(c == "", F.array().cast("array<string>")).otherwise(F.split(c, ","))
         cols.append(c.cast(f.dataType).alias(f.name))
     return parts.select(*cols)
+
+
+def ensure_table(spark: SparkSession, name: str, schema: T.StructType, path: str | None = None) -> None:
+    """``CREATE TABLE IF NOT EXISTS`` in the session's catalog, with the declared schema, by day where it has one.
+
+    With ``path`` the table's files are there, so the same table can also be read by path.
+    """
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    days = f" PARTITIONED BY ({DAY_COL})" if DAY_COL in schema.fieldNames() else ""
+    place = "" if path is None else " LOCATION '" + path.replace("'", "\\'") + "'"
+    known = False
+    if path is not None and days and not spark.catalog.tableExists(name):
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        known = folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{days}{place}")
+    if known:  # days that were written by path before the table had a name
+        spark.sql(f"MSCK REPAIR TABLE {name}")
+
+
+def insert_table(df: DataFrame, name: str, mode: str = "overwrite") -> None:
+    """Rows into a table of the catalog, by the table's column order. ``overwrite`` replaces the whole table, or
+    only the days that ``df`` holds if the table has days; ``append`` adds rows."""
+    spark = df.sparkSession
+    if mode == "overwrite" and DAY_COL in df.columns and spark.conf.get("spark.sql.sources.partitionOverwriteMode", "").lower() != "dynamic":
+        raise ValueError("set spark.sql.sources.partitionOverwriteMode=dynamic: a static overwrite would drop the other days")
+    df.select(*spark.table(name).columns).hint("rebalance").write.insertInto(name, overwrite=mode == "overwrite")
