@@ -1,5 +1,6 @@
 """The ledger against a full recomputation after every step."""
 
+import pathlib
 import random
 
 import pytest
@@ -68,3 +69,41 @@ def test_a_failed_step_changes_nothing(spark, tmpdir_path, failed, monkeypatch):
     assert rows_of(ledger.totals()) == before
     ledger.replace_days(frame(spark, day_rows("d1", 2)), ["d1"])
     assert rows_of(ledger.totals()) == rows_of(rev.group_table(frame(spark, day_rows("d1", 2))))
+
+
+def test_a_step_stores_its_own_days_only(spark, tmpdir_path):
+    ledger = L.RevenueLedger(spark, f"{tmpdir_path}/ledger")
+    ledger.replace_days(frame(spark, day_rows("d1", 1, 600) + day_rows("d2", 1, 600)), ["d1", "d2"])
+    stored = lambda: sum(spark.read.parquet(str(p)).count() for p in pathlib.Path(ledger.path).rglob("*.parquet") if "users" not in p.parts)
+    before = stored()
+    ledger.replace_days(frame(spark, day_rows("d3", 1, 40)), ["d3"])
+    assert 0 < stored() - before <= 40 + 2  # the day's lines, its row of zeros and the version
+
+
+def test_days_of_a_failed_step_are_never_taken_for_a_later_ones(spark, tmpdir_path):
+    ledger = L.RevenueLedger(spark, f"{tmpdir_path}/ledger")
+    ledger.replace_days(frame(spark, day_rows("d1", 1)), ["d1"])
+    # A step of d2 died before its version was complete; the next one sends d3.
+    left = frame(spark, day_rows("d2", 1))
+    left = L.order_lines(left, more=(F.col("dt_data").alias("day"),)).withColumn("v", F.lit(2).cast("long"))
+    left.write.mode("append").partitionBy("day", "v").parquet(f"{tmpdir_path}/ledger/days")
+    ledger.replace_days(frame(spark, day_rows("d3", 1)), ["d3"])
+    ledger.replace_days(frame(spark, day_rows("d2", 2)), ["d2"])
+    every = day_rows("d1", 1) + day_rows("d3", 1) + day_rows("d2", 2)
+    assert rows_of(ledger.totals()) == rows_of(rev.group_table(frame(spark, every)))
+
+
+def test_many_days_and_a_hot_order(spark, tmpdir_path, monkeypatch):
+    monkeypatch.setattr(L, "FEW_DAYS", 2)
+    ledger = L.RevenueLedger(spark, f"{tmpdir_path}/ledger")
+    days = [f"d{k}" for k in range(14)]
+    refunds = [(1, 1, 1, f"u{k}", "hot", 2, 5, days[k % 14]) for k in range(200)]
+    ledger.replace_days(frame(spark, refunds + [r for d in days for r in day_rows(d, 1, 20)]), days)
+    pay = (1, 1, 1, "u", "hot", 1, 9, "late")
+    ledger.replace_days(frame(spark, [pay]), ["late"])
+    every = [*refunds, *[r for d in days for r in day_rows(d, 1, 20)]]
+    assert rows_of(ledger.totals()) == rows_of(rev.group_table(frame(spark, [*every, pay])))
+    ledger.replace_days(frame(spark, []), ["late"])
+    assert rows_of(ledger.totals()) == rows_of(rev.group_table(frame(spark, every)))
+    with pytest.raises(ValueError):
+        ledger.replace_days(frame(spark, []), [""])
