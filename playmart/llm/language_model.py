@@ -35,17 +35,17 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
+from functools import cached_property
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, fold, slices, space_words, table, texts
-
+from .common import Scratch, fold, slices, table, texts
 
 
 class Size(NamedTuple):
@@ -66,8 +66,8 @@ HEAD = SMALL.head
 END = b""  # no word is empty
 # Weights of the network that the mixture chooses from.
 WEIGHTS = np.arange(17) / 16
+_ROWS = 2048  # of logits at a time
 _GROUP = 16
-_FLUSH = 400_000
 
 
 def tail_class(word: bytes, tails: int = TAILS) -> int:
@@ -77,27 +77,30 @@ def tail_class(word: bytes, tails: int = TAILS) -> int:
 # ---------------------------------------------------------------- corpus counts
 
 
-def token_counts(training: DataFrame, tails: int = TAILS) -> DataFrame:
-    """(word, tail, c) of all tokens; tasks add up before the shuffle, in bounded tables."""
+def split_words(column: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts one after another, and how many each text has."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(column, pa.binary()).view(pa.string())))
+    words, offsets = lists.flatten(), lists.offsets.to_numpy()
+    real = pc.not_equal(pc.binary_length(words), 0)  # white space at an end of a text leaves an empty piece
+    before = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])
+    return words.filter(real).view(pa.binary()), np.diff(before[offsets])
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
 
-        def rows() -> pa.RecordBatch:
-            words = list(counts)
-            cols = [pa.array(words, pa.binary()), pa.array([tail_class(w, tails) for w in words], pa.int32()), pa.array(list(counts.values()), pa.int64())]
-            counts.clear()
-            return pa.RecordBatch.from_arrays(cols, names=["word", "tail", "c"])
+def token_counts(training: DataFrame, tails: int = TAILS) -> DataFrame:
+    """(word, tail, c) of all tokens; tasks add up before the shuffle, a slice of texts at a time."""
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for text in texts(b.column(0)):
-                counts.update(space_words(text))
-                counts[END] += 1
-                if len(counts) > _FLUSH:
-                    yield rows()
-        yield rows()
+            column = texts(b.column(0))
+            for lo, hi in slices(column, 24 << 20):
+                found = pc.value_counts(split_words(column[lo:hi])[0])
+                yield pa.RecordBatch.from_arrays([found.field(0), found.field(1)], names=["word", "c"])
+                yield pa.RecordBatch.from_arrays([pa.array([END], pa.binary()), pa.array([hi - lo], pa.int64())], names=["word", "c"])
 
-    return training.select("text").mapInArrow(count, "word binary, tail int, c long").groupBy("word", "tail").agg(F.sum("c").alias("c"))
+    counts = training.select("text").mapInArrow(count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    # As ``tail_class`` does.
+    tail = F.pmod(F.crc32(F.substring("word", -2, 2)), F.lit(tails)).cast("int")
+    return counts.select("word", tail.alias("tail"), "c")
 
 
 class Vocabulary:
@@ -112,7 +115,7 @@ class Vocabulary:
             if place >= head_size:
                 order.insert(head_size - 1, order.pop(place))
         head = order[:head_size]
-        self.index = {words[i]: k for k, i in enumerate(order)}
+        self.words = pa.array([words[i] for i in order], pa.binary())
         self.log_c1 = np.log10(np.array([counts[i] for i in order], float) + 1)
         self.ids = np.array([k if k < head_size else head_size + tail_class(words[i], size.tails) for k, i in enumerate(order)], np.int32)
         self.n_tokens, self.n_types, self.weight = n_tokens, n_types, 1.0
@@ -130,6 +133,14 @@ class Vocabulary:
         self.scale = np.concatenate([np.ones(head_size), 10.0**-self.log_tail])
         self.unigram = np.concatenate([self.head_counts + 1, np.ones(size.tails)]) / mass
 
+    @cached_property
+    def index(self) -> dict[bytes, int]:
+        return {w: k for k, w in enumerate(self.words.to_pylist())}
+
+    @cached_property
+    def end(self) -> int:
+        return pc.index_in(pa.scalar(END, pa.binary()), value_set=self.words).as_py()
+
 
 # ---------------------------------------------------------------- the network
 
@@ -166,95 +177,157 @@ class GruModel:
             setattr(self, n, flat[at : at + p.size].reshape(p.shape).astype(np.float32))
             at += p.size
 
-    def step(self, h: np.ndarray, a: np.ndarray) -> tuple[np.ndarray, tuple]:
+    def room_of_step(self, lanes: int, steps: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Work arrays of ``step``: the recurrent input, both gates, the candidate state."""
+        hidden, kind, lead = self.size.hidden, self.recurrent.dtype, () if steps is None else (steps,)
+        return np.empty((*lead, lanes, 3 * hidden), kind), np.empty((*lead, 2, lanes, hidden), kind), np.empty((*lead, lanes, hidden), kind)
+
+    def step(self, h: np.ndarray, a: np.ndarray, room: tuple | None = None) -> tuple[np.ndarray, tuple]:
         """Next state of lanes with states ``h``; ``a`` is the gates' input of the tokens they read."""
-        u, hidden = h @ self.recurrent, self.size.hidden
-        zr = _sigmoid(a[:, : 2 * hidden] + u[:, : 2 * hidden])
-        z, r, un = zr[:, :hidden], zr[:, hidden:], u[:, 2 * hidden :]
-        n = _sigmoid(2 * (a[:, 2 * hidden :] + r * un))  # tanh(x) = 2 * sigmoid(2 * x) - 1
+        lanes, hidden = h.shape
+        u, zr, n = room or self.room_of_step(lanes)
+        np.matmul(h, self.recurrent, out=u)
+        # Each gate's numbers lie together from here on.
+        a, by_gate = a.reshape(lanes, 3, hidden).transpose(1, 0, 2), u.reshape(lanes, 3, hidden).transpose(1, 0, 2)
+        _sigmoid(np.add(a[:2], by_gate[:2], out=zr))
+        np.multiply(zr[1], by_gate[2], out=n)
+        n += a[2]
+        n *= 2
+        _sigmoid(n)  # tanh(x) = 2 * sigmoid(2 * x) - 1
         n *= 2
         n -= 1
-        return n + z * (h - n), (h, z, r, un, n)
+        new = h - n
+        new *= zr[0]
+        new += n
+        return new, (u, zr, n)
 
     def inputs(self) -> np.ndarray:
         return self.gates + self.gate_bias
 
+    def _class_of(self, ids: np.ndarray) -> np.ndarray:
+        return np.where(ids < self.size.head, ids // self.size.members, ids - self.size.head + self.size.classes)
+
     def log_probs(self, h: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """log10 of the class probability, times the member's within a head class."""
-        head = ids < self.size.head
-        cls = np.where(head, ids // self.size.members, ids - self.size.head + self.size.classes)
-        out = _log_softmax_at(h @ self.classes + _shifted(self.classes, self.class_bias), cls).astype(float)
-        rows, spans = _groups(np.flatnonzero(head), cls)
-        out[rows] += _log_softmax_at(self._member_logits(h[rows], spans, _shifted(self.members, self.member_bias)), ids[rows] % self.size.members)
-        return out / math.log(10)
-
-    def _member_logits(self, h: np.ndarray, spans, bias: np.ndarray) -> np.ndarray:
-        z = np.empty((len(h), self.size.members), h.dtype)
-        for c, lo, hi in spans:
-            np.matmul(h[lo:hi], self.members[c], out=z[lo:hi])
-            z[lo:hi] += bias[c]
-        return z
-
+        return np.log10(self.probs(h, ids))
+
+    def probs(self, h: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Probability of the class, times the member's within a head class."""
+        cls, n_members = self._class_of(ids), self.size.members
+        log, total = np.empty(len(ids)), np.empty(len(ids))
+        z, bias = np.empty((_ROWS, max(self.classes.shape[1], n_members)), h.dtype), _shifted(self.classes, self.class_bias)
+        for lo in range(0, len(ids), _ROWS):
+            hi = min(len(ids), lo + _ROWS)
+            log[lo:hi], total[lo:hi] = _softmax_at(h[lo:hi], self.classes, bias, cls[lo:hi], z)
+        rows, spans = _groups(np.flatnonzero(ids < self.size.head), cls)
+        if len(rows):
+            own, member, bias = h.take(rows, axis=0), ids[rows] % n_members, _shifted(self.members, self.member_bias)
+            logs, totals = np.empty(len(rows)), np.empty(len(rows))
+            for c, first, last in spans:
+                for lo in range(first, last, _ROWS):
+                    hi = min(last, lo + _ROWS)
+                    logs[lo:hi], totals[lo:hi] = _softmax_at(own[lo:hi], self.members[c], bias[c], member[lo:hi], z)
+            log[rows] += logs
+            total[rows] *= totals
+        return np.exp(log) / total
+
+    @np.errstate(over="ignore")
     def gradients(self, h0: np.ndarray, tokens: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
         """State after a window (steps, lanes), the mean gradient, truncated at its start, and the
         probability that each token had (of its class, times the member's within a head class).
 
-        ``keep`` is 0 where a document begins."""
-        (steps, lanes), hidden = tokens.shape, self.size.hidden
-        h, seen, tape, inputs = h0, [], [], self.inputs()
+        ``keep`` is 0 where a document begins. The gradient is valid until the next call."""
+        (steps, lanes), hidden, n_members = tokens.shape, self.size.hidden, self.size.members
+        if getattr(self, "room", None) is None or self.room.shape != (steps, lanes):
+            self.room = _Room(self, steps, lanes)
+        room, ids, inputs = self.room, tokens.ravel(), self.inputs()
+        inputs.take(ids, axis=0, out=room.a.reshape(len(ids), -1), mode="clip")
+        begins, h = (~keep.all(axis=1)).tolist(), h0
         for t in range(steps):
-            h = h * keep[t][:, None]
-            seen.append(h)
-            h, saved = self.step(h, inputs[tokens[t]])
-            tape.append(saved)
-        flat, ids = np.concatenate(seen), tokens.ravel()
-        scale = np.float32(1 / len(ids))
-        head = ids < self.size.head
-        cls = np.where(head, ids // self.size.members, ids - self.size.head + self.size.classes)
-        p = _softmax(flat @ self.classes + self.class_bias)
-        had = p[np.arange(len(ids)), cls]
-        p[np.arange(len(ids)), cls] -= 1
-        p *= scale
-        classes, class_bias = flat.T @ p, p.sum(axis=0)
-        back = p @ self.classes.T
+            if begins[t]:
+                np.multiply(h, keep[t][:, None], out=room.seen[t])
+            else:
+                room.seen[t] = h
+            h, _ = self.step(room.seen[t], room.a[t], (room.u[t], room.zr[t], room.n[t]))
+        flat = room.seen.reshape(len(ids), hidden)
+        across = np.ascontiguousarray(flat.T)
+        scale, cls = self.recurrent.dtype.type(1 / len(ids)), self._class_of(ids)
+
+        bias = _shifted(self.classes, self.class_bias)
+        had, p = _softmax_errors(lambda z: np.add(np.matmul(flat, self.classes, out=z), bias, out=z), cls, scale, room.p)
+        classes, class_bias, back = across @ p, room.ones @ p, np.matmul(p, self.classes.T, out=room.back.reshape(len(ids), hidden))
         members, member_bias = np.zeros_like(self.members), np.zeros_like(self.member_bias)
-        rows, spans = _groups(np.flatnonzero(head), cls)
+        rows, spans = _groups(np.flatnonzero(ids < self.size.head), cls)
         if len(rows):
-            own = flat[rows]
-            p = _softmax(self._member_logits(own, spans, self.member_bias))
-            had[rows] *= p[np.arange(len(rows)), ids[rows] % self.size.members]
-            p[np.arange(len(rows)), ids[rows] % self.size.members] -= 1
-            p *= scale
-            member_bias[[c for c, _, _ in spans]] = np.add.reduceat(p, [lo for _, lo, _ in spans], axis=0)
+            own, shifted = flat.take(rows, axis=0), _shifted(self.members, self.member_bias)
+
+            def logits(z: np.ndarray) -> np.ndarray:
+                for c, lo, hi in spans:
+                    np.matmul(own[lo:hi], self.members[c], out=z[lo:hi])
+                    z[lo:hi] += shifted[c]
+                return z
+
+            probs, p = _softmax_errors(logits, ids[rows] % n_members, scale, room.q[: len(rows)])
+            had[rows] *= probs
+            across_own = np.ascontiguousarray(own.T)
             for c, lo, hi in spans:
-                members[c] = own[lo:hi].T @ p[lo:hi]
-                own[lo:hi] = p[lo:hi] @ self.members[c].T
+                np.matmul(across_own[:, lo:hi], p[lo:hi], out=members[c])
+                np.matmul(room.ones[: hi - lo], p[lo:hi], out=member_bias[c])
+                np.matmul(p[lo:hi], self.members[c].T, out=own[lo:hi])
             back[rows] += own
-        back = back.reshape(steps, lanes, hidden)
-        dh = np.zeros((lanes, hidden), np.float32)
-        da, du = np.empty((2, steps, lanes, 3 * hidden), np.float32)
+
+        # Gradients of the inputs of a token, in this order: candidate, update gate, reset gate, and the
+        # candidate's recurrent input.
+        wide, recurrent = room.wide, np.ascontiguousarray(self.recurrent.T)
+        dh, x, y = np.zeros_like(room.seen[0]), np.empty_like(room.seen[0]), np.empty_like(room.seen[0])
         for t in reversed(range(steps)):
-            before, z, r, un, n = tape[t]
-            dn = dh * (1 - z) * (1 - n * n)
-            da[t, :, :hidden] = dh * (before - n) * z * (1 - z)
-            da[t, :, hidden : 2 * hidden] = dn * un * r * (1 - r)
-            da[t, :, 2 * hidden :] = dn
-            du[t] = da[t]
-            du[t, :, 2 * hidden :] *= r
-            dh = (dh * z + du[t] @ self.recurrent.T + back[t]) * keep[t][:, None]
-        da = da.reshape(-1, 3 * hidden)
-        order = np.argsort(ids, kind="stable")
-        first = np.flatnonzero(np.diff(ids[order], prepend=-1))
+            (z, r), n, un, to = room.zr[t], room.n[t], room.u[t, :, 2 * hidden :], wide[t]
+            np.subtract(1, z, out=x)
+            np.subtract(room.seen[t], n, out=y)
+            y *= dh
+            y *= z
+            np.multiply(y, x, out=to[:, hidden : 2 * hidden])
+            x *= dh
+            np.multiply(n, n, out=y)
+            np.subtract(1, y, out=y)
+            x *= y
+            to[:, :hidden] = x
+            np.multiply(x, r, out=y)
+            to[:, 3 * hidden :] = y
+            y *= un
+            np.subtract(1, r, out=x)
+            np.multiply(y, x, out=to[:, 2 * hidden : 3 * hidden])
+            np.matmul(to[:, hidden:], recurrent, out=x)
+            dh *= z
+            dh += x
+            dh += room.back[t]
+            if begins[t]:
+                dh *= keep[t][:, None]
+        wide = wide.reshape(len(ids), 4 * hidden)
+        places = np.r_[hidden : 3 * hidden, :hidden]  # of update gate, reset gate and candidate
+        order = _order(ids, self.size.head + self.size.tails)
+        found, sums = _run_sums(wide.take(order, axis=0), ids[order])
         gates = np.zeros_like(self.gates)
-        gates[ids[order[first]]] = np.add.reduceat(da[order], first, axis=0)
-        return h, [gates, flat.T @ du.reshape(-1, 3 * hidden), da.sum(axis=0), classes, class_bias, members, member_bias], had
+        gates[found] = sums[:, places]
+        return h, [gates, across @ wide[:, hidden:], (room.ones @ wide)[places], classes, class_bias, members, member_bias], had
+
+
+class _Room:
+    """Work arrays of one window's gradients."""
+
+    def __init__(self, model: GruModel, steps: int, lanes: int):
+        self.shape, hidden, kind = (steps, lanes), model.size.hidden, model.recurrent.dtype
+        self.u, self.zr, self.n = model.room_of_step(lanes, steps)
+        self.a, self.wide = (np.empty((steps, lanes, k * hidden), kind) for k in (3, 4))
+        self.seen, self.back = np.empty((2, steps, lanes, hidden), kind)
+        self.p, self.q = (np.empty((steps * lanes, k), kind) for k in (model.classes.shape[1], model.size.members))
+        self.ones = np.ones(steps * lanes, kind)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     """1 / (1 + exp(-x)), in place."""
     np.negative(x, out=x)
-    np.minimum(x, 60, out=x)
-    np.exp(x, out=x)
+    np.exp(x, out=x)  # where it overflows, 1 / (1 + inf) is 0
     x += 1
     return np.reciprocal(x, out=x)
 
@@ -264,26 +337,65 @@ def _shifted(w: np.ndarray, b: np.ndarray) -> np.ndarray:
     return b - (b + np.abs(w).sum(axis=-2)).max(axis=-1, keepdims=True)
 
 
-def _log_softmax_at(z: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Natural log of each row's softmax at one column, ``z`` being at most 0."""
+def _softmax_at(h: np.ndarray, w: np.ndarray, b: np.ndarray, at: np.ndarray, z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numerator's natural log, and denominator, of each row's softmax at one column, in the work array ``z``; ``b`` is shifted."""
+    z = z.reshape(-1)[: len(h) * w.shape[1]].reshape(len(h), -1)
+    np.matmul(h, w, out=z)
+    z += b
     chosen = z[np.arange(len(z)), at]
-    total = np.exp(z) @ np.ones(z.shape[1], z.dtype)
-    if len(total) and total.min() < 1e-30:  # far below the bound: shift by each row's maximum
-        top = z.max(axis=1, keepdims=True)
-        return chosen - top[:, 0] - np.log(np.exp(z - top).sum(axis=1))
-    return chosen - np.log(total)
+    np.exp(z, out=z)
+    total = z @ np.ones(z.shape[1], z.dtype)
+    if total.min() < 1e-30:  # far below the bound: shift by each row's maximum
+        z = h @ w + b
+        top = z.max(axis=1)
+        return chosen - top, np.exp(z - top[:, None]).sum(axis=1)
+    return chosen, total
+
+
+def _softmax_errors(logits, at: np.ndarray, scale: float, z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each row's softmax at one column, and ``scale`` times the softmax, less one at that column, of ``logits(z)`` (at most 0)."""
+    np.exp(logits(z), out=z)
+    ones = np.ones(z.shape[1], z.dtype)
+    total = z @ ones
+    if total.min() < 1e-30:  # far below the bound: shift by each row's maximum
+        logits(z)
+        z -= z.max(axis=1, keepdims=True)
+        total = np.exp(z, out=z) @ ones
+    cells = np.arange(0, z.size, z.shape[1]) + at
+    had = z.reshape(-1)[cells] / total
+    z *= (scale / total)[:, None]
+    z.reshape(-1)[cells] -= scale
+    return had, z
+
+
+def _order(values: np.ndarray, top: int) -> np.ndarray:
+    """Stable order of values from 0 to below ``top``; short integers are sorted by their digits."""
+    return np.argsort(values.astype(np.uint16) if top <= 1 << 16 else values, kind="stable")
 
 
 def _groups(rows: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
     """The given rows in the order of their class, and (class, from, to) of each class's run."""
-    rows = rows[np.argsort(cls[rows], kind="stable")]
-    starts = np.flatnonzero(np.diff(cls[rows], prepend=-1)).tolist()
-    return rows, [(int(cls[rows[lo]]), lo, hi) for lo, hi in zip(starts, [*starts, len(rows)][1:], strict=True)]
-
-
-def _softmax(z: np.ndarray) -> np.ndarray:
-    e = np.exp(z - z.max(axis=1, keepdims=True))
-    return e / e.sum(axis=1, keepdims=True)
+    own = cls[rows]
+    order = _order(own, int(own.max(initial=0)) + 1)
+    own = own[order]
+    starts = np.flatnonzero(np.diff(own, prepend=-1)).tolist()
+    return rows[order], [(int(own[lo]), lo, hi) for lo, hi in zip(starts, [*starts, len(rows)][1:], strict=True)]
+
+
+def _run_sums(rows: np.ndarray, keys: np.ndarray, few: int = 8) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys of sorted ``keys`` and the sum of the rows of each: long runs one by one, short ones row after row, side by side."""
+    starts = np.flatnonzero(np.diff(keys, prepend=-1))
+    sizes = np.diff(starts, append=len(keys))
+    order = np.argsort(-sizes, kind="stable")
+    starts, sizes = starts[order], sizes[order]
+    sums, n_long = rows[starts], int((sizes > few).sum())
+    ones = np.ones(int(sizes[0]), rows.dtype)
+    for i, (lo, n) in enumerate(zip(starts[:n_long].tolist(), sizes[:n_long].tolist(), strict=True)):
+        np.matmul(ones[:n], rows[lo : lo + n], out=sums[i])
+    for k in range(1, few):
+        n = int((sizes > k).sum())
+        sums[n_long:n] += rows[starts[n_long:n] + k]
+    return keys[starts], sums
 
 
 class Lanes:
@@ -366,7 +478,8 @@ class Trainer:
             h, grads, had = self.model.gradients(h, part, keep[at : at + self.window])
             if self.vocabulary is not None:
                 net, other = had * self.vocabulary.scale[part.ravel()], self.vocabulary.unigram[part.ravel()]
-                self.mixtures += [np.log(other + w * (net - other)).sum() for w in WEIGHTS]
+                more = net - other
+                self.mixtures += [_log_sum(other + w * more) for w in WEIGHTS]
             self.updates += 1
             norm = math.sqrt(sum(float(np.vdot(g, g)) for g in grads))
             clip = min(1.0, 1.0 / (norm + 1e-9))
@@ -378,14 +491,33 @@ class Trainer:
                 p -= (self.rate / fast) * m / (np.sqrt(v / slow) + 1e-6)
 
 
+def _log_sum(x: np.ndarray) -> float:
+    """Sum of the natural logs of probabilities, of four at a time: their product is far from a double's least."""
+    cut = len(x) // 4 * 4
+    four = x[:cut].reshape(4, -1)
+    return float(np.log(four[0] * four[1] * four[2] * four[3]).sum() + np.log(x[cut:]).sum())
+
+
+def encode_all(column: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    """Model ids of the texts' tokens one after another, their places in the table (-1: beyond it),
+    how many each text has, and the words beyond the table in their order."""
+    words, n_words = split_words(column)
+    found = pc.index_in(words, value_set=vocabulary.words)
+    beyond = words.filter(found.is_null()).to_pylist() if found.null_count else []
+    n = n_words + 1
+    at = np.full(int(n.sum()), vocabulary.end, np.int32)
+    own = np.ones(len(at), bool)
+    own[np.cumsum(n) - 1] = False
+    at[own] = found.fill_null(-1).to_numpy()
+    ids = vocabulary.ids[at]
+    if beyond:
+        ids[at < 0] = [vocabulary.size.head + tail_class(w, vocabulary.size.tails) for w in beyond]
+    return ids, at, n, beyond
+
+
 def encode(text: bytes, vocabulary: Vocabulary) -> np.ndarray:
     """Model ids of a text's tokens."""
-    words = [*space_words(text), END]
-    at = np.fromiter(map(vocabulary.index.get, words, repeat(-1)), np.int32, len(words))
-    ids = vocabulary.ids[at]
-    for i in np.flatnonzero(at < 0).tolist():
-        ids[i] = vocabulary.size.head + tail_class(words[i], vocabulary.size.tails)
-    return ids
+    return encode_all([text], vocabulary)[0]
 
 
 _COPY = "p binary, n long, mixtures array<double>"
@@ -418,8 +550,11 @@ def average_round(training: DataFrame, model: GruModel, state: np.ndarray | None
             trainer.resume(state)
         for b in batches:
             column = texts(b.column(0))
-            for lo, hi in slices(column, 2 << 20):
-                trainer.learn([encode(t, vocabulary.value) for t in column[lo:hi]])
+            for lo, hi in slices(column, 24 << 20):
+                ids, _, n, _ = encode_all(column[lo:hi], vocabulary.value)
+                documents = np.split(ids, np.cumsum(n)[:-1])
+                for first, last in slices(column[lo:hi], 2 << 20):
+                    trainer.learn(documents[first:last])
         if trainer.n_tokens:
             cols = [pa.array([trainer.state().tobytes()], pa.binary()), pa.array([trainer.n_tokens], pa.int64()), pa.array([trainer.mixtures], pa.list_(pa.float64()))]
             yield pa.RecordBatch.from_arrays(cols, names=["p", "n", "mixtures"])
@@ -437,37 +572,34 @@ def average_round(training: DataFrame, model: GruModel, state: np.ndarray | None
 # ---------------------------------------------------------------- scoring
 
 
+@np.errstate(over="ignore")
 def score_batch(column: list[bytes], model: GruModel, vocabulary: Vocabulary, n_lanes: int = 512, window: int = 32) -> list[tuple]:
     """Per text: tokens, table tokens, their sum of log10(c + 1), log10 of the model's probability less
     the log10(c + 1) of words beyond the table, and these words, counted."""
-    head, tails = vocabulary.size.head, vocabulary.size.tails
-    documents, rest, base, table_tokens, tail = [], [], [], [], []
-    for text in column:
-        words = [*space_words(text), END]
-        at = np.fromiter(map(vocabulary.index.get, words, repeat(-1)), np.int32, len(words))
-        ids, logs = vocabulary.ids[at], vocabulary.log_c1[at]
-        out = np.flatnonzero(at < 0).tolist()
-        beyond = [words[i] for i in out]
-        if out:
-            ids[out], logs[out] = [head + tail_class(w, tails) for w in beyond], 0
-        documents.append(ids)
-        base.append(float(logs.sum()))
-        table_tokens.append(len(words) - len(out))
-        # The members of tail classes have their count share; beyond the table the join adds log10(c + 1).
-        tail.append(float(logs[ids >= head].sum()))
-        rest.append(list(Counter(beyond).items()))
-    score, lanes, inputs = np.array(tail), Lanes(documents, n_lanes), model.inputs()
-    h = np.zeros((n_lanes, model.size.hidden), np.float32)
+    ids, at, n, beyond = encode_all(column, vocabulary)
+    inside, starts = at >= 0, np.cumsum(n) - n
+    logs = np.where(inside, vocabulary.log_c1[at], 0.0)
+    base, table_tokens = np.add.reduceat(logs, starts), np.add.reduceat(inside, starts, dtype=np.int64)
+    # The members of tail classes have their count share; beyond the table the join adds log10(c + 1).
+    score = np.add.reduceat(np.where(ids >= vocabulary.size.head, logs, 0.0), starts)
+    rest: list[Counter] = [Counter() for _ in column]
+    for i, word in zip(np.repeat(np.arange(len(column)), n)[~inside].tolist(), beyond, strict=True):
+        rest[i][word] += 1
+    lanes, inputs = Lanes(np.split(ids, starts[1:]), n_lanes), model.inputs()
+    hidden, most = model.size.hidden, int(lanes.bounds[1])
+    h, a = np.zeros((most, hidden), np.float32), np.empty((most, 3 * hidden), np.float32)
+    room, states = model.room_of_step(most), np.empty((most * window, hidden), np.float32)
     for first in range(0, len(lanes.bounds) - 1, window):
-        bounds, seen = lanes.bounds[first : first + window + 1].tolist(), []
+        bounds = lanes.bounds[first : first + window + 1].tolist()
         for lo, hi in zip(bounds, bounds[1:]):
-            h = h[: hi - lo] * lanes.keep[lo:hi, None]
-            seen.append(h)
-            h, _ = model.step(h, inputs[lanes.tokens[lo:hi]])
+            k, seen = hi - lo, states[lo - bounds[0] : hi - bounds[0]]
+            np.multiply(h[:k], lanes.keep[lo:hi, None], out=seen)
+            inputs.take(lanes.tokens[lo:hi], axis=0, out=a[:k], mode="clip")
+            h, _ = model.step(seen, a[:k], room if k == most else None)
         ids = lanes.tokens[bounds[0] : bounds[-1]]
-        net, other = 10.0 ** model.log_probs(np.concatenate(seen), ids) * vocabulary.scale[ids], vocabulary.unigram[ids]
+        net, other = model.probs(states[: len(ids)], ids) * vocabulary.scale[ids], vocabulary.unigram[ids]
         score += np.bincount(lanes.doc[bounds[0] : bounds[-1]], np.log10(other + vocabulary.weight * (net - other)), len(column))
-    return list(zip(map(len, documents), table_tokens, base, score.tolist(), rest, strict=True))
+    return list(zip(n.tolist(), table_tokens.tolist(), base.tolist(), score.tolist(), (list(r.items()) for r in rest), strict=True))
 
 
 def fit(training: DataFrame, scratch: Scratch, counts: DataFrame, rounds: int, share: float, max_table: int, size: Size):
@@ -537,7 +669,7 @@ def score_documents(
             column = texts(b.column(1))
             for lo, hi in slices(column, 24 << 20):
                 n, n_table, base, total, rest = zip(*score_batch(column[lo:hi], model, vocabulary), strict=True)
-                rest = pa.array([[{"word": w, "n": k} for w, k in r] for r in rest], rest_type)
+                rest = pa.array(rest, rest_type)
                 numbers = [pa.array(c, t) for c, t in ((n, pa.int64()), (n_table, pa.int64()), (base, pa.float64()), (total, pa.float64()))]
                 cols = [pa.array(range(at, at + hi - lo), pa.int64()), b.column(0)[lo:hi], *numbers, rest]
                 at += hi - lo
