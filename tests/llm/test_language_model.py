@@ -215,3 +215,43 @@ def test_every_training_document_trains_the_network_once(spark, monkeypatch):
     monkeypatch.setattr(L, "average_round", lambda training, *_: seen.extend(r.id for r in training.select("id").collect()))
     L.score_documents(frame(spark, [doc(k, f"a text {k}") for k in range(200)])).count()
     assert sorted(seen) == [k for k in range(200) if zlib.crc32(str(k).encode()) % 7 != 2]
+
+
+ODD = ["", " ", "\t\n\x0b\x0c\r ", " Ab aB\tÄb ", "a\x1cb\x85c\u00a0d\u2003e", "x" * 300 + " y", "one", " two  three\n", "É é İ", "one one"]
+
+
+def test_words_of_a_slice_are_split_counted_and_looked_up_at_once(spark):
+    v, _, counts = small_model([" ".join(f"w{k}" for k in range(1200) for _ in range(2)), "one a y"])
+    column = [t.encode() for t in ODD]
+    words, n = L.split_words(column)
+    assert words.to_pylist() == [w for t in ODD for w in tokens(t)[:-1]] and n.tolist() == [len(tokens(t)) - 1 for t in ODD]
+    ids, at, n, beyond = L.encode_all(column, v)
+    want = [[v.ids[v.index[w]] if w in counts else L.HEAD + L.tail_class(w) for w in tokens(t)] for t in ODD]
+    assert ids.tolist() == sum(want, []) and n.tolist() == [len(w) for w in want]
+    assert at.tolist() == [v.index.get(w, -1) for t in ODD for w in tokens(t)]
+    assert beyond == [w for t in ODD for w in tokens(t) if w not in counts]
+    found = L.token_counts(spark.createDataFrame([(t,) for t in [*ODD, None]], "text string").repartition(3), 32).collect()
+    want = Counter(w for t in [*ODD, ""] for w in tokens(t))
+    assert sorted((bytes(r.word), r.tail, r.c) for r in found) == sorted((w, L.tail_class(w, 32), c) for w, c in want.items())
+
+
+@pytest.mark.parametrize("top", [1, 3, 40, 5000])
+def test_sums_of_runs_of_equal_tokens(top):
+    rng = np.random.default_rng(top)
+    keys = np.sort(np.minimum(rng.zipf(1.3, 700), top))
+    rows = rng.normal(size=(700, 6))
+    found, sums = L._run_sums(rows, keys)
+    assert sorted(found.tolist()) == sorted(set(keys.tolist()))
+    for k, got in zip(found, sums):
+        assert np.allclose(got, rows[keys == k].sum(axis=0))
+
+
+def test_logits_far_below_their_bound():
+    """Where every numerator underflows the row's maximum is taken off."""
+    h, w, b = np.float32([[-1, -1], [1, 1]]), np.full((2, 3), 60, np.float32), np.float32([0, 1, 2])
+    exact = np.exp([0.0, 1.0, 2.0]) / np.exp([0.0, 1.0, 2.0]).sum()
+    bias = L._shifted(w, b)
+    log, total = L._softmax_at(h, w, bias, np.array([1, 2]), np.empty((2, 3), np.float32))
+    assert np.allclose(np.exp(log) / total, exact[[1, 2]], rtol=1e-3)
+    had, p = L._softmax_errors(lambda z: np.add(np.matmul(h, w, out=z), bias, out=z), np.array([1, 2]), 0.5, np.empty((2, 3), np.float32))
+    assert np.allclose(had, exact[[1, 2]], rtol=1e-3) and np.allclose(p, 0.5 * (exact - np.eye(3)[[1, 2]]), atol=1e-4)
